@@ -58,3 +58,61 @@ def flagship_query(spark: SparkSession, sf_dir: str, chunk_rows: int | None = 10
 @register("supervised_flagship", FLAGSHIP_SQL)
 def q_flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flagship_query(spark, sf_dir)
+
+
+# --------------------------------------------------------------------------- shared stand-ins
+
+from .operators import windows as W  # noqa: E402
+from .operators.clean import curate  # noqa: E402
+from .operators.dedup import latest_per_key  # noqa: E402
+from .plans import weather as PW  # noqa: E402
+
+MEASURES = PW.WEATHER_MEASURES
+WX_SQL = [S.raw_weather(), S.WX_HOURLY]
+
+
+def curated_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = T.raw_measurements(spark, sf_dir)
+    return curate(latest_per_key(raw, ["station_id", "timeseries_name", "timestamp_utc"],
+                                 ["ingestion_ts_utc", "source_record_hash"]))
+
+
+def hourly_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return latest_per_key(T.raw_weather(spark, sf_dir), ["dwd_station_id", "timestamp_utc"],
+                          ["ingestion_ts_utc", "source_record_hash"])
+
+
+def station_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cur = curated_series(spark, sf_dir)
+    return PW.weather_map(cur.select("station_id", "station_name", "latitude", "longitude"),
+                          T.raw_weather(spark, sf_dir))
+
+
+MAP_SQL = [S.RAW_MEASUREMENTS, S.DEDUP, S.CURATED, *WX_SQL, *S.weather_map_ctes(PW.NAME_BONUS_PAIRS)]
+MAP_ROUND = [f"{p}{c}" for p in PW.RANK_PREFIXES for c in ("distance_km", "blend_weight")]
+
+
+def _sql_round(cols, digits=6):
+    return ", ".join(f"round({c}, {digits}) AS {c}" for c in cols)
+
+
+@register("weather_map", S.with_(*MAP_SQL) + f"SELECT * REPLACE ({_sql_round(MAP_ROUND)}) FROM wmap")
+def q_weather_map(spark, sf_dir):
+    """L2 (D4 grid distance join, name bonus, F6 ranking, G1 top-3, F7 share,
+    E24 pivot): gauges -> their three best weather stations."""
+    return r6(station_map(spark, sf_dir), MAP_ROUND)
+
+
+JOIN_OUT = ["station_id", "timestamp_utc", "value", "primary_dwd_station_id", "backup1_dwd_station_id",
+            "backup2_dwd_station_id", "weather_timestamp_utc",
+            *[f"{p}{m}" for p in ("p_", "b1_", "b2_") for m in MEASURES],
+            *MEASURES, *[f"{m}_blend" for m in MEASURES], "weather_source_used"]
+
+
+@register("hourly_fallback_join", S.with_(*MAP_SQL, S.GAUGE_FEATURES, S.weather_join_cte("gf"))
+          + "SELECT " + ", ".join(JOIN_OUT) + " FROM wj")
+def q_hourly_fallback_join(spark, sf_dir):
+    """L3 (D1 mapping join, D2 hourly joins x3, D3 coalesce fallback)."""
+    feats = PF.gauge_features(curated_series(spark, sf_dir))
+    out = PW.weather_join(feats, hourly_weather(spark, sf_dir), station_map(spark, sf_dir))
+    return out.select(*JOIN_OUT)
