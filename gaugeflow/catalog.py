@@ -116,3 +116,194 @@ def q_hourly_fallback_join(spark, sf_dir):
     feats = PF.gauge_features(curated_series(spark, sf_dir))
     out = PW.weather_join(feats, hourly_weather(spark, sf_dir), station_map(spark, sf_dir))
     return out.select(*JOIN_OUT)
+
+
+# --------------------------------------------------------------------------- B / C: cleaning and dedup
+
+from .functions import scalars as FX  # noqa: E402
+from .operators import clean as CL  # noqa: E402
+from .operators import dedup as DD  # noqa: E402
+from .operators import health as HL  # noqa: E402
+
+RAW_COLS = ["station_id", "station_name", "timeseries_name", "timestamp_utc", "value", "unit", "latitude",
+            "longitude", "ingestion_ts_utc", "source", "source_record_hash", "source_url"]
+
+
+@register("dedup_latest", S.with_(S.RAW_MEASUREMENTS, S.DEDUP) + "SELECT * FROM dedup")
+def q_dedup_latest(spark, sf_dir):
+    """Newest ingestion (then highest hash) per (station, series, hour)."""
+    return DD.latest_per_key(T.raw_measurements(spark, sf_dir),
+                             ["station_id", "timeseries_name", "timestamp_utc"],
+                             ["ingestion_ts_utc", "source_record_hash"])
+
+
+@register("dedupe_keep_last", S.with_(S.RAW_TYPE_MEASUREMENTS) + """
+SELECT * FROM raw_t
+QUALIFY row_number() OVER (PARTITION BY station_id, CAST(timestamp_utc AS DATE)
+                           ORDER BY ingestion_ts_utc DESC, source_record_hash DESC) = 1""")
+def q_dedupe_keep_last(spark, sf_dir):
+    """Keep the last row per (series, day) after sorting by ingestion."""
+    raw = T.raw_type_measurements(spark, sf_dir).withColumn("_day", F.to_date("timestamp_utc"))
+    return DD.latest_per_key(raw, ["station_id", "_day"], ["ingestion_ts_utc", "source_record_hash"]).drop("_day")
+
+
+@register("curate_range", S.with_(S.RAW_MEASUREMENTS, S.DEDUP, S.CURATED) + "SELECT * FROM curated")
+def q_curate_range(spark, sf_dir):
+    """B2 after C1: safe cast, not null, -1000 <= value <= 2000."""
+    return curated_series(spark, sf_dir)
+
+
+RUNS_SQL = """
+runs AS (
+  SELECT CAST(o_orderkey AS VARCHAR) AS run_id, o_orderpriority AS job_type, o_orderstatus AS status,
+         o_orderdate AS started_at_utc, o_orderdate + to_seconds(CAST(floor(o_totalprice) AS BIGINT) % 7200) AS ended_at_utc,
+         CAST(CAST(floor(o_totalprice) AS BIGINT) % 7200 AS DOUBLE) AS duration_seconds,
+         o_custkey AS rows_ingested, CAST(floor(o_totalprice) AS BIGINT) % 1000 AS rows_predicted,
+         o_custkey % 25 AS stations_processed
+  FROM orders
+)"""
+
+
+def runs_table(spark, sf_dir):
+    """Pipeline-run rows (FIXTURES §7) from ``orders``."""
+    o = T.table(spark, sf_dir, "orders")
+    secs = F.floor("o_totalprice") % 7200
+    return o.select(F.col("o_orderkey").cast("string").alias("run_id"), F.col("o_orderpriority").alias("job_type"),
+                    F.col("o_orderstatus").alias("status"), F.col("o_orderdate").alias("started_at_utc"),
+                    (F.col("o_orderdate") + F.make_dt_interval(secs=secs)).alias("ended_at_utc"),
+                    secs.cast("double").alias("duration_seconds"), F.col("o_custkey").alias("rows_ingested"),
+                    (F.floor("o_totalprice") % 1000).alias("rows_predicted"),
+                    (F.col("o_custkey") % 25).alias("stations_processed"))
+
+
+@register("latest_by_job", S.with_(RUNS_SQL) + """
+SELECT * FROM runs
+QUALIFY row_number() OVER (PARTITION BY job_type ORDER BY started_at_utc DESC, run_id DESC, job_type DESC,
+                           status DESC, ended_at_utc DESC, duration_seconds DESC, rows_ingested DESC,
+                           rows_predicted DESC, stations_processed DESC) = 1""")
+def q_latest_by_job(spark, sf_dir):
+    """Newest run per job type (ties broken by the other columns)."""
+    r = runs_table(spark, sf_dir)
+    cols = ["run_id", "job_type", "status", "started_at_utc", "ended_at_utc", "duration_seconds",
+            "rows_ingested", "rows_predicted", "stations_processed"]
+    r = r.select(*cols)
+    return HL.latest_by(r.select("started_at_utc", *[c for c in cols if c != "started_at_utc"]),
+                        ["job_type"], "started_at_utc").select(*cols)
+
+
+@register("latest_overall", S.with_(RUNS_SQL) + "SELECT * FROM runs ORDER BY started_at_utc DESC, run_id DESC LIMIT 1")
+def q_latest_overall(spark, sf_dir):
+    """The newest run overall (ORDER BY .. LIMIT 1)."""
+    return DD.newest_overall(runs_table(spark, sf_dir), [F.col("started_at_utc").desc(), F.col("run_id").desc()])
+
+
+@register("latest_rows_per_group", """
+SELECT o.* FROM orders o
+JOIN (SELECT o_custkey, max(o_orderdate) AS mx FROM orders GROUP BY o_custkey) m
+  ON o.o_custkey = m.o_custkey AND o.o_orderdate = m.mx""")
+def q_latest_rows_per_group(spark, sf_dir):
+    """All rows at their group's newest time (ties kept)."""
+    return DD.rows_at_group_max(T.table(spark, sf_dir, "orders"), ["o_custkey"], "o_orderdate")
+
+
+@register("coerce_types", """
+SELECT event_id,
+       TRY_CAST(trim(CASE WHEN event_id % 11 = 0 THEN 'n/a' ELSE ' ' || CAST(value AS VARCHAR) || ' ' END) AS DOUBLE) AS value_num,
+       TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) AS k,
+       TRY_CAST(trim(CASE WHEN event_id % 13 = 0 THEN 'not a time' ELSE strftime(ts, '%Y-%m-%d %H:%M:%S') END) AS TIMESTAMP) AS ts_parsed
+FROM events""")
+def q_coerce_types(spark, sf_dir):
+    """B1: text columns to double / long / timestamp; bad values -> null."""
+    e = T.table(spark, sf_dir, "events")
+    txt = e.select("event_id",
+                   F.when(F.col("event_id") % 11 == 0, F.lit("n/a"))
+                    .otherwise(F.concat(F.lit(" "), F.col("value").cast("string"), F.lit(" "))).alias("value_num"),
+                   F.get_json_object("props", "$.k").alias("k"),
+                   F.when(F.col("event_id") % 13 == 0, F.lit("not a time"))
+                    .otherwise(F.date_format("ts", "yyyy-MM-dd HH:mm:ss")).alias("ts_parsed"))
+    return CL.coerce(txt, {"value_num": "double", "k": "bigint", "ts_parsed": "timestamp_ntz"})
+
+
+@register("floor_time", """
+SELECT event_id, date_trunc('second', ts) AS ts_second, date_trunc('minute', ts) AS ts_minute,
+       date_trunc('hour', ts) AS ts_hour, date_trunc('day', ts) AS ts_day FROM events""")
+def q_floor_time(spark, sf_dir):
+    """Floor timestamps to second / minute / hour / day."""
+    e = T.table(spark, sf_dir, "events")
+    return e.select("event_id", *[FX.floor_time("ts", u).alias(f"ts_{u}") for u in ("second", "minute", "hour", "day")])
+
+
+NAME_SRC_SQL = """
+names AS (
+  SELECT p_partkey,
+         CASE p_partkey % 4 WHEN 0 THEN '  ' || p_name || ' köln/süd '
+                            WHEN 1 THEN p_brand || ' straße ' || p_type
+                            WHEN 2 THEN 'düsseldorf-' || p_name
+                            ELSE p_name END AS raw_name
+  FROM part
+)"""
+
+
+def _names(spark, sf_dir):
+    p = T.table(spark, sf_dir, "part")
+    k = F.col("p_partkey") % 4
+    raw = (F.when(k == 0, F.concat(F.lit("  "), F.col("p_name"), F.lit(" köln/süd ")))
+            .when(k == 1, F.concat(F.col("p_brand"), F.lit(" straße "), F.col("p_type")))
+            .when(k == 2, F.concat(F.lit("düsseldorf-"), F.col("p_name")))
+            .otherwise(F.col("p_name")))
+    return p.select("p_partkey", raw.alias("raw_name"))
+
+
+# DuckDB upper-cases ß to ẞ where Python and Java give SS; fold it first.
+_UPPER_TRIM_SQL = "upper(trim(replace(raw_name, 'ß', 'ss')))"
+_ASCII_SQL = ("regexp_replace(regexp_replace(translate(replace(replace(replace(replace(replace(" + _UPPER_TRIM_SQL + ", "
+              "'Ä', 'AE'), 'Ö', 'OE'), 'Ü', 'UE'), 'ß', 'SS'), 'ẞ', 'SS'), 'ÀÁÂÃÅÈÉÊËÌÍÎÏÒÓÔÕØÙÚÛÝÇÑ', "
+              "'AAAAAEEEEIIIIOOOOOUUUYCN'), '[^A-Z0-9]+', '-', 'g'), '^-+|-+$', '', 'g')")
+
+
+@register("normalize_name", S.with_(NAME_SRC_SQL) + f"""
+SELECT p_partkey, raw_name,
+       {_UPPER_TRIM_SQL} AS name_upper_trim,
+       replace({_UPPER_TRIM_SQL}, ' ', '-') AS name_dash,
+       regexp_replace({_UPPER_TRIM_SQL}, '[ /]', '-', 'g') AS name_dash_slash,
+       {_ASCII_SQL} AS name_ascii,
+       replace({_ASCII_SQL}, '-', '') AS name_compact
+FROM names""")
+def q_normalize_name(spark, sf_dir):
+    """The five name-normalisation variants."""
+    n = _names(spark, sf_dir)
+    return n.select("p_partkey", "raw_name",
+                    *[FX.normalize_name("raw_name", m).alias(f"name_{m}")
+                      for m in ("upper_trim", "dash", "dash_slash", "ascii", "compact")])
+
+
+@register("record_hash", """
+SELECT event_id, sha256('{"event_id":' || CAST(event_id AS VARCHAR) || ',"event_type":"' || event_type
+                        || '","props":"' || replace(props, '"', '\\"') || '","user_id":' || CAST(user_id AS VARCHAR) || '}')
+       AS source_record_hash
+FROM events""")
+def q_record_hash(spark, sf_dir):
+    """SHA-256 of the sorted-key JSON record."""
+    e = T.table(spark, sf_dir, "events")
+    return e.select("event_id", FX.record_hash(["user_id", "event_type", "event_id", "props"]).alias("source_record_hash"))
+
+
+@register("pad_id", """
+SELECT s_suppkey, CASE WHEN length(trim(CAST(s_suppkey * (CASE WHEN s_suppkey % 5 = 0 THEN 100003 ELSE 1 END) AS VARCHAR))) >= 5
+                       THEN trim(CAST(s_suppkey * (CASE WHEN s_suppkey % 5 = 0 THEN 100003 ELSE 1 END) AS VARCHAR))
+                       ELSE lpad(trim(CAST(s_suppkey * (CASE WHEN s_suppkey % 5 = 0 THEN 100003 ELSE 1 END) AS VARCHAR)), 5, '0') END AS station_id
+FROM supplier""")
+def q_pad_id(spark, sf_dir):
+    """Zero-padded 5-digit station ids; longer ids kept whole."""
+    s = T.table(spark, sf_dir, "supplier")
+    raw = F.col("s_suppkey") * F.when(F.col("s_suppkey") % 5 == 0, F.lit(100003)).otherwise(F.lit(1))
+    return s.select("s_suppkey", FX.pad_id(raw, 5).alias("station_id"))
+
+
+@register("present_format", """
+SELECT o_orderkey, round(o_totalprice / 7, 2) AS o_totalprice, strftime(o_orderdate, '%Y-%m-%d %H:%M') AS o_orderdate
+FROM orders""")
+def q_present_format(spark, sf_dir):
+    """Round doubles to 2 digits and timestamps to 'yyyy-MM-dd HH:mm'."""
+    o = T.table(spark, sf_dir, "orders").select("o_orderkey", (F.col("o_totalprice") / 7).alias("o_totalprice"), "o_orderdate")
+    return CL.present(o, ["o_totalprice"], ["o_orderdate"], 2)
