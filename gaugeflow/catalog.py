@@ -29,7 +29,9 @@ def register(name: str, sql: str | None = None):
 
 
 def r6(df: DataFrame, cols) -> DataFrame:
-    return df.withColumns({c: F.round(F.col(c), 6) for c in cols})
+    """Round to 6 decimals as round(x * 1e6) / 1e6 (same double, same tie
+    rule, in both engines)."""
+    return df.withColumns({c: F.round(F.col(c) * F.lit(1e6)) / F.lit(1e6) for c in cols})
 
 
 # --------------------------------------------------------------------------- flagship
@@ -92,8 +94,8 @@ MAP_SQL = [S.RAW_MEASUREMENTS, S.DEDUP, S.CURATED, *WX_SQL, *S.weather_map_ctes(
 MAP_ROUND = [f"{p}{c}" for p in PW.RANK_PREFIXES for c in ("distance_km", "blend_weight")]
 
 
-def _sql_round(cols, digits=6):
-    return ", ".join(f"round({c}, {digits}) AS {c}" for c in cols)
+def _sql_round(cols):
+    return ", ".join(f"{S.rnd(c)} AS {c}" for c in cols)
 
 
 @register("weather_map", S.with_(*MAP_SQL) + f"SELECT * REPLACE ({_sql_round(MAP_ROUND)}) FROM wmap")
@@ -307,3 +309,171 @@ def q_present_format(spark, sf_dir):
     """Round doubles to 2 digits and timestamps to 'yyyy-MM-dd HH:mm'."""
     o = T.table(spark, sf_dir, "orders").select("o_orderkey", (F.col("o_totalprice") / 7).alias("o_totalprice"), "o_orderdate")
     return CL.present(o, ["o_totalprice"], ["o_orderdate"], 2)
+
+
+# --------------------------------------------------------------------------- F / L: windows, features, labels
+
+GKEYS = ["station_name", "timeseries_name"]
+
+
+def _win_sql(cols: str, src: str = "curated", keys: str = "station_name, timeseries_name") -> str:
+    return f"SELECT *, {cols} FROM {src} WINDOW w AS (PARTITION BY {keys} ORDER BY timestamp_utc)"
+
+
+BASE_SERIES_SQL = [S.RAW_MEASUREMENTS, S.DEDUP, S.CURATED]
+
+
+@register("lag_features", S.with_(*BASE_SERIES_SQL) + _win_sql(
+    "lag(value, 1) OVER w AS lag_1, lag(value, 3) OVER w AS lag_3, lag(value, 6) OVER w AS lag_6, "
+    "lag(value, 12) OVER w AS lag_12"))
+def q_lag_features(spark, sf_dir):
+    """F1 through the skew-safe chunked plan (chunks of 16 rows)."""
+    return W.add_lags(curated_series(spark, sf_dir), "value", [1, 3, 6, 12], GKEYS, ["timestamp_utc"], chunk_rows=16)
+
+
+@register("diff_features", S.with_(*BASE_SERIES_SQL) + _win_sql(
+    "value - lag(value, 1) OVER w AS diff_1, value - lag(value, 3) OVER w AS diff_3"))
+def q_diff_features(spark, sf_dir):
+    """value minus its 1- and 3-row lags."""
+    return W.add_diffs(curated_series(spark, sf_dir), "value", [1, 3], GKEYS, ["timestamp_utc"])
+
+
+ROLL_SPECS = [(3, "mean"), (3, "std"), (6, "min"), (6, "max"), (12, "sum"), (24, "mean")]
+_ROLL_SQL = {"mean": "avg", "std": "stddev_samp", "min": "min", "max": "max", "sum": "sum"}
+
+
+@register("rolling_features", S.with_(*BASE_SERIES_SQL) + _win_sql(", ".join(
+    f"{S.rnd(f'{_ROLL_SQL[fn]}(value) OVER (w ROWS BETWEEN {n} PRECEDING AND 1 PRECEDING)')} AS rolling_{fn}_{n}"
+    for n, fn in ROLL_SPECS)))
+def q_rolling_features(spark, sf_dir):
+    """trailing mean/std/min/max/sum over n previous rows (current row
+    excluded), chunked plan with 20-row chunks and a 24-row halo."""
+    out = W.add_rolling(curated_series(spark, sf_dir), "value", ROLL_SPECS, GKEYS, ["timestamp_utc"], chunk_rows=20)
+    return r6(out, [f"rolling_{fn}_{n}" for n, fn in ROLL_SPECS])
+
+
+LEADS = [1, 3, 6, 12, 24]
+
+
+@register("lead_labels", S.with_(*BASE_SERIES_SQL) + _win_sql(", ".join(
+    f"lead(value, {k}) OVER w AS lead_{k}" for k in LEADS)))
+def q_lead_labels(spark, sf_dir):
+    """row-offset leads (labels)."""
+    return W.add_leads(curated_series(spark, sf_dir), "value", LEADS, GKEYS, ["timestamp_utc"], chunk_rows=10)
+
+
+@register("trend_features", S.with_(*BASE_SERIES_SQL) + _win_sql(
+    "lag(value, 1) OVER w - lag(value, 3) OVER w AS value_change_1_3, "
+    + S.rnd("sum(value) OVER (w ROWS BETWEEN 24 PRECEDING AND 1 PRECEDING) - "
+            "sum(value) OVER (w ROWS BETWEEN 12 PRECEDING AND 1 PRECEDING)") + " AS value_accel_12_24"))
+def q_trend_features(spark, sf_dir):
+    """lag1 - lag3 and trailing sum24 - sum12."""
+    feats = [W.lag_change_feature("value", 1, 3, "value_change_1_3"),
+             W.rolling_sum_change_feature("value", 24, 12, "value_accel_12_24", long_minus_short=True)]
+    out = W.with_series_features(curated_series(spark, sf_dir), GKEYS, ["timestamp_utc"], feats)
+    return r6(out, ["value_accel_12_24"])
+
+
+@register("gauge_features", S.with_(*BASE_SERIES_SQL, S.GAUGE_FEATURES) + "SELECT * FROM gf")
+def q_gauge_features(spark, sf_dir):
+    """L1: lags, diffs, rolling stats and calendar columns per series."""
+    return r6(PF.gauge_features(curated_series(spark, sf_dir)), ["rolling_mean_3", "rolling_std_3"])
+
+
+def _weather_feature_sql(long_minus_short: bool) -> str:
+    parts = []
+    for col, (short, ks) in PF.WEATHER_LAGS.items():
+        parts += [f"lag({col}, {k}) OVER w AS {short}_lag_{k}" for k in ks]
+    for col, (short, specs) in PF.WEATHER_ROLLING.items():
+        parts += [f"{S.rnd(f'{_ROLL_SQL[fn]}({col}) OVER (w ROWS BETWEEN {n} PRECEDING AND 1 PRECEDING)')} AS {short}_roll_{fn}_{n}"
+                  for n, fn in specs]
+    parts += ["pressure_hpa - lag(pressure_hpa, 1) OVER w AS pressure_delta_1",
+              "pressure_hpa - lag(pressure_hpa, 3) OVER w AS pressure_delta_3",
+              "lag(temperature_c, 1) OVER w - lag(temperature_c, 3) OVER w AS temp_change_1_3"]
+    a = "sum(precipitation_mm) OVER (w ROWS BETWEEN 24 PRECEDING AND 1 PRECEDING)"
+    b = "sum(precipitation_mm) OVER (w ROWS BETWEEN 12 PRECEDING AND 1 PRECEDING)"
+    parts.append(f"{S.rnd(f'{a} - {b}')} AS precip_accel_12_24" if long_minus_short
+                 else f"{S.rnd(f'{b} - {a}')} AS precip_accel_12_24")
+    return ", ".join(parts)
+
+
+WEATHER_ROUND = [f.name for f in PF.weather_feature_list() if "roll" in f.name or f.name == "precip_accel_12_24"]
+ENRICHED_OUT = ["station_id", "timestamp_utc", "value", *MEASURES] + [f.name for f in PF.weather_feature_list()]
+
+
+@register("weather_enriched", S.with_(*MAP_SQL, S.GAUGE_FEATURES, S.weather_join_cte("gf"))
+          + "SELECT " + ", ".join(ENRICHED_OUT) + " FROM (" + _win_sql(_weather_feature_sql(True), "wj", "station_id") + ")")
+def q_weather_enriched(spark, sf_dir):
+    """L4: weather lags / trailing means and sums / deltas / trends per
+    station over the joined hourly weather."""
+    feats = PF.gauge_features(curated_series(spark, sf_dir))
+    joined = PW.weather_join(feats, hourly_weather(spark, sf_dir), station_map(spark, sf_dir))
+    out = PF.weather_enriched(joined, chunk_rows=50)
+    return r6(out.select(*ENRICHED_OUT), WEATHER_ROUND)
+
+
+SUP_OUT = ["station_id", "station_name", "timestamp_utc", "target_value", *MEASURES,
+           "lag_1", "lag_3", "lag_6", "diff_1", "diff_3", "rolling_mean_3", "rolling_std_3", "rolling_min_6",
+           "rolling_max_6", "hour_utc", "day_of_week", "month"] + [f.name for f in PF.weather_feature_list()] + \
+          ["target_value_t_plus_24h"]
+SUP_ROUND = WEATHER_ROUND + ["rolling_mean_3", "rolling_std_3"]
+
+
+def supervised_sql() -> str:
+    base = S.with_(*MAP_SQL, S.GAUGE_FEATURES, S.weather_join_cte("gf"))
+    inner = ("SELECT station_id, station_name, timestamp_utc, value AS target_value, "
+             + ", ".join(MEASURES) + ", "
+             + S.GAUGE_FEATURES_COLS + ", " + S.CALENDAR_COLS + ", " + _weather_feature_sql(False)
+             + ", lead(value, 24) OVER w AS target_value_t_plus_24h FROM wj WHERE value IS NOT NULL "
+             + "WINDOW w AS (PARTITION BY station_id ORDER BY timestamp_utc)")
+    return base + "SELECT " + ", ".join(SUP_OUT) + " FROM (" + inner + ")"
+
+
+def supervised_frame(spark, sf_dir, chunk_rows=None):
+    cur = curated_series(spark, sf_dir)
+    joined = PW.weather_join(cur, hourly_weather(spark, sf_dir), station_map(spark, sf_dir))
+    return PF.supervised_24h(joined, chunk_rows=chunk_rows)
+
+
+@register("supervised_24h", supervised_sql())
+def q_supervised_24h(spark, sf_dir):
+    """Gauge + weather features and the 24-row-ahead label from ONE
+    window spec per station (sum12 - sum24 precipitation trend)."""
+    return r6(supervised_frame(spark, sf_dir, chunk_rows=40).select(*SUP_OUT), SUP_ROUND)
+
+
+LOW_LEADS = PF.LOW_WATER_LEADS
+
+
+@register("supervised_72h", S.with_(S.RAW_TYPE_MEASUREMENTS, """
+dedup_t AS (SELECT * FROM raw_t QUALIFY row_number() OVER (PARTITION BY station_id, timeseries_name, timestamp_utc
+            ORDER BY ingestion_ts_utc DESC, source_record_hash DESC) = 1)""") + "SELECT *, CAST(CASE WHEN greatest("
+          + ", ".join(f"coalesce(lead_{k} <= 100.0, false)" for k in LOW_LEADS) + ") THEN 1 ELSE 0 END AS INTEGER) AS target_low_water_72h FROM ("
+          + "SELECT *, " + ", ".join(f"lead(value, {k}) OVER w AS lead_{k}" for k in LOW_LEADS)
+          + " FROM dedup_t WHERE value IS NOT NULL WINDOW w AS (PARTITION BY station_name, timeseries_name ORDER BY timestamp_utc))")
+def q_supervised_72h(spark, sf_dir):
+    """Nine leads up to 72 rows and the any-low-water flag (<= 100)."""
+    raw = T.raw_type_measurements(spark, sf_dir)
+    d = DD.latest_per_key(raw, ["station_id", "timeseries_name", "timestamp_utc"], ["ingestion_ts_utc", "source_record_hash"])
+    return PF.supervised_72h(d, 100.0, chunk_rows=100)
+
+
+THRESH_SQL = """
+thr AS (SELECT 'STATION ' || CAST(i AS VARCHAR) AS station_name, 20.0 + 15 * (i % 10) AS threshold_cm
+        FROM range(0, 400) t(i) WHERE i % 3 <> 0)"""
+
+
+def thresholds_table(spark):
+    """Per-station low-water thresholds (config dimension, built from a rule:
+    stations i = 0..399 with i % 3 != 0, threshold 20 + 15 * (i % 10))."""
+    rows = [(f"STATION {i}", 20.0 + 15 * (i % 10)) for i in range(400) if i % 3 != 0]
+    return spark.createDataFrame(rows, "station_name string, threshold_cm double")
+
+
+@register("low_water_events", S.with_(*BASE_SERIES_SQL, THRESH_SQL) + """
+SELECT c.*, CASE WHEN t.threshold_cm IS NOT NULL AND c.value <= t.threshold_cm THEN 1 ELSE 0 END AS low_water_label
+FROM curated c LEFT JOIN thr t ON c.station_name = t.station_name""")
+def q_low_water_events(spark, sf_dir):
+    """Low-water label from the station threshold (0 without one)."""
+    out = PF.low_water_events(curated_series(spark, sf_dir), thresholds_table(spark))
+    return out.withColumn("low_water_label", F.col("low_water_label").cast("int"))

@@ -7,6 +7,12 @@ an oracle query sees exactly the rows the Spark query sees.
 from __future__ import annotations
 
 
+def rnd(expr: str) -> str:
+    """6-decimal rounding written out as round(x * 1e6) / 1e6 so that both
+    engines round the same double the same way (half away from zero)."""
+    return f"(round(({expr}) * 1000000.0) / 1000000.0)"
+
+
 def coord(key: str, mult: int, modulus: int, base: float) -> str:
     return f"({base} + CAST(({key} * {mult}) % {modulus} AS DOUBLE) / 100.0)"
 
@@ -101,8 +107,8 @@ GAUGE_FEATURES_COLS = """
   lag(value, 6) OVER w AS lag_6,
   value - lag(value, 1) OVER w AS diff_1,
   value - lag(value, 3) OVER w AS diff_3,
-  round(avg(value) OVER (w ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING), 6) AS rolling_mean_3,
-  round(stddev_samp(value) OVER (w ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING), 6) AS rolling_std_3,
+  round(avg(value) OVER (w ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING) * 1000000.0) / 1000000.0 AS rolling_mean_3,
+  round(stddev_samp(value) OVER (w ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING) * 1000000.0) / 1000000.0 AS rolling_std_3,
   min(value) OVER (w ROWS BETWEEN 6 PRECEDING AND 1 PRECEDING) AS rolling_min_6,
   max(value) OVER (w ROWS BETWEEN 6 PRECEDING AND 1 PRECEDING) AS rolling_max_6"""
 
