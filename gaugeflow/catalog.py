@@ -477,3 +477,166 @@ def q_low_water_events(spark, sf_dir):
     """Low-water label from the station threshold (0 without one)."""
     out = PF.low_water_events(curated_series(spark, sf_dir), thresholds_table(spark))
     return out.withColumn("low_water_label", F.col("low_water_label").cast("int"))
+
+
+# --------------------------------------------------------------------------- D: joins, geo, as-of
+
+from .operators import joins as J  # noqa: E402
+from .operators.asof import asof_nearest  # noqa: E402
+from .plans import fill as PL  # noqa: E402
+
+
+def _sites_sql(name: str, key: str, label: str) -> str:
+    return f"""{name} AS (SELECT CAST({key} AS VARCHAR) AS {name}_id, {label} AS {name}_name,
+                {S.lat(key)} AS {name}_lat, {S.lon(key)} AS {name}_lon FROM {'supplier' if name == 'a' else 'customer'})"""
+
+
+@register("nearest_sites", S.with_(_sites_sql("a", "s_suppkey", "s_name"), _sites_sql("b", "c_custkey", "c_name")) + f"""
+SELECT a_id, b_id, {S.rnd(S.haversine('a_lat', 'a_lon', 'b_lat', 'b_lon'))} AS distance_km
+FROM a CROSS JOIN b WHERE {S.haversine('a_lat', 'a_lon', 'b_lat', 'b_lon')} <= 100.0""")
+def q_nearest_sites(spark, sf_dir):
+    """All supplier/customer site pairs within 100 km (grid-cell equi
+    join + exact haversine, no cartesian product)."""
+    a = T.site_table(spark, sf_dir, "supplier").select(
+        F.col("site_id").alias("a_id"), F.col("latitude").alias("a_lat"), F.col("longitude").alias("a_lon"))
+    b = T.site_table(spark, sf_dir, "customer").select(
+        F.col("site_id").alias("b_id"), F.col("latitude").alias("b_lat"), F.col("longitude").alias("b_lon"))
+    out = J.grid_distance_join(a, b, 100.0, ("a_lat", "a_lon"), ("b_lat", "b_lon"))
+    return r6(out.select("a_id", "b_id", "distance_km"), ["distance_km"])
+
+
+@register("share_of_total", f"""
+SELECT l_orderkey, l_linenumber, l_extendedprice,
+       {S.rnd('l_extendedprice / nullif(sum(l_extendedprice) OVER (PARTITION BY l_orderkey), 0)')} AS price_share
+FROM lineitem""")
+def q_share_of_total(spark, sf_dir):
+    """each line's share of its order's total (safe divide)."""
+    li = T.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice")
+    return r6(W.share_of_total(li, ["l_orderkey"], "l_extendedprice", "price_share"), ["price_share"])
+
+
+@register("rank_top3", """
+SELECT l_orderkey, l_linenumber, l_extendedprice, rank FROM (
+  SELECT l_orderkey, l_linenumber, l_extendedprice,
+         CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_extendedprice DESC, l_linenumber ASC) AS INTEGER) AS rank
+  FROM lineitem) WHERE rank <= 3""")
+def q_rank_top3(spark, sf_dir):
+    """F6 + G1: rank lines per order (price desc, line asc), keep top 3."""
+    li = T.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice")
+    out = W.top_k_per_group(li, ["l_orderkey"], [F.col("l_extendedprice").desc(), F.col("l_linenumber").asc()], 3,
+                            rank_col="rank")
+    return out.withColumn("rank", F.col("rank").cast("int"))
+
+
+@register("rank_rows_skewsafe", """
+SELECT l_orderkey, l_linenumber, l_suppkey,
+       row_number() OVER (PARTITION BY l_suppkey ORDER BY l_orderkey, l_linenumber) AS supplier_line_rank
+FROM lineitem""")
+def q_rank_rows_skewsafe(spark, sf_dir):
+    """F6 over large groups: row numbers per supplier computed with the
+    range-partitioned ranking (no supplier's lines held in one task)."""
+    li = T.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey")
+    return W.rank_rows(li, ["l_suppkey"], ["l_orderkey", "l_linenumber"], alias="supplier_line_rank")
+
+
+@register("pivot_rank", """
+SELECT l_suppkey,
+       max(CASE WHEN rk = 1 THEN l_orderkey END) AS first_l_orderkey,
+       max(CASE WHEN rk = 1 THEN l_extendedprice END) AS first_l_extendedprice,
+       max(CASE WHEN rk = 2 THEN l_orderkey END) AS second_l_orderkey,
+       max(CASE WHEN rk = 2 THEN l_extendedprice END) AS second_l_extendedprice,
+       max(CASE WHEN rk = 3 THEN l_orderkey END) AS third_l_orderkey,
+       max(CASE WHEN rk = 3 THEN l_extendedprice END) AS third_l_extendedprice,
+       count(*) AS matched_count
+FROM (SELECT *, row_number() OVER (PARTITION BY l_suppkey ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber) AS rk
+      FROM lineitem) WHERE rk <= 3 GROUP BY l_suppkey""")
+def q_pivot_rank(spark, sf_dir):
+    """E24 (after G1): top-3 lines per supplier pivoted to columns."""
+    from .operators.aggs import pivot_rank
+    li = T.table(spark, sf_dir, "lineitem")
+    top = W.top_k_per_group(li, ["l_suppkey"], [F.col("l_extendedprice").desc(), F.col("l_orderkey").asc(),
+                                                F.col("l_linenumber").asc()], 3, rank_col="rk")
+    return pivot_rank(top, "l_suppkey", "rk", ["l_orderkey", "l_extendedprice"], ["first_", "second_", "third_"])
+
+
+ASOF_SQL = """
+l AS (SELECT event_id, user_id, ts, value FROM events WHERE event_type = 'view'),
+r AS (SELECT user_id, ts AS rts, value AS actual_value FROM events WHERE event_type = 'purchase'),
+b AS (SELECT l.*, r.rts AS b_ts, r.actual_value AS b_val FROM l ASOF LEFT JOIN r ON l.user_id = r.user_id AND l.ts >= r.rts),
+f AS (SELECT b.*, r.rts AS f_ts, r.actual_value AS f_val FROM b ASOF LEFT JOIN r ON b.user_id = r.user_id AND b.ts <= r.rts),
+c AS (SELECT *, epoch_us(ts) - epoch_us(b_ts) AS db, epoch_us(f_ts) - epoch_us(ts) AS df FROM f)"""
+TOL_US = 6 * 3600 * 1_000_000
+
+
+@register("asof_nearest", S.with_(ASOF_SQL) + f"""
+SELECT event_id, user_id, ts, value,
+  CASE WHEN b_ts IS NOT NULL AND db <= {TOL_US} AND (f_ts IS NULL OR df > {TOL_US} OR db <= df) THEN b_ts
+       WHEN f_ts IS NOT NULL AND df <= {TOL_US} THEN f_ts END AS matched_ts,
+  CASE WHEN b_ts IS NOT NULL AND db <= {TOL_US} AND (f_ts IS NULL OR df > {TOL_US} OR db <= df) THEN b_val
+       WHEN f_ts IS NOT NULL AND df <= {TOL_US} THEN f_val END AS actual_value
+FROM c""")
+def q_asof_nearest(spark, sf_dir):
+    """Each 'view' event matched to the same user's nearest 'purchase'
+    within 6 hours (inclusive; ties -> earlier); unmatched rows kept."""
+    e = T.table(spark, sf_dir, "events")
+    left = e.where(F.col("event_type") == "view").select("event_id", "user_id", "ts", "value")
+    right = e.where(F.col("event_type") == "purchase").select("user_id", "ts", F.col("value").alias("actual_value"))
+    return asof_nearest(left, right, ["user_id"], "ts", "ts", 6 * 3600, ["actual_value"], bucket_seconds=12 * 3600)
+
+
+ACTUALS_SQL = """
+act AS (SELECT l_orderkey AS o_orderkey, sum(l_extendedprice) AS actual_value FROM lineitem GROUP BY l_orderkey)"""
+
+
+def order_actuals(spark, sf_dir):
+    li = T.table(spark, sf_dir, "lineitem")
+    return li.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.sum("l_extendedprice").alias("actual_value"))
+
+
+@register("exact_actuals", S.with_(ACTUALS_SQL) + f"""
+SELECT o.o_orderkey, o.o_custkey, o.o_totalprice AS prediction, {S.rnd('a.actual_value')} AS actual_value
+FROM orders o LEFT JOIN act a ON o.o_orderkey = a.o_orderkey""")
+def q_exact_actuals(spark, sf_dir):
+    """Predictions (order totals) + actuals (sum of line prices) by exact
+    key; a duplicate actual key would fail the query."""
+    o = T.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", F.col("o_totalprice").alias("prediction"))
+    return r6(J.exact_actuals(o, order_actuals(spark, sf_dir), ["o_orderkey"]), ["actual_value"])
+
+
+@register("outer_delta", """
+WITH b AS (SELECT o_custkey, count(*) AS orders, sum(o_totalprice) AS revenue FROM orders
+           WHERE o_orderdate < TIMESTAMP '1998-01-01' GROUP BY o_custkey),
+     a AS (SELECT o_custkey, count(*) AS orders, sum(o_totalprice) AS revenue FROM orders
+           WHERE o_orderdate >= TIMESTAMP '1998-01-01' GROUP BY o_custkey)
+SELECT coalesce(b.o_custkey, a.o_custkey) AS o_custkey,
+       coalesce(b.orders, 0) AS orders_before, coalesce(a.orders, 0) AS orders_after,
+       """ + S.rnd("coalesce(b.revenue, 0)") + " AS revenue_before, " + S.rnd("coalesce(a.revenue, 0)") + """ AS revenue_after,
+       coalesce(a.orders, 0) - coalesce(b.orders, 0) AS orders_delta,
+       """ + S.rnd("coalesce(a.revenue, 0) - coalesce(b.revenue, 0)") + """ AS revenue_delta
+FROM b FULL OUTER JOIN a ON b.o_custkey = a.o_custkey""")
+def q_outer_delta(spark, sf_dir):
+    """Per customer, order count and revenue before/after 1998 with
+    null -> 0 and after - before."""
+    o = T.table(spark, sf_dir, "orders")
+    cut = F.lit("1998-01-01 00:00:00").cast("timestamp_ntz")
+    agg = lambda d: d.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("orders"), F.sum("o_totalprice").alias("revenue"))
+    out = J.outer_delta(agg(o.where(F.col("o_orderdate") < cut)), agg(o.where(F.col("o_orderdate") >= cut)),
+                        "o_custkey", ["orders", "revenue"])
+    out = out.withColumn("revenue_delta", F.col("revenue_after") - F.col("revenue_before"))
+    return r6(out, ["revenue_before", "revenue_after", "revenue_delta"])
+
+
+@register("semi_scope", "SELECT * FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')")
+def q_semi_scope(spark, sf_dir):
+    """Keep rows whose id is in a scoped id set (semi join)."""
+    c = T.table(spark, sf_dir, "customer").where(F.col("c_mktsegment") == "BUILDING").select(F.col("c_custkey").alias("o_custkey"))
+    return J.keep_ids(T.table(spark, sf_dir, "orders"), c, "o_custkey")
+
+
+@register("anti_missing", "SELECT DISTINCT p_partkey FROM part WHERE p_partkey NOT IN (SELECT l_partkey FROM lineitem WHERE l_partkey IS NOT NULL)")
+def q_anti_missing(spark, sf_dir):
+    """H5: ids present in one table and missing from another (anti join):
+    parts never sold."""
+    p = T.table(spark, sf_dir, "part").select("p_partkey")
+    li = T.table(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("p_partkey"))
+    return J.missing_ids(p, li, "p_partkey")
