@@ -459,7 +459,7 @@ def q_supervised_72h(spark, sf_dir):
 
 
 THRESH_SQL = """
-thr AS (SELECT 'STATION ' || CAST(i AS VARCHAR) AS station_name, 20.0 + 15 * (i % 10) AS threshold_cm
+thr AS (SELECT 'STATION ' || CAST(i AS VARCHAR) AS station_name, CAST(20 + 15 * (i % 10) AS DOUBLE) AS threshold_cm
         FROM range(0, 400) t(i) WHERE i % 3 <> 0)"""
 
 
@@ -640,3 +640,109 @@ def q_anti_missing(spark, sf_dir):
     p = T.table(spark, sf_dir, "part").select("p_partkey")
     li = T.table(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("p_partkey"))
     return J.missing_ids(p, li, "p_partkey")
+
+
+# --------------------------------------------------------------------------- D11-D13, I11-I12: config dimensions
+
+from .functions.scalars import risk_level  # noqa: E402
+
+# Stand-in operational bands: DEFAULT bands for every station, own bands for
+# two stations; a gap between 150 and 150.5 leaves some values unbanded.
+BAND_ROWS = [
+    ("DEFAULT", 1, None, 0.0, "critical", "Critical low", "high"),
+    ("DEFAULT", 2, 0.0, 150.0, "low", "Low water", "elevated"),
+    ("DEFAULT", 3, 150.5, 600.0, "normal", "Normal", "normal"),
+    ("DEFAULT", 4, 600.0, None, "high", "High water", "elevated"),
+    ("STATION 5", 1, None, 100.0, "very_low", "Very low", "high"),
+    ("STATION 5", 2, 100.0, None, "ok", "OK", "normal"),
+    ("STATION 7", 1, None, 300.0, "below", "Below mark", "elevated"),
+    ("STATION 7", 2, 250.0, None, "above", "Above mark", "normal"),
+]
+
+
+def bands_table(spark):
+    return spark.createDataFrame(BAND_ROWS, "station_name string, band_order int, min_cm double, max_cm double, "
+                                            "band_id string, band_label string, severity string")
+
+
+def _sql_val(v):
+    return "NULL" if v is None else (f"'{v}'" if isinstance(v, str) else repr(v))
+
+
+BANDS_SQL = "bands(station_name, band_order, min_cm, max_cm, band_id, band_label, severity) AS (VALUES " + ", ".join(
+    "(" + ", ".join(_sql_val(x) for x in r) + ")" for r in BAND_ROWS) + ")"
+
+
+@register("range_bands", S.with_(*BASE_SERIES_SQL, BANDS_SQL, """
+cand AS (
+  SELECT c.station_id, c.timestamp_utc, c.station_name, c.value, b.band_order, b.band_id, b.band_label, b.severity
+  FROM curated c JOIN bands b
+    ON b.station_name = CASE WHEN c.station_name IN (SELECT station_name FROM bands) THEN c.station_name ELSE 'DEFAULT' END
+   AND (b.min_cm IS NULL OR c.value >= b.min_cm) AND (b.max_cm IS NULL OR c.value < b.max_cm)
+  QUALIFY row_number() OVER (PARTITION BY c.station_id, c.timestamp_utc ORDER BY b.band_order) = 1)""") + """
+SELECT c.station_id, c.timestamp_utc, c.station_name, c.value, k.band_id, k.band_label, k.severity
+FROM curated c LEFT JOIN cand k ON c.station_id = k.station_id AND c.timestamp_utc = k.timestamp_utc""")
+def q_range_bands(spark, sf_dir):
+    """First matching band (station's own list, else DEFAULT) for each
+    value; values between bands stay null."""
+    cur = curated_series(spark, sf_dir).select("station_id", "timestamp_utc", "station_name", "value")
+    return J.band_join(cur, bands_table(spark), "value")
+
+
+@register("threshold_risk", S.with_(*BASE_SERIES_SQL, THRESH_SQL) + """
+SELECT c.station_id, c.timestamp_utc, c.station_name, c.value, t.threshold_cm,
+       CASE WHEN c.value IS NULL OR t.threshold_cm IS NULL THEN 'unknown'
+            WHEN c.value <= t.threshold_cm THEN 'high'
+            WHEN c.value <= t.threshold_cm + 20 THEN 'elevated' ELSE 'normal' END AS risk_level
+FROM curated c LEFT JOIN thr t ON upper(trim(c.station_name)) = upper(trim(t.station_name))""")
+def q_threshold_risk(spark, sf_dir):
+    """D12 + I12: threshold by normalised station name, then risk level
+    (high / elevated within +20 / normal / unknown)."""
+    cur = curated_series(spark, sf_dir).select("station_id", "timestamp_utc", "station_name", "value")
+    out = J.threshold_join(cur, thresholds_table(spark))
+    return out.withColumn("risk_level", risk_level("value", "threshold_cm"))
+
+
+def segment_rows(n_segments: int = 12):
+    """Stand-in segments config: segment s has decision gauge STATION 7s and
+    support gauges STATION 7s+3 and STATION 7s+7 (the latter is also the
+    next segment's decision gauge, so one station sits in two segments)."""
+    rows = []
+    for s in range(n_segments):
+        rows.append((f"SEG{s:02d}", f"Segment {s}", f"STATION {7 * s}", "decision"))
+        rows.append((f"SEG{s:02d}", f"Segment {s}", f"STATION {7 * s + 3}", "support"))
+        rows.append((f"SEG{s:02d}", f"Segment {s}", f"STATION {7 * s + 7}", "support"))
+    return rows
+
+
+def segments_table(spark):
+    return spark.createDataFrame(segment_rows(), "segment_id string, segment_label string, station_name string, role string")
+
+
+SEG_SQL = "segs(segment_id, segment_label, station_name, role) AS (VALUES " + ", ".join(
+    "(" + ", ".join(_sql_val(x) for x in r) + ")" for r in segment_rows()) + ")"
+
+
+@register("segment_attach", S.with_(*BASE_SERIES_SQL, SEG_SQL, """
+per AS (SELECT upper(trim(station_name)) AS k, list_sort(list(DISTINCT segment_id)) AS segment_ids,
+               list_sort(list(DISTINCT segment_label)) AS segment_labels, bool_or(role = 'decision') AS is_decision_gauge
+        FROM segs GROUP BY 1)""") + """
+SELECT d.station_id, d.station_name, p.segment_ids, p.segment_labels, p.is_decision_gauge
+FROM (SELECT DISTINCT station_id, station_name FROM curated) d LEFT JOIN per p ON upper(trim(d.station_name)) = p.k""")
+def q_segment_attach(spark, sf_dir):
+    """Per station, sorted segment ids / labels and the decision flag
+    (a station may belong to several segments)."""
+    st = curated_series(spark, sf_dir).select("station_id", "station_name").distinct()
+    return J.attach_segments(st, segments_table(spark))
+
+
+@register("segment_agg", S.with_(*BASE_SERIES_SQL, SEG_SQL) + f"""
+SELECT s.segment_id, c.timestamp_utc, min(c.value) AS min_value, max(c.value) AS max_value,
+       {S.rnd('avg(c.value)')} AS avg_value, count(c.value) AS value_count
+FROM curated c JOIN segs s ON c.station_name = s.station_name GROUP BY s.segment_id, c.timestamp_utc""")
+def q_segment_agg(spark, sf_dir):
+    """Min / max / avg / count of gauge values per (segment, time)."""
+    from .operators.aggs import segment_agg
+    seg = F.broadcast(segments_table(spark).select("segment_id", "station_name"))
+    j = curated_series(spark, sf_dir).join(seg, "station_name", "inner")
+    return r6(segment_agg(j, ["segment_id", "timestamp_utc"], "value"), ["avg_value"])
