@@ -746,3 +746,159 @@ def q_segment_agg(spark, sf_dir):
     seg = F.broadcast(segments_table(spark).select("segment_id", "station_name"))
     j = curated_series(spark, sf_dir).join(seg, "station_name", "inner")
     return r6(segment_agg(j, ["segment_id", "timestamp_utc"], "value"), ["avg_value"])
+
+
+# --------------------------------------------------------------------------- E: aggregations
+
+from .operators import aggs as AG  # noqa: E402
+
+WX_MEAS_SQL = ", ".join(MEASURES)
+
+
+@register("coverage", S.with_(*BASE_SERIES_SQL, S.GAUGE_FEATURES) + "SELECT count(*) AS total_rows, "
+          + ", ".join(f"count({c}) AS {c}_non_null" for c in ["lag_1", "lag_3", "lag_6", "rolling_std_3", "rolling_max_6"])
+          + " FROM gf")
+def q_coverage(spark, sf_dir):
+    """Total rows and non-null count per feature column."""
+    return AG.coverage(PF.gauge_features(curated_series(spark, sf_dir)),
+                       ["lag_1", "lag_3", "lag_6", "rolling_std_3", "rolling_max_6"])
+
+
+@register("coverage_by", S.with_(*WX_SQL) + "SELECT dwd_station_id, count(*) AS total_rows, "
+          + ", ".join(f"count({m}) AS {m}_non_null" for m in MEASURES) + " FROM wx GROUP BY dwd_station_id")
+def q_coverage_by(spark, sf_dir):
+    """Coverage per weather station (present ordered by size)."""
+    return AG.coverage(hourly_weather(spark, sf_dir), list(MEASURES), ["dwd_station_id"])
+
+
+@register("coalesce_by_key", S.with_(S.raw_weather()) + "SELECT dwd_station_id, timestamp_utc, "
+          + ", ".join(f"arg_min({m}, ingestion_ts_utc) FILTER (WHERE {m} IS NOT NULL) AS {m}" for m in MEASURES)
+          + ", arg_max(source_record_hash, ingestion_ts_utc) AS source_record_hash FROM raw_wx GROUP BY 1, 2")
+def q_coalesce_by_key(spark, sf_dir):
+    """Per (station, hour): first non-null value of each measure in
+    ingestion order; lineage (hash) from the last row."""
+    return AG.coalesce_by_key(T.raw_weather(spark, sf_dir), ["dwd_station_id", "timestamp_utc"], list(MEASURES),
+                              "ingestion_ts_utc", ["source_record_hash"])
+
+
+OBS_COV_SQL = ("SELECT dwd_station_id, count(*) AS rows, min(timestamp_utc) AS first_ts, max(timestamp_utc) AS last_ts, "
+               + ", ".join(f"{S.rnd(f'avg(CASE WHEN {m} IS NOT NULL THEN 1.0 ELSE 0.0 END)')} AS {m}_ratio" for m in MEASURES)
+               + ", " + S.rnd("avg(CASE WHEN " + " AND ".join(f"{m} IS NOT NULL" for m in MEASURES) + " THEN 1.0 ELSE 0.0 END)")
+               + " AS all_measures_ratio FROM wx GROUP BY dwd_station_id")
+
+
+@register("observed_coverage", S.with_(*WX_SQL) + OBS_COV_SQL)
+def q_observed_coverage(spark, sf_dir):
+    """Rows, time span and non-null ratios per weather station."""
+    out = AG.observed_coverage(hourly_weather(spark, sf_dir), "dwd_station_id", "timestamp_utc", list(MEASURES))
+    return r6(out, [f"{m}_ratio" for m in MEASURES] + ["all_measures_ratio"])
+
+
+def gap_sql(src: str, phase: str) -> str:
+    anyg = " OR ".join(f"{m} IS NULL" for m in MEASURES)
+    return (f"SELECT '{phase}' AS phase, dwd_station_id, count(*) AS rows, "
+            + ", ".join(f"count(*) FILTER (WHERE {m} IS NULL) AS {m}_missing" for m in MEASURES)
+            + f", count(*) FILTER (WHERE {anyg}) AS rows_with_any_gap, count(*) FILTER (WHERE NOT ({anyg})) AS complete_rows, "
+            + ", ".join(f"{S.rnd(f'(count(*) FILTER (WHERE {m} IS NULL)) / count(*)')} AS {m}_missing_ratio" for m in MEASURES)
+            + f" FROM {src} GROUP BY dwd_station_id")
+
+
+GAP_RATIOS = [f"{m}_missing_ratio" for m in MEASURES]
+
+
+@register("gap_summary", S.with_(*WX_SQL) + gap_sql("wx", "before_fill"))
+def q_gap_summary(spark, sf_dir):
+    """Per station missing counts / ratios, rows with any gap, complete rows."""
+    return r6(AG.gap_summary(hourly_weather(spark, sf_dir), "dwd_station_id", list(MEASURES), "before_fill"), GAP_RATIOS)
+
+
+@register("gap_totals", S.with_(*WX_SQL) + "SELECT count(DISTINCT dwd_station_id) AS stations, "
+          + ", ".join(f"sum({c}) AS total_{c}" for c in ["rows", *[f"{m}_missing" for m in MEASURES], "rows_with_any_gap", "complete_rows"])
+          + " FROM (" + gap_sql("wx", "x") + ")")
+def q_gap_totals(spark, sf_dir):
+    """Global sums over the per-station gap summary."""
+    g = AG.gap_summary(hourly_weather(spark, sf_dir), "dwd_station_id", list(MEASURES), "x")
+    return AG.gap_totals(g, "dwd_station_id", list(MEASURES))
+
+
+FAMILIES = {"air_temperature": "temperature_c", "precipitation": "precipitation_mm", "wind": "wind_speed_ms",
+            "pressure": "pressure_hpa"}
+
+
+def _family_rows(spark, sf_dir):
+    """(station, family) reported pairs: a family counts for a station when
+    at least 70 % of its hours have a value."""
+    cov = AG.observed_coverage(hourly_weather(spark, sf_dir), "dwd_station_id", "timestamp_utc", list(MEASURES))
+    st = F.explode(F.array(*[F.struct(F.lit(f).alias("family"), F.col(f"{c}_ratio").alias("r")) for f, c in FAMILIES.items()]))
+    return cov.select("dwd_station_id", st.alias("_f")).where(F.col("_f.r") >= 0.7).select("dwd_station_id", "_f.family")
+
+
+FAMILY_SQL = "fam AS (" + " UNION ALL ".join(
+    f"SELECT dwd_station_id, '{f}' AS family FROM ({OBS_COV_SQL}) WHERE {c}_ratio >= 0.7" for f, c in FAMILIES.items()) + ")"
+
+
+@register("variable_map", S.with_(*WX_SQL, FAMILY_SQL) + "SELECT dwd_station_id, list_sort(list(DISTINCT family)) AS families, "
+          "CAST(count(DISTINCT family) AS INTEGER) AS family_count, "
+          + ", ".join(f"list_contains(list(DISTINCT family), '{f}') AS has_{f}" for f in FAMILIES)
+          + " FROM fam GROUP BY dwd_station_id")
+def q_variable_map(spark, sf_dir):
+    """Station -> sorted families, count and has_x flags."""
+    return AG.variable_map(_family_rows(spark, sf_dir), "dwd_station_id", "family", list(FAMILIES))
+
+
+@register("station_status", S.with_(*WX_SQL) + "SELECT *, CASE WHEN temperature_c_ratio IS NULL THEN 'drop' "
+          "WHEN temperature_c_ratio >= 0.8 THEN 'core' WHEN temperature_c_ratio >= 0.4 THEN 'partial' ELSE 'drop' END AS status "
+          "FROM (" + OBS_COV_SQL + ")")
+def q_station_status(spark, sf_dir):
+    """Core / partial / drop from the coverage ratio."""
+    cov = AG.observed_coverage(hourly_weather(spark, sf_dir), "dwd_station_id", "timestamp_utc", list(MEASURES))
+    return AG.station_status(r6(cov, [f"{m}_ratio" for m in MEASURES] + ["all_measures_ratio"]), "temperature_c_ratio")
+
+
+def _mode_sql(col: str, src: str, key: str) -> str:
+    return (f"(SELECT {key}, {col} AS {col}_mode FROM (SELECT {key}, {col}, count(*) AS n FROM {src} WHERE {col} IS NOT NULL "
+            f"GROUP BY 1, 2) QUALIFY row_number() OVER (PARTITION BY {key} ORDER BY n DESC, {col} ASC) = 1)")
+
+
+@register("station_snapshot", S.with_(*BASE_SERIES_SQL) + f"""
+SELECT a.*, m1.source_mode, m2.unit_mode FROM (
+  SELECT station_id, min(timestamp_utc) AS first_ts, max(timestamp_utc) AS last_ts, count(timestamp_utc) AS ts_count,
+         {S.rnd('avg(value)')} AS value_mean, {S.rnd('stddev_samp(value)')} AS value_std, min(value) AS value_min,
+         max(value) AS value_max, count(DISTINCT CAST(timestamp_utc AS DATE)) AS coverage_days,
+         max(value) - min(value) AS value_range, {S.rnd('median(value)')} AS value_median
+  FROM curated GROUP BY station_id) a
+LEFT JOIN {_mode_sql('source', 'curated', 'station_id')} m1 ON a.station_id = m1.station_id
+LEFT JOIN {_mode_sql('unit', 'curated', 'station_id')} m2 ON a.station_id = m2.station_id""")
+def q_station_snapshot(spark, sf_dir):
+    """Per station: value statistics incl. exact median, time span,
+    covered days and the most frequent source / unit (lowest on tie)."""
+    out = AG.station_snapshot(curated_series(spark, sf_dir), "station_id", "timestamp_utc", "value", ["source", "unit"])
+    return r6(out, ["value_mean", "value_std", "value_median"])
+
+
+@register("station_profile", S.with_(*WX_SQL) + "SELECT dwd_station_id, " + ", ".join(
+    f"{S.rnd(f'avg({c})')} AS {c}_mean, {S.rnd(f'stddev_samp({c})')} AS {c}_std, min({c}) AS {c}_min, "
+    f"max({c}) AS {c}_max, {S.rnd(f'median({c})')} AS {c}_median" for c in ("temperature_c", "pressure_hpa"))
+    + " FROM wx GROUP BY dwd_station_id")
+def q_station_profile(spark, sf_dir):
+    """Mean, std, min, max and exact median per measure and station."""
+    cols = ["temperature_c", "pressure_hpa"]
+    out = AG.station_profile(hourly_weather(spark, sf_dir), "dwd_station_id", cols)
+    return r6(out, [f"{c}_{s}" for c in cols for s in ("mean", "std", "median")])
+
+
+@register("infer_step", S.with_(*BASE_SERIES_SQL) + """
+SELECT median(d) AS step_hours FROM (
+  SELECT (epoch_us(timestamp_utc) - epoch_us(lag(timestamp_utc) OVER (PARTITION BY station_id ORDER BY timestamp_utc))) / 3.6e9 AS d
+  FROM curated) WHERE d IS NOT NULL""")
+def q_infer_step(spark, sf_dir):
+    """Median step between consecutive rows of each series (hours)."""
+    return AG.infer_step_hours(curated_series(spark, sf_dir), ["station_id"], "timestamp_utc")
+
+
+@register("null_profile", S.with_(*WX_SQL) + "SELECT * FROM (" + " UNION ALL ".join(
+    f"SELECT '{m}' AS column_name, {S.rnd(f'avg(CASE WHEN {m} IS NULL THEN 1.0 ELSE 0.0 END)')} AS null_fraction FROM wx"
+    for m in MEASURES) + ")")
+def q_null_profile(spark, sf_dir):
+    """Null share per column, long form."""
+    return r6(AG.null_profile(hourly_weather(spark, sf_dir), list(MEASURES)), ["null_fraction"])
