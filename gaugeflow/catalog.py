@@ -902,3 +902,116 @@ def q_infer_step(spark, sf_dir):
 def q_null_profile(spark, sf_dir):
     """Null share per column, long form."""
     return r6(AG.null_profile(hourly_weather(spark, sf_dir), list(MEASURES)), ["null_fraction"])
+
+
+# --------------------------------------------------------------------------- E15-E19: metrics
+
+from .operators import metrics as MT  # noqa: E402
+
+EVALS_SQL = S.with_(ACTUALS_SQL, THRESH_SQL, """
+ev AS (
+  SELECT CAST(o.o_orderkey AS VARCHAR) AS run_id, 'M' || CAST(o.o_orderkey % 3 AS VARCHAR) AS model_version,
+         'STATION ' || CAST(o.o_custkey % 40 AS VARCHAR) AS station_name, o.o_orderdate AS forecast_timestamp_utc,
+         o.o_orderdate + INTERVAL 1 DAY AS evaluated_at_utc,
+         o.o_totalprice / 1999.0 AS prediction, a.actual_value / 1999.0 AS actual_value
+  FROM orders o LEFT JOIN act a ON o.o_orderkey = a.o_orderkey),
+evt AS (SELECT ev.*, t.threshold_cm AS threshold FROM ev LEFT JOIN thr t ON ev.station_name = t.station_name),
+ok AS (SELECT *, actual_value - prediction AS error, abs(actual_value - prediction) AS absolute_error,
+              (actual_value - prediction) * (actual_value - prediction) AS squared_error,
+              CASE WHEN abs(actual_value) > 1e-9 THEN abs(actual_value - prediction) / abs(actual_value) END AS ape
+       FROM evt WHERE actual_value IS NOT NULL AND prediction IS NOT NULL)""")
+
+
+def evaluations(spark, sf_dir):
+    """Prediction/actual rows (FIXTURES §6) from orders vs their line sums."""
+    o = T.table(spark, sf_dir, "orders")
+    ev = o.join(order_actuals(spark, sf_dir), "o_orderkey", "left").select(
+        F.col("o_orderkey").cast("string").alias("run_id"),
+        F.concat(F.lit("M"), (F.col("o_orderkey") % 3).cast("string")).alias("model_version"),
+        F.concat(F.lit("STATION "), (F.col("o_custkey") % 40).cast("string")).alias("station_name"),
+        F.col("o_orderdate").alias("forecast_timestamp_utc"),
+        (F.col("o_orderdate") + F.expr("INTERVAL 1 DAY")).alias("evaluated_at_utc"),
+        (F.col("o_totalprice") / 1999.0).alias("prediction"), (F.col("actual_value") / 1999.0).alias("actual_value"))
+    thr = thresholds_table(spark).withColumnRenamed("threshold_cm", "threshold")
+    return ev.join(F.broadcast(thr), "station_name", "left")
+
+
+def _reg_sql(by: str) -> str:
+    sel = f"{by}, " if by else ""
+    grp = f" GROUP BY {by}" if by else ""
+    return (f"SELECT {sel}count(*) AS rows_evaluated, {S.rnd('avg(absolute_error)')} AS mae, "
+            f"{S.rnd('sqrt(avg(squared_error))')} AS rmse, {S.rnd('avg(error)')} AS bias, {S.rnd('avg(ape)')} AS mape, "
+            f"{S.rnd('quantile_cont(absolute_error, 0.9)')} AS p90_abs_error FROM ok{grp}")
+
+
+REG_ROUND = ["mae", "rmse", "bias", "mape", "p90_abs_error"]
+
+
+@register("regression_metrics", EVALS_SQL + _reg_sql(""))
+def q_regression_metrics(spark, sf_dir):
+    """Rows, MAE, RMSE, bias, MAPE and exact p90 |error|, global."""
+    return r6(MT.regression_metrics(evaluations(spark, sf_dir)), REG_ROUND)
+
+
+def _event_sql(by: str) -> str:
+    sel = f"{by}, " if by else ""
+    grp = f" GROUP BY {by}" if by else ""
+    inner = (f"SELECT {sel}count(*) AS event_rows, "
+             "count(*) FILTER (WHERE actual_value <= threshold AND prediction <= threshold) AS tp, "
+             "count(*) FILTER (WHERE NOT actual_value <= threshold AND prediction <= threshold) AS fp, "
+             "count(*) FILTER (WHERE actual_value <= threshold AND NOT prediction <= threshold) AS fn "
+             f"FROM ok WHERE threshold IS NOT NULL{grp}")
+    p = "CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0.0 END"
+    r = "CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0.0 END"
+    return (f"SELECT *, CASE WHEN event_rows = 0 THEN NULL WHEN ep + er > 0 THEN 2 * ep * er / (ep + er) ELSE 0.0 END AS event_f1 "
+            f"FROM (SELECT * EXCLUDE (ep, er), CASE WHEN event_rows > 0 THEN ep END AS event_precision, "
+            f"CASE WHEN event_rows > 0 THEN er END AS event_recall, ep, er FROM (SELECT *, {p} AS ep, {r} AS er FROM ({inner})))")
+
+
+EV_ROUND = ["event_precision", "event_recall", "event_f1"]
+
+
+@register("event_metrics", EVALS_SQL + "SELECT model_version, event_rows, tp, fp, fn, " + ", ".join(
+    f"{S.rnd(c)} AS {c}" for c in EV_ROUND) + " FROM (" + _event_sql("model_version") + ")")
+def q_event_metrics(spark, sf_dir):
+    """Low-water event tp/fp/fn, precision, recall, F1 per model."""
+    return r6(MT.event_metrics(evaluations(spark, sf_dir), ["model_version"]), EV_ROUND)
+
+
+@register("station_metrics", EVALS_SQL + "SELECT r.*, " + ", ".join(
+    f"{S.rnd('e.' + c)} AS {c}" for c in EV_ROUND) + ", e.event_rows FROM (" + _reg_sql("station_name")
+    + ") r LEFT JOIN (" + _event_sql("station_name") + ") e ON r.station_name = e.station_name")
+def q_station_metrics(spark, sf_dir):
+    """Regression + event metrics per station."""
+    return r6(MT.station_metrics(evaluations(spark, sf_dir)), REG_ROUND + EV_ROUND)
+
+
+@register("served_metrics", EVALS_SQL + f"""
+SELECT station_name, count(*) AS n, {S.rnd('avg(abs(error))')} AS mae, {S.rnd('sqrt(avg(error * error))')} AS rmse,
+       {S.rnd('avg(error)')} AS bias, max(evaluated_at_utc) AS last_evaluated_at_utc
+FROM (SELECT *, actual_value - prediction AS error FROM evt)
+WHERE evaluated_at_utc >= TIMESTAMP '2001-08-02 00:00:00' - INTERVAL 365 DAY GROUP BY station_name""")
+def q_served_metrics(spark, sf_dir):
+    """Per-station metrics over the last 365 days before a fixed now."""
+    ev = MT.with_errors(evaluations(spark, sf_dir))
+    return r6(MT.served_metrics(ev, "2001-08-02 00:00:00", 365), ["mae", "rmse", "bias"])
+
+
+@register("model_eval", EVALS_SQL + f"""
+SELECT t.model_version, t.mae, t.rmse, t.mbe, [x.station_name FOR x IN s.mae_by_station] AS mae_station_names,
+       [x.mae FOR x IN s.mae_by_station] AS mae_station_values FROM (
+  SELECT model_version, {S.rnd('avg(abs(prediction - actual_value))')} AS mae,
+         {S.rnd('sqrt(avg((prediction - actual_value) * (prediction - actual_value)))')} AS rmse,
+         {S.rnd('avg(prediction - actual_value)')} AS mbe FROM ok GROUP BY model_version) t
+LEFT JOIN (SELECT model_version, list_sort(list({{'station_name': station_name, 'mae': mae}})) AS mae_by_station
+           FROM (SELECT model_version, station_name, {S.rnd('avg(abs(prediction - actual_value))')} AS mae FROM ok
+                 GROUP BY 1, 2) GROUP BY model_version) s ON t.model_version = s.model_version""")
+def q_model_eval(spark, sf_dir):
+    """MAE, RMSE, MBE (= mean(pred - actual)) and the per-station MAE
+    array (returned as parallel name / value arrays)."""
+    out = MT.model_eval(evaluations(spark, sf_dir))
+    out = out.select("model_version", "mae", "rmse", "mbe",
+                     F.transform("mae_by_station", lambda x: x["station_name"]).alias("mae_station_names"),
+                     F.transform("mae_by_station", lambda x: F.round(x["mae"] * F.lit(1e6)) / F.lit(1e6))
+                      .alias("mae_station_values"))
+    return r6(out, ["mae", "rmse", "mbe"])
