@@ -1015,3 +1015,180 @@ def q_model_eval(spark, sf_dir):
                      F.transform("mae_by_station", lambda x: F.round(x["mae"] * F.lit(1e6)) / F.lit(1e6))
                       .alias("mae_station_values"))
     return r6(out, ["mae", "rmse", "mbe"])
+
+
+# --------------------------------------------------------------------------- health, data quality, monitoring
+
+NOW = "2001-08-02 00:00:00"
+
+DQ_SQL = """
+dqm AS (
+  SELECT CAST(l_orderkey % 400 AS VARCHAR) AS run_id, 'metric_' || CAST(l_linenumber AS VARCHAR) AS metric_name,
+         CASE l_returnflag WHEN 'A' THEN 'PASS' WHEN 'N' THEN 'pass' ELSE 'Failed' END AS status,
+         l_shipdate AS measured_at_utc
+  FROM lineitem)"""
+
+
+def dq_metrics_table(spark, sf_dir):
+    """Data-quality metric rows (FIXTURES §7) from ``lineitem``."""
+    li = T.table(spark, sf_dir, "lineitem")
+    return li.select((F.col("l_orderkey") % 400).cast("string").alias("run_id"),
+                     F.concat(F.lit("metric_"), F.col("l_linenumber").cast("string")).alias("metric_name"),
+                     F.when(F.col("l_returnflag") == "A", "PASS").when(F.col("l_returnflag") == "N", "pass")
+                      .otherwise("Failed").alias("status"),
+                     F.col("l_shipdate").alias("measured_at_utc"))
+
+
+@register("daily_health", S.with_(RUNS_SQL) + f"""
+SELECT CAST(started_at_utc AS DATE) AS execution_date, count(*) AS total_runs,
+       count(*) FILTER (WHERE lower(status) IN ('success', 'succeeded', 'ok', 'pass')) AS successful_runs,
+       count(*) FILTER (WHERE lower(status) IN ('failed', 'failure', 'error')) AS failed_runs,
+       {S.rnd('avg(duration_seconds)')} AS average_duration_seconds, max(rows_ingested) AS maximum_rows_ingested,
+       max(rows_predicted) AS maximum_rows_predicted, max(stations_processed) AS maximum_stations_processed
+FROM (SELECT * REPLACE (CASE status WHEN 'F' THEN 'FAILED' WHEN 'O' THEN 'Success' ELSE 'running' END AS status) FROM runs)
+GROUP BY 1""")
+def q_daily_health(spark, sf_dir):
+    """Per day run counts by status vocabulary, avg duration, maxima."""
+    r = runs_table(spark, sf_dir).withColumn(
+        "status", F.when(F.col("status") == "F", "FAILED").when(F.col("status") == "O", "Success").otherwise("running"))
+    return r6(HL.daily_health(r), ["average_duration_seconds"])
+
+
+@register("run_quality_summary", S.with_(DQ_SQL) + """
+SELECT run_id, count(*) AS metric_count,
+       count(*) FILTER (WHERE lower(status) IN ('pass', 'passed', 'success', 'ok')) AS passed_metrics,
+       count(*) FILTER (WHERE lower(status) IN ('fail', 'failed', 'failure', 'error')) AS failed_metrics,
+       list_sort(coalesce(list(metric_name) FILTER (WHERE lower(status) IN ('fail', 'failed', 'failure', 'error')), [])) AS failed_metric_names,
+       max(measured_at_utc) AS last_measured_at_utc
+FROM dqm GROUP BY run_id""")
+def q_run_quality_summary(spark, sf_dir):
+    """E5: per run metric counts, pass/fail counts, sorted failed names."""
+    return HL.run_quality_summary(dq_metrics_table(spark, sf_dir))
+
+
+@register("dq_verdict", S.with_(DQ_SQL) + """
+SELECT run_id, NOT bool_or(lower(status) <> 'pass') AS passed,
+       list_sort(coalesce(list(metric_name) FILTER (WHERE lower(status) <> 'pass'), [])) AS failed_metrics
+FROM dqm GROUP BY run_id""")
+def q_dq_verdict(spark, sf_dir):
+    """A run passes when every metric passed; sorted failures."""
+    return HL.dq_verdict(dq_metrics_table(spark, sf_dir))
+
+
+SPLIT_FRAME_SQL = S.with_(*BASE_SERIES_SQL, """
+sup AS (SELECT *, CASE WHEN timestamp_utc < TIMESTAMP '2024-01-20' THEN 'train' ELSE 'test' END AS split_name,
+               lead(value, 24) OVER (PARTITION BY station_name, timeseries_name ORDER BY timestamp_utc) AS target_value_t_plus_24h
+        FROM curated)""")
+
+
+def split_frame(spark, sf_dir):
+    cur = curated_series(spark, sf_dir)
+    sup = W.add_leads(cur, "value", [24], GKEYS, ["timestamp_utc"], prefix="target_value_t_plus_", chunk_rows=None)
+    sup = sup.withColumnRenamed("target_value_t_plus_24", "target_value_t_plus_24h")
+    return sup.withColumn("split_name", F.when(F.col("timestamp_utc") < F.lit("2024-01-20").cast("timestamp_ntz"), "train")
+                          .otherwise("test"))
+
+
+@register("dq_training_input", SPLIT_FRAME_SQL + f"""
+, a AS (SELECT count(*) AS n, count(*) FILTER (WHERE target_value_t_plus_24h IS NULL OR value IS NULL) AS bad,
+               max(timestamp_utc) AS mx FROM sup WHERE split_name = 'train')
+SELECT 'run' AS run_id, m.metric_name, 'training_input' AS metric_scope, {S.rnd('m.metric_value')} AS metric_value,
+       CAST(m.threshold_value AS DOUBLE) AS threshold_value, CASE WHEN m.ok THEN 'pass' ELSE 'fail' END AS status,
+       TIMESTAMP '2024-01-25 00:00:00' AS measured_at_utc,
+       '{{"split_name":"train","rows":' || CAST(n AS VARCHAR) || ',"incomplete_rows":' || CAST(bad AS VARCHAR) || '}}' AS details_json
+FROM a, LATERAL (VALUES
+  ('training_row_count', CAST(n AS DOUBLE), 1000.0, n >= 1000),
+  ('training_missing_fraction', CASE WHEN n = 0 THEN 1.0 ELSE bad / n END, 0.2, CASE WHEN n = 0 THEN 1.0 ELSE bad / n END <= 0.2),
+  ('training_input_age_hours', (epoch_us(TIMESTAMP '2024-01-25 00:00:00') - epoch_us(mx)) / 3.6e9, 72.0,
+   coalesce((epoch_us(TIMESTAMP '2024-01-25 00:00:00') - epoch_us(mx)) / 3.6e9 <= 72.0, false))
+) m(metric_name, metric_value, threshold_value, ok)""")
+def q_dq_training_input(spark, sf_dir):
+    """Training-input DQ metrics (rows, missing fraction, age) as rows."""
+    out = HL.dq_training_input(split_frame(spark, sf_dir), "train", ["target_value_t_plus_24h", "value"],
+                               "timestamp_utc", "2024-01-25 00:00:00")
+    return r6(out, ["metric_value"])
+
+
+@register("dq_predictions", EVALS_SQL + """
+, a AS (SELECT count(*) AS n, count(DISTINCT station_name) AS stations, count(DISTINCT model_version) AS models FROM ev)
+SELECT 'run' AS run_id, m.metric_name, 'predictions' AS metric_scope, m.metric_value,
+       CAST(m.threshold_value AS DOUBLE) AS threshold_value,
+       CASE WHEN m.ok THEN 'pass' ELSE 'fail' END AS status, TIMESTAMP '2001-08-02 00:00:00' AS measured_at_utc,
+       '{"rows":' || CAST(n AS VARCHAR) || ',"stations":' || CAST(stations AS VARCHAR) || ',"models":' || CAST(models AS VARCHAR) || '}' AS details_json
+FROM a, LATERAL (VALUES
+  ('prediction_row_count', CAST(n AS DOUBLE), 19.0, n >= 19),
+  ('prediction_station_count', CAST(stations AS DOUBLE), 1.0, stations >= 1),
+  ('prediction_model_versions', CAST(models AS DOUBLE), 1.0, models = 1)) m(metric_name, metric_value, threshold_value, ok)""")
+def q_dq_predictions(spark, sf_dir):
+    """Prediction DQ metrics (rows >= 19, stations >= 1, one model)."""
+    return HL.dq_predictions(evaluations(spark, sf_dir), "run", NOW)
+
+
+@register("freshness", S.with_(*WX_SQL) + f"""
+SELECT max(timestamp_utc) AS latest_complete_ts,
+       (epoch_us(TIMESTAMP '2024-01-31 12:00:00') - epoch_us(max(timestamp_utc))) / 3.6e9 AS age_hours,
+       coalesce((epoch_us(TIMESTAMP '2024-01-31 12:00:00') - epoch_us(max(timestamp_utc))) / 3.6e9 <= 26.0, false) AS is_fresh
+FROM wx WHERE {' AND '.join(f'{m} IS NOT NULL' for m in MEASURES)}""")
+def q_freshness(spark, sf_dir):
+    """Newest complete weather hour, its age and the freshness verdict."""
+    return HL.freshness(hourly_weather(spark, sf_dir), "timestamp_utc", list(MEASURES), "2024-01-31 12:00:00", 26.0)
+
+
+STAGES_SQL = """
+stg AS (SELECT o_orderpriority AS stage_name, CASE o_orderstatus WHEN 'F' THEN 'failed' ELSE 'success' END AS status,
+               o_orderdate AS started_at_utc, o_orderkey AS event_id FROM orders)"""
+
+
+def stages_table(spark, sf_dir):
+    o = T.table(spark, sf_dir, "orders")
+    return o.select(F.col("o_orderpriority").alias("stage_name"),
+                    F.when(F.col("o_orderstatus") == "F", "failed").otherwise("success").alias("status"),
+                    F.col("o_orderdate").alias("started_at_utc"), F.col("o_orderkey").alias("event_id"))
+
+
+def _watchdog_sql() -> str:
+    hb = lambda c: f"(epoch_us(TIMESTAMP '{NOW}') - epoch_us({c})) / 3.6e9"
+    return S.with_(RUNS_SQL, DQ_SQL, STAGES_SQL, EVALS_SQL[len("WITH "):].rstrip().rstrip(",")) + f"""
+, r AS (SELECT * FROM runs ORDER BY started_at_utc DESC, run_id DESC, job_type DESC, status DESC, ended_at_utc DESC,
+        duration_seconds DESC, rows_ingested DESC, rows_predicted DESC, stations_processed DESC LIMIT 1)
+, q AS (SELECT run_id, count(*) FILTER (WHERE lower(status) IN ('fail', 'failed', 'failure', 'error')) AS failed_metrics,
+               list_sort(coalesce(list(metric_name) FILTER (WHERE lower(status) IN ('fail', 'failed', 'failure', 'error')), [])) AS names,
+               max(measured_at_utc) AS last_m FROM dqm GROUP BY run_id)
+, q1 AS (SELECT * FROM q ORDER BY last_m DESC, run_id DESC LIMIT 1)
+, s AS (SELECT * FROM stg QUALIFY row_number() OVER (PARTITION BY stage_name ORDER BY started_at_utc DESC, stage_name DESC, status DESC, event_id DESC) = 1)
+SELECT 'pipeline_run' AS check_name,
+       CASE WHEN lower(status) IN ('success', 'succeeded', 'ok', 'pass') AND {hb('started_at_utc')} <= 26.0 THEN 'ok' ELSE 'fail' END AS status,
+       status AS detail, {hb('started_at_utc')} AS value FROM r
+UNION ALL
+SELECT 'data_quality', CASE WHEN failed_metrics = 0 THEN 'ok' ELSE 'fail' END, array_to_string(names, ','),
+       CAST(failed_metrics AS DOUBLE) FROM q1
+UNION ALL
+SELECT 'stages', CASE WHEN count(*) FILTER (WHERE lower(status) IN ('failed', 'failure', 'error')) = 0 THEN 'ok' ELSE 'warn' END,
+       CAST(count(*) FILTER (WHERE lower(status) IN ('failed', 'failure', 'error')) AS VARCHAR) || '/' || CAST(count(*) AS VARCHAR),
+       CAST(count(*) FILTER (WHERE lower(status) IN ('failed', 'failure', 'error')) AS DOUBLE) FROM s
+UNION ALL
+SELECT 'evaluation_freshness', CASE WHEN {hb('max(evaluated_at_utc)')} <= 50.0 THEN 'ok' ELSE 'fail' END,
+       strftime(max(evaluated_at_utc), '%Y-%m-%d %H:%M:%S'), {hb('max(evaluated_at_utc)')} FROM ev"""
+
+
+def watchdog_frame(spark, sf_dir):
+    runs = runs_table(spark, sf_dir)
+    cols = ["started_at_utc", "run_id", "job_type", "status", "ended_at_utc", "duration_seconds", "rows_ingested",
+            "rows_predicted", "stations_processed"]
+    st = stages_table(spark, sf_dir).select("started_at_utc", "stage_name", "status", "event_id")
+    return HL.watchdog(runs.select(*cols), dq_metrics_table(spark, sf_dir), st, evaluations(spark, sf_dir), NOW)
+
+
+@register("watchdog", _watchdog_sql())
+def q_watchdog(spark, sf_dir):
+    """Pipeline-run, data-quality, stage and evaluation-freshness checks."""
+    return watchdog_frame(spark, sf_dir)
+
+
+@register("system_status", "SELECT count(*) AS checks, count(*) FILTER (WHERE status = 'ok') AS ok_checks, "
+          "list_sort(coalesce(list(check_name) FILTER (WHERE status <> 'ok'), [])) AS not_ok, "
+          "CASE WHEN count(*) = 0 THEN 'unknown' WHEN count(*) FILTER (WHERE status <> 'ok') = 0 THEN 'ok' ELSE 'degraded' END AS overall "
+          "FROM (" + _watchdog_sql() + ")")
+def q_system_status(spark, sf_dir):
+    """Roll the watchdog checks up to ok / degraded / unknown."""
+    return HL.system_status(watchdog_frame(spark, sf_dir))
