@@ -1192,3 +1192,152 @@ def q_watchdog(spark, sf_dir):
 def q_system_status(spark, sf_dir):
     """Roll the watchdog checks up to ok / degraded / unknown."""
     return HL.system_status(watchdog_frame(spark, sf_dir))
+
+
+# --------------------------------------------------------------------------- splits, folds, baselines, filters
+
+from .operators import splits as SP  # noqa: E402
+from .ml import baselines as BL  # noqa: E402
+
+SPLIT_COLS = ["station_id", "station_name", "timeseries_name", "timestamp_utc", "value", "target_value_t_plus_24h",
+              "split_name", "gap_reason", "train_end_utc", "validation_start_utc", "validation_end_utc", "test_start_utc"]
+
+
+@register("time_splits", SPLIT_FRAME_SQL + """
+, labeled AS (SELECT * FROM sup WHERE target_value_t_plus_24h IS NOT NULL AND timestamp_utc IS NOT NULL)
+, tl AS (SELECT timestamp_utc, row_number() OVER (ORDER BY timestamp_utc) AS rn, count(*) OVER () AS n
+         FROM (SELECT DISTINCT timestamp_utc FROM labeled))
+, cut AS (SELECT min(CASE WHEN rn >= greatest(floor(n * 0.7 + 0.5), 1) THEN timestamp_utc END) AS train_end_utc,
+                 min(CASE WHEN rn >= greatest(floor(n * 0.85 + 0.5), 1) THEN timestamp_utc END) AS validation_end_utc FROM tl)
+, b AS (SELECT train_end_utc, train_end_utc + INTERVAL 24 HOUR AS validation_start_utc, validation_end_utc,
+               validation_end_utc + INTERVAL 24 HOUR AS test_start_utc FROM cut)
+, lab AS (SELECT l.*, b.*,
+            CASE WHEN l.timestamp_utc < b.train_end_utc THEN 'train'
+                 WHEN l.timestamp_utc >= b.validation_start_utc AND l.timestamp_utc < b.validation_end_utc THEN 'validation'
+                 WHEN l.timestamp_utc >= b.test_start_utc THEN 'test' ELSE 'gap' END AS split_name2,
+            CASE WHEN l.timestamp_utc >= b.train_end_utc AND l.timestamp_utc < b.validation_start_utc THEN 'train_validation_gap'
+                 WHEN l.timestamp_utc >= b.validation_end_utc AND l.timestamp_utc < b.test_start_utc THEN 'validation_test_gap'
+            END AS gap_reason
+          FROM labeled l CROSS JOIN b)
+, prod AS (SELECT a.*, b.*, 'production' AS split_name2, CAST(NULL AS VARCHAR) AS gap_reason
+           FROM sup a CROSS JOIN b WHERE a.timestamp_utc >= b.test_start_utc AND a.value IS NOT NULL
+           QUALIFY row_number() OVER (PARTITION BY a.station_name, a.timeseries_name ORDER BY a.timestamp_utc DESC) = 1)
+SELECT station_id, station_name, timeseries_name, timestamp_utc, value, target_value_t_plus_24h, split_name2 AS split_name,
+       gap_reason, train_end_utc, validation_start_utc, validation_end_utc, test_start_utc FROM lab
+UNION ALL
+SELECT station_id, station_name, timeseries_name, timestamp_utc, value, target_value_t_plus_24h, split_name2,
+       gap_reason, train_end_utc, validation_start_utc, validation_end_utc, test_start_utc FROM prod""")
+def q_time_splits(spark, sf_dir):
+    """L8 (+E27 cutoffs via global ranking, D7 one-row boundaries, F10
+    production rows): 70/15/15 time split with 24 h gaps."""
+    out = SP.time_splits(split_frame(spark, sf_dir).drop("split_name"), "target_value_t_plus_24h",
+                         gap_hours=24, production_required=["value"])
+    return out.select(*SPLIT_COLS)
+
+
+@register("split_cutoffs", SPLIT_FRAME_SQL + """
+, tl AS (SELECT timestamp_utc, row_number() OVER (ORDER BY timestamp_utc) AS rn, count(*) OVER () AS n
+         FROM (SELECT DISTINCT timestamp_utc FROM sup WHERE target_value_t_plus_24h IS NOT NULL))
+SELECT min(CASE WHEN rn >= greatest(floor(n * 0.5 + 0.5), 1) THEN timestamp_utc END) AS p50_utc,
+       min(CASE WHEN rn >= greatest(floor(n * 0.7 + 0.5), 1) THEN timestamp_utc END) AS p70_utc,
+       min(CASE WHEN rn >= greatest(floor(n * 0.85 + 0.5), 1) THEN timestamp_utc END) AS p85_utc FROM tl""")
+def q_split_cutoffs(spark, sf_dir):
+    """Smallest distinct timestamp with rank >= round(n * f)."""
+    lab = split_frame(spark, sf_dir).where(F.col("target_value_t_plus_24h").isNotNull())
+    return SP.split_cutoffs(lab, "timestamp_utc", [0.5, 0.7, 0.85], ["p50_utc", "p70_utc", "p85_utc"])
+
+
+FOLD_SQL = SPLIT_FRAME_SQL + """
+, span AS (SELECT min(timestamp_utc) + INTERVAL 10 DAY AS o1, max(timestamp_utc) AS last FROM sup)
+, origins AS (SELECT row_number() OVER (ORDER BY o) AS k, o AS forecast_origin_utc
+              FROM span, LATERAL (SELECT unnest(generate_series(o1, last - INTERVAL 24 HOUR, INTERVAL 5 DAY)) AS o)
+              WHERE o1 + INTERVAL 24 HOUR <= last)
+, per AS (SELECT k, forecast_origin_utc,
+                 (SELECT count(*) FROM sup WHERE timestamp_utc < forecast_origin_utc) AS train_rows,
+                 (SELECT count(*) FROM sup WHERE timestamp_utc >= forecast_origin_utc
+                    AND timestamp_utc < forecast_origin_utc + INTERVAL 5 DAY) AS test_rows FROM origins)
+, folds AS (SELECT row_number() OVER (ORDER BY k) AS fold, forecast_origin_utc, forecast_origin_utc + INTERVAL 5 DAY AS test_end_utc,
+                   train_rows, test_rows FROM per WHERE train_rows > 0 AND test_rows > 0)"""
+
+
+@register("walkforward_folds", FOLD_SQL + " SELECT * FROM folds")
+def q_walkforward_folds(spark, sf_dir):
+    """M5: fold origins every 5 days after 10 training days, with row counts."""
+    f = SP.walkforward_folds(split_frame(spark, sf_dir), "timestamp_utc", 10, 5, 24)
+    return f.select(F.col("fold").cast("long").alias("fold"), "forecast_origin_utc", "test_end_utc", "train_rows", "test_rows")
+
+
+@register("fold_baselines", FOLD_SQL + f"""
+, sup2 AS (SELECT *, {S.rnd('avg(value) OVER (PARTITION BY station_name, timeseries_name ORDER BY timestamp_utc ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING)')} AS rolling_mean_3 FROM sup)
+, t AS (SELECT f.fold, s.*, s.value AS pred_persistence, coalesce(s.rolling_mean_3, s.value) AS pred_rolling
+        FROM sup2 s JOIN folds f ON s.timestamp_utc >= f.forecast_origin_utc AND s.timestamp_utc < f.test_end_utc
+        WHERE s.target_value_t_plus_24h IS NOT NULL)
+SELECT fold, count(*) AS test_rows,
+       {S.rnd('avg(abs(target_value_t_plus_24h - pred_persistence))')} AS persist_mae,
+       {S.rnd('sqrt(avg(pow(target_value_t_plus_24h - pred_persistence, 2)))')} AS persist_rmse,
+       {S.rnd('avg(target_value_t_plus_24h - pred_persistence)')} AS persist_bias,
+       {S.rnd('avg(abs(target_value_t_plus_24h - pred_rolling))')} AS roll_mae,
+       {S.rnd('sqrt(avg(pow(target_value_t_plus_24h - pred_rolling, 2)))')} AS roll_rmse
+FROM t GROUP BY fold""")
+def q_fold_baselines(spark, sf_dir):
+    """M4 + M6: persistence and rolling-mean baselines scored for every fold
+    in ONE aggregate (test rows carry their fold id)."""
+    sup = split_frame(spark, sf_dir)
+    sup = r6(W.add_rolling(sup, "value", [(3, "mean")], GKEYS, ["timestamp_utc"], prefix="rolling_"),
+             ["rolling_mean_3"])
+    test = SP.assign_test_folds(sup, "timestamp_utc", 10, 5, 24).where(F.col("target_value_t_plus_24h").isNotNull())
+    preds = BL.baselines(test, "value")
+    out = BL.fold_metrics(preds, "target_value_t_plus_24h")
+    return r6(out.withColumn("fold", F.col("fold").cast("long")),
+              ["persist_mae", "persist_rmse", "persist_bias", "roll_mae", "roll_rmse"])
+
+
+FEATS9 = ["lag_1", "lag_3", "lag_6", "diff_1", "diff_3", "rolling_mean_3", "rolling_std_3", "rolling_min_6", "rolling_max_6"]
+
+
+@register("drop_sparse", S.with_(*BASE_SERIES_SQL, S.GAUGE_FEATURES) + "SELECT * FROM gf WHERE ("
+          + " + ".join(f"CAST({c} IS NULL AS INTEGER)" for c in FEATS9) + ") / 9.0 <= 0.35")
+def q_drop_sparse(spark, sf_dir):
+    """Keep rows with at most 35 % null features."""
+    gf = r6(PF.gauge_features(curated_series(spark, sf_dir)), ["rolling_mean_3", "rolling_std_3"])
+    return CL.drop_sparse_rows(gf, FEATS9, 0.35)
+
+
+@register("require_complete", S.with_(*BASE_SERIES_SQL, S.GAUGE_FEATURES) + "SELECT * FROM gf WHERE "
+          + " AND ".join(f"{c} IS NOT NULL" for c in FEATS9))
+def q_require_complete(spark, sf_dir):
+    """Drop rows with any null feature (scoring rule)."""
+    gf = r6(PF.gauge_features(curated_series(spark, sf_dir)), ["rolling_mean_3", "rolling_std_3"])
+    return CL.require_complete(gf, FEATS9)
+
+
+@register("top_stations", S.with_(*BASE_SERIES_SQL) + """
+SELECT * FROM curated WHERE station_name IN (
+  SELECT station_name FROM curated GROUP BY station_name ORDER BY count(*) DESC, station_name ASC LIMIT 10)""")
+def q_top_stations(spark, sf_dir):
+    """Rows of the 10 stations with most rows."""
+    return CL.top_groups(curated_series(spark, sf_dir), "station_name", 10)
+
+
+@register("last_n_months", "SELECT * FROM orders WHERE o_orderdate >= (SELECT max(o_orderdate) - INTERVAL 6 MONTH FROM orders)")
+def q_last_n_months(spark, sf_dir):
+    """Rows within 6 calendar months of the newest timestamp."""
+    return CL.last_n_months(T.table(spark, sf_dir, "orders"), "o_orderdate", 6)
+
+
+@register("eligible_stations", S.with_(*WX_SQL) + """
+SELECT * FROM wx WHERE dwd_station_id IN (
+  SELECT dwd_station_id FROM wx GROUP BY 1
+  HAVING count(*) >= 300 AND avg(CASE WHEN temperature_c IS NOT NULL AND wind_speed_ms IS NOT NULL THEN 1.0 ELSE 0.0 END) >= 0.45)""")
+def q_eligible_stations(spark, sf_dir):
+    """Stations with >= 300 rows and >= 45 % fully populated rows."""
+    return CL.eligible_groups(hourly_weather(spark, sf_dir), "dwd_station_id", ["temperature_c", "wind_speed_ms"], 0.45, 300)
+
+
+@register("horizon_shift", S.with_(*BASE_SERIES_SQL) + """
+SELECT *, lead(value, 24) OVER (PARTITION BY station_id ORDER BY timestamp_utc) AS target_h24 FROM curated""")
+def q_horizon_shift(spark, sf_dir):
+    """horizon in hours -> rows ahead using the inferred step (E25):
+    24 h at a 1 h median step is 24 rows."""
+    cur = curated_series(spark, sf_dir)
+    return BL.shift_by_horizon(cur, ["station_id"], "timestamp_utc", "value", 24, "target_h24", step_hours=1.0)

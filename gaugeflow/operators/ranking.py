@@ -53,12 +53,12 @@ def rank_within(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column
                  .withColumn("_pos", F.monotonically_increasing_id())
                  .checkpoint(eager=False))
     stats = stamped.groupBy(*keys, "_pid").agg(
-        F.min("_pos").alias("_base"), F.count(F.lit(1)).alias("_n"))
+        F.min("_pos").alias("_base"), F.count(F.lit(1)).alias("__rows"))
     before = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    stats = stats.withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    stats = stats.withColumn("_off", F.coalesce(F.sum("__rows").over(before), F.lit(0)))
     if count_col:
-        stats = stats.withColumn(count_col, F.sum("_n").over(Window.partitionBy(*keys)))
-    stats = stats.drop("_n")
+        stats = stats.withColumn(count_col, F.sum("__rows").over(Window.partitionBy(*keys)))
+    stats = stats.drop("__rows")
     renamed = stats.select(*[F.col(k).alias(f"_k_{i}") for i, k in enumerate(keys)],
                            *[c for c in stats.columns if c not in keys])
     cond = [stamped["_pid"] == renamed["_pid"]]
