@@ -1341,3 +1341,156 @@ def q_horizon_shift(spark, sf_dir):
     24 h at a 1 h median step is 24 rows."""
     cur = curated_series(spark, sf_dir)
     return BL.shift_by_horizon(cur, ["station_id"], "timestamp_utc", "value", 24, "target_h24", step_hours=1.0)
+
+
+# --------------------------------------------------------------------------- proxy fill, upsert, unions
+
+PROXY_MAX_KM = 400.0
+FILL_VARS = PL.VARIABLE_COLUMNS
+
+
+def weather_stations(spark, sf_dir):
+    return T.raw_weather(spark, sf_dir).select("dwd_station_id", "latitude", "longitude").distinct()
+
+
+def candidates_frame(spark, sf_dir):
+    wx = hourly_weather(spark, sf_dir)
+    return PL.proxy_candidates(weather_stations(spark, sf_dir), PL.station_variables(wx), max_km=PROXY_MAX_KM, k=3)
+
+
+_HAS_SQL = "has AS (" + " UNION ALL ".join(
+    f"SELECT dwd_station_id, '{v}' AS variable FROM wx GROUP BY 1 HAVING count({c}) > 0" for v, c in FILL_VARS.items()) + ")"
+_CAND_SQL = [*WX_SQL, _HAS_SQL, f"""
+st AS (SELECT DISTINCT dwd_station_id, latitude, longitude FROM raw_wx)""", f"""
+cand AS (
+  SELECT t.dwd_station_id AS target_station_id, v.variable, p.dwd_station_id AS proxy_station_id,
+         round({S.haversine('t.latitude', 't.longitude', 'p.latitude', 'p.longitude')}, 2) AS distance_km
+  FROM st t CROSS JOIN st p CROSS JOIN (SELECT DISTINCT variable FROM has) v
+  WHERE t.dwd_station_id <> p.dwd_station_id
+    AND {S.haversine('t.latitude', 't.longitude', 'p.latitude', 'p.longitude')} <= {PROXY_MAX_KM}
+    AND EXISTS (SELECT 1 FROM has h WHERE h.dwd_station_id = p.dwd_station_id AND h.variable = v.variable)
+  QUALIFY row_number() OVER (PARTITION BY t.dwd_station_id, v.variable ORDER BY distance_km, p.dwd_station_id) <= 3)"""]
+
+
+@register("proxy_candidates", S.with_(*_CAND_SQL) + "SELECT * FROM cand")
+def q_proxy_candidates(spark, sf_dir):
+    """Up to 3 nearest other stations reporting each variable within
+    400 km (distance rounded to 2 decimals, then id)."""
+    return candidates_frame(spark, sf_dir)
+
+
+_LONG_SQL = "lng AS (" + " UNION ALL ".join(
+    f"SELECT dwd_station_id, timestamp_utc, '{v}' AS variable, {c} AS v FROM wx" for v, c in FILL_VARS.items()) + ")"
+_FILL_SQL = [*_CAND_SQL, _LONG_SQL, """
+vals AS (
+  SELECT m.dwd_station_id AS target_station_id, m.timestamp_utc, m.variable, c.proxy_station_id, c.distance_km, p.v
+  FROM lng m JOIN cand c ON c.target_station_id = m.dwd_station_id AND c.variable = m.variable
+  JOIN lng p ON p.dwd_station_id = c.proxy_station_id AND p.timestamp_utc = m.timestamp_utc AND p.variable = m.variable
+  WHERE m.v IS NULL AND p.v IS NOT NULL)""", """
+fills AS (
+  SELECT target_station_id, timestamp_utc, variable, min(distance_km) AS proxy_source_distance_km, count(*) AS proxy_count,
+    CASE WHEN variable IN ('air_temperature', 'precipitation') AND count(*) >= 2 THEN
+           coalesce(min(v) FILTER (WHERE distance_km = 0),
+                    sum(v / (distance_km * distance_km)) / sum(1.0 / (distance_km * distance_km)))
+         ELSE arg_min(v, (distance_km, proxy_station_id)) END AS fill_value,
+    CASE WHEN variable IN ('air_temperature', 'precipitation') AND count(*) >= 2 THEN 'idw' ELSE 'nearest' END AS fill_method,
+    CASE WHEN variable IN ('air_temperature', 'precipitation') AND count(*) >= 2
+         THEN string_agg(proxy_station_id, ',' ORDER BY distance_km, proxy_station_id)
+         ELSE arg_min(proxy_station_id, (distance_km, proxy_station_id)) END AS proxy_source_station_id
+  FROM vals GROUP BY 1, 2, 3)"""]
+
+
+@register("proxy_fill", S.with_(*_FILL_SQL) + f"""
+SELECT target_station_id, timestamp_utc AS _mts, variable, proxy_source_distance_km, {S.rnd('fill_value')} AS fill_value,
+       fill_method, proxy_source_station_id, proxy_count FROM fills""")
+def q_proxy_fill(spark, sf_dir):
+    """Fill values for missing (station, hour, variable) cells from up to
+    3 proxies: inverse-distance-squared mean for temperature and
+    precipitation with >= 2 proxies, else the nearest proxy's value."""
+    return r6(PL.proxy_fill(hourly_weather(spark, sf_dir), candidates_frame(spark, sf_dir)), ["fill_value"])
+
+
+@register("proxy_fill_log", S.with_(*_FILL_SQL) + """
+SELECT target_station_id, variable, list_sort(list(DISTINCT fill_method)) AS methods, max(proxy_count) AS max_proxy_count,
+       count(*) AS filled_rows FROM fills GROUP BY 1, 2""")
+def q_proxy_fill_log(spark, sf_dir):
+    """Per (target, variable): methods actually used, proxies, rows."""
+    fills = PL.proxy_fill(hourly_weather(spark, sf_dir), candidates_frame(spark, sf_dir))
+    return AG.fill_log(fills)
+
+
+def filled_weather(spark, sf_dir):
+    wx = hourly_weather(spark, sf_dir)
+    return PL.apply_fill(wx, PL.proxy_fill(wx, candidates_frame(spark, sf_dir)))
+
+
+@register("gap_delta", S.with_(*_FILL_SQL, """
+filled AS (
+  SELECT w.dwd_station_id, w.timestamp_utc, """ + ", ".join(
+    f"coalesce(w.{c}, (SELECT fill_value FROM fills f WHERE f.target_station_id = w.dwd_station_id "
+    f"AND f.timestamp_utc = w.timestamp_utc AND f.variable = '{v}')) AS {c}" for v, c in FILL_VARS.items())
+    + """, w.relative_humidity_pct FROM wx w)""") + """
+, g0 AS (""" + gap_sql("wx", "before") + """), g1 AS (""" + gap_sql("filled", "after") + """)
+SELECT coalesce(g0.dwd_station_id, g1.dwd_station_id) AS dwd_station_id, """ + ", ".join(
+    f"coalesce(g0.{c}, 0) AS {c}_before, coalesce(g1.{c}, 0) AS {c}_after, coalesce(g1.{c}, 0) - coalesce(g0.{c}, 0) AS {c}_delta"
+    for c in ["rows_with_any_gap", "complete_rows", *[f"{m}_missing" for m in MEASURES]])
+    + " FROM g0 FULL OUTER JOIN g1 ON g0.dwd_station_id = g1.dwd_station_id")
+def q_gap_delta(spark, sf_dir):
+    """E9 (+ L9 applied, D9 full outer): per station gap counts before and
+    after the proxy fill and their change."""
+    ms = list(MEASURES)
+    before = AG.gap_summary(hourly_weather(spark, sf_dir), "dwd_station_id", ms, "before")
+    after = AG.gap_summary(filled_weather(spark, sf_dir), "dwd_station_id", ms, "after")
+    cols = ["rows_with_any_gap", "complete_rows", *[f"{m}_missing" for m in ms]]
+    return J.outer_delta(before, after, "dwd_station_id", cols)
+
+
+@register("upsert", S.with_(RUNS_SQL, """
+tgt AS (SELECT * FROM runs WHERE started_at_utc < TIMESTAMP '2000-01-01')""", """
+upd AS (SELECT * REPLACE ('DONE' AS status) FROM runs WHERE started_at_utc >= TIMESTAMP '1999-01-01')""") + """
+SELECT * FROM tgt WHERE run_id NOT IN (SELECT run_id FROM upd)
+UNION ALL SELECT * FROM upd""")
+def q_upsert(spark, sf_dir):
+    """MERGE of an update batch (runs since 1999, status rewritten) into a
+    target (runs before 2000): matched keys replaced, new keys inserted."""
+    r = runs_table(spark, sf_dir)
+    tgt = r.where(F.col("started_at_utc") < F.lit("2000-01-01").cast("timestamp_ntz"))
+    upd = r.where(F.col("started_at_utc") >= F.lit("1999-01-01").cast("timestamp_ntz")).withColumn("status", F.lit("DONE"))
+    return DD.upsert(tgt, upd, ["run_id"], ["started_at_utc"])
+
+
+@register("merge_evaluations", EVALS_SQL + """
+, old AS (SELECT run_id, station_name, forecast_timestamp_utc, prediction, evaluated_at_utc FROM ev)
+, new AS (SELECT run_id, station_name, forecast_timestamp_utc, prediction, evaluated_at_utc + INTERVAL 1 HOUR AS evaluated_at_utc,
+                 actual_value FROM ev WHERE CAST(run_id AS BIGINT) % 2 = 0)
+SELECT * FROM (SELECT * FROM old UNION ALL BY NAME SELECT * FROM new)
+QUALIFY row_number() OVER (PARTITION BY run_id, station_name, forecast_timestamp_utc
+                           ORDER BY evaluated_at_utc DESC, forecast_timestamp_utc DESC, prediction DESC, actual_value DESC NULLS LAST) = 1""")
+def q_merge_evaluations(spark, sf_dir):
+    """C5 + H2: union by name with differing columns, newest evaluation per key."""
+    ev = evaluations(spark, sf_dir)
+    old = ev.select("run_id", "station_name", "forecast_timestamp_utc", "prediction", "evaluated_at_utc")
+    new = ev.where(F.col("run_id").cast("long") % 2 == 0).select(
+        "run_id", "station_name", "forecast_timestamp_utc", "prediction",
+        (F.col("evaluated_at_utc") + F.expr("INTERVAL 1 HOUR")).alias("evaluated_at_utc"), "actual_value")
+    return DD.union_latest(old, new, ["run_id", "station_name", "forecast_timestamp_utc"],
+                           ["evaluated_at_utc", "forecast_timestamp_utc", "prediction", "actual_value"])
+
+
+@register("union_by_name", "SELECT o_orderkey AS id, o_totalprice AS amount, 'order' AS kind FROM orders "
+          "UNION ALL BY NAME SELECT 'line' AS kind, l_extendedprice AS amount, l_orderkey AS id FROM lineitem")
+def q_union_by_name(spark, sf_dir):
+    """H1: UNION ALL BY NAME of two frames with the same columns in another order."""
+    from .operators.sets import union_by_name
+    a = T.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_totalprice").alias("amount"),
+                                                F.lit("order").alias("kind"))
+    b = T.table(spark, sf_dir, "lineitem").select(F.lit("line").alias("kind"), F.col("l_extendedprice").alias("amount"),
+                                                  F.col("l_orderkey").alias("id"))
+    return union_by_name(a, b)
+
+
+@register("distinct_dim", S.with_(*BASE_SERIES_SQL) + "SELECT DISTINCT station_id, station_name, latitude, longitude FROM curated")
+def q_distinct_dim(spark, sf_dir):
+    """The station dimension (distinct rows)."""
+    from .operators.sets import distinct_rows
+    return distinct_rows(curated_series(spark, sf_dir), ["station_id", "station_name", "latitude", "longitude"])
