@@ -76,15 +76,19 @@ def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str],
     missing = [k for k in keys if k not in updates.columns]
     if missing:
         raise ValueError(f"updates lack key columns {missing}")
-    upd = updates.select(*[F.col(c) if c in updates.columns else F.lit(None).cast(target.schema[c].dataType).alias(c)
-                           for c in target.columns])
     has_null_key = F.lit(False)
     for k in keys:
         has_null_key = has_null_key | F.col(k).isNull()
-    upd_keyed = upd.where(~has_null_key)
-    upd_nullkey = upd.where(has_null_key)
+    upd_keyed = updates.where(~has_null_key)
     if order:
         upd_keyed = latest_per_key(upd_keyed, keys, order)
+
+    def to_target(d: DataFrame) -> DataFrame:
+        return d.select(*[F.col(c) if c in d.columns else F.lit(None).cast(target.schema[c].dataType).alias(c)
+                          for c in target.columns])
+
+    upd_keyed = to_target(upd_keyed)
+    upd_nullkey = to_target(updates.where(has_null_key))
     kept = target.join(upd_keyed.select(*keys), keys, "left_anti")
     return kept.unionByName(upd_keyed).unionByName(upd_nullkey)
 
