@@ -1494,3 +1494,72 @@ def q_distinct_dim(spark, sf_dir):
     """The station dimension (distinct rows)."""
     from .operators.sets import distinct_rows
     return distinct_rows(curated_series(spark, sf_dir), ["station_id", "station_name", "latitude", "longitude"])
+
+
+# --------------------------------------------------------------------------- A: sources and sinks (round trips)
+
+from .sources import landing as LD  # noqa: E402
+from .sources import readers as RD  # noqa: E402
+
+PAYLOAD_COLS = ["station_id", "station_name", "timeseries_name", "timestamp_utc", "value", "unit", "latitude",
+                "longitude", "source"]
+
+
+@register("read_station_payload", S.with_(S.RAW_MEASUREMENTS) + "SELECT station_id, station_name, timeseries_name, "
+          "timestamp_utc, value, unit, latitude, longitude, 'pegelonline' AS source FROM raw")
+def q_read_station_payload(spark, sf_dir):
+    """A1: gauge rows landed as nested station JSON (station -> timeseries ->
+    measurements, one object per station-day) and read back with explicit
+    schema + two explodes."""
+    path = LD.land_station_json(T.raw_measurements(spark, sf_dir), LD.scratch_dir(spark, "payload"))
+    out = RD.read_station_payload(spark, path, ingestion_ts="2024-02-01 00:00:00")
+    return out.withColumn("timestamp_utc", F.col("timestamp_utc").cast("timestamp_ntz")).select(*PAYLOAD_COLS)
+
+
+@register("read_archive_csv", S.with_(*BASE_SERIES_SQL) + "SELECT station_id, timestamp_utc, value FROM curated")
+def q_read_archive_csv(spark, sf_dir):
+    """A2 + A3: curated series landed as ``timestamp;value`` CSV with decimal
+    commas (one folder per station) and read back: parse, comma -> dot,
+    local -> UTC, station taken from the file path."""
+    path = LD.land_archive_csv(curated_series(spark, sf_dir), LD.scratch_dir(spark, "archive"))
+    out = RD.read_archive_csv(spark, path, tz="UTC")
+    return out.select(F.regexp_extract("source_file", r"station_id=([^/]+)/", 1).alias("station_id"),
+                      F.col("timestamp_utc").cast("timestamp_ntz").alias("timestamp_utc"), "value")
+
+
+@register("read_product_zip", S.with_(*WX_SQL) + """
+SELECT dwd_station_id, timestamp_utc, temperature_c, 'air_temperature' AS family, '3' AS quality_flag FROM wx""")
+def q_read_product_zip(spark, sf_dir):
+    """A4 + A6 + B5/B6/B8: hourly temperatures landed as product zips (one
+    per station-month, written by executors), pruned by file name, unzipped
+    with mapInPandas and canonicalised in Catalyst (null tokens, padded ids,
+    hour stamps, family columns)."""
+    root = LD.scratch_dir(spark, "zips")
+    LD.land_product_zips(hourly_weather(spark, sf_dir), root).count()
+    raw = RD.read_product_zip(spark, root, file_filter=RD.prune_files(F.col("path"), start_date="2020-01-01"))
+    fam = RD.family_from_path(F.col("path"))
+    out = RD.canonical_measures(raw.withColumn("_family", fam), F.col("_family"), ingestion_ts="2024-02-01 00:00:00")
+    return out.select("dwd_station_id", F.col("timestamp_utc").cast("timestamp_ntz").alias("timestamp_utc"),
+                      "temperature_c", F.col("variable_family").alias("family"), "quality_flag")
+
+
+def _station_description_lines(spark, sf_dir):
+    st = T.raw_weather(spark, sf_dir).select("dwd_station_id", "dwd_station_name", "latitude", "longitude").distinct()
+    body = st.select(F.concat_ws(" ", F.regexp_replace("dwd_station_id", "^D", ""), F.lit("19500101"), F.lit("20240131"),
+                                 F.lit("112"), F.col("latitude").cast("string"), F.col("longitude").cast("string"),
+                                 F.col("dwd_station_name"), F.lit("Nordrhein-Westfalen")).alias("value"))
+    header = spark.createDataFrame([("Stations_id von_datum bis_datum Stationshoehe geoBreite geoLaenge Stationsname Bundesland",),
+                                    ("----------- --------- --------- ------------- --------- --------- ------------ ----------",),
+                                    ("00001 19500101 short line",)], "value string")
+    return header.unionByName(body)
+
+
+@register("read_station_description", S.with_(S.raw_weather()) + """
+SELECT DISTINCT substr(dwd_station_id, 2) AS station_id, '19500101' AS from_date, '20240131' AS to_date, CAST(112 AS DOUBLE) AS height_m,
+       latitude, longitude, dwd_station_name AS station_name, 'Nordrhein-Westfalen' AS region FROM raw_wx""")
+def q_read_station_description(spark, sf_dir):
+    """A5: whitespace station list (two header lines, a short junk line,
+    multi-word names) landed as text and parsed with split/slice."""
+    path = LD.scratch_dir(spark, "stations")
+    _station_description_lines(spark, sf_dir).write.mode("overwrite").text(path)
+    return RD.read_station_description(spark, path)
