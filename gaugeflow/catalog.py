@@ -1563,3 +1563,132 @@ def q_read_station_description(spark, sf_dir):
     path = LD.scratch_dir(spark, "stations")
     _station_description_lines(spark, sf_dir).write.mode("overwrite").text(path)
     return RD.read_station_description(spark, path)
+
+
+# --------------------------------------------------------------------------- J: streaming (replayed landed files)
+
+from .streaming import incremental as ST  # noqa: E402
+
+EVENT_SCHEMA = "event_id bigint, ts timestamp, user_id bigint, event_type string, value double, props string"
+
+
+def landed_events(spark, sf_dir, files: int = 6) -> str:
+    """The events table landed as ``files`` time-ordered parquet files (event
+    time as a UTC timestamp), ready to be replayed as a stream."""
+    path = LD.scratch_dir(spark, "events")
+    e = T.table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    e.repartitionByRange(files, "ts").sortWithinPartitions("ts").write.mode("overwrite").parquet(path)
+    return path
+
+
+def _event_stream(spark, path):
+    from pyspark.sql.types import _parse_datatype_string
+    return ST.stream_files(spark, path, _parse_datatype_string(EVENT_SCHEMA), max_files_per_trigger=2)
+
+
+@register("stream_ingest", "SELECT event_id, ts, user_id, event_type, value, props FROM events")
+def q_stream_ingest(spark, sf_dir):
+    """AvailableNow file-stream ingest, run twice: the checkpoint makes
+    the second run pick up nothing, so every event lands exactly once."""
+    src = landed_events(spark, sf_dir)
+    out, ck = LD.scratch_dir(spark, "ingested"), LD.scratch_dir(spark, "ingest-ckpt")
+    from pyspark.sql.types import _parse_datatype_string
+    for _ in range(2):
+        ST.ingest_available(spark, src, _parse_datatype_string(EVENT_SCHEMA), out, ck, max_files_per_trigger=2)
+    return spark.read.parquet(out).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
+REPLAY_WATERMARK = "45 days"  # landed files replay in any order: keep every event of the 30 days
+
+
+def _window_query(spark, sf_dir, kind, keys, **kw):
+    from pyspark.sql.types import _parse_datatype_string
+    src = landed_events(spark, sf_dir)
+    stream = _event_stream(spark, src)
+    agg = ST.windowed_counts(stream, "ts", keys, "value", kind=kind, watermark=REPLAY_WATERMARK, **kw)
+    target, ck = LD.scratch_dir(spark, f"win-{kind}"), LD.scratch_dir(spark, f"win-{kind}-ckpt")
+    if kind == "session":  # session windows support append mode only: close them with a sentinel
+        ST.upsert_stream(agg, target, ck, ["window_start", *keys], ["n"], output_mode="append")
+        ST.flush_sessions(spark, src, _parse_datatype_string(EVENT_SCHEMA), "ts", keys[0], -1, "2099-01-01 00:00:00")
+        ST.upsert_stream(agg, target, ck, ["window_start", *keys], ["n"], output_mode="append")
+    else:
+        ST.upsert_stream(agg, target, ck, ["window_start", *keys], ["n"], output_mode="update")
+    out = ST.merged_view(spark, target, ["window_start", *keys], ["n"])
+    out = out.where(F.col(keys[0]).isNull() | (F.col(keys[0]).cast("string") != "-1"))
+    out = out.withColumns({"window_start": F.col("window_start").cast("timestamp_ntz"),
+                           "window_end": F.col("window_end").cast("timestamp_ntz")})
+    return r6(out, ["total", "mean"])
+
+
+def _win_agg_sql(bucket_sql: str, keys: str) -> str:
+    return (f"SELECT window_start, window_end, {keys}, count(*) AS n, {S.rnd('sum(value)')} AS total, "
+            f"{S.rnd('avg(value)')} AS mean, max(value) AS max_value FROM ({bucket_sql}) GROUP BY ALL")
+
+
+@register("stream_tumbling", _win_agg_sql(
+    "SELECT date_trunc('hour', ts) AS window_start, date_trunc('hour', ts) + INTERVAL 1 HOUR AS window_end, "
+    "event_type, value FROM events", "event_type"))
+def q_stream_tumbling(spark, sf_dir):
+    """Hourly tumbling windows per event type under a 1-day watermark,
+    update mode, merged on read."""
+    return _window_query(spark, sf_dir, "tumbling", ["event_type"], duration="1 hour")
+
+
+@register("stream_sliding", _win_agg_sql(
+    "SELECT date_trunc('hour', ts) - INTERVAL (k) HOUR AS window_start, "
+    "date_trunc('hour', ts) - INTERVAL (k) HOUR + INTERVAL 2 HOUR AS window_end, event_type, value "
+    "FROM events, range(0, 2) r(k)", "event_type"))
+def q_stream_sliding(spark, sf_dir):
+    """Sliding 2-hour windows every hour per event type (streaming)."""
+    return _window_query(spark, sf_dir, "sliding", ["event_type"], duration="2 hours", slide="1 hour")
+
+
+@register("stream_session", """
+WITH g AS (SELECT *, CASE WHEN lag(ts) OVER (PARTITION BY user_id ORDER BY ts) IS NULL
+                           OR ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) >= INTERVAL 6 HOUR THEN 1 ELSE 0 END AS brk
+           FROM events),
+     s AS (SELECT *, sum(brk) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS sid FROM g)
+SELECT min(ts) AS window_start, max(ts) + INTERVAL 6 HOUR AS window_end, user_id, count(*) AS n,
+       """ + S.rnd("sum(value)") + " AS total, " + S.rnd("avg(value)") + """ AS mean, max(value) AS max_value
+FROM s GROUP BY user_id, sid""")
+def q_stream_session(spark, sf_dir):
+    """Session windows per user (6-hour gap) on the replayed stream."""
+    return _window_query(spark, sf_dir, "session", ["user_id"], gap="6 hours")
+
+
+@register("stream_dedup_upsert", S.with_(S.RAW_MEASUREMENTS, S.DEDUP) + "SELECT * FROM dedup")
+def q_stream_dedup_upsert(spark, sf_dir):
+    """Raw gauge rows streamed from landed files into the idempotent
+    upsert sink; the merged view equals the batch dedup (C1)."""
+    src = LD.scratch_dir(spark, "raw")
+    raw = T.raw_measurements(spark, sf_dir)
+    raw.repartitionByRange(6, "ingestion_ts_utc").write.mode("overwrite").parquet(src)
+    stream = ST.stream_files(spark, src, raw.schema, max_files_per_trigger=2)
+    keys, order = ["station_id", "timeseries_name", "timestamp_utc"], ["ingestion_ts_utc", "source_record_hash"]
+    target, ck = LD.scratch_dir(spark, "upserted"), LD.scratch_dir(spark, "upsert-ckpt")
+    ST.upsert_stream(stream, target, ck, keys, order)
+    ST.upsert_stream(stream, target, ck, keys, order)  # a re-run after restart adds nothing
+    return ST.merged_view(spark, target, keys, order).select(*raw.columns)
+
+
+@register("late_actuals_stream", S.with_(ASOF_SQL) + f"""
+SELECT event_id, user_id, ts,
+  CASE WHEN b_ts IS NOT NULL AND db <= {TOL_US} AND (f_ts IS NULL OR df > {TOL_US} OR db <= df) THEN b_ts
+       WHEN f_ts IS NOT NULL AND df <= {TOL_US} THEN f_ts END AS matched_ts,
+  CASE WHEN b_ts IS NOT NULL AND db <= {TOL_US} AND (f_ts IS NULL OR df > {TOL_US} OR db <= df) THEN b_val
+       WHEN f_ts IS NOT NULL AND df <= {TOL_US} THEN f_val END AS actual_value
+FROM c WHERE (b_ts IS NOT NULL AND db <= {TOL_US}) OR (f_ts IS NOT NULL AND df <= {TOL_US})""")
+def q_late_actuals_stream(spark, sf_dir):
+    """Predictions ('view') and late actuals ('purchase') as two streams,
+    interval-joined within +-6 h under watermarks; the nearest actual per
+    prediction (earlier on ties) is picked on read."""
+    src = landed_events(spark, sf_dir)
+    s = _event_stream(spark, src)
+    preds = s.where(F.col("event_type") == "view").select("event_id", "user_id", "ts")
+    acts = s.where(F.col("event_type") == "purchase").select(F.col("user_id").alias("_user_id"),
+                                                            F.col("ts").alias("act_ts"), F.col("value").alias("actual_value"))
+    pairs = ST.late_actual_candidates(preds, acts, "user_id", "ts", "act_ts", tolerance="6 hours")
+    target, ck = LD.scratch_dir(spark, "pairs"), LD.scratch_dir(spark, "pairs-ckpt")
+    ST.run_available(pairs.select("event_id", "user_id", "ts", "act_ts", "actual_value"), ck, path=target)
+    out = ST.nearest_candidates(spark.read.parquet(target), ["event_id", "user_id", "ts"], "ts", "act_ts", "actual_value")
+    return out.withColumns({"ts": F.col("ts").cast("timestamp_ntz"), "matched_ts": F.col("matched_ts").cast("timestamp_ntz")})
