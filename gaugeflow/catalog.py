@@ -1692,3 +1692,249 @@ def q_late_actuals_stream(spark, sf_dir):
     ST.run_available(pairs.select("event_id", "user_id", "ts", "act_ts", "actual_value"), ck, path=target)
     out = ST.nearest_candidates(spark.read.parquet(target), ["event_id", "user_id", "ts"], "ts", "act_ts", "actual_value")
     return out.withColumns({"ts": F.col("ts").cast("timestamp_ntz"), "matched_ts": F.col("matched_ts").cast("timestamp_ntz")})
+
+
+# --------------------------------------------------------------------------- M: Spark ML
+
+from .ml import models as ML  # noqa: E402
+
+ML_NUMERIC = ["lag_1", "lag_3", "lag_6", "diff_1", "rolling_mean_3", "rolling_max_6", "hour_utc", "temperature_c",
+              "precipitation_mm", "precip_roll_sum_24"]
+
+
+def _ml_frame(spark, sf_dir):
+    sup = supervised_frame(spark, sf_dir)
+    return sup.withColumn("station_group", F.concat(F.lit("G"), (F.length("station_id") % 3).cast("string")))
+
+
+@register("gbt_fit_score")
+def q_gbt_fit_score(spark, sf_dir):
+    """M1 + M2 + M3 + M9: fit the feature pipeline + boosted trees (delta
+    target, 20 iterations) on rows before 2024-01-20 and score the newest
+    complete row of every station 24 h ahead."""
+    df = _ml_frame(spark, sf_dir)
+    cut = F.lit("2024-01-20").cast("timestamp_ntz")
+    model = ML.fit_model(df.where(F.col("timestamp_utc") < cut), "target_value_t_plus_24h", ["station_group"],
+                         ML_NUMERIC, mode="delta", max_iter=20)
+    return ML.score_latest(df, model, 24, "gbt-v1", "run-1", ["target_value", "lag_1"], mode="delta")
+
+
+@register("station_clusters")
+def q_station_clusters(spark, sf_dir):
+    """M8: station profiles -> median fill -> scale -> PCA -> k-means."""
+    return ML.station_clusters(curated_series(spark, sf_dir), "station_name", ["value"])
+
+
+@register("cluster_models")
+def q_cluster_models(spark, sf_dir):
+    """M7 (+E28-style eligibility): per-cluster models where a cluster has
+    enough rows and stations, the global model elsewhere."""
+    df = _ml_frame(spark, sf_dir)
+    plan = ML.station_clusters(curated_series(spark, sf_dir), "station_name", ["value"])
+    cut = F.lit("2024-01-20").cast("timestamp_ntz")
+    tr, te = df.where(F.col("timestamp_utc") < cut), df.where(F.col("timestamp_utc") >= cut)
+    out = ML.cluster_models(tr, te, plan, "target_value_t_plus_24h", ["station_group"], ML_NUMERIC,
+                            min_rows=1000, min_stations=5, max_iter=5)
+    return out.select("station_name", "timestamp_utc", "cluster", "model_source", "prediction", "target_value_t_plus_24h")
+
+
+@register("validate_frame", SPLIT_FRAME_SQL + """
+SELECT count(*) AS rows, count(DISTINCT station_name) AS stations, count(target_value_t_plus_24h) AS labelled_rows,
+       count(*) >= 1000 AND count(DISTINCT station_name) >= 5 AND count(target_value_t_plus_24h) > 0 AS valid
+FROM sup""")
+def q_validate_frame(spark, sf_dir):
+    """Training-frame checks (rows, stations, labels) as one row."""
+    return ML.validate_frame(split_frame(spark, sf_dir), "target_value_t_plus_24h")
+
+
+REGISTRY_SQL = """
+reg AS (
+  SELECT 'v' || CAST(p_partkey AS VARCHAR) AS model_version,
+         CASE WHEN p_partkey % 10 = 0 THEN 'prod' WHEN p_partkey % 10 = 1 THEN 'archived' ELSE 'staging' END AS status,
+         CASE WHEN p_partkey % 13 = 0 THEN 'not json'
+              ELSE '{"rmse": ' || CAST(p_retailprice / 100 AS VARCHAR) || ', "mae": ' || CAST(p_size AS VARCHAR) || '}' END
+           AS evaluation_metrics_json,
+         TIMESTAMP '2024-01-01 00:00:00' + to_hours(p_partkey) AS trained_at_utc,
+         CAST(NULL AS TIMESTAMP) AS promoted_at_utc, CAST(NULL AS VARCHAR) AS notes
+  FROM part)"""
+
+
+def registry_table(spark, sf_dir):
+    """Model registry rows (FIXTURES §7) from ``part``: bad JSON on every
+    13th row, one prod model per ten."""
+    p = T.table(spark, sf_dir, "part")
+    k = F.col("p_partkey")
+    return p.select(
+        F.concat(F.lit("v"), k.cast("string")).alias("model_version"),
+        F.when(k % 10 == 0, "prod").when(k % 10 == 1, "archived").otherwise("staging").alias("status"),
+        F.when(k % 13 == 0, F.lit("not json")).otherwise(
+            F.concat(F.lit('{"rmse": '), (F.col("p_retailprice") / 100).cast("string"), F.lit(', "mae": '),
+                     F.col("p_size").cast("string"), F.lit("}"))).alias("evaluation_metrics_json"),
+        (F.lit("2024-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(hours=k)).alias("trained_at_utc"),
+        F.lit(None).cast("timestamp_ntz").alias("promoted_at_utc"), F.lit(None).cast("string").alias("notes"))
+
+
+@register("promote_rank", S.with_(REGISTRY_SQL) + """
+SELECT model_version, status, rmse, mae, row_number() OVER (ORDER BY rmse, mae, CAST(trained_at_utc AS VARCHAR)) AS rank
+FROM (SELECT *, TRY_CAST(CASE WHEN json_valid(evaluation_metrics_json) THEN json_extract_string(evaluation_metrics_json, '$.rmse') END AS DOUBLE) AS rmse,
+             TRY_CAST(CASE WHEN json_valid(evaluation_metrics_json) THEN json_extract_string(evaluation_metrics_json, '$.mae') END AS DOUBLE) AS mae
+      FROM reg)
+WHERE rmse IS NOT NULL AND mae IS NOT NULL""")
+def q_promote_rank(spark, sf_dir):
+    """Registry models with readable metrics ranked by (rmse, mae,
+    trained_at) -- globally, without a single-partition window."""
+    r = ML.rank_models(registry_table(spark, sf_dir))
+    return r.select("model_version", "status", "rmse", "mae", F.col("rank").cast("long").alias("rank"))
+
+
+@register("promote", S.with_(REGISTRY_SQL, """
+ranked AS (SELECT *, row_number() OVER (ORDER BY rmse, mae, CAST(trained_at_utc AS VARCHAR)) AS rnk
+           FROM (SELECT *, TRY_CAST(CASE WHEN json_valid(evaluation_metrics_json) THEN json_extract_string(evaluation_metrics_json, '$.rmse') END AS DOUBLE) AS rmse,
+                        TRY_CAST(CASE WHEN json_valid(evaluation_metrics_json) THEN json_extract_string(evaluation_metrics_json, '$.mae') END AS DOUBLE) AS mae
+                 FROM reg) WHERE rmse IS NOT NULL AND mae IS NOT NULL)""", """
+win AS (SELECT w.model_version AS win FROM (SELECT * FROM ranked WHERE status = 'staging' ORDER BY rnk LIMIT 1) w
+        WHERE (SELECT min(rmse) FROM ranked WHERE status = 'prod') IS NULL
+           OR w.rmse <= (SELECT min(rmse) FROM ranked WHERE status = 'prod') + 0.5)""") + """
+SELECT r.model_version,
+       CASE WHEN w.win IS NOT NULL AND r.model_version = w.win AND r.status = 'staging' THEN 'prod'
+            WHEN w.win IS NOT NULL AND r.status = 'prod' THEN 'staging' ELSE r.status END AS status,
+       r.evaluation_metrics_json, r.trained_at_utc,
+       CASE WHEN w.win IS NOT NULL AND r.model_version = w.win AND r.status = 'staging' THEN TIMESTAMP '2024-06-01 00:00:00'
+            ELSE r.promoted_at_utc END AS promoted_at_utc,
+       CASE WHEN w.win IS NOT NULL AND r.model_version = w.win AND r.status = 'staging'
+            THEN coalesce(r.notes, '') || ' Selected as best validation model at 2024-06-01 00:00:00' ELSE r.notes END AS notes
+FROM reg r LEFT JOIN win w ON TRUE""")
+def q_promote(spark, sf_dir):
+    """Promote the best staging model when its RMSE is within 0.5 of
+    the prod RMSE; the previous prod model returns to staging."""
+    return ML.promote(registry_table(spark, sf_dir), "2024-06-01 00:00:00", tolerance=0.5)
+
+
+# --------------------------------------------------------------------------- N: serving queries
+
+from .operators import serving as SV  # noqa: E402
+
+PREDS_SQL = EVALS_SQL + """
+, preds AS (SELECT CAST(CAST(forecast_timestamp_utc AS DATE) AS VARCHAR) AS run_id, model_version, station_name,
+                   forecast_timestamp_utc, forecast_timestamp_utc - INTERVAL 1 DAY AS prediction_ready_utc,
+                   prediction, actual_value, CASE WHEN CAST(run_id AS BIGINT) % 4 = 0 THEN 'test' ELSE 'production' END AS split_name
+            FROM ev)"""
+
+
+def predictions_table(spark, sf_dir):
+    """Prediction-history rows (FIXTURES §6): one run per forecast day."""
+    ev = evaluations(spark, sf_dir)
+    return ev.select(F.to_date("forecast_timestamp_utc").cast("string").alias("run_id"), "model_version",
+                     "station_name", "forecast_timestamp_utc",
+                     (F.col("forecast_timestamp_utc") - F.expr("INTERVAL 1 DAY")).alias("prediction_ready_utc"),
+                     "prediction", "actual_value",
+                     F.when(F.col("run_id").cast("long") % 4 == 0, "test").otherwise("production").alias("split_name"))
+
+
+SEG_PER_SQL = SEG_SQL + """,
+per AS (SELECT upper(trim(station_name)) AS k, list_sort(list(DISTINCT segment_id)) AS segment_ids,
+               list_sort(list(DISTINCT segment_label)) AS segment_labels, bool_or(role = 'decision') AS is_decision_gauge
+        FROM segs GROUP BY 1)"""
+PRED_COLS = "run_id, model_version, station_name, forecast_timestamp_utc, prediction_ready_utc, prediction, split_name"
+
+
+@register("latest_run", PREDS_SQL + ", " + SEG_PER_SQL + f"""
+SELECT {', '.join('p.' + c.strip() for c in PRED_COLS.split(','))}, s.segment_ids, s.segment_labels, s.is_decision_gauge
+FROM preds p LEFT JOIN per s ON upper(trim(p.station_name)) = s.k
+WHERE p.split_name = 'production' AND p.run_id = (SELECT arg_max(run_id, (prediction_ready_utc, run_id)) FROM preds WHERE split_name = 'production')""")
+def q_latest_run(spark, sf_dir):
+    """Predictions of the newest production run with segment arrays."""
+    p = predictions_table(spark, sf_dir).select(*[c.strip() for c in PRED_COLS.split(",")])
+    return SV.latest_run(p, segments_table(spark))
+
+
+@register("history_filter", PREDS_SQL + ", " + SEG_SQL + f"""
+SELECT {PRED_COLS} FROM preds
+WHERE prediction_ready_utc >= TIMESTAMP '2001-08-02 00:00:00' - INTERVAL 400 DAY
+  AND lower(station_name) LIKE '%station 1%'
+  AND upper(trim(station_name)) IN (SELECT upper(trim(station_name)) FROM segs WHERE segment_id = 'SEG01')""")
+def q_history_filter(spark, sf_dir):
+    """History over 400 days, station name containing 'station 1',
+    restricted to segment SEG01 (semi join)."""
+    p = predictions_table(spark, sf_dir).select(*[c.strip() for c in PRED_COLS.split(",")])
+    return SV.history(p, NOW, 400, station="station 1", segment="SEG01", segments=segments_table(spark))
+
+
+@register("stations_segments", S.with_(*BASE_SERIES_SQL, SEG_PER_SQL) + """
+SELECT d.station_id, d.station_name, d.latitude, d.longitude, p.segment_ids, p.segment_labels, p.is_decision_gauge
+FROM (SELECT DISTINCT station_id, station_name, latitude, longitude FROM curated) d
+LEFT JOIN per p ON upper(trim(d.station_name)) = p.k""")
+def q_stations_segments(spark, sf_dir):
+    """Station list with segments."""
+    dim = curated_series(spark, sf_dir).select("station_id", "station_name", "latitude", "longitude").distinct()
+    return SV.stations(dim, segments_table(spark))
+
+
+@register("segment_list", S.with_(SEG_SQL) + """
+SELECT segment_id, segment_label, min(CASE WHEN role = 'decision' THEN station_name END) AS decision_gauge,
+       list_sort(coalesce(list(station_name) FILTER (WHERE role = 'support'), [])) AS support_gauges
+FROM segs GROUP BY 1, 2""")
+def q_segment_list(spark, sf_dir):
+    """Segments with decision and support gauges (config dimension)."""
+    return SV.segment_list(segments_table(spark))
+
+
+@register("evaluation_history", EVALS_SQL + """
+SELECT run_id, model_version, station_name, forecast_timestamp_utc, evaluated_at_utc, prediction, actual_value FROM ev
+WHERE evaluated_at_utc >= TIMESTAMP '2001-08-02 00:00:00' - INTERVAL 200 DAY AND upper(trim(station_name)) = 'STATION 7'""")
+def q_evaluation_history(spark, sf_dir):
+    """Evaluations of the last 200 days for one station."""
+    ev = evaluations(spark, sf_dir).select("run_id", "model_version", "station_name", "forecast_timestamp_utc",
+                                           "evaluated_at_utc", "prediction", "actual_value")
+    return SV.evaluation_history(ev, NOW, 200, station="station 7")
+
+
+RISK_SQL = PREDS_SQL + ", " + SEG_SQL + ", " + BANDS_SQL + """
+, bandset AS (SELECT p.*, CASE WHEN p.station_name IN (SELECT station_name FROM bands) THEN p.station_name ELSE 'DEFAULT' END AS bset
+              FROM preds p)
+
+, ps AS (SELECT upper(trim(station_name)) AS k, arg_min(segment_id, (role <> 'decision', segment_id)) AS primary_segment
+         FROM segs GROUP BY 1)
+, risk AS (
+  SELECT p.run_id, p.station_name, p.forecast_timestamp_utc, p.prediction,
+         (SELECT b.band_id FROM bands b WHERE b.station_name = p.bset AND (b.min_cm IS NULL OR p.prediction >= b.min_cm)
+            AND (b.max_cm IS NULL OR p.prediction < b.max_cm) ORDER BY b.band_order LIMIT 1) AS band_id, t.threshold_cm,
+         CASE WHEN p.prediction IS NULL OR t.threshold_cm IS NULL THEN 'unknown' WHEN p.prediction <= t.threshold_cm THEN 'high'
+              WHEN p.prediction <= t.threshold_cm + 20 THEN 'elevated' ELSE 'normal' END AS risk_level, ps.primary_segment
+  FROM bandset p
+  LEFT JOIN thr t ON upper(trim(p.station_name)) = upper(trim(t.station_name))
+  LEFT JOIN ps ON upper(trim(p.station_name)) = ps.k)"""
+
+
+def _risk(spark, sf_dir):
+    p = predictions_table(spark, sf_dir)
+    r = SV.risk_table(p, bands_table(spark), thresholds_table(spark), segments_table(spark))
+    return r.select("run_id", "station_name", "forecast_timestamp_utc", "prediction", "band_id", "threshold_cm",
+                    "risk_level", "primary_segment")
+
+
+@register("risk_table", RISK_SQL + " SELECT * FROM risk")
+def q_risk_table(spark, sf_dir):
+    """Band, risk level and primary segment for every prediction."""
+    return _risk(spark, sf_dir)
+
+
+@register("risk_counts", RISK_SQL + " SELECT risk_level, count(*) AS n FROM risk GROUP BY 1")
+def q_risk_counts(spark, sf_dir):
+    """Prediction counts by risk level."""
+    return SV.risk_counts(_risk(spark, sf_dir))
+
+
+@register("segment_risk_counts", RISK_SQL + " SELECT primary_segment, count(*) AS n FROM risk GROUP BY 1")
+def q_segment_risk_counts(spark, sf_dir):
+    """Prediction counts by primary segment."""
+    return SV.risk_counts(_risk(spark, sf_dir), "primary_segment")
+
+
+@register("forecast_series", PREDS_SQL + """
+SELECT forecast_timestamp_utc AS t, 'forecast' AS series, prediction AS value FROM preds WHERE upper(trim(station_name)) = 'STATION 3'
+UNION ALL
+SELECT forecast_timestamp_utc, 'actual', actual_value FROM preds WHERE upper(trim(station_name)) = 'STATION 3' AND actual_value IS NOT NULL""")
+def q_forecast_series(spark, sf_dir):
+    """Actual-vs-forecast long series for one station."""
+    return SV.forecast_series(predictions_table(spark, sf_dir), "station 3")
