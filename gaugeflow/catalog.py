@@ -1938,3 +1938,118 @@ SELECT forecast_timestamp_utc, 'actual', actual_value FROM preds WHERE upper(tri
 def q_forecast_series(spark, sf_dir):
     """Actual-vs-forecast long series for one station."""
     return SV.forecast_series(predictions_table(spark, sf_dir), "station 3")
+
+
+# --------------------------------------------------------------------------- more B: time, scope, windows on dates
+
+def _berlin_sql(shift_days: int) -> str:
+    l = f"(ts + INTERVAL {shift_days} DAY)"
+    u = f"({l} AT TIME ZONE 'Europe/Berlin')"
+    return (f"timezone('UTC', CASE WHEN timezone('Europe/Berlin', {u} + INTERVAL 1 HOUR) = {l} THEN {u} + INTERVAL 1 HOUR "
+            f"WHEN timezone('Europe/Berlin', {u}) <> {l} THEN date_trunc('hour', {u}) ELSE {u} END)")
+
+
+@register("local_to_utc", f"""
+SELECT event_id, ts + INTERVAL 300 DAY AS local_autumn, {_berlin_sql(300)} AS utc_autumn,
+       ts + INTERVAL 85 DAY AS local_spring, {_berlin_sql(85)} AS utc_spring FROM events""")
+def q_local_to_utc(spark, sf_dir):
+    """Europe/Berlin wall time -> UTC with the archive policy (ambiguous
+    autumn hour -> standard time; spring gap -> first valid instant), on
+    event times moved into the 2024 DST changes."""
+    from .functions.scalars import local_to_utc
+    e = T.table(spark, sf_dir, "events")
+    a = F.col("ts") + F.expr("INTERVAL 300 DAYS")
+    s_ = F.col("ts") + F.expr("INTERVAL 85 DAYS")
+    return e.select("event_id", a.alias("local_autumn"),
+                    local_to_utc(a, "Europe/Berlin").cast("timestamp_ntz").alias("utc_autumn"),
+                    s_.alias("local_spring"), local_to_utc(s_, "Europe/Berlin").cast("timestamp_ntz").alias("utc_spring"))
+
+
+@register("parse_hour_stamp", """
+SELECT event_id, stamp, try_strptime(stamp, '%Y%m%d%H') AS parsed FROM (
+  SELECT event_id, CASE WHEN event_id % 9 = 0 THEN 'x' || strftime(ts, '%Y%m%d') ELSE strftime(ts, '%Y%m%d%H') END AS stamp
+  FROM events)""")
+def q_parse_hour_stamp(spark, sf_dir):
+    """yyyyMMddHH text -> timestamp; malformed text -> null."""
+    from .functions.scalars import parse_hour_stamp
+    e = T.table(spark, sf_dir, "events")
+    stamp = F.when(F.col("event_id") % 9 == 0, F.concat(F.lit("x"), F.date_format("ts", "yyyyMMdd"))) \
+             .otherwise(F.date_format("ts", "yyyyMMddHH"))
+    out = e.select("event_id", stamp.alias("stamp"))
+    return out.withColumn("parsed", parse_hour_stamp("stamp").cast("timestamp_ntz"))
+
+
+@register("scope_by_list", S.with_(*BASE_SERIES_SQL) + """
+SELECT * FROM curated WHERE upper(trim(station_name)) IN ('STATION 1', 'STATION 2', 'STATION 3', 'STATION 10', 'STATION 20')
+  AND upper(trim(station_name)) NOT IN ('STATION 2')""")
+def q_scope_by_list(spark, sf_dir):
+    """Allow-list minus deny-list on normalised station names."""
+    return CL.scope_by_list(curated_series(spark, sf_dir), "station_name",
+                            allow=["station 1", "Station 2 ", "STATION 3", "station 10", "station 20"],
+                            deny=["station 2"])
+
+
+@register("scope_fuzzy", NAME_SRC_SQL.join(["WITH ", ""]) + """
+SELECT * FROM names WHERE upper(raw_name) LIKE '%KÖLN%' OR upper(raw_name) LIKE '%KOELN%'
+   OR upper(raw_name) LIKE '%DÜSSELDORF%' OR upper(raw_name) LIKE '%DUESSELDORF%'""")
+def q_scope_fuzzy(spark, sf_dir):
+    """Substring scope with umlaut spellings (no id list given)."""
+    n = _names(spark, sf_dir).withColumn("raw_name", F.regexp_replace("raw_name", "ß", "ss"))
+    return CL.scope_fuzzy(n, "p_partkey", "raw_name", names=["koeln", "Duesseldorf"])
+
+
+@register("date_window", "SELECT * FROM orders WHERE CAST(o_orderdate AS DATE) BETWEEN DATE '1996-03-01' AND DATE '1997-06-30'")
+def q_date_window(spark, sf_dir):
+    """Inclusive UTC-date window with the end capped at a limit."""
+    return CL.date_window(T.table(spark, sf_dir, "orders"), "o_orderdate", "1996-03-01", "1998-12-31",
+                          end_cap="1997-06-30")
+
+
+@register("newer_than", RUNS_SQL.join(["WITH ", ""]) + """
+SELECT * FROM runs WHERE started_at_utc > (SELECT max(started_at_utc) FROM runs WHERE job_type = '1-URGENT')
+                                          - INTERVAL 400 DAY""")
+def q_newer_than(spark, sf_dir):
+    """Rows strictly newer than a high-water mark held in a table
+    (here: 400 days before the newest urgent run)."""
+    r = runs_table(spark, sf_dir)
+    marks = r.where(F.col("job_type") == "1-URGENT").select(
+        (F.col("started_at_utc") - F.expr("INTERVAL 400 DAYS")).alias("hwm"))
+    return CL.newer_than_table(r, "started_at_utc", marks, "hwm")
+
+
+@register("model_view", S.with_(*BASE_SERIES_SQL, S.GAUGE_FEATURES) + """
+SELECT station_id, station_name, timestamp_utc, value AS target_value, lag_1, lag_3, diff_1, hour_utc FROM gf
+WHERE value IS NOT NULL""")
+def q_model_view(spark, sf_dir):
+    """Rename value -> target, fixed column list (unknown names
+    skipped), rows without a target dropped."""
+    gf = PF.gauge_features(curated_series(spark, sf_dir))
+    return CL.model_view(gf, ["station_id", "station_name", "timestamp_utc", "target_value", "lag_1", "lag_3",
+                              "diff_1", "hour_utc", "not_a_column"])
+
+
+META_SQL = """
+meta AS (
+  SELECT s_suppkey % 40 AS station_id, CASE s_nationkey % 4 WHEN 0 THEN 'air_temperature' WHEN 1 THEN 'precipitation'
+         WHEN 2 THEN 'wind' ELSE 'pressure' END AS family, s_name AS station_name, s_acctbal AS height_m FROM supplier)"""
+
+
+def _meta(spark, sf_dir):
+    s = T.table(spark, sf_dir, "supplier")
+    fam = F.element_at(F.array(*[F.lit(f) for f in ("air_temperature", "precipitation", "wind", "pressure")]),
+                       (F.col("s_nationkey") % 4 + 1).cast("int"))
+    return s.select((F.col("s_suppkey") % 40).alias("station_id"), fam.alias("family"),
+                    F.col("s_name").alias("station_name"), F.col("s_acctbal").alias("height_m"))
+
+
+@register("scoped_station_meta", S.with_(META_SQL) + """
+SELECT station_id, family_count, family, station_name, height_m FROM (
+  SELECT station_id, count(DISTINCT family) AS family_count,
+         arg_min(struct_pack(family := family, station_name := station_name, height_m := height_m),
+                 (list_position(['air_temperature', 'precipitation', 'wind', 'pressure'], family), family, station_name, height_m)) AS f
+  FROM meta GROUP BY station_id) t, LATERAL (SELECT f.family, f.station_name, f.height_m)
+WHERE family_count >= 2""")
+def q_scoped_station_meta(spark, sf_dir):
+    """Per station distinct-family count and first-family metadata row;
+    stations with at least two families."""
+    return CL.scoped_station_meta(_meta(spark, sf_dir), min_families=2)

@@ -154,3 +154,46 @@ def present(df: DataFrame, round_cols: Sequence[str] = (), ts_cols: Sequence[str
     repl = {c: F.round(F.col(c), digits) for c in round_cols if c in df.columns}
     repl.update({c: F.date_format(F.col(c), ts_format) for c in ts_cols if c in df.columns})
     return df.withColumns(repl)
+
+
+def scope_fuzzy(df: DataFrame, id_col: str, name_col: str, ids: Sequence[str] | None = None,
+                names: Sequence[str] | None = None) -> DataFrame:
+    """An id list wins; otherwise keep rows whose upper-cased name
+    contains any configured name, also in its umlaut spelling (OE->Ö,
+    UE->Ü, AE->Ä). The name list is literal config, so the theta join
+    broadcasts a side whose size is the list length."""
+    if ids:
+        return df.where(F.col(id_col).isin([str(i) for i in ids]))
+    if not names:
+        return df
+    from ..functions.scalars import umlaut_variants
+    spark = df.sparkSession
+    pats = spark.createDataFrame([(n.strip().upper(),) for n in names], "_pat string") \
+                .select(F.explode(umlaut_variants(F.col("_pat"))).alias("_pat")).distinct()
+    return df.join(F.broadcast(pats), F.upper(F.col(name_col)).contains(F.col("_pat")), "left_semi")
+
+
+def scoped_station_meta(meta: DataFrame, key: str = "station_id", family: str = "family",
+                        ids: Sequence[str] | None = None, min_families: int = 1, max_n: int | None = None,
+                        family_order: Sequence[str] = ("air_temperature", "precipitation", "wind", "pressure")) -> DataFrame:
+    """Per station (metadata unioned over families): number of distinct
+    families and the metadata row of its first family in ``family_order``
+    (ties broken by the remaining columns, ascending).
+    With ``ids``: those stations in list order (``scope_rank``); otherwise
+    stations with at least ``min_families`` families, most families first,
+    the first ``max_n``."""
+    fam_rank = F.coalesce(F.array_position(F.array(*[F.lit(f) for f in family_order]), F.col(family)),
+                          F.lit(len(family_order) + 1))
+    cols = [c for c in meta.columns if c != key]
+    per = meta.groupBy(key).agg(F.count_distinct(family).alias("family_count"),
+                                F.min_by(F.struct(*[F.col(c) for c in cols]),
+                                         F.struct(fam_rank, *[F.col(c) for c in cols]))
+                                .alias("_first"))
+    per = per.select(key, "family_count", *[F.col(f"_first.{c}").alias(c) for c in cols])
+    if ids:
+        pos = F.array_position(F.array(*[F.lit(str(i)) for i in ids]), F.col(key).cast("string"))
+        return per.withColumn("scope_rank", pos).where(F.col("scope_rank") > 0)
+    out = per.where(F.col("family_count") >= min_families)
+    if max_n:
+        out = out.orderBy(F.col("family_count").desc(), F.col(key).asc()).limit(max_n)
+    return out
