@@ -2053,3 +2053,93 @@ def q_scoped_station_meta(spark, sf_dir):
     """Per station distinct-family count and first-family metadata row;
     stations with at least two families."""
     return CL.scoped_station_meta(_meta(spark, sf_dir), min_families=2)
+
+
+# --------------------------------------------------------------------------- L10-L13 compositions
+
+from .plans import ingest as IG  # noqa: E402
+
+
+@register("gauge_ingest", S.with_(*BASE_SERIES_SQL) + "SELECT station_id, station_name, timeseries_name, timestamp_utc, value FROM curated")
+def q_gauge_ingest(spark, sf_dir):
+    """Curated gauge rows landed as station JSON; the first half is the
+    existing target, the ingest reads the JSON, dedups, keeps rows newer
+    than the target's high-water mark and upserts them."""
+    cur = curated_series(spark, sf_dir)
+    path = LD.land_station_json(cur, LD.scratch_dir(spark, "gauge-json"))
+    cut = F.lit("2024-01-15").cast("timestamp")
+    first = RD.read_station_payload(spark, path, ingestion_ts="2024-02-01 00:00:00").where(F.col("timestamp_utc") < cut)
+    out = IG.gauge_ingest(spark, path, first, ingestion_ts="2024-02-02 00:00:00")
+    return out.select("station_id", "station_name", "timeseries_name",
+                      F.col("timestamp_utc").cast("timestamp_ntz").alias("timestamp_utc"), "value")
+
+
+@register("archive_backfill", S.with_(*BASE_SERIES_SQL) + """
+SELECT station_id, timestamp_utc, CASE WHEN CAST(timestamp_utc AS DATE) >= DATE '2024-01-05' THEN value ELSE -1.0 END AS value
+FROM curated WHERE timestamp_utc < TIMESTAMP '2024-01-10'
+   OR CAST(timestamp_utc AS DATE) BETWEEN DATE '2024-01-05' AND DATE '2024-01-25'""")
+def q_archive_backfill(spark, sf_dir):
+    """Archive CSV backfill of 2024-01-05..01-25 into a target that
+    holds stale values (-1) before 01-10: window rows replace or insert,
+    older rows stay."""
+    cur = curated_series(spark, sf_dir)
+    path = LD.land_archive_csv(cur, LD.scratch_dir(spark, "backfill"))
+    tgt = cur.where(F.col("timestamp_utc") < F.lit("2024-01-10").cast("timestamp_ntz")) \
+             .select("station_id", "timeseries_name", F.col("timestamp_utc").cast("timestamp").alias("timestamp_utc"),
+                     F.lit(-1.0).alias("value"))
+    out = IG.archive_backfill(spark, path, tgt, "2024-01-05", "2024-01-31", tz="UTC", end_cap="2024-01-25",
+                              ingestion_ts="2024-02-01 00:00:00")
+    return out.select("station_id", F.col("timestamp_utc").cast("timestamp_ntz").alias("timestamp_utc"), "value")
+
+
+def numeric_weather(spark, sf_dir):
+    return hourly_weather(spark, sf_dir).withColumn("dwd_station_id", F.expr("substr(dwd_station_id, 2)"))
+
+
+def _weather_ingest(spark, sf_dir):
+    wx = numeric_weather(spark, sf_dir)
+    root = LD.scratch_dir(spark, "wx-zips")
+    for fam in ("TU", "RR", "FF", "P0"):
+        LD.land_product_zips(wx, root, fam).count()
+    desc = LD.scratch_dir(spark, "wx-stations")
+    _station_description_lines(spark, sf_dir).write.mode("overwrite").text(desc)
+    meta = RD.read_station_description(spark, desc)
+    return IG.weather_ingest(spark, root, meta, start_date="2020-01-01", max_proxy_km=PROXY_MAX_KM,
+                             ingestion_ts="2024-02-01 00:00:00")
+
+
+@register("weather_ingest", S.with_(*_FILL_SQL, """
+filled AS (
+  SELECT substr(w.dwd_station_id, 2) AS dwd_station_id, w.timestamp_utc, """ + ", ".join(
+    f"coalesce(w.{c}, (SELECT fill_value FROM fills f WHERE f.target_station_id = w.dwd_station_id "
+    f"AND f.timestamp_utc = w.timestamp_utc AND f.variable = '{v}')) AS {c}" for v, c in FILL_VARS.items())
+    + """, w.relative_humidity_pct,
+    EXISTS (SELECT 1 FROM fills f WHERE f.target_station_id = w.dwd_station_id AND f.timestamp_utc = w.timestamp_utc)
+      AS is_proxy_backfilled
+  FROM wx w)""") + "SELECT dwd_station_id, timestamp_utc, " + ", ".join(S.rnd(m) + f" AS {m}" for m in MEASURES)
+          + ", is_proxy_backfilled FROM filled")
+def q_weather_ingest(spark, sf_dir):
+    """Four variable families landed as product zips; read (A4, A6),
+    canonicalised (B5, B6, B8), merged per station-hour (E6), joined to the
+    station list (A5, D10), gap-filled from neighbours (D14, L9)."""
+    obs = _weather_ingest(spark, sf_dir)["observations"]
+    out = obs.select("dwd_station_id", F.col("timestamp_utc").cast("timestamp_ntz").alias("timestamp_utc"),
+                     *MEASURES, "is_proxy_backfilled")
+    return r6(out, list(MEASURES))
+
+
+@register("station_audit", S.with_(*WX_SQL, _HAS_SQL) + """
+SELECT c.*, h.families, CAST(h.family_count AS INTEGER) AS family_count, """ + ", ".join(
+    f"h.has_{v}" for v in FILL_VARS) + """,
+       CASE WHEN c.all_measures_ratio IS NULL THEN 'drop' WHEN c.all_measures_ratio >= 0.8 THEN 'core'
+            WHEN c.all_measures_ratio >= 0.4 THEN 'partial' ELSE 'drop' END AS status
+FROM (SELECT dwd_station_id, list_sort(list(DISTINCT variable)) AS families, count(DISTINCT variable) AS family_count, """
+          + ", ".join(f"list_contains(list(variable), '{v}') AS has_{v}" for v in FILL_VARS)
+          + " FROM has GROUP BY 1) h LEFT JOIN (" + OBS_COV_SQL + ") c ON h.dwd_station_id = c.dwd_station_id")
+def q_station_audit(spark, sf_dir):
+    """Variable map (E11) + observed coverage (E7) -> status."""
+    wx = hourly_weather(spark, sf_dir)
+    out = IG.station_audit(PL.station_variables(wx), wx, core=0.8, partial=0.4)
+    out = r6(out, [f"{m}_ratio" for m in MEASURES] + ["all_measures_ratio"])
+    return out.select("dwd_station_id", "rows", "first_ts", "last_ts", *[f"{m}_ratio" for m in MEASURES],
+                      "all_measures_ratio", "families", "family_count", *[f"has_{v}" for v in FILL_VARS], "status")

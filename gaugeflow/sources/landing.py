@@ -60,18 +60,32 @@ def land_archive_csv(series: DataFrame, path: str, tz: str = "UTC") -> str:
     return path
 
 
-def _zip_writer(root: str, family_code: str, measure_col: str):
+# Family code -> product columns written (raw column -> canonical measure).
+FAMILY_LAYOUT = {
+    "TU": {"TT_TU": "temperature_c", "RF_TU": "relative_humidity_pct"},
+    "RR": {"R1": "precipitation_mm"},
+    "FF": {"F": "wind_speed_ms"},
+    "P0": {"P0": "pressure_hpa"},
+}
+
+
+def _zip_writer(root: str, family_code: str):
+    layout = FAMILY_LAYOUT[family_code]
+
     def write(pdf: pd.DataFrame) -> pd.DataFrame:
         sid = str(pdf["dwd_station_id"].iloc[0])
         stamps = pd.to_datetime(pdf["timestamp_utc"])
         first, last = stamps.min().strftime("%Y%m%d"), stamps.max().strftime("%Y%m%d")
         name = f"stundenwerte_{family_code}_{sid}_{first}_{last}_hist.zip"
-        vals = pdf[measure_col].map(lambda v: "-999" if pd.isna(v) else repr(float(v)))
-        body = pd.DataFrame({"STATIONS_ID": "  " + sid.lstrip("0"), "MESS_DATUM": stamps.dt.strftime("%Y%m%d%H"),
-                             "QN_9": "    3", "TT_TU": vals, "RF_TU": "-999", "eor": "eor"})
+        raw_id = str(int(sid)) if sid.isdigit() else sid  # unpadded, as in the product files
+        body = pd.DataFrame({"STATIONS_ID": "  " + raw_id, "MESS_DATUM": stamps.dt.strftime("%Y%m%d%H"),
+                             "QN_9": "    3"})
+        for raw_col, measure in layout.items():
+            body[raw_col] = pdf[measure].map(lambda v: "-999" if pd.isna(v) else repr(float(v))).values
+        body["eor"] = "eor"
         buf = io.BytesIO()
         with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as zf:
-            zf.writestr(f"produkt_tu_stunde_{first}_{last}_{sid}.txt",
+            zf.writestr(f"produkt_{family_code.lower()}_stunde_{first}_{last}_{sid}.txt",
                         body.to_csv(sep=";", index=False).encode("latin1"))
             zf.writestr("Metadaten_Geographie.txt", b"not a product file")
         os.makedirs(root, exist_ok=True)
@@ -82,10 +96,9 @@ def _zip_writer(root: str, family_code: str, measure_col: str):
     return write
 
 
-def land_product_zips(hourly: DataFrame, root: str, family_code: str = "TU",
-                      measure_col: str = "temperature_c") -> DataFrame:
-    """Hourly product archives, one per (station, month), written by the
-    executors. Returns (path, rows) per archive (lazy until an action)."""
+def land_product_zips(hourly: DataFrame, root: str, family_code: str = "TU") -> DataFrame:
+    """Hourly product archives of one variable family, one per (station,
+    month), written by the executors. Returns (path, rows) per archive
+    (lazy until an action). Station ids must be 5 digits."""
     g = hourly.withColumn("_month", F.date_trunc("month", "timestamp_utc"))
-    return g.groupBy("dwd_station_id", "_month").applyInPandas(
-        _zip_writer(root, family_code, measure_col), "path string, rows long")
+    return g.groupBy("dwd_station_id", "_month").applyInPandas(_zip_writer(root, family_code), "path string, rows long")

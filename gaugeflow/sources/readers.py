@@ -82,23 +82,27 @@ def read_archive_csv(spark: SparkSession, path: str, tz: str = "Europe/Berlin",
     return out.where(F.col("timestamp_utc").isNotNull() & F.col("value").isNotNull())
 
 
-def normalize_archive(df: DataFrame, station_id: str, station_name: str, timeseries_name: str = "W",
-                      unit: str = "cm", source_url: str = "", ingestion_ts: str | None = None,
-                      ts_col: str | None = None, value_col: str | None = None,
+def normalize_archive(df: DataFrame, station_id: str | Column, station_name: str | Column,
+                      timeseries_name: str = "W", unit: str = "cm", source_url: str | Column = "",
+                      ingestion_ts: str | None = None, ts_col: str | None = None, value_col: str | None = None,
                       source: str = "pegelonline") -> DataFrame:
     """A3: find the time and value columns case-insensitively (``timestamp``
     or ``date``; ``value``), falling back to the first two columns, attach
-    the constant station columns and the record hash."""
+    the station columns (constants, or per-row columns such as an id taken
+    from the file path) and the record hash."""
     lower = {c.lower().strip(): c for c in df.columns}
-    tcol = ts_col or lower.get("timestamp") or lower.get("date") or df.columns[0]
+    tcol = ts_col or lower.get("timestamp_utc") or lower.get("timestamp") or lower.get("date") or df.columns[0]
     vcol = value_col or lower.get("value") or df.columns[1]
+    lit = lambda v: v if isinstance(v, Column) else F.lit(v)
     ing = F.lit(ingestion_ts).cast("timestamp") if ingestion_ts else F.current_timestamp()
-    out = df.select(F.col(tcol).cast("timestamp").alias("timestamp_utc"), F.col(vcol).try_cast("double").alias("value"))
-    out = out.select(F.lit(station_id).alias("station_id"), F.lit(station_name).alias("station_name"),
-                     F.lit(timeseries_name).alias("timeseries_name"), "timestamp_utc", "value",
-                     F.lit(unit).alias("unit"), F.lit(None).cast("double").alias("latitude"),
-                     F.lit(None).cast("double").alias("longitude"), ing.alias("ingestion_ts_utc"),
-                     F.lit(source).alias("source"), F.lit(source_url).alias("source_url"))
+    out = df.select(lit(station_id).cast("string").alias("station_id"),
+                    lit(station_name).cast("string").alias("station_name"),
+                    F.lit(timeseries_name).alias("timeseries_name"),
+                    F.col(tcol).cast("timestamp").alias("timestamp_utc"),
+                    F.col(vcol).try_cast("double").alias("value"),
+                    F.lit(unit).alias("unit"), F.lit(None).cast("double").alias("latitude"),
+                    F.lit(None).cast("double").alias("longitude"), ing.alias("ingestion_ts_utc"),
+                    F.lit(source).alias("source"), lit(source_url).cast("string").alias("source_url"))
     return out.withColumn("source_record_hash",
                           record_hash(["station_id", "timeseries_name", "timestamp_utc", "value", "source"]))
 
