@@ -2143,3 +2143,129 @@ def q_station_audit(spark, sf_dir):
     out = r6(out, [f"{m}_ratio" for m in MEASURES] + ["all_measures_ratio"])
     return out.select("dwd_station_id", "rows", "first_ts", "last_ts", *[f"{m}_ratio" for m in MEASURES],
                       "all_measures_ratio", "families", "family_count", *[f"has_{v}" for v in FILL_VARS], "status")
+
+
+# --------------------------------------------------------------------------- C4/C10, N11, E28, E29
+
+HIST_SQL = PREDS_SQL + """
+, acts AS (SELECT 'STATION ' || CAST(o_custkey % 40 AS VARCHAR) AS station_name, o_orderdate + INTERVAL 6 HOUR AS actual_ts,
+                  max(o_totalprice) / 1999.0 AS actual_level FROM orders GROUP BY 1, 2)
+, hist0 AS (SELECT run_id, model_version, station_name, forecast_timestamp_utc, prediction_ready_utc, prediction FROM preds
+            WHERE split_name = 'production' AND forecast_timestamp_utc < TIMESTAMP '2000-01-01'
+            UNION ALL
+            SELECT run_id, model_version, '' AS station_name, forecast_timestamp_utc, prediction_ready_utc, prediction FROM preds
+            WHERE split_name = 'test' AND forecast_timestamp_utc < TIMESTAMP '1995-03-01')
+, prev AS (SELECT run_id, model_version, station_name, forecast_timestamp_utc, prediction_ready_utc + INTERVAL 1 HOUR AS prediction_ready_utc,
+                  prediction + 1 AS prediction FROM preds
+           WHERE split_name = 'production' AND forecast_timestamp_utc >= TIMESTAMP '1999-06-01')
+, u AS (SELECT * FROM hist0 UNION ALL SELECT * FROM prev)
+, named AS (SELECT * FROM u WHERE station_name IS NOT NULL AND trim(station_name) <> ''
+            QUALIFY row_number() OVER (PARTITION BY station_name, forecast_timestamp_utc, model_version
+                                       ORDER BY prediction_ready_utc DESC, run_id DESC, prediction DESC) = 1)
+, b AS (SELECT n.*, a.actual_ts AS b_ts, a.actual_level AS b_val FROM named n
+        ASOF LEFT JOIN acts a ON n.station_name = a.station_name AND n.forecast_timestamp_utc >= a.actual_ts)
+, f AS (SELECT b.*, a.actual_ts AS f_ts, a.actual_level AS f_val FROM b
+        ASOF LEFT JOIN acts a ON b.station_name = a.station_name AND b.forecast_timestamp_utc <= a.actual_ts)
+, c AS (SELECT *, epoch_us(forecast_timestamp_utc) - epoch_us(b_ts) AS db, epoch_us(f_ts) - epoch_us(forecast_timestamp_utc) AS df FROM f)"""
+TOL12 = 12 * 3600 * 1_000_000
+
+
+@register("refresh_history", HIST_SQL + f"""
+SELECT run_id, model_version, station_name, forecast_timestamp_utc, prediction_ready_utc, prediction,
+  CASE WHEN b_ts IS NOT NULL AND db <= {TOL12} AND (f_ts IS NULL OR df > {TOL12} OR db <= df) THEN b_ts ELSE f_ts END AS actual_timestamp_utc,
+  CASE WHEN b_ts IS NOT NULL AND db <= {TOL12} AND (f_ts IS NULL OR df > {TOL12} OR db <= df) THEN b_val ELSE f_val END AS actual_if_available
+FROM c WHERE (b_ts IS NOT NULL AND db <= {TOL12}) OR (f_ts IS NOT NULL AND df <= {TOL12})""")
+def q_refresh_history(spark, sf_dir):
+    """C10 (C4, D5, J3): old history + previous predictions -> newest per
+    (station, forecast time, model) with blank-station rows passed through
+    -> nearest actual within 12 h -> keep rows with an actual -> newest per
+    key again."""
+    from .plans.history import refresh_history
+    p = predictions_table(spark, sf_dir)
+    cols = ["run_id", "model_version", "station_name", "forecast_timestamp_utc", "prediction_ready_utc", "prediction"]
+    hist = p.where((F.col("split_name") == "production")
+                   & (F.col("forecast_timestamp_utc") < F.lit("2000-01-01").cast("timestamp_ntz"))).select(*cols)
+    blank = p.where((F.col("split_name") == "test")
+                    & (F.col("forecast_timestamp_utc") < F.lit("1995-03-01").cast("timestamp_ntz"))) \
+             .select(*cols).withColumn("station_name", F.lit(""))
+    prev = p.where((F.col("split_name") == "production")
+                   & (F.col("forecast_timestamp_utc") >= F.lit("1999-06-01").cast("timestamp_ntz"))).select(
+        "run_id", "model_version", "station_name", "forecast_timestamp_utc",
+        (F.col("prediction_ready_utc") + F.expr("INTERVAL 1 HOUR")).alias("prediction_ready_utc"),
+        (F.col("prediction") + 1).alias("prediction"))
+    o = T.table(spark, sf_dir, "orders")
+    acts = o.groupBy(F.concat(F.lit("STATION "), (F.col("o_custkey") % 40).cast("string")).alias("station_name"),
+                     (F.col("o_orderdate") + F.expr("INTERVAL 6 HOURS")).alias("actual_ts")) \
+            .agg((F.max("o_totalprice") / 1999.0).alias("actual_level"))
+    return refresh_history(hist.unionByName(blank), prev, acts, tolerance_seconds=12 * 3600)
+
+
+@register("station_map", PREDS_SQL + ", " + SEG_SQL + ", " + BANDS_SQL + """
+, d AS (SELECT DISTINCT station_name FROM preds)
+, newest AS (SELECT station_name, arg_max(forecast_timestamp_utc, forecast_timestamp_utc) AS forecast_timestamp_utc,
+                    arg_max(prediction, (forecast_timestamp_utc, prediction)) AS prediction FROM preds GROUP BY 1)
+, j AS (SELECT d.station_name, n.forecast_timestamp_utc, n.prediction,
+               CASE WHEN d.station_name IN (SELECT station_name FROM bands) THEN d.station_name ELSE 'DEFAULT' END AS bset
+        FROM d LEFT JOIN newest n ON d.station_name = n.station_name)
+SELECT j.station_name, j.forecast_timestamp_utc, j.prediction,
+       (SELECT b.band_id FROM bands b WHERE b.station_name = j.bset AND (b.min_cm IS NULL OR j.prediction >= b.min_cm)
+          AND (b.max_cm IS NULL OR j.prediction < b.max_cm) ORDER BY b.band_order LIMIT 1) AS band_id,
+       (SELECT b.band_label FROM bands b WHERE b.station_name = j.bset AND (b.min_cm IS NULL OR j.prediction >= b.min_cm)
+          AND (b.max_cm IS NULL OR j.prediction < b.max_cm) ORDER BY b.band_order LIMIT 1) AS band_label,
+       (SELECT b.severity FROM bands b WHERE b.station_name = j.bset AND (b.min_cm IS NULL OR j.prediction >= b.min_cm)
+          AND (b.max_cm IS NULL OR j.prediction < b.max_cm) ORDER BY b.band_order LIMIT 1) AS severity,
+       t.threshold_cm,
+       CASE WHEN j.prediction IS NULL OR t.threshold_cm IS NULL THEN 'unknown' WHEN j.prediction <= t.threshold_cm THEN 'high'
+            WHEN j.prediction <= t.threshold_cm + 20 THEN 'elevated' ELSE 'normal' END AS risk_level
+FROM j LEFT JOIN thr t ON upper(trim(j.station_name)) = upper(trim(t.station_name))
+WHERE upper(trim(j.station_name)) IN (SELECT upper(trim(station_name)) FROM segs WHERE segment_id = 'SEG02')""")
+def q_station_map(spark, sf_dir):
+    """Stations with their latest forecast's band and risk, for one
+    segment."""
+    p = predictions_table(spark, sf_dir)
+    dim = p.select("station_name").distinct()
+    out = SV.station_map(dim, p, bands_table(spark), thresholds_table(spark), segments_table(spark), segment="SEG02")
+    return out.select("station_name", "forecast_timestamp_utc", "prediction", "band_id", "band_label", "severity",
+                      "threshold_cm", "risk_level")
+
+
+@register("cluster_coverage", S.with_(*BASE_SERIES_SQL) + """
+, plan AS (SELECT DISTINCT station_name, CAST(substr(station_id, 2) AS INTEGER) % 4 AS cluster FROM curated
+           WHERE CAST(substr(station_id, 2) AS INTEGER) % 7 <> 0)
+, tr AS (SELECT c.*, p.cluster FROM curated c JOIN plan p ON c.station_name = p.station_name
+         WHERE c.timestamp_utc < TIMESTAMP '2024-01-20')
+SELECT p.cluster, coalesce(t.rows, 0) AS train_rows, coalesce(t.stations, 0) AS train_stations, p.planned_stations,
+       coalesce(t.rows, 0) >= 1200 AND coalesce(t.stations, 0) >= 20 AS eligible
+FROM (SELECT cluster, count(*) AS planned_stations FROM plan GROUP BY 1) p
+LEFT JOIN (SELECT cluster, count(*) AS rows, count(DISTINCT station_name) AS stations FROM tr GROUP BY 1) t
+  ON p.cluster = t.cluster""")
+def q_cluster_coverage(spark, sf_dir):
+    """Per cluster of a station plan: training rows, stations with
+    training data, planned stations, eligibility for its own model."""
+    from .operators.aggs import cluster_coverage
+    cur = curated_series(spark, sf_dir)
+    num = F.expr("substr(station_id, 2)").cast("int")
+    plan = cur.where(num % 7 != 0).select("station_name", (num % 4).alias("cluster")).distinct()
+    train = cur.where(F.col("timestamp_utc") < F.lit("2024-01-20").cast("timestamp_ntz"))
+    return cluster_coverage(train, plan, min_rows=1200, min_stations=20)
+
+
+@register("backtest_summary", FOLD_SQL + f"""
+, sup2 AS (SELECT *, {S.rnd('avg(value) OVER (PARTITION BY station_name, timeseries_name ORDER BY timestamp_utc ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING)')} AS rolling_mean_3 FROM sup)
+, t AS (SELECT f.fold, s.*, s.value AS pred_persistence, coalesce(s.rolling_mean_3, s.value) AS pred_rolling
+        FROM sup2 s JOIN folds f ON s.timestamp_utc >= f.forecast_origin_utc AND s.timestamp_utc < f.test_end_utc
+        WHERE s.target_value_t_plus_24h IS NOT NULL)
+, fm AS (SELECT fold, avg(abs(target_value_t_plus_24h - pred_persistence)) AS persist_mae,
+                avg(abs(target_value_t_plus_24h - pred_rolling)) AS roll_mae FROM t GROUP BY fold)
+SELECT count(*) AS folds, {S.rnd('avg(persist_mae)')} AS mean_persist_mae, {S.rnd('avg(roll_mae)')} AS mean_roll_mae,
+       {S.rnd('avg(persist_mae - roll_mae)')} AS mean_roll_gain FROM fm""")
+def q_backtest_summary(spark, sf_dir):
+    """Mean fold metrics of the walk-forward baselines and the rolling
+    baseline's gain over persistence."""
+    sup = split_frame(spark, sf_dir)
+    sup = r6(W.add_rolling(sup, "value", [(3, "mean")], GKEYS, ["timestamp_utc"], prefix="rolling_"), ["rolling_mean_3"])
+    test = SP.assign_test_folds(sup, "timestamp_utc", 10, 5, 24).where(F.col("target_value_t_plus_24h").isNotNull())
+    folds = BL.fold_metrics(BL.baselines(test, "value"), "target_value_t_plus_24h")
+    folds = folds.withColumn("roll_gain", F.col("persist_mae") - F.col("roll_mae"))
+    out = BL.backtest_summary(folds, ["persist_mae", "roll_mae", "roll_gain"])
+    return r6(out.withColumnRenamed("mean_roll_gain", "mean_roll_gain"), ["mean_persist_mae", "mean_roll_mae", "mean_roll_gain"])

@@ -175,3 +175,15 @@ def fill_log(filled: DataFrame, keys: Sequence[str] = ("target_station_id", "var
         F.array_sort(F.collect_set("fill_method")).alias("methods"),
         F.max("proxy_count").alias("max_proxy_count"),
         F.count(F.lit(1)).alias("filled_rows"))
+
+
+def cluster_coverage(train: DataFrame, plan: DataFrame, key: str = "station_name", cluster: str = "cluster",
+                     min_rows: int = 500, min_stations: int = 2) -> DataFrame:
+    """Per planned cluster: training rows, stations with training data,
+    planned stations and whether it may get its own model."""
+    planned = plan.groupBy(cluster).agg(F.count(F.lit(1)).alias("planned_stations"))
+    tr = train.join(plan, key, "inner").groupBy(cluster).agg(
+        F.count(F.lit(1)).alias("train_rows"), F.count_distinct(key).alias("train_stations"))
+    out = planned.join(tr, cluster, "left").fillna(0, ["train_rows", "train_stations"])
+    out = out.withColumn("eligible", (F.col("train_rows") >= min_rows) & (F.col("train_stations") >= min_stations))
+    return out.select(cluster, "train_rows", "train_stations", "planned_stations", "eligible")

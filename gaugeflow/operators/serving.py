@@ -103,7 +103,7 @@ def station_map(dim: DataFrame, latest_preds: DataFrame, bands: DataFrame, thres
     """Station coordinates with the latest prediction's band and risk,
     optionally only the stations of one segment."""
     newest = latest_preds.groupBy("station_name").agg(
-        F.max_by(F.struct("forecast_timestamp_utc", "prediction"), F.col("forecast_timestamp_utc")).alias("_p"))
+        F.max(F.struct("forecast_timestamp_utc", "prediction")).alias("_p"))  # newest; larger value on a tie
     newest = newest.select("station_name", "_p.forecast_timestamp_utc", "_p.prediction")
     j = dim.join(newest, "station_name", "left")
     j = band_join(j, bands, "prediction")
