@@ -2269,3 +2269,98 @@ def q_backtest_summary(spark, sf_dir):
     folds = folds.withColumn("roll_gain", F.col("persist_mae") - F.col("roll_mae"))
     out = BL.backtest_summary(folds, ["persist_mae", "roll_mae", "roll_gain"])
     return r6(out.withColumnRenamed("mean_roll_gain", "mean_roll_gain"), ["mean_persist_mae", "mean_roll_mae", "mean_roll_gain"])
+
+
+# --------------------------------------------------------------------------- A7-A15: sinks, config, audit rows
+
+from .sources import config as CF  # noqa: E402
+from .sources import sinks as SK  # noqa: E402
+
+THRESHOLD_YAML = "low_water_thresholds_cm:\n" + "".join(
+    f"  station {i}: {20 + 15 * (i % 10)}\n" for i in range(400) if i % 3 != 0)
+
+
+@register("config_thresholds", S.with_(*BASE_SERIES_SQL, THRESH_SQL) + """
+SELECT c.station_name, count(*) AS rows, count(*) FILTER (WHERE c.value <= t.threshold_cm) AS low_rows
+FROM curated c JOIN thr t ON upper(trim(c.station_name)) = t.station_name GROUP BY 1""")
+def q_config_thresholds(spark, sf_dir):
+    """A14 (+D12): thresholds parsed from YAML config into a dimension and
+    joined to the curated series: rows and low-water rows per station."""
+    return _threshold_counts(spark, sf_dir, CF.thresholds_dim(spark, THRESHOLD_YAML))
+
+
+def _threshold_counts(spark, sf_dir, thr):
+    cur = curated_series(spark, sf_dir).withColumn("_k", F.upper(F.trim("station_name")))
+    t = thr.select(F.col("station_name").alias("_k"), "threshold_cm")
+    j = cur.join(F.broadcast(t), "_k", "inner")
+    return j.groupBy("station_name").agg(F.count(F.lit(1)).alias("rows"),
+                                         F.count_if(F.col("value") <= F.col("threshold_cm")).alias("low_rows"))
+
+
+@register("sink_roundtrip", S.with_(*BASE_SERIES_SQL) + """
+SELECT station_id, timestamp_utc, value, CAST(timestamp_utc AS DATE) AS event_date FROM curated
+WHERE timestamp_utc >= TIMESTAMP '2024-01-10' AND timestamp_utc < TIMESTAMP '2024-01-20'""")
+def q_sink_roundtrip(spark, sf_dir):
+    """A7 + A10 + A12 + A13: curated rows written partitioned by event date
+    (clustered by station), appended to with a schema-coerced batch (an
+    empty batch is skipped), then loaded with a tolerant projection whose
+    date filter prunes partitions."""
+    cur = curated_series(spark, sf_dir)
+    path = LD.scratch_dir(spark, "table")
+    first = cur.where(F.col("timestamp_utc") < F.lit("2024-01-15").cast("timestamp_ntz"))
+    SK.write_partitioned_by_day(first, path, "timestamp_utc", cluster_by=["station_id"])
+    rest = cur.where(F.col("timestamp_utc") >= F.lit("2024-01-15").cast("timestamp_ntz")) \
+              .withColumn("event_date", F.to_date("timestamp_utc")).withColumn("extra", F.lit(1))
+    schema = spark.read.parquet(path).schema
+    SK.append_table(rest.limit(0), path, schema, partition_by=["event_date"])
+    SK.append_table(rest, path, schema, partition_by=["event_date"])
+    return SK.load_table(spark, path, ["station_id", "timestamp_utc", "value", "event_date", "no_such_column"],
+                         where=(F.col("event_date") >= "2024-01-10") & (F.col("event_date") < "2024-01-20"))
+
+
+@register("jsonl_csv_roundtrip", """
+SELECT o_orderkey, o_orderstatus, o_totalprice, o_orderdate, CAST(NULL AS VARCHAR) AS note FROM orders
+WHERE o_orderdate >= TIMESTAMP '2000-01-01'""")
+def q_jsonl_csv_roundtrip(spark, sf_dir):
+    """A8 + A9 + A11: recent orders written as JSON lines (nulls kept,
+    ``Z`` timestamps) and as CSV with a header (replace mode), read back;
+    the JSON copy is returned, the CSV copy must hold the same rows."""
+    o = T.table(spark, sf_dir, "orders").where(F.col("o_orderdate") >= F.lit("2000-01-01").cast("timestamp_ntz")) \
+        .select("o_orderkey", "o_orderstatus", "o_totalprice", "o_orderdate", F.lit(None).cast("string").alias("note"))
+    jpath, cpath = LD.scratch_dir(spark, "jsonl"), LD.scratch_dir(spark, "csv")
+    SK.write_jsonl(o, jpath)
+    SK.replace_table(o, cpath, "replace", fmt="parquet")
+    SK.write_csv(o, cpath + "-csv")
+    j = spark.read.schema("o_orderkey long, o_orderstatus string, o_totalprice double, o_orderdate string, note string") \
+             .json(jpath)
+    j = j.withColumn("o_orderdate", F.to_timestamp("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").cast("timestamp_ntz"))
+    c = spark.read.option("header", "true").schema(
+        "o_orderkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, note string").csv(cpath + "-csv")
+    mismatch = j.select("o_orderkey", "o_totalprice").exceptAll(c.select("o_orderkey", "o_totalprice"))
+    checked = j.join(mismatch.select(F.col("o_orderkey").alias("_bad")), F.col("o_orderkey") == F.col("_bad"), "left")
+    return checked.withColumn("_ok", F.when(F.col("_bad").isNotNull(), F.raise_error(F.lit("CSV copy differs")))
+                              .otherwise(F.lit(True))).drop("_bad", "_ok")
+
+
+@register("stage_rows", """
+SELECT CAST(o_orderkey AS VARCHAR) AS event_id, CAST(o_custkey AS VARCHAR) AS run_id, o_orderpriority AS stage_name,
+       o_orderdate AS started_at_utc, o_orderdate + INTERVAL 1 HOUR AS ended_at_utc, lower(o_orderstatus) AS status,
+       coalesce(CASE WHEN o_orderkey % 3 = 0 THEN o_custkey END, CASE WHEN o_orderkey % 3 = 1 THEN o_custkey * 2 END,
+                CAST(floor(o_totalprice) AS BIGINT)) AS rows_read,
+       CAST(NULL AS BIGINT) AS rows_written
+FROM orders""")
+def q_stage_rows(spark, sf_dir):
+    """Stage-event audit rows from stage summaries; rows_read is the
+    first present of several summary keys."""
+    o = T.table(spark, sf_dir, "orders")
+    summaries = o.select(
+        F.col("o_orderkey").cast("string").alias("event_id"), F.col("o_custkey").cast("string").alias("run_id"),
+        F.col("o_orderpriority").alias("stage_name"), F.col("o_orderdate").cast("timestamp").alias("started_at_utc"),
+        (F.col("o_orderdate") + F.expr("INTERVAL 1 HOUR")).cast("timestamp").alias("ended_at_utc"),
+        F.lower("o_orderstatus").alias("status"),
+        F.when(F.col("o_orderkey") % 3 == 0, F.col("o_custkey")).alias("rows_read"),
+        F.when(F.col("o_orderkey") % 3 == 1, F.col("o_custkey") * 2).alias("rows_fetched"),
+        F.floor("o_totalprice").alias("rows_loaded"))
+    out = SK.stage_rows(summaries)
+    return out.select("event_id", "run_id", "stage_name", F.col("started_at_utc").cast("timestamp_ntz").alias("started_at_utc"),
+                      F.col("ended_at_utc").cast("timestamp_ntz").alias("ended_at_utc"), "status", "rows_read", "rows_written")
