@@ -1687,7 +1687,8 @@ def q_late_actuals_stream(spark, sf_dir):
     preds = s.where(F.col("event_type") == "view").select("event_id", "user_id", "ts")
     acts = s.where(F.col("event_type") == "purchase").select(F.col("user_id").alias("_user_id"),
                                                             F.col("ts").alias("act_ts"), F.col("value").alias("actual_value"))
-    pairs = ST.late_actual_candidates(preds, acts, "user_id", "ts", "act_ts", tolerance="6 hours")
+    pairs = ST.late_actual_candidates(preds, acts, "user_id", "ts", "act_ts", tolerance="6 hours",
+                                      watermark=REPLAY_WATERMARK)
     target, ck = LD.scratch_dir(spark, "pairs"), LD.scratch_dir(spark, "pairs-ckpt")
     ST.run_available(pairs.select("event_id", "user_id", "ts", "act_ts", "actual_value"), ck, path=target)
     out = ST.nearest_candidates(spark.read.parquet(target), ["event_id", "user_id", "ts"], "ts", "act_ts", "actual_value")
