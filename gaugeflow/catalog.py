@@ -59,6 +59,8 @@ def flagship_query(spark: SparkSession, sf_dir: str, chunk_rows: int | None = 10
 
 @register("supervised_flagship", FLAGSHIP_SQL)
 def q_flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flagship: C1 dedup -> B2 curate -> L1 features + F4 24-row label
+    (skew-safe chunked windows) -> B15 sparse-row filter."""
     return flagship_query(spark, sf_dir)
 
 
@@ -1629,8 +1631,8 @@ def _win_agg_sql(bucket_sql: str, keys: str) -> str:
     "SELECT date_trunc('hour', ts) AS window_start, date_trunc('hour', ts) + INTERVAL 1 HOUR AS window_end, "
     "event_type, value FROM events", "event_type"))
 def q_stream_tumbling(spark, sf_dir):
-    """Hourly tumbling windows per event type under a 1-day watermark,
-    update mode, merged on read."""
+    """Hourly tumbling windows per event type, update mode, merged on
+    read (the replay watermark keeps every event of the landed files)."""
     return _window_query(spark, sf_dir, "tumbling", ["event_type"], duration="1 hour")
 
 
