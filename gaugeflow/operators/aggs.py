@@ -151,13 +151,16 @@ def pivot_rank(df: DataFrame, key: str, rank_col: str, cols: Sequence[str],
     return df.groupBy(key).agg(*aggs)
 
 
-def infer_step_hours(df: DataFrame, keys: Sequence[str], ts: str) -> DataFrame:
+def infer_step_hours(df: DataFrame, keys: Sequence[str], ts: str, chunk_rows: int | None = None) -> DataFrame:
     """Median (exact) of consecutive time differences per series, in
-    hours, over all series -- one row."""
-    w = Window.partitionBy(*keys).orderBy(ts)
-    diffs = df.select((F.unix_micros(F.col(ts).cast("timestamp"))
-                       - F.unix_micros(F.lag(ts).over(w).cast("timestamp"))).alias("_d"))
-    diffs = diffs.where(F.col("_d").isNotNull()).select((F.col("_d") / F.lit(3.6e9)).alias("step_hours"))
+    hours, over all series -- one row. The previous-row lookup uses the
+    chunked window plan, so a hot series is split across tasks."""
+    from .windows import DEFAULT_CHUNK_ROWS, lag_feature, with_series_features
+    micros = df.select(*keys, ts, F.unix_micros(F.col(ts).cast("timestamp")).alias("_us"))
+    prev = with_series_features(micros, keys, [ts], [lag_feature("_us", 1, "_prev_us")],
+                                chunk_rows=chunk_rows or DEFAULT_CHUNK_ROWS)
+    diffs = prev.where(F.col("_prev_us").isNotNull()).select(
+        ((F.col("_us") - F.col("_prev_us")) / F.lit(3.6e9)).alias("step_hours"))
     return exact_quantile(diffs, [], "step_hours", 0.5, alias="step_hours")
 
 

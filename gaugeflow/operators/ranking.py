@@ -12,9 +12,10 @@ all of it. ``rank_within`` gives the same numbers without that:
    rows -- and turn the counts into per-key offsets;
 3. rank = offset of (key, partition) + position inside the partition.
 
-The stamped frame is reliably checkpointed (lazily) so that both consumers
-read the same partitioning, and a lost executor re-reads the checkpoint
-instead of re-sampling the range bounds.
+The stamped frame is reliably checkpointed (written once to
+``spark.checkpoint.dir``) so that both consumers read the same partitioning
+and positions, and a lost executor re-reads the checkpoint instead of
+recomputing the range shuffle.
 """
 
 from __future__ import annotations
@@ -51,7 +52,7 @@ def rank_within(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column
                  .sortWithinPartitions(*key_exprs, *order_exprs)
                  .withColumn("_pid", F.spark_partition_id())
                  .withColumn("_pos", F.monotonically_increasing_id())
-                 .checkpoint(eager=False))
+                 .checkpoint(eager=True))
     stats = stamped.groupBy(*keys, "_pid").agg(
         F.min("_pos").alias("_base"), F.count(F.lit(1)).alias("__rows"))
     before = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)

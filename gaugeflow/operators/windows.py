@@ -28,6 +28,10 @@ from pyspark.sql import functions as F
 
 from .ranking import rank_within
 
+# Rows of one series handled by one task in the chunked plan. A series longer
+# than this is split; shorter series cost one chunk.
+DEFAULT_CHUNK_ROWS = 1_000_000
+
 ROLLING_FUNCS: dict[str, Callable[[Column], Column]] = {
     "mean": F.avg,
     "avg": F.avg,
@@ -106,9 +110,10 @@ def rollings(col: str, specs: Iterable[tuple[int, str]], prefix: str = "rolling_
 
 
 def with_series_features(df: DataFrame, keys: Sequence[str], order: Sequence[str],
-                         features: Sequence[Feature], chunk_rows: int | None = None,
+                         features: Sequence[Feature], chunk_rows: int | None = DEFAULT_CHUNK_ROWS,
                          partitions: int | None = None) -> DataFrame:
-    """Append ``features`` computed over each key's series ordered by ``order``."""
+    """Append ``features`` computed over each key's series ordered by ``order``
+    (chunked plan by default; ``chunk_rows=None`` for the plain window)."""
     keys, order = list(keys), list(order)
     if not features:
         return df
@@ -135,25 +140,25 @@ def with_series_features(df: DataFrame, keys: Sequence[str], order: Sequence[str
 
 
 def add_lags(df: DataFrame, col: str, ks: Iterable[int], keys: Sequence[str], order: Sequence[str],
-             prefix: str = "lag_", chunk_rows: int | None = None) -> DataFrame:
+             prefix: str = "lag_", chunk_rows: int | None = DEFAULT_CHUNK_ROWS) -> DataFrame:
     """row-offset lags (nulls are not skipped)."""
     return with_series_features(df, keys, order, lags(col, ks, prefix), chunk_rows)
 
 
 def add_diffs(df: DataFrame, col: str, ks: Iterable[int], keys: Sequence[str], order: Sequence[str],
-              prefix: str = "diff_", chunk_rows: int | None = None) -> DataFrame:
+              prefix: str = "diff_", chunk_rows: int | None = DEFAULT_CHUNK_ROWS) -> DataFrame:
     """value minus its k-row lag."""
     return with_series_features(df, keys, order, diffs(col, ks, prefix), chunk_rows)
 
 
 def add_rolling(df: DataFrame, col: str, specs: Iterable[tuple[int, str]], keys: Sequence[str],
-                order: Sequence[str], prefix: str = "rolling_", chunk_rows: int | None = None) -> DataFrame:
+                order: Sequence[str], prefix: str = "rolling_", chunk_rows: int | None = DEFAULT_CHUNK_ROWS) -> DataFrame:
     """trailing aggregates over the n previous rows, current row excluded."""
     return with_series_features(df, keys, order, rollings(col, specs, prefix), chunk_rows)
 
 
 def add_leads(df: DataFrame, col: str, ks: Iterable[int], keys: Sequence[str], order: Sequence[str],
-              prefix: str = "lead_", chunk_rows: int | None = None) -> DataFrame:
+              prefix: str = "lead_", chunk_rows: int | None = DEFAULT_CHUNK_ROWS) -> DataFrame:
     """row-offset leads."""
     return with_series_features(df, keys, order, leads(col, ks, prefix), chunk_rows)
 

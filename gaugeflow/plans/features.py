@@ -1,8 +1,10 @@
 """Feature and label compositions.
 
 Each function declares its window features once and evaluates them with one
-partition/order spec, so the whole feature set costs one shuffle + sort (or,
-with ``chunk_rows``, the skew-safe chunked plan of ``with_series_features``).
+partition/order spec. By default the skew-safe chunked plan of
+``with_series_features`` is used (chunks of ``DEFAULT_CHUNK_ROWS`` rows per
+series); ``chunk_rows=None`` selects the plain one-shuffle window for inputs
+known to have no hot series.
 """
 
 from __future__ import annotations
@@ -51,7 +53,7 @@ def gauge_feature_list(value: str = "value") -> list[W.Feature]:
 
 
 def gauge_features(curated: DataFrame, keys: Sequence[str] = GAUGE_KEYS, ts: str = TS,
-                   value: str = "value", chunk_rows: int | None = None) -> DataFrame:
+                   value: str = "value", chunk_rows: int | None = W.DEFAULT_CHUNK_ROWS) -> DataFrame:
     """L1: gauge time-series features + calendar columns on rows with a value."""
     base = curated.where(F.col(value).isNotNull())
     out = W.with_series_features(base, keys, [ts], gauge_feature_list(value), chunk_rows=chunk_rows)
@@ -74,14 +76,14 @@ def weather_feature_list(precip_accel_long_minus_short: bool = True) -> list[W.F
 
 
 def weather_enriched(joined: DataFrame, keys: Sequence[str] = ("station_id",), ts: str = TS,
-                     chunk_rows: int | None = None, precip_accel_long_minus_short: bool = True) -> DataFrame:
+                     chunk_rows: int | None = W.DEFAULT_CHUNK_ROWS, precip_accel_long_minus_short: bool = True) -> DataFrame:
     """L4: weather lag / rolling / delta / trend features per station."""
     return W.with_series_features(joined, keys, [ts], weather_feature_list(precip_accel_long_minus_short),
                                   chunk_rows=chunk_rows)
 
 
 def supervised_24h(joined: DataFrame, keys: Sequence[str] = ("station_id",), ts: str = TS,
-                   value: str = "value", horizon_rows: int = 24, chunk_rows: int | None = None,
+                   value: str = "value", horizon_rows: int = 24, chunk_rows: int | None = W.DEFAULT_CHUNK_ROWS,
                    precip_accel_long_minus_short: bool = False) -> DataFrame:
     """Gauge + weather features and the 24-row-ahead label, all from ONE
     window spec (the source recomputes them in two scripts)."""
@@ -94,7 +96,7 @@ def supervised_24h(joined: DataFrame, keys: Sequence[str] = ("station_id",), ts:
 
 def supervised_72h(curated: DataFrame, threshold: float, keys: Sequence[str] = GAUGE_KEYS,
                    ts: str = TS, value: str = "value", leads: Sequence[int] = LOW_WATER_LEADS,
-                   chunk_rows: int | None = None) -> DataFrame:
+                   chunk_rows: int | None = W.DEFAULT_CHUNK_ROWS) -> DataFrame:
     """Leads over 72 rows and a low-water flag: 1 when any lead is at or
     below ``threshold`` (missing leads count as not low)."""
     out = W.with_series_features(curated.where(F.col(value).isNotNull()), keys, [ts],
@@ -115,7 +117,7 @@ def low_water_events(df: DataFrame, thresholds: DataFrame, name_col: str = "stat
     return out.withColumn("low_water_label", lab).drop("_tname", "_thr")
 
 
-def flagship(raw: DataFrame, chunk_rows: int | None = None, horizon_rows: int = 24,
+def flagship(raw: DataFrame, chunk_rows: int | None = W.DEFAULT_CHUNK_ROWS, horizon_rows: int = 24,
              max_null_fraction: float = 0.35) -> DataFrame:
     """Minimum slice: dedup (newest ingestion, then highest hash) -> curate
     -> gauge features -> 24-row lead label -> drop sparse rows."""

@@ -45,7 +45,7 @@ def test_chunked_features_equal_plain_window(spark):
     df = _skewed(spark)
     feats = (W.lags("v", [1, 3]) + W.leads("v", [2, 5]) + W.diffs("v", [1])
              + W.rollings("v", [(3, "mean"), (4, "std"), (6, "max")]))
-    plain = W.with_series_features(df, ["k"], ["t"], feats)
+    plain = W.with_series_features(df, ["k"], ["t"], feats, chunk_rows=None)
     for c in (1, 5, 8, 50):
         chunked = W.with_series_features(df, ["k"], ["t"], feats, chunk_rows=c, partitions=3)
         cols = ["k", "t"] + [f.name for f in feats]
