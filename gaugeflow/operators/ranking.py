@@ -100,3 +100,29 @@ def exact_quantile(df: DataFrame, keys: Sequence[str], value: str, q: float,
         F.max(F.when(F.col("_r") == F.col("_hi"), F.col(value))).alias("_vhi"),
         F.max("_pos").alias("_pos"), F.max("_lo").alias("_lo"))
     return agg.select(*keys, (F.col("_vlo") + (F.col("_pos") - F.col("_lo")) * (F.col("_vhi") - F.col("_vlo"))).alias(alias))
+
+
+def rank_in_time(df: DataFrame, keys: Sequence[str], ts: str, bucket_seconds: int = 86_400,
+                 rank_col: str = "_rank", tiebreak: Sequence[str] = ()) -> DataFrame:
+    """0-based row number within ``keys`` ordered by the time column ``ts``
+    (then ``tiebreak``), for time series -- without a checkpoint.
+
+    Rows are counted per (key, time bucket) with a partial aggregate; a
+    window over that small table (one row per key and bucket) turns the
+    counts into offsets; the offsets are joined back on (key, bucket) and
+    ``row_number`` runs per (key, bucket), which the join's partitioning
+    already satisfies. A hot key is split into its time buckets. Ranks are
+    deterministic when (keys, ts, tiebreak) is unique.
+    """
+    keys = list(keys)
+    us = F.unix_micros(F.col(ts).cast("timestamp"))
+    d = df.withColumn("_tb", F.floor(us / F.lit(int(bucket_seconds) * 1_000_000)).cast("long"))
+    counts = d.groupBy(*keys, "_tb").agg(F.count(F.lit(1)).alias("__rows"))
+    before = Window.partitionBy(*keys).orderBy("_tb").rowsBetween(Window.unboundedPreceding, -1)
+    offs = counts.select(*[F.col(k).alias(f"_k_{i}") for i, k in enumerate(keys)], F.col("_tb").alias("_tb2"),
+                         F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("_off"))
+    cond = [d["_tb"].eqNullSafe(offs["_tb2"])] + [d[k].eqNullSafe(offs[f"_k_{i}"]) for i, k in enumerate(keys)]
+    j = d.join(offs, cond, "inner")
+    w = Window.partitionBy(*keys, "_tb").orderBy(F.col(ts), *[F.col(c) for c in tiebreak])
+    out = j.withColumn(rank_col, F.col("_off") + F.row_number().over(w) - 1)
+    return out.drop("_tb", "_tb2", "_off", *[f"_k_{i}" for i in range(len(keys))])

@@ -10,7 +10,8 @@ Two physical strategies, same results:
 * ``chunk_rows=None`` -- plain ``Window.partitionBy(keys).orderBy(order)``.
   One shuffle; a key's whole series lands in one task.
 * ``chunk_rows=C`` -- skew-safe. Rows are numbered exactly per key
-  (``rank_within``), cut into chunks of C consecutive rows, and each chunk
+  (``rank_in_time`` for time orders, else ``rank_within``), cut into chunks
+  of C consecutive rows, and each chunk
   gets copies of the ``before`` rows preceding it and the ``after`` rows
   following it. The window then runs per (key, chunk), and only home rows
   are kept. Because every frame is bounded by constants, the halo makes the
@@ -26,7 +27,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from .ranking import rank_within
+from .ranking import rank_in_time, rank_within
 
 # Rows of one series handled by one task in the chunked plan. A series longer
 # than this is split; shorter series cost one chunk.
@@ -111,9 +112,12 @@ def rollings(col: str, specs: Iterable[tuple[int, str]], prefix: str = "rolling_
 
 def with_series_features(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                          features: Sequence[Feature], chunk_rows: int | None = DEFAULT_CHUNK_ROWS,
-                         partitions: int | None = None) -> DataFrame:
+                         partitions: int | None = None, rank_bucket_seconds: int = 86_400) -> DataFrame:
     """Append ``features`` computed over each key's series ordered by ``order``
-    (chunked plan by default; ``chunk_rows=None`` for the plain window)."""
+    (chunked plan by default; ``chunk_rows=None`` for the plain window).
+
+    Series ordered by a time column are numbered with ``rank_in_time``
+    (per-day counts, no checkpoint); other orders use ``rank_within``."""
     keys, order = list(keys), list(order)
     if not features:
         return df
@@ -124,7 +128,11 @@ def with_series_features(df: DataFrame, keys: Sequence[str], order: Sequence[str
     before = max(f.before for f in features)
     after = max(f.after for f in features)
     c = max(int(chunk_rows), before, after, 1)
-    ranked = rank_within(df, keys, order, rank_col="_rank", count_col=None, partitions=partitions)
+    time_types = ("timestamp", "timestamp_ntz", "date")
+    if len(order) >= 1 and df.schema[order[0]].dataType.simpleString() in time_types:
+        ranked = rank_in_time(df, keys, order[0], rank_bucket_seconds, rank_col="_rank", tiebreak=order[1:])
+    else:
+        ranked = rank_within(df, keys, order, rank_col="_rank", count_col=None, partitions=partitions)
     home = F.floor(F.col("_rank") / c)
     off = F.col("_rank") - home * c
     copies = F.array_distinct(F.array(

@@ -65,3 +65,24 @@ def test_top_k_per_group(spark):
     out = W.top_k_per_group(df, ["k"], [F.col("t").desc()], 2, rank_col="rn")
     counts = {r.k: r["count"] for r in out.groupBy("k").count().collect()}
     assert all(c == 2 for c in counts.values())
+
+
+def test_rank_in_time_matches_row_number(spark):
+    import datetime as dt
+    from gaugeflow.operators.ranking import rank_in_time
+    rows = [("hot" if i % 3 else f"k{i % 5}", dt.datetime(2024, 1, 1) + dt.timedelta(minutes=37 * i)) for i in range(700)]
+    rows.append((None, dt.datetime(2024, 1, 2)))
+    df = spark.createDataFrame(rows, "k string, ts timestamp_ntz")
+    got = rank_in_time(df, ["k"], "ts", bucket_seconds=3 * 3600, rank_col="r")
+    exp = df.withColumn("r", F.row_number().over(Window.partitionBy("k").orderBy("ts")) - 1)
+    assert sorted(got.collect(), key=str) == sorted(exp.collect(), key=str)
+
+
+def test_chunked_time_series_equal_plain(spark):
+    import datetime as dt
+    rows = [("hot" if i % 4 else "cold", dt.datetime(2024, 1, 1) + dt.timedelta(hours=i), float(i % 17)) for i in range(400)]
+    df = spark.createDataFrame(rows, "k string, ts timestamp_ntz, v double")
+    feats = W.lags("v", [1, 24]) + W.leads("v", [3]) + W.rollings("v", [(6, "sum")])
+    plain = W.with_series_features(df, ["k"], ["ts"], feats, chunk_rows=None).collect()
+    chunked = W.with_series_features(df, ["k"], ["ts"], feats, chunk_rows=30, rank_bucket_seconds=7200).collect()
+    assert sorted(plain, key=str) == sorted(chunked, key=str)
