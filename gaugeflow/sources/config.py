@@ -20,6 +20,10 @@ def _load(text_or_path: str) -> Any:
         return yaml.safe_load(fh)
 
 
+def _num(v: Any) -> float | None:
+    return None if v is None else float(v)
+
+
 def thresholds_dim(spark: SparkSession, text_or_path: str) -> DataFrame:
     """``{station: threshold_cm}`` mapping (optionally under a top-level key)
     -> (station_name, threshold_cm)."""
@@ -39,7 +43,7 @@ def bands_dim(spark: SparkSession, text_or_path: str) -> DataFrame:
 
     def add(name: str, bands: list) -> None:
         for i, b in enumerate(bands or [], start=1):
-            rows.append((name, i, b.get("min_cm"), b.get("max_cm"), str(b.get("id")), b.get("label"),
+            rows.append((name, i, _num(b.get("min_cm")), _num(b.get("max_cm")), str(b.get("id")), b.get("label"),
                          b.get("severity"), b.get("color")))
 
     add("DEFAULT", cfg.get("default") or cfg.get("default_bands") or [])
