@@ -234,7 +234,8 @@ SELECT event_id, date_trunc('second', ts) AS ts_second, date_trunc('minute', ts)
 def q_floor_time(spark, sf_dir):
     """Floor timestamps to second / minute / hour / day."""
     e = T.table(spark, sf_dir, "events")
-    return e.select("event_id", *[FX.floor_time("ts", u).alias(f"ts_{u}") for u in ("second", "minute", "hour", "day")])
+    return e.select("event_id", *[FX.floor_time("ts", u).cast("timestamp_ntz").alias(f"ts_{u}")
+                                  for u in ("second", "minute", "hour", "day")])
 
 
 NAME_SRC_SQL = """
@@ -815,7 +816,7 @@ def q_gap_summary(spark, sf_dir):
 
 
 @register("gap_totals", S.with_(*WX_SQL) + "SELECT count(DISTINCT dwd_station_id) AS stations, "
-          + ", ".join(f"sum({c}) AS total_{c}" for c in ["rows", *[f"{m}_missing" for m in MEASURES], "rows_with_any_gap", "complete_rows"])
+          + ", ".join(f"CAST(sum({c}) AS BIGINT) AS total_{c}" for c in ["rows", *[f"{m}_missing" for m in MEASURES], "rows_with_any_gap", "complete_rows"])
           + " FROM (" + gap_sql("wx", "x") + ")")
 def q_gap_totals(spark, sf_dir):
     """Global sums over the per-station gap summary."""
@@ -1108,7 +1109,7 @@ def q_dq_training_input(spark, sf_dir):
     """Training-input DQ metrics (rows, missing fraction, age) as rows."""
     out = HL.dq_training_input(split_frame(spark, sf_dir), "train", ["target_value_t_plus_24h", "value"],
                                "timestamp_utc", "2024-01-25 00:00:00")
-    return r6(out, ["metric_value"])
+    return r6(out, ["metric_value"]).withColumn("measured_at_utc", F.col("measured_at_utc").cast("timestamp_ntz"))
 
 
 @register("dq_predictions", EVALS_SQL + """
@@ -1123,7 +1124,8 @@ FROM a, LATERAL (VALUES
   ('prediction_model_versions', CAST(models AS DOUBLE), 1.0, models = 1)) m(metric_name, metric_value, threshold_value, ok)""")
 def q_dq_predictions(spark, sf_dir):
     """Prediction DQ metrics (rows >= 19, stations >= 1, one model)."""
-    return HL.dq_predictions(evaluations(spark, sf_dir), "run", NOW)
+    out = HL.dq_predictions(evaluations(spark, sf_dir), "run", NOW)
+    return out.withColumn("measured_at_utc", F.col("measured_at_utc").cast("timestamp_ntz"))
 
 
 @register("freshness", S.with_(*WX_SQL) + f"""
@@ -1403,13 +1405,14 @@ fills AS (
 
 
 @register("proxy_fill", S.with_(*_FILL_SQL) + f"""
-SELECT target_station_id, timestamp_utc AS _mts, variable, proxy_source_distance_km, {S.rnd('fill_value')} AS fill_value,
+SELECT target_station_id, timestamp_utc, variable, proxy_source_distance_km, {S.rnd('fill_value')} AS fill_value,
        fill_method, proxy_source_station_id, proxy_count FROM fills""")
 def q_proxy_fill(spark, sf_dir):
     """Fill values for missing (station, hour, variable) cells from up to
     3 proxies: inverse-distance-squared mean for temperature and
     precipitation with >= 2 proxies, else the nearest proxy's value."""
-    return r6(PL.proxy_fill(hourly_weather(spark, sf_dir), candidates_frame(spark, sf_dir)), ["fill_value"])
+    fills = PL.proxy_fill(hourly_weather(spark, sf_dir), candidates_frame(spark, sf_dir))
+    return r6(fills.withColumnRenamed("_mts", "timestamp_utc"), ["fill_value"])
 
 
 @register("proxy_fill_log", S.with_(*_FILL_SQL) + """

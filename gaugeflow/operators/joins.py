@@ -67,7 +67,8 @@ def ranked_fallback_join(facts: DataFrame, obs: DataFrame, mapping: DataFrame,
     for i, (_, pfx) in enumerate(ranks):
         for m in measures:
             aggs.append(F.max(F.when(F.col("_c.rank") == i, F.col(m))).alias(f"{pfx}{m}"))
-    aggs.append(F.max(F.when(F.col("_c.rank") == 0, F.col("_ohour"))).alias("weather_timestamp_utc"))
+    ts_type = facts.schema[fact_ts].dataType
+    aggs.append(F.max(F.when(F.col("_c.rank") == 0, F.col("_ohour"))).cast(ts_type).alias("weather_timestamp_utc"))
     pivot = matched.groupBy("_sid", "_hour").agg(*aggs)
     out = (facts.withColumn("_fhour", hour)
                 .join(mapping, station_col, "left")

@@ -39,7 +39,7 @@ def raw_measurements(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("S"), F.col("user_id").cast("string")).alias("station_id"),
         F.concat(F.lit("STATION "), F.col("user_id").cast("string")).alias("station_name"),
         F.lit("W").alias("timeseries_name"),
-        F.date_trunc("hour", F.col("ts")).alias("timestamp_utc"),
+        F.date_trunc("hour", F.col("ts")).cast("timestamp_ntz").alias("timestamp_utc"),
         F.when(F.col("event_id") % 7 == 0, F.lit(None).cast("double"))
          .otherwise(F.col("value") * 5 - 100).alias("value"),
         F.lit("cm").alias("unit"),
@@ -60,7 +60,7 @@ def raw_type_measurements(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("T_"), F.col("event_type")).alias("station_id"),
         F.upper(F.col("event_type")).alias("station_name"),
         F.lit("W").alias("timeseries_name"),
-        F.date_trunc("hour", F.col("ts")).alias("timestamp_utc"),
+        F.date_trunc("hour", F.col("ts")).cast("timestamp_ntz").alias("timestamp_utc"),
         F.col("value").alias("value"),
         F.lit("cm").alias("unit"),
         F.col("ts").alias("ingestion_ts_utc"),
@@ -77,7 +77,7 @@ def raw_weather(spark: SparkSession, sf_dir: str, n_stations: int = 20) -> DataF
     return e.select(
         F.concat(F.lit("D"), F.lpad(sid.cast("string"), 5, "0")).alias("dwd_station_id"),
         F.concat(F.lit("WX "), sid.cast("string")).alias("dwd_station_name"),
-        F.date_trunc("hour", F.col("ts")).alias("timestamp_utc"),
+        F.date_trunc("hour", F.col("ts")).cast("timestamp_ntz").alias("timestamp_utc"),
         station_lat(sid + 1000).alias("latitude"),
         station_lon(sid + 1000).alias("longitude"),
         F.when(F.col("event_id") % 3 == 0, F.lit(None).cast("double")).otherwise(v / 20 - 5).alias("temperature_c"),
