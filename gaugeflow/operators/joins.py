@@ -233,11 +233,9 @@ def band_join(df: DataFrame, bands: DataFrame, value_col: str, name_col: str = "
     sets = (bands.groupBy(F.col(name_col).alias("_bset"))
                  .agg(F.array_sort(F.collect_list(F.struct(*[F.col(c) for c in fields]))).alias("_bands")))
     own = sets.select(F.col("_bset").alias("_own_name"), F.col("_bands").alias("_own"))
-    dflt = sets.where(F.col("_bset") == default_name).select(F.col("_bands").alias("_dflt"))
+    dflt = sets.where(F.col("_bset") == default_name).select(F.col("_bands").alias("_dflt"))  # zero or one row
     out = (df.join(F.broadcast(own), F.col(name_col) == F.col("_own_name"), "left")
-             .crossJoin(F.broadcast(dflt.unionByName(
-                 df.sparkSession.range(1).select(F.lit(None).cast(dflt.schema["_dflt"].dataType).alias("_dflt")))
-                 .agg(F.max("_dflt").alias("_dflt")))))
+             .join(F.broadcast(dflt), F.lit(True), "left"))
     v = F.col(value_col)
     chosen = F.filter(F.coalesce(F.col("_own"), F.col("_dflt")),
                       lambda b: (b["min_cm"].isNull() | (v >= b["min_cm"]))
