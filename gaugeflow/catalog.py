@@ -81,15 +81,19 @@ def curated_series(spark: SparkSession, sf_dir: str) -> DataFrame:
                                  ["ingestion_ts_utc", "source_record_hash"]))
 
 
-def hourly_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return latest_per_key(T.raw_weather(spark, sf_dir), ["dwd_station_id", "timestamp_utc"],
-                          ["ingestion_ts_utc", "source_record_hash"])
+def hourly_weather(spark: SparkSession, sf_dir: str, raw_wx: DataFrame | None = None) -> DataFrame:
+    raw_wx = raw_wx if raw_wx is not None else T.raw_weather(spark, sf_dir)
+    return latest_per_key(raw_wx, ["dwd_station_id", "timestamp_utc"], ["ingestion_ts_utc", "source_record_hash"])
 
 
-def station_map(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cur = curated_series(spark, sf_dir)
-    return PW.weather_map(cur.select("station_id", "station_name", "latitude", "longitude"),
-                          T.raw_weather(spark, sf_dir))
+def station_map(spark: SparkSession, sf_dir: str, cur: DataFrame | None = None,
+                raw_wx: DataFrame | None = None) -> DataFrame:
+    """Gauge -> weather-station map from the curated gauges (pass the same
+    ``cur`` / ``raw_wx`` frames used elsewhere in a query so their scans and
+    shuffles are planned once and reused)."""
+    cur = cur if cur is not None else curated_series(spark, sf_dir)
+    raw_wx = raw_wx if raw_wx is not None else T.raw_weather(spark, sf_dir)
+    return PW.weather_map(cur.select("station_id", "station_name", "latitude", "longitude"), raw_wx)
 
 
 MAP_SQL = [S.RAW_MEASUREMENTS, S.DEDUP, S.CURATED, *WX_SQL, *S.weather_map_ctes(PW.NAME_BONUS_PAIRS)]
@@ -117,8 +121,9 @@ JOIN_OUT = ["station_id", "timestamp_utc", "value", "primary_dwd_station_id", "b
           + "SELECT " + ", ".join(JOIN_OUT) + " FROM wj")
 def q_hourly_fallback_join(spark, sf_dir):
     """L3 (D1 mapping join, D2 hourly joins x3, D3 coalesce fallback)."""
-    feats = PF.gauge_features(curated_series(spark, sf_dir))
-    out = PW.weather_join(feats, hourly_weather(spark, sf_dir), station_map(spark, sf_dir))
+    cur, wx = curated_series(spark, sf_dir), T.raw_weather(spark, sf_dir)
+    feats = PF.gauge_features(cur)
+    out = PW.weather_join(feats, hourly_weather(spark, sf_dir, wx), station_map(spark, sf_dir, cur, wx))
     return out.select(*JOIN_OUT)
 
 
@@ -409,8 +414,9 @@ ENRICHED_OUT = ["station_id", "timestamp_utc", "value", *MEASURES] + [f.name for
 def q_weather_enriched(spark, sf_dir):
     """L4: weather lags / trailing means and sums / deltas / trends per
     station over the joined hourly weather."""
-    feats = PF.gauge_features(curated_series(spark, sf_dir))
-    joined = PW.weather_join(feats, hourly_weather(spark, sf_dir), station_map(spark, sf_dir))
+    cur, wx = curated_series(spark, sf_dir), T.raw_weather(spark, sf_dir)
+    feats = PF.gauge_features(cur)
+    joined = PW.weather_join(feats, hourly_weather(spark, sf_dir, wx), station_map(spark, sf_dir, cur, wx))
     out = PF.weather_enriched(joined, chunk_rows=50)
     return r6(out.select(*ENRICHED_OUT), WEATHER_ROUND)
 
@@ -433,8 +439,8 @@ def supervised_sql() -> str:
 
 
 def supervised_frame(spark, sf_dir, chunk_rows=None):
-    cur = curated_series(spark, sf_dir)
-    joined = PW.weather_join(cur, hourly_weather(spark, sf_dir), station_map(spark, sf_dir))
+    cur, wx = curated_series(spark, sf_dir), T.raw_weather(spark, sf_dir)
+    joined = PW.weather_join(cur, hourly_weather(spark, sf_dir, wx), station_map(spark, sf_dir, cur, wx))
     return PF.supervised_24h(joined, chunk_rows=chunk_rows)
 
 
