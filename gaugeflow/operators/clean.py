@@ -45,16 +45,18 @@ def curate(df: DataFrame, value: str = "value", lo: float = -1000.0, hi: float =
 def date_window(df: DataFrame, ts: str, start: str | None, end: str | None,
                 end_cap: str | None = None) -> DataFrame:
     """Keep rows whose UTC date is within [start, end] (inclusive);
-    ``end`` is capped at ``end_cap`` when given."""
-    d = F.to_date(F.col(ts))
+    ``end`` is capped at ``end_cap`` when given.
+
+    Written as a range on the raw timestamp (``start <= ts < end + 1 day``)
+    rather than on ``to_date(ts)`` so the bounds are pushed into the parquet
+    scan (row-group skipping, partition pruning)."""
+    tt = df.schema[ts].dataType
     cond = F.lit(True)
     if start:
-        cond = cond & (d >= F.to_date(F.lit(start)))
+        cond = cond & (F.col(ts) >= F.lit(start).cast("date").cast(tt))
     if end:
-        e = F.to_date(F.lit(end))
-        if end_cap:
-            e = F.least(e, F.to_date(F.lit(end_cap)))
-        cond = cond & (d <= e)
+        last = min(end, end_cap) if end_cap else end
+        cond = cond & (F.col(ts) < F.date_add(F.lit(last).cast("date"), 1).cast(tt))
     return df.where(cond)
 
 
