@@ -110,6 +110,18 @@ def mode_per_group(df: DataFrame, keys: Sequence[str], col: str, alias: str | No
     return best
 
 
+def medians(df: DataFrame, keys: Sequence[str], cols: Sequence[str], suffix: str = "_median") -> DataFrame:
+    """Exact medians of several columns per group in ONE ranked pass: the
+    columns are stacked to (keys, column, value), ranked once, and pivoted
+    back."""
+    keys = list(keys)
+    stacked = df.select(*keys, F.explode(F.array(*[F.struct(F.lit(c).alias("_c"), F.col(c).cast("double").alias("_v"))
+                                                   for c in cols])).alias("_s")) \
+                .select(*keys, "_s._c", "_s._v")
+    q = exact_quantile(stacked, [*keys, "_c"], "_v", 0.5, alias="_m")
+    return q.groupBy(*keys).agg(*[F.max(F.when(F.col("_c") == c, F.col("_m"))).alias(f"{c}{suffix}") for c in cols])
+
+
 def station_profile(df: DataFrame, key: str, cols: Sequence[str], median: bool = True) -> DataFrame:
     """Mean, sample std, min, max (and exact median) per column."""
     aggs = []
@@ -118,8 +130,7 @@ def station_profile(df: DataFrame, key: str, cols: Sequence[str], median: bool =
                  F.min(c).alias(f"{c}_min"), F.max(c).alias(f"{c}_max")]
     out = df.groupBy(key).agg(*aggs)
     if median:
-        for c in cols:
-            out = out.join(exact_quantile(df, [key], c, 0.5, alias=f"{c}_median"), key, "left")
+        out = out.join(medians(df, [key], cols), key, "left")
     return out
 
 
