@@ -1473,15 +1473,17 @@ def q_upsert(spark, sf_dir):
 @register("merge_evaluations", EVALS_SQL + """
 , old AS (SELECT run_id, station_name, forecast_timestamp_utc, prediction, evaluated_at_utc FROM ev)
 , new AS (SELECT run_id, station_name, forecast_timestamp_utc, prediction, evaluated_at_utc + INTERVAL 1 HOUR AS evaluated_at_utc,
-                 actual_value FROM ev WHERE CAST(run_id AS BIGINT) % 2 = 0)
+                 actual_value FROM ev WHERE forecast_timestamp_utc >= TIMESTAMP '1998-01-01')
 SELECT * FROM (SELECT * FROM old UNION ALL BY NAME SELECT * FROM new)
 QUALIFY row_number() OVER (PARTITION BY run_id, station_name, forecast_timestamp_utc
                            ORDER BY evaluated_at_utc DESC, forecast_timestamp_utc DESC, prediction DESC, actual_value DESC NULLS LAST) = 1""")
 def q_merge_evaluations(spark, sf_dir):
-    """C5 + H2: union by name with differing columns, newest evaluation per key."""
+    """C5 + H2: stored evaluations + a re-evaluation of forecasts since 1998
+    (one hour later, with actuals): union by name with differing columns,
+    newest evaluation per key."""
     ev = evaluations(spark, sf_dir)
     old = ev.select("run_id", "station_name", "forecast_timestamp_utc", "prediction", "evaluated_at_utc")
-    new = ev.where(F.col("run_id").cast("long") % 2 == 0).select(
+    new = ev.where(F.col("forecast_timestamp_utc") >= F.lit("1998-01-01").cast("timestamp_ntz")).select(
         "run_id", "station_name", "forecast_timestamp_utc", "prediction",
         (F.col("evaluated_at_utc") + F.expr("INTERVAL 1 HOUR")).alias("evaluated_at_utc"), "actual_value")
     return DD.union_latest(old, new, ["run_id", "station_name", "forecast_timestamp_utc"],
@@ -2242,8 +2244,7 @@ def q_station_map(spark, sf_dir):
 
 
 @register("cluster_coverage", S.with_(*BASE_SERIES_SQL) + """
-, plan AS (SELECT DISTINCT station_name, CAST(substr(station_id, 2) AS INTEGER) % 4 AS cluster FROM curated
-           WHERE CAST(substr(station_id, 2) AS INTEGER) % 7 <> 0)
+, plan AS (SELECT DISTINCT station_name, CAST(substr(station_id, 2) AS INTEGER) % 4 AS cluster FROM curated)
 , tr AS (SELECT c.*, p.cluster FROM curated c JOIN plan p ON c.station_name = p.station_name
          WHERE c.timestamp_utc < TIMESTAMP '2024-01-20')
 SELECT p.cluster, coalesce(t.rows, 0) AS train_rows, coalesce(t.stations, 0) AS train_stations, p.planned_stations,
@@ -2257,7 +2258,7 @@ def q_cluster_coverage(spark, sf_dir):
     from .operators.aggs import cluster_coverage
     cur = curated_series(spark, sf_dir)
     num = F.expr("substr(station_id, 2)").cast("int")
-    plan = cur.where(num % 7 != 0).select("station_name", (num % 4).alias("cluster")).distinct()
+    plan = cur.select("station_name", (num % 4).alias("cluster")).distinct()
     train = cur.where(F.col("timestamp_utc") < F.lit("2024-01-20").cast("timestamp_ntz"))
     return cluster_coverage(train, plan, min_rows=1200, min_stations=20)
 
