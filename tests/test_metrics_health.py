@@ -63,3 +63,15 @@ def test_latest_by_keeps_one_row_per_key(spark):
     df = spark.createDataFrame([("a", 1, "x"), ("a", 2, "y"), ("b", 1, "z")], "k string, t long, v string")
     got = sorted((r.k, r.v) for r in HL.latest_by(df, ["k"], "t").collect())
     assert got == [("a", "y"), ("b", "z")]
+
+
+def test_fit_and_score_with_categorical_mode_fill(spark):
+    rows = [(f"s{i % 6}", dt.datetime(2024, 1, 1) + dt.timedelta(hours=i), float(i % 11), float((i + 3) % 11),
+             None if i % 5 == 0 else ("g1" if i % 3 else "g2")) for i in range(240)]
+    df = spark.createDataFrame(rows, "station_name string, timestamp_utc timestamp_ntz, target_value double, "
+                                     "target_value_t_plus_24h double, grp string")
+    model = ML.fit_model(df, "target_value_t_plus_24h", ["grp"], ["target_value"], max_iter=3, min_instances=2)
+    assert model.fill == {"grp": "g1"}
+    out = ML.score_latest(df, model, 24, "m1", "r1", ["target_value"]).collect()
+    assert len(out) == 6 and all(r.prediction is not None for r in out)
+    assert all(r.forecast_timestamp_utc - r.timestamp_utc == dt.timedelta(hours=24) for r in out)
