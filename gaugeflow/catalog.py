@@ -1724,12 +1724,12 @@ def _ml_frame(spark, sf_dir):
 @register("gbt_fit_score")
 def q_gbt_fit_score(spark, sf_dir):
     """M1 + M2 + M3 + M9: fit the feature pipeline + boosted trees (delta
-    target, 20 iterations) on rows before 2024-01-20 and score the newest
+    target, 10 iterations) on rows before 2024-01-20 and score the newest
     complete row of every station 24 h ahead."""
     df = _ml_frame(spark, sf_dir)
     cut = F.lit("2024-01-20").cast("timestamp_ntz")
     model = ML.fit_model(df.where(F.col("timestamp_utc") < cut), "target_value_t_plus_24h", ["station_group"],
-                         ML_NUMERIC, mode="delta", max_iter=20)
+                         ML_NUMERIC, mode="delta", max_iter=10)
     return ML.score_latest(df, model, 24, "gbt-v1", "run-1", ["target_value", "lag_1"], mode="delta")
 
 
@@ -1748,7 +1748,7 @@ def q_cluster_models(spark, sf_dir):
     cut = F.lit("2024-01-20").cast("timestamp_ntz")
     tr, te = df.where(F.col("timestamp_utc") < cut), df.where(F.col("timestamp_utc") >= cut)
     out = ML.cluster_models(tr, te, plan, "target_value_t_plus_24h", ["station_group"], ML_NUMERIC,
-                            min_rows=1000, min_stations=5, max_iter=5)
+                            min_rows=1000, min_stations=5, max_iter=3)
     return out.select("station_name", "timestamp_utc", "cluster", "model_source", "prediction", "target_value_t_plus_24h")
 
 

@@ -25,6 +25,18 @@ DEFAULT_CONF = {
 }
 
 
+# Applied only when no master is given (a cluster launch): start with many
+# shuffle partitions and let AQE coalesce them to ~256 MB each, read input in
+# 256 MB splits, and split skewed join partitions above 512 MB.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "4000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+}
+
+
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "gaugeflow", extra: dict | None = None) -> SparkSession:
     """Build (or reuse) a session with the engine defaults.
@@ -36,6 +48,8 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     if master:
         b = b.master(master)
     conf = dict(DEFAULT_CONF)
+    if master is None:
+        conf.update(CLUSTER_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
