@@ -127,9 +127,23 @@ def with_series_features(df: DataFrame, keys: Sequence[str], order: Sequence[str
 
     before = max(f.before for f in features)
     after = max(f.after for f in features)
+    expanded = chunk_series(df, keys, order, chunk_rows, before, after, partitions, rank_bucket_seconds)
+    w = Window.partitionBy(*keys, "_chunk").orderBy("_rank")
+    out = expanded.select("*", *[f.build(w).alias(f.name) for f in features])
+    return out.where(F.col("_home") == F.col("_chunk")).drop("_home", "_chunk", "_rank")
+
+
+def chunk_series(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk_rows: int, before: int,
+                 after: int, partitions: int | None = None, rank_bucket_seconds: int = 86_400) -> DataFrame:
+    """Number each series exactly (``_rank``) and assign every row to its
+    home chunk (``_home``) plus copies into the neighbouring chunks whose
+    frames reach it (``_chunk``): the ``before`` last rows of a chunk are
+    copied into the next chunk, the ``after`` first rows into the previous
+    one. A (key, _chunk) group holds at most chunk_rows + before + after rows."""
+    keys, order = list(keys), list(order)
     c = max(int(chunk_rows), before, after, 1)
     time_types = ("timestamp", "timestamp_ntz", "date")
-    if len(order) >= 1 and df.schema[order[0]].dataType.simpleString() in time_types:
+    if order and df.schema[order[0]].dataType.simpleString() in time_types:
         ranked = rank_in_time(df, keys, order[0], rank_bucket_seconds, rank_col="_rank", tiebreak=order[1:])
     else:
         ranked = rank_within(df, keys, order, rank_col="_rank", count_col=None, partitions=partitions)
@@ -140,11 +154,7 @@ def with_series_features(df: DataFrame, keys: Sequence[str], order: Sequence[str
         F.when(off >= c - before, home + 1).otherwise(home),
         F.when(off < after, home - 1).otherwise(home),
     ))
-    expanded = (ranked.withColumn("_home", home)
-                      .withColumn("_chunk", F.explode(copies)))
-    w = Window.partitionBy(*keys, "_chunk").orderBy("_rank")
-    out = expanded.select("*", *[f.build(w).alias(f.name) for f in features])
-    return out.where(F.col("_home") == F.col("_chunk")).drop("_home", "_chunk", "_rank")
+    return ranked.withColumn("_home", home).withColumn("_chunk", F.explode(copies))
 
 
 def add_lags(df: DataFrame, col: str, ks: Iterable[int], keys: Sequence[str], order: Sequence[str],

@@ -86,3 +86,20 @@ def test_chunked_time_series_equal_plain(spark):
     plain = W.with_series_features(df, ["k"], ["ts"], feats, chunk_rows=None).collect()
     chunked = W.with_series_features(df, ["k"], ["ts"], feats, chunk_rows=30, rank_bucket_seconds=7200).collect()
     assert sorted(plain, key=str) == sorted(chunked, key=str)
+
+
+def test_hot_series_is_split_into_bounded_chunks(spark):
+    """One station holds ~90 % of the rows: every (station, chunk) group the
+    window sees is bounded by chunk_rows + halo, and the hot station is spread
+    over many chunks."""
+    import datetime as dt
+    n = 3000
+    rows = [("hot" if i % 10 else f"s{i % 7}", dt.datetime(2024, 1, 1) + dt.timedelta(minutes=i)) for i in range(n)]
+    df = spark.createDataFrame(rows, "k string, ts timestamp_ntz")
+    c, before, after = 100, 24, 6
+    chunks = W.chunk_series(df, ["k"], ["ts"], c, before, after, rank_bucket_seconds=3600)
+    sizes = chunks.groupBy("k", "_chunk").count()
+    assert sizes.agg(F.max("count")).first()[0] <= c + before + after
+    assert sizes.where("k = 'hot'").count() >= (0.9 * n) // c
+    homes = chunks.where("_home = _chunk").groupBy("k").count().collect()
+    assert sum(r["count"] for r in homes) == n  # every row has exactly one home
