@@ -1519,7 +1519,7 @@ PAYLOAD_COLS = ["station_id", "station_name", "timeseries_name", "timestamp_utc"
 
 
 @register("read_station_payload", S.with_(S.RAW_MEASUREMENTS) + "SELECT station_id, station_name, timeseries_name, "
-          "timestamp_utc, value, unit, latitude, longitude, 'pegelonline' AS source FROM raw")
+          "timestamp_utc, value, unit, latitude, longitude, 'gauge_feed' AS source FROM raw")
 def q_read_station_payload(spark, sf_dir):
     """A1: gauge rows landed as nested station JSON (station -> timeseries ->
     measurements, one object per station-day) and read back with explicit

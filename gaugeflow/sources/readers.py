@@ -33,7 +33,7 @@ STATION_PAYLOAD = T.StructType([
 ])
 
 
-def read_station_payload(spark: SparkSession, path: str, series: str = "W", source: str = "pegelonline",
+def read_station_payload(spark: SparkSession, path: str, series: str = "W", source: str = "gauge_feed",
                          ingestion_ts: str | None = None) -> DataFrame:
     """A1: landed station JSON (one station object per line, timeseries with
     their measurements) -> one row per measurement of series ``series``.
@@ -85,7 +85,7 @@ def read_archive_csv(spark: SparkSession, path: str, tz: str = "Europe/Berlin",
 def normalize_archive(df: DataFrame, station_id: str | Column, station_name: str | Column,
                       timeseries_name: str = "W", unit: str = "cm", source_url: str | Column = "",
                       ingestion_ts: str | None = None, ts_col: str | None = None, value_col: str | None = None,
-                      source: str = "pegelonline") -> DataFrame:
+                      source: str = "gauge_feed") -> DataFrame:
     """A3: find the time and value columns case-insensitively (``timestamp``
     or ``date``; ``value``), falling back to the first two columns, attach
     the station columns (constants, or per-row columns such as an id taken
@@ -183,7 +183,7 @@ def canonical_measures(raw: DataFrame, family: str | Column, source_url: str | C
     out = raw.select(
         pad_id(F.col("STATIONS_ID"), 5).alias("dwd_station_id"),
         parse_hour_stamp(F.col("MESS_DATUM")).alias("timestamp_utc"),
-        ing.alias("ingestion_ts_utc"), F.lit("dwd").alias("source"), src.alias("source_url"),
+        ing.alias("ingestion_ts_utc"), F.lit("weather_feed").alias("source"), src.alias("source_url"),
         F.coalesce(F.col("QN_9"), F.col("QN_8")).alias("quality_flag"), fam.alias("variable_family"),
         *[v.alias(k) for k, v in meas.items()])
     return out.withColumn("source_record_hash",
