@@ -2377,3 +2377,20 @@ def q_stage_rows(spark, sf_dir):
     out = SK.stage_rows(summaries)
     return out.select("event_id", "run_id", "stage_name", F.col("started_at_utc").cast("timestamp_ntz").alias("started_at_utc"),
                       F.col("ended_at_utc").cast("timestamp_ntz").alias("ended_at_utc"), "status", "rows_read", "rows_written")
+
+
+@register("hourly_join", S.with_(*MAP_SQL) + """
+SELECT c.station_id, c.timestamp_utc, c.value, m.primary_dwd_station_id, """ + ", ".join(
+    f"w.{m} AS p_{m}" for m in MEASURES) + """
+FROM curated c
+LEFT JOIN wmap m ON c.station_id = m.station_id
+LEFT JOIN wx w ON w.dwd_station_id = m.primary_dwd_station_id AND w.timestamp_utc = date_trunc('hour', c.timestamp_utc)""")
+def q_hourly_join(spark, sf_dir):
+    """D1 + D2: gauge rows -> their primary weather station (mapping join)
+    -> that station's observation of the same hour (left joins)."""
+    cur, wx = curated_series(spark, sf_dir), T.raw_weather(spark, sf_dir)
+    mapped = J.join_mapping(cur.select("station_id", "timestamp_utc", "value"),
+                            station_map(spark, sf_dir, cur, wx).select("station_id", "primary_dwd_station_id"),
+                            "station_id")
+    return J.hourly_join(mapped, hourly_weather(spark, sf_dir, wx), "primary_dwd_station_id", "dwd_station_id",
+                         "timestamp_utc", "timestamp_utc", "p_", list(MEASURES))
