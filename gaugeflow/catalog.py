@@ -1672,7 +1672,8 @@ def q_stream_session(spark, sf_dir):
 @register("stream_dedup_upsert", S.with_(S.RAW_MEASUREMENTS, S.DEDUP) + "SELECT * FROM dedup")
 def q_stream_dedup_upsert(spark, sf_dir):
     """Raw gauge rows streamed from landed files into the idempotent
-    upsert sink; the merged view equals the batch dedup (C1)."""
+    upsert sink, compacted, re-run; the merged view equals the batch dedup
+    (C1)."""
     src = LD.scratch_dir(spark, "raw")
     raw = T.raw_measurements(spark, sf_dir)
     raw.repartitionByRange(6, "ingestion_ts_utc").write.mode("overwrite").parquet(src)
@@ -1680,6 +1681,7 @@ def q_stream_dedup_upsert(spark, sf_dir):
     keys, order = ["station_id", "timeseries_name", "timestamp_utc"], ["ingestion_ts_utc", "source_record_hash"]
     target, ck = LD.scratch_dir(spark, "upserted"), LD.scratch_dir(spark, "upsert-ckpt")
     ST.upsert_stream(stream, target, ck, keys, order)
+    ST.compact(spark, target, keys, order)  # fold the micro-batches into a new generation
     ST.upsert_stream(stream, target, ck, keys, order)  # a re-run after restart adds nothing
     return ST.merged_view(spark, target, keys, order).select(*raw.columns)
 

@@ -7,9 +7,10 @@ work is a Structured Streaming query over landed files:
   -- each run picks up exactly the files not seen before (the checkpoint is
   the high-water mark) and survives restarts.
 * J2 ``upsert_stream``: ``foreachBatch`` appends each micro-batch, deduped to
-  the newest row per key, as its own ``batch_id=N`` folder (re-running an
-  epoch overwrites the same folder, so replays are idempotent);
-  ``merged_view`` applies newest-per-key over all batches (merge on read).
+  the newest row per key, as its own ``gen=G/batch_id=N`` folder (re-running
+  an epoch overwrites the same folder, so replays are idempotent);
+  ``merged_view`` applies newest-per-key over the batches of the newest
+  generation (merge on read); ``compact`` folds them into a new generation.
 * J3 ``late_actual_candidates``: stream-stream interval join of predictions
   and actuals within +-tolerance under watermarks; the nearest candidate per
   prediction is picked on read (``nearest_candidates``).
@@ -57,29 +58,56 @@ def ingest_available(spark: SparkSession, src: str, schema: T.StructType, target
     run_available(transform(s) if transform else s, checkpoint, path=target)
 
 
-def batch_upsert_sink(target: str, keys: Sequence[str], order: Sequence[str | Column]):
+def batch_upsert_sink(target: str, keys: Sequence[str], order: Sequence[str | Column], generation: int = 0):
     """J2 sink: newest row per key of the micro-batch, written (overwrite) to
-    ``target/batch_id=<epoch>``."""
+    ``target/gen=<generation>/batch_id=<epoch>``."""
     def sink(batch: DataFrame, epoch_id: int) -> None:
         latest_per_key(batch, keys, order).withColumn("_batch_id", F.lit(int(epoch_id))) \
-            .write.mode("overwrite").parquet(os.path.join(target, f"batch_id={int(epoch_id)}"))
+            .write.mode("overwrite").parquet(os.path.join(target, f"gen={int(generation)}", f"batch_id={int(epoch_id)}"))
     return sink
 
 
+def current_generation(spark: SparkSession, target: str) -> int:
+    """Newest generation folder of a merge-on-read table (0 when empty)."""
+    try:
+        g = spark.read.parquet(target).agg(F.max("gen")).first()[0]
+    except Exception:  # noqa: BLE001 -- no table yet
+        return 0
+    return int(g) if g is not None else 0
+
+
 def upsert_stream(stream: DataFrame, target: str, checkpoint: str, keys: Sequence[str],
                   order: Sequence[str | Column], output_mode: str = "append") -> None:
-    """Idempotent streaming upsert (merge on read)."""
-    run_available(stream, checkpoint, sink=batch_upsert_sink(target, keys, order), output_mode=output_mode)
+    """Idempotent streaming upsert (merge on read) into the current
+    generation of ``target``."""
+    gen = current_generation(stream.sparkSession, target)
+    run_available(stream, checkpoint, sink=batch_upsert_sink(target, keys, order, gen), output_mode=output_mode)
 
 
 def merged_view(spark: SparkSession, target: str, keys: Sequence[str],
                 order: Sequence[str | Column] = ()) -> DataFrame:
-    """J2 read side: newest row per key over all batches under ``order``; the
-    later batch breaks ties. Being order-based (not arrival-based) the view
-    is the same whatever order files or batches were processed in."""
-    df = spark.read.parquet(target)
+    """J2 read side: newest row per key over the batches of the newest
+    generation, under ``order``; the later batch breaks ties. Being
+    order-based (not arrival-based) the view is the same whatever order files
+    or batches were processed in. Only the newest generation is scanned
+    (partition pruning on ``gen``)."""
+    gen = current_generation(spark, target)
+    df = spark.read.parquet(target).where(F.col("gen") == gen)
     out = latest_per_key(df, keys, [*order, "_batch_id"])
-    return out.drop("_batch_id", "batch_id")
+    return out.drop("_batch_id", "batch_id", "gen")
+
+
+def compact(spark: SparkSession, target: str, keys: Sequence[str], order: Sequence[str | Column] = ()) -> int:
+    """Rewrite the merged view as the base batch of a new generation, so reads
+    no longer scan every past micro-batch. Later batches go to the new
+    generation; older generations are left for a retention job to remove.
+    Returns the new generation."""
+    gen = current_generation(spark, target)
+    merged = merged_view(spark, target, keys, order)
+    nxt = gen + 1
+    merged.withColumn("_batch_id", F.lit(-1)).write.mode("overwrite") \
+        .parquet(os.path.join(target, f"gen={nxt}", "batch_id=-1"))
+    return nxt
 
 
 def flush_sessions(spark: SparkSession, src: str, schema: T.StructType, ts: str, key: str, sentinel_key,
