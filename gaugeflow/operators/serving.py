@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import normalize_name, risk_level
-from .joins import attach_segments, band_join, segment_arrays, threshold_join
+from .joins import attach_segments, band_join, threshold_join
 
 
 def latest_run(preds: DataFrame, segments: DataFrame, split: str = "production",

@@ -14,8 +14,6 @@ import io
 import os
 import uuid
 import zipfile
-from collections.abc import Iterator
-
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
