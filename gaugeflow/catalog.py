@@ -28,10 +28,15 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
+def _rnd6(c):
+    r = F.round(c * F.lit(1e6)) / F.lit(1e6)
+    return F.when(r == 0, F.lit(0.0)).otherwise(r)  # no negative zero
+
+
 def r6(df: DataFrame, cols) -> DataFrame:
     """Round to 6 decimals as round(x * 1e6) / 1e6 (same double, same tie
     rule, in both engines)."""
-    return df.withColumns({c: F.round(F.col(c) * F.lit(1e6)) / F.lit(1e6) for c in cols})
+    return df.withColumns({c: _rnd6(F.col(c)) for c in cols})
 
 
 # --------------------------------------------------------------------------- flagship
@@ -1021,7 +1026,7 @@ def q_model_eval(spark, sf_dir):
     out = MT.model_eval(evaluations(spark, sf_dir))
     out = out.select("model_version", "mae", "rmse", "mbe",
                      F.transform("mae_by_station", lambda x: x["station_name"]).alias("mae_station_names"),
-                     F.transform("mae_by_station", lambda x: F.round(x["mae"] * F.lit(1e6)) / F.lit(1e6))
+                     F.transform("mae_by_station", lambda x: _rnd6(x["mae"]))
                       .alias("mae_station_values"))
     return r6(out, ["mae", "rmse", "mbe"])
 

@@ -9,8 +9,10 @@ from __future__ import annotations
 
 def rnd(expr: str) -> str:
     """6-decimal rounding written out as round(x * 1e6) / 1e6 so that both
-    engines round the same double the same way (half away from zero)."""
-    return f"(round(({expr}) * 1000000.0) / 1000000.0)"
+    engines round the same double the same way (half away from zero); a
+    negative zero (from summation noise) is returned as zero."""
+    r = f"(round(({expr}) * 1000000.0) / 1000000.0)"
+    return f"(CASE WHEN {r} = 0 THEN 0.0 ELSE {r} END)"  # no negative zero
 
 
 def coord(key: str, mult: int, modulus: int, base: float) -> str:
@@ -101,14 +103,14 @@ def with_(*ctes: str) -> str:
     return "WITH " + ",\n".join(c.strip() for c in ctes) + "\n"
 
 
-GAUGE_FEATURES_COLS = """
+GAUGE_FEATURES_COLS = f"""
   lag(value, 1) OVER w AS lag_1,
   lag(value, 3) OVER w AS lag_3,
   lag(value, 6) OVER w AS lag_6,
   value - lag(value, 1) OVER w AS diff_1,
   value - lag(value, 3) OVER w AS diff_3,
-  round(avg(value) OVER (w ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING) * 1000000.0) / 1000000.0 AS rolling_mean_3,
-  round(stddev_samp(value) OVER (w ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING) * 1000000.0) / 1000000.0 AS rolling_std_3,
+  {rnd("avg(value) OVER (w ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING)")} AS rolling_mean_3,
+  {rnd("stddev_samp(value) OVER (w ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING)")} AS rolling_std_3,
   min(value) OVER (w ROWS BETWEEN 6 PRECEDING AND 1 PRECEDING) AS rolling_min_6,
   max(value) OVER (w ROWS BETWEEN 6 PRECEDING AND 1 PRECEDING) AS rolling_max_6"""
 
