@@ -74,7 +74,15 @@ def rank_within(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column
 def global_rank(df: DataFrame, order: Sequence[str | Column], rank_col: str = "_rank",
                 count_col: str | None = "_total_rows", partitions: int | None = None) -> DataFrame:
     """0-based position of each row in a total order, without a
-    single-partition window (the offsets table has one row per partition)."""
+    single-partition window over the data (the offsets tables have one row
+    per day or per partition). A single time column is ranked with per-day
+    counts (``rank_in_time``); other orders use ``rank_within``."""
+    if len(order) == 1 and isinstance(order[0], str) and \
+            df.schema[order[0]].dataType.simpleString() in ("timestamp", "timestamp_ntz", "date"):
+        out = rank_in_time(df, [], order[0], rank_col=rank_col)
+        if count_col:
+            out = out.crossJoin(F.broadcast(df.agg(F.count(F.lit(1)).alias(count_col))))  # one row
+        return out
     return rank_within(df, [], order, rank_col=rank_col, count_col=count_col, partitions=partitions)
 
 
@@ -83,13 +91,14 @@ def exact_quantile(df: DataFrame, keys: Sequence[str], value: str, q: float,
     """Exact continuous quantile (linear interpolation, as ``percentile`` /
     DuckDB ``quantile_cont``) of ``value`` per key group, nulls ignored.
 
-    Only the two bracketing ranks of each group are kept after numbering, so
-    no group is ever gathered into one buffer.
+    Values are numbered with ``rank_by_value`` (no checkpoint); only the
+    two bracketing ranks of each group are kept after numbering, so no group
+    is ever gathered into one buffer.
     """
     keys = list(keys)
     alias = alias or f"{value}_q{int(round(q * 100))}"
     v = df.select(*keys, value).where(F.col(value).isNotNull())
-    r = rank_within(v, keys, [value], rank_col="_r", count_col="_cnt", partitions=partitions)
+    r = rank_by_value(v, keys, value, rank_col="_r", count_col="_cnt", buckets=partitions)
     pos = (F.col("_cnt") - 1) * F.lit(float(q))
     r = (r.withColumn("_pos", pos)
            .withColumn("_lo", F.floor("_pos"))
@@ -126,3 +135,39 @@ def rank_in_time(df: DataFrame, keys: Sequence[str], ts: str, bucket_seconds: in
     w = Window.partitionBy(*keys, "_tb").orderBy(F.col(ts), *[F.col(c) for c in tiebreak])
     out = j.withColumn(rank_col, F.col("_off") + F.row_number().over(w) - 1)
     return out.drop("_tb", "_tb2", "_off", *[f"_k_{i}" for i in range(len(keys))])
+
+
+def rank_by_value(df: DataFrame, keys: Sequence[str], value: str, rank_col: str = "_rank",
+                  count_col: str | None = "_group_rows", buckets: int | None = None,
+                  relative_error: float = 0.001) -> DataFrame:
+    """0-based row number within ``keys`` ordered by a numeric ``value``
+    (nulls excluded by the caller), without a checkpoint.
+
+    Bucket edges are approximate global quantiles of ``value`` (one
+    ``approxQuantile`` job; ``buckets`` + 1 numbers reach the driver).
+    Rows are counted per (key, bucket) -- a partial aggregate -- the counts
+    become offsets on that small table, are joined back on (key, bucket),
+    and ``row_number`` runs per (key, bucket). The approximate edges only
+    decide how the work is split; the ranks are exact.
+    """
+    keys = list(keys)
+    n = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    probs = [i / n for i in range(1, n)]
+    edges = sorted(set(x for x in df.approxQuantile(value, probs, relative_error) if x is not None))
+    from pyspark.ml.feature import Bucketizer  # binary search over the edges, JVM side
+    if edges:
+        splits = [float("-inf"), *[float(e) for e in edges], float("inf")]
+        d = df.withColumn("_vval", F.col(value).cast("double"))
+        d = Bucketizer(splits=splits, inputCol="_vval", outputCol="_vb", handleInvalid="keep").transform(d).drop("_vval")
+    else:  # empty input
+        d = df.withColumn("_vb", F.lit(0.0))
+    counts = d.groupBy(*keys, "_vb").agg(F.count(F.lit(1)).alias("__rows"))
+    before = Window.partitionBy(*keys).orderBy("_vb").rowsBetween(Window.unboundedPreceding, -1)
+    offs = counts.select(*[F.col(k).alias(f"_k_{i}") for i, k in enumerate(keys)], F.col("_vb").alias("_vb2"),
+                         F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("_off"),
+                         *([F.sum("__rows").over(Window.partitionBy(*keys)).alias(count_col)] if count_col else []))
+    cond = [d["_vb"] == offs["_vb2"]] + [d[k].eqNullSafe(offs[f"_k_{i}"]) for i, k in enumerate(keys)]
+    j = d.join(offs, cond, "inner")
+    w = Window.partitionBy(*keys, "_vb").orderBy(F.col(value))
+    out = j.withColumn(rank_col, F.col("_off") + F.row_number().over(w) - 1)
+    return out.drop("_vb", "_vb2", "_off", *[f"_k_{i}" for i in range(len(keys))])
