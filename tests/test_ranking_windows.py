@@ -103,3 +103,17 @@ def test_hot_series_is_split_into_bounded_chunks(spark):
     assert sizes.where("k = 'hot'").count() >= (0.9 * n) // c
     homes = chunks.where("_home = _chunk").groupBy("k").count().collect()
     assert sum(r["count"] for r in homes) == n  # every row has exactly one home
+
+
+def test_rank_by_value_matches_row_number(spark):
+    from gaugeflow.operators.ranking import rank_by_value
+    import random
+    rnd = random.Random(5)
+    rows = [("hot" if i % 3 else f"k{i % 4}", rnd.uniform(-50, 50)) for i in range(900)]
+    df = spark.createDataFrame(rows, "k string, v double")
+    got = rank_by_value(df, ["k"], "v", rank_col="r", count_col="n", buckets=7)
+    exp = (df.withColumn("r", F.row_number().over(Window.partitionBy("k").orderBy("v")) - 1)
+             .withColumn("n", F.count("*").over(Window.partitionBy("k"))))
+    assert sorted(got.select("k", "v", "r", "n").collect()) == sorted(exp.select("k", "v", "r", "n").collect())
+    glob = rank_by_value(df, [], "v", rank_col="r", count_col=None, buckets=5).collect()
+    assert sorted(r.r for r in glob) == list(range(900))
