@@ -9,6 +9,7 @@ broadcast conversion), and a checkpoint directory taken from the cluster
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -66,7 +67,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     A cluster names a shared folder there and we use it as is. Only when the
-    setting is absent (local tests) do we pick a scratch folder of our own.
+    setting is absent do we pick a scratch folder of our own, and only on a
+    local master: executors on other machines would not see it.
     """
     sc = spark.sparkContext
     current = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
@@ -77,6 +79,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     existing = sc.getCheckpointDir()
     if existing:
         return existing
+    if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     path = tempfile.mkdtemp(prefix="gaugeflow-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(path)
     spark.conf.set("spark.checkpoint.dir", path)
