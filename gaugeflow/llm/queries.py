@@ -91,8 +91,9 @@ def op8_block_max_wand(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP8_SQL = r"""
 WITH words AS (
-  SELECT doc_id, unnest(list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), x -> x <> '')) AS w
-  FROM documents),
+  SELECT doc_id, w FROM (
+    SELECT doc_id, unnest(string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{N}]+')) AS w FROM documents)
+  WHERE w <> ''),
 tf AS (SELECT doc_id, w, count(*) AS tf FROM words GROUP BY doc_id, w),
 dl AS (SELECT d.doc_id, coalesce(sum(t.tf), 0) AS dl FROM documents d LEFT JOIN tf t USING (doc_id) GROUP BY d.doc_id),
 corpus AS (SELECT count(*) AS n, avg(dl) AS mean FROM dl),
