@@ -3,10 +3,10 @@
 Texts are split into words inside Spark. A run of documents within one task is
 a *block*: its distinct words are numbered in order of appearance and each
 document becomes the list of its words' numbers. Both are stored in one table,
-so later steps agree on the numbers whatever is recomputed. The distinct words
-of all blocks are encoded once each, joined back to the blocks' words, and a
-block's documents take their ids by position. Decoding joins ids to the
-vocabulary's pieces.
+so later steps agree on the numbers whatever is recomputed. The words of all
+blocks are brought together, each distinct word is encoded once, its ids go
+back to the blocks' numbers, and a block's documents take them by position.
+Decoding joins ids to the vocabulary's pieces.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gaugeflow.llm.common import shared_table
+from gaugeflow.llm.common import shared_path
 
 # The split pattern of the word-level vocabulary.
 WORD_BPE_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -182,16 +182,39 @@ def split_blocks(docs: DataFrame, path: str, key_col: str = "doc_id", text_col:
     return docs.select(key_col, text_col).mapInArrow(run, schema)
 
 
-def encode_words(words: DataFrame, path: str) -> DataFrame:
-    """(word) distinct -> (word, ids), ids as little-endian unsigned 32-bit bytes."""
+def encode_words(used: DataFrame, path: str) -> DataFrame:
+    """(``block``, ``slot``, ``word``) -> (``of``, ``slot``, ``ids``), ids as
+    little-endian unsigned 32-bit bytes.
+
+    One shuffle brings a word's rows of all blocks together in order, so that
+    the distinct word is encoded once and its ids go back to every block.
+    """
     def run(batches):
-        encoder = word_encoder(path)
+        encoder, last = word_encoder(path), {}
         for batch in batches:
-            found = encoder.encode_batch_fast(batch.column(0).to_pylist(), add_special_tokens=False)
-            ids = [struct.pack(f"<{len(e.ids)}I", *e.ids) for e in found]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], names=["word", "ids"])
-
-    return words.select("word").mapInArrow(run, "word string, ids binary")
+            words = batch.column(2).dictionary_encode()
+            distinct = words.dictionary.to_pylist()
+            new = [w for w in distinct if w not in last]
+            found = dict(zip(new, encoder.encode_batch_fast(new, add_special_tokens=False)))
+            ids = [last[w] if w in last else struct.pack(f"<{len(found[w].ids)}I", *found[w].ids) for w in distinct]
+            last = {distinct[-1]: ids[-1]} if distinct else last
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(ids, pa.binary()).take(words.indices)],
+                names=["of", "slot", "ids"])
+
+    together = used.select("block", "slot", "word").repartition("word").sortWithinPartitions("word")
+    return together.mapInArrow(run, "of long, slot int, ids binary")
+
+
+def by_block(blocks: DataFrame) -> DataFrame:
+    """``split_blocks`` stored in the shared folder, bucketed by block, so that
+    bringing a block's documents together needs no shuffle."""
+    spark = blocks.sparkSession
+    path = shared_path(spark, "blocks")
+    name = "llm_" + path.rsplit("-", 1)[-1]
+    (blocks.write.option("compression", "zstd").option("path", path).format("parquet")
+     .bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), "block").saveAsTable(name))
+    return spark.table(name)
 
 
 def decode_ids(ids: DataFrame, key_cols: list[str], pieces: DataFrame) -> DataFrame:
@@ -215,11 +238,9 @@ def encode_documents(docs: DataFrame, path: str, key_col: str = "doc_id", text_c
     keys give a row each; an empty table an empty result.
     """
     spark = docs.sparkSession
-    blocks = shared_table(split_blocks(docs, path, key_col, text_col, block_chars), "blocks")
-    used = blocks.where(F.col("word").isNotNull()).select("block", "slot", "word")
-    table = shared_table(encode_words(used.select("word").distinct(), path), "words")
-    placed = used.join(table, "word").select("block", "slot", "ids")
-    texts = blocks.where(F.col("slots").isNotNull()).select(F.col("block").alias("of"), key_col, "slots")
+    blocks = by_block(split_blocks(docs, path, key_col, text_col, block_chars))
+    placed = encode_words(blocks.where(F.col("word").isNotNull()), path)
+    texts = blocks.where(F.col("slots").isNotNull()).select("block", key_col, "slots")
 
     pieces = spark.sparkContext.broadcast(
         vocabulary(spark, path).toPandas().set_index("id")["piece"].to_dict())
@@ -251,4 +272,4 @@ def encode_documents(docs: DataFrame, path: str, key_col: str = "doc_id", text_c
         out.insert(0, key_col, documents[key_col].to_numpy())
         return out
 
-    return texts.groupBy("of").cogroup(placed.groupBy("block")).applyInPandas(compose, schema)
+    return texts.groupBy("block").cogroup(placed.groupBy("of")).applyInPandas(compose, schema)
