@@ -14,7 +14,6 @@ from __future__ import annotations
 import hashlib
 import json
 import re
-import struct
 from functools import lru_cache
 
 import numpy as np
@@ -33,7 +32,7 @@ WORD_BPE_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: Characters on which every Unicode version agrees, already in composed form.
 OUTSIDE_STABLE = re.compile(r"[^\t\n\r\x20-\x7e\u00a1-\u024f]")
 #: Characters after which a block is closed; a block holds whole documents.
-BLOCK_CHARS = 24_000_000
+BLOCK_CHARS = 48_000_000
 
 
 class WordSplitter:
@@ -156,7 +155,7 @@ def split_blocks(docs: DataFrame, path: str, key_col: str = "doc_id", text_col:
              pa.nulls(n, arrow_key), pa.nulls(n, pa.binary())], names=schema.names)
 
     def run(batches):
-        number, block = TaskContext.get().partitionId() << 24, Block(splitter(path))
+        number, block = TaskContext.get().partitionId() << 10, Block(splitter(path))  # under 2**31 for 2 million tasks
         for batch in batches:
             coded, at, keys = [], 0, batch.column(0)
 
@@ -183,8 +182,8 @@ def split_blocks(docs: DataFrame, path: str, key_col: str = "doc_id", text_col:
 
 
 def encode_words(used: DataFrame, path: str) -> DataFrame:
-    """(``block``, ``slot``, ``word``) -> (``of``, ``slot``, ``ids``), ids as
-    little-endian unsigned 32-bit bytes.
+    """(``block``, ``slot``, ``word``) -> (``of``, ``coded``): the block, and as
+    varints the word's number in it followed by the word's ids.
 
     One shuffle brings a word's rows of all blocks together in order, so that
     the distinct word is encoded once and its ids go back to every block.
@@ -192,18 +191,20 @@ def encode_words(used: DataFrame, path: str) -> DataFrame:
     def run(batches):
         encoder, last = word_encoder(path), {}
         for batch in batches:
-            words = batch.column(2).dictionary_encode()
+            words = batch.column(1).dictionary_encode()
             distinct = words.dictionary.to_pylist()
             new = [w for w in distinct if w not in last]
             found = dict(zip(new, encoder.encode_batch_fast(new, add_special_tokens=False)))
-            ids = [last[w] if w in last else struct.pack(f"<{len(found[w].ids)}I", *found[w].ids) for w in distinct]
+            ids = [last[w] if w in last else b"".join(map(to_varint, found[w].ids)) for w in distinct]
             last = {distinct[-1]: ids[-1]} if distinct else last
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(ids, pa.binary()).take(words.indices)],
-                names=["of", "slot", "ids"])
+            refs = batch.column(0).to_numpy()
+            coded = [to_varint(slot) + ids[w] for slot, w in
+                     zip((refs & 0xFFFFFFFF).tolist(), words.indices.to_pylist())]
+            yield pa.RecordBatch.from_arrays([pa.array(refs >> 32), pa.array(coded, pa.binary())], names=["of", "coded"])
 
-    together = used.select("block", "slot", "word").repartition("word").sortWithinPartitions("word")
-    return together.mapInArrow(run, "of long, slot int, ids binary")
+    ref = F.shiftleft("block", 32).bitwiseOR(F.col("slot").cast("long")).alias("ref")
+    together = used.select(ref, "word").repartition("word").sortWithinPartitions("word")
+    return together.mapInArrow(run, "of long, coded binary")
 
 
 def by_block(blocks: DataFrame) -> DataFrame:
@@ -252,11 +253,15 @@ def encode_documents(docs: DataFrame, path: str, key_col: str = "doc_id", text_c
 
     def compose(documents: pd.DataFrame, words: pd.DataFrame) -> pd.DataFrame:
         piece = pieces.value
-        words = words.sort_values("slot")
-        counts = np.asarray([len(x) // 4 for x in words["ids"]], np.int64)
-        flat = np.frombuffer(b"".join(words["ids"]), "<u4")
-        begins = np.cumsum(counts) - counts
-        names = [piece[i] for i in flat.tolist()]  # the id-to-piece join
+        coded = words["coded"].tolist()
+        flat = from_varints(b"".join(coded))
+        ends = np.cumsum([sum(b < 128 for b in c) for c in coded]) if coded else np.zeros(0, np.int64)
+        first = np.concatenate([[0], ends[:-1]]).astype(np.int64)[:len(coded)]
+        begins, counts = np.zeros(len(coded), np.int64), np.zeros(len(coded), np.int64)
+        begins[flat[first]], counts[flat[first]] = first + 1, ends - first - 1
+        slot_at = np.zeros(len(flat), bool)
+        slot_at[first] = True
+        names = ["" if s else piece[i] for i, s in zip(flat.tolist(), slot_at.tolist())]  # the id-to-piece join
         spelled = [" ".join(names[a:a + n]) for a, n in zip(begins.tolist(), counts.tolist())]
         rows = []
         for slots in documents["slots"]:
@@ -265,9 +270,9 @@ def encode_documents(docs: DataFrame, path: str, key_col: str = "doc_id", text_c
             total = int(n.sum())
             ids = flat[np.repeat(begins[at] - (np.cumsum(n) - n), n) + np.arange(total)]
             text = " ".join([spelled[i] for i in at[n > 0].tolist()])
-            rows.append((total, hashlib.sha256(ids.tobytes()).hexdigest(),
+            rows.append((total, hashlib.sha256(ids.astype("<u4").tobytes()).hexdigest(),
                          hashlib.sha256(text.encode()).hexdigest()) if digests else
-                        (total, ids.astype(np.int64), text))
+                        (total, ids, text))
         out = pd.DataFrame(rows, columns=schema.names[1:])
         out.insert(0, key_col, documents[key_col].to_numpy())
         return out
