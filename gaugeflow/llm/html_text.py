@@ -36,7 +36,7 @@ ASIDE_WORDS = frozenset("ad ads advert adverts advertisement advertising sponsor
                         "subscription signup login share sharing social related recommended comment comments "
                         "commentlist respond disqus replies widget toolbar pagination pager skip".split())
 #: Standard deviation of the smoothing, in lines, and the part of the ratios' deviation that is the threshold.
-SIGMA, THRESHOLD = 1.0, 0.25
+SIGMA, THRESHOLD = 1.0, 1.0
 NAME_WORDS = re.compile(r"[a-z]+|\d+")
 
 

@@ -29,7 +29,7 @@ PRIOR, DRIFT = 0.02, 0.1
 CHANCE_TOKENS = 0.1
 #: A segment is significant when at most this many as good are expected in a clean text of the length.
 MOST_EXPECTED = 0.05
-STEM, WORD = 4, re.compile(r"[^\W_]+")
+SHINGLE, STEM, WORD = 5, 4, re.compile(r"[^\W_]+")
 #: Token scores that a worker keeps.
 CACHED = 500_000
 
@@ -152,16 +152,18 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column | None = None, key_col
     """Learn from documents whose ``labels`` row satisfies ``train``.
 
     Only texts and labels are used, at most ``sample_rows`` keys of each
-    class. Near copies count once: of documents of one class that share their
-    longest word one is used for the odds. Without a label of both classes the
+    class. Near copies count once: of documents of one class that share the
+    least hash of their shingles of five words one is used for the odds. Without a label of both classes the
     model has no odds and finds every text clean.
     """
     from gaugeflow.llm.common import shared_table
 
     sample = shared_table(labelled_sample(docs, labels, train, key_col, text_col, label_col, sample_rows), "toxicity")
-    words = F.filter(F.array_distinct(F.split(F.lower("text"), r"[^\p{L}\p{N}]+")), lambda w: w != "")
-    longest = F.array_max(F.transform(words, lambda w: F.struct(F.length(w), w)))
-    texts = sample.select("y", words.alias("words"), longest.alias("longest")).dropDuplicates(["y", "longest"])
+    words = F.filter(F.split(F.lower("text"), r"[^\p{L}\p{N}]+"), lambda w: w != "")
+    starts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.size("words") - SHINGLE + 1))
+    least = F.array_min(F.transform(starts, lambda i: F.xxhash64(F.slice("words", i, SHINGLE))))
+    texts = (sample.select("y", words.alias("words")).select("y", F.array_distinct("words").alias("words"), least.alias("least"))
+             .dropDuplicates(["y", "least"]))
     tokens = texts.select("y", F.explode(F.array_distinct(F.concat(
         "words", F.transform("words", lambda w: F.concat(F.lit("~"), F.substring(w, 1, STEM)))))).alias("token"))
     counts = shared_table(tokens.groupBy("token").agg(
