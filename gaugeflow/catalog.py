@@ -692,7 +692,7 @@ cand AS (
   SELECT c.station_id, c.timestamp_utc, c.station_name, c.value, b.band_order, b.band_id, b.band_label, b.severity
   FROM curated c JOIN bands b
     ON b.station_name = CASE WHEN c.station_name IN (SELECT station_name FROM bands) THEN c.station_name ELSE 'DEFAULT' END
-   AND (b.min_cm IS NULL OR c.value >= b.min_cm) AND (b.max_cm IS NULL OR c.value < b.max_cm)
+   AND (b.min_cm IS NULL OR c.value >= b.min_cm) AND (b.max_cm IS NULL OR c.value <= b.max_cm)
   QUALIFY row_number() OVER (PARTITION BY c.station_id, c.timestamp_utc ORDER BY b.band_order) = 1)""") + """
 SELECT c.station_id, c.timestamp_utc, c.station_name, c.value, k.band_id, k.band_label, k.severity
 FROM curated c LEFT JOIN cand k ON c.station_id = k.station_id AND c.timestamp_utc = k.timestamp_utc""")
@@ -1057,7 +1057,7 @@ def dq_metrics_table(spark, sf_dir):
 SELECT CAST(started_at_utc AS DATE) AS execution_date, count(*) AS total_runs,
        count(*) FILTER (WHERE lower(status) IN ('success', 'succeeded', 'ok', 'pass')) AS successful_runs,
        count(*) FILTER (WHERE lower(status) IN ('failed', 'failure', 'error')) AS failed_runs,
-       {S.rnd('avg(duration_seconds)')} AS average_duration_seconds, max(rows_ingested) AS maximum_rows_ingested,
+       round(avg(duration_seconds) * 100) / 100 AS average_duration_seconds, max(rows_ingested) AS maximum_rows_ingested,
        max(rows_predicted) AS maximum_rows_predicted, max(stations_processed) AS maximum_stations_processed
 FROM (SELECT * REPLACE (CASE status WHEN 'F' THEN 'FAILED' WHEN 'O' THEN 'Success' ELSE 'running' END AS status) FROM runs)
 GROUP BY 1""")
@@ -1065,7 +1065,7 @@ def q_daily_health(spark, sf_dir):
     """Per day run counts by status vocabulary, avg duration, maxima."""
     r = runs_table(spark, sf_dir).withColumn(
         "status", F.when(F.col("status") == "F", "FAILED").when(F.col("status") == "O", "Success").otherwise("running"))
-    return r6(HL.daily_health(r), ["average_duration_seconds"])
+    return HL.daily_health(r)
 
 
 @register("run_quality_summary", S.with_(DQ_SQL) + """
@@ -1124,8 +1124,9 @@ def q_dq_training_input(spark, sf_dir):
 
 
 @register("dq_predictions", EVALS_SQL + """
-, a AS (SELECT count(*) AS n, count(DISTINCT station_name) AS stations, count(DISTINCT model_version) AS models FROM ev)
-SELECT 'run' AS run_id, m.metric_name, 'predictions' AS metric_scope, m.metric_value,
+, a AS (SELECT count(*) AS n, count(DISTINCT station_name) AS stations, count(DISTINCT model_version) AS models FROM ev
+       WHERE run_id = (SELECT max(run_id) FROM ev))
+SELECT (SELECT max(run_id) FROM ev) AS run_id, m.metric_name, 'predictions' AS metric_scope, m.metric_value,
        CAST(m.threshold_value AS DOUBLE) AS threshold_value,
        CASE WHEN m.ok THEN 'pass' ELSE 'fail' END AS status, TIMESTAMP '2001-08-02 00:00:00' AS measured_at_utc,
        '{"rows":' || CAST(n AS VARCHAR) || ',"stations":' || CAST(stations AS VARCHAR) || ',"models":' || CAST(models AS VARCHAR) || '}' AS details_json
@@ -1134,8 +1135,9 @@ FROM a, LATERAL (VALUES
   ('prediction_station_count', CAST(stations AS DOUBLE), 1.0, stations >= 1),
   ('prediction_model_versions', CAST(models AS DOUBLE), 1.0, models = 1)) m(metric_name, metric_value, threshold_value, ok)""")
 def q_dq_predictions(spark, sf_dir):
-    """Prediction DQ metrics (rows >= 19, stations >= 1, one model)."""
-    out = HL.dq_predictions(evaluations(spark, sf_dir), "run", NOW)
+    """Prediction DQ metrics (rows >= 19, stations >= 1, one model) of the newest run."""
+    ev = evaluations(spark, sf_dir)
+    out = HL.dq_predictions(ev, ev.agg(F.max("run_id")).first()[0], NOW)
     return out.withColumn("measured_at_utc", F.col("measured_at_utc").cast("timestamp_ntz"))
 
 
@@ -1343,9 +1345,9 @@ def q_last_n_months(spark, sf_dir):
 @register("eligible_stations", S.with_(*WX_SQL) + """
 SELECT * FROM wx WHERE dwd_station_id IN (
   SELECT dwd_station_id FROM wx GROUP BY 1
-  HAVING count(*) >= 300 AND avg(CASE WHEN temperature_c IS NOT NULL AND wind_speed_ms IS NOT NULL THEN 1.0 ELSE 0.0 END) >= 0.45)""")
+  HAVING count(*) FILTER (WHERE temperature_c IS NOT NULL AND wind_speed_ms IS NOT NULL) >= 300 AND avg(CASE WHEN temperature_c IS NOT NULL AND wind_speed_ms IS NOT NULL THEN 1.0 ELSE 0.0 END) >= 0.45)""")
 def q_eligible_stations(spark, sf_dir):
-    """Stations with >= 300 rows and >= 45 % fully populated rows."""
+    """Stations with >= 300 fully populated rows that are >= 45 % of theirs."""
     return CL.eligible_groups(hourly_weather(spark, sf_dir), "dwd_station_id", ["temperature_c", "wind_speed_ms"], 0.45, 300)
 
 
@@ -1796,11 +1798,11 @@ def registry_table(spark, sf_dir):
 
 
 @register("promote_rank", S.with_(REGISTRY_SQL) + """
-SELECT model_version, status, rmse, mae, row_number() OVER (ORDER BY rmse, mae, CAST(trained_at_utc AS VARCHAR)) AS rank
+SELECT model_version, status, rmse, mae, row_number() OVER (ORDER BY rmse, mae, CAST(trained_at_utc AS VARCHAR), model_version) AS rank
 FROM (SELECT *, TRY_CAST(CASE WHEN json_valid(evaluation_metrics_json) THEN json_extract_string(evaluation_metrics_json, '$.rmse') END AS DOUBLE) AS rmse,
              TRY_CAST(CASE WHEN json_valid(evaluation_metrics_json) THEN json_extract_string(evaluation_metrics_json, '$.mae') END AS DOUBLE) AS mae
       FROM reg)
-WHERE rmse IS NOT NULL AND mae IS NOT NULL""")
+WHERE rmse IS NOT NULL AND mae IS NOT NULL AND status IN ('prod', 'staging')""")
 def q_promote_rank(spark, sf_dir):
     """Registry models with readable metrics ranked by (rmse, mae,
     trained_at) -- globally, without a single-partition window."""
@@ -1809,13 +1811,13 @@ def q_promote_rank(spark, sf_dir):
 
 
 @register("promote", S.with_(REGISTRY_SQL, """
-ranked AS (SELECT *, row_number() OVER (ORDER BY rmse, mae, CAST(trained_at_utc AS VARCHAR)) AS rnk
+ranked AS (SELECT *, row_number() OVER (ORDER BY rmse, mae, CAST(trained_at_utc AS VARCHAR), model_version) AS rnk
            FROM (SELECT *, TRY_CAST(CASE WHEN json_valid(evaluation_metrics_json) THEN json_extract_string(evaluation_metrics_json, '$.rmse') END AS DOUBLE) AS rmse,
                         TRY_CAST(CASE WHEN json_valid(evaluation_metrics_json) THEN json_extract_string(evaluation_metrics_json, '$.mae') END AS DOUBLE) AS mae
-                 FROM reg) WHERE rmse IS NOT NULL AND mae IS NOT NULL)""", """
-win AS (SELECT w.model_version AS win FROM (SELECT * FROM ranked WHERE status = 'staging' ORDER BY rnk LIMIT 1) w
-        WHERE (SELECT min(rmse) FROM ranked WHERE status = 'prod') IS NULL
-           OR w.rmse <= (SELECT min(rmse) FROM ranked WHERE status = 'prod') + 0.5)""") + """
+                 FROM reg) WHERE rmse IS NOT NULL AND mae IS NOT NULL AND status IN ('prod', 'staging'))""", """
+win AS (SELECT w.model_version AS win FROM (SELECT * FROM ranked WHERE rnk = 1) w
+        WHERE w.status = 'staging' AND ((SELECT min(rmse) FROM ranked WHERE status = 'prod') IS NULL
+           OR w.rmse <= (SELECT min(rmse) FROM ranked WHERE status = 'prod') + 0.5))""") + """
 SELECT r.model_version,
        CASE WHEN w.win IS NOT NULL AND r.model_version = w.win AND r.status = 'staging' THEN 'prod'
             WHEN w.win IS NOT NULL AND r.status = 'prod' THEN 'staging' ELSE r.status END AS status,
@@ -1826,8 +1828,8 @@ SELECT r.model_version,
             THEN coalesce(r.notes, '') || ' Selected as best validation model at 2024-06-01 00:00:00' ELSE r.notes END AS notes
 FROM reg r LEFT JOIN win w ON TRUE""")
 def q_promote(spark, sf_dir):
-    """Promote the best staging model when its RMSE is within 0.5 of
-    the prod RMSE; the previous prod model returns to staging."""
+    """Promote the best-ranked model when it is a staging one; the
+    previous prod model returns to staging. A prod model that ranks first stays."""
     return ML.promote(registry_table(spark, sf_dir), "2024-06-01 00:00:00", tolerance=0.5)
 
 

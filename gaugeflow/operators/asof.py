@@ -58,7 +58,10 @@ def asof_nearest(left: DataFrame, right: DataFrame, by: Sequence[str], left_ts:
     keys = [f"_by{i}" for i in range(len(by))] + ["_bucket"]
     w = Window.partitionBy(*keys).orderBy("_t", "_side")
     back = F.last("_r", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    fwd = F.first("_r", ignorenulls=True).over(w.rowsBetween(Window.currentRow, Window.unboundedFollowing))
+    # the next right row is the last one seen in descending time: a running frame,
+    # linear in the rows of a partition, on the same shuffle
+    back_in_time = Window.partitionBy(*keys).orderBy(F.desc("_t"), "_side")
+    fwd = F.last("_r", ignorenulls=True).over(back_in_time.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     cand = u.select("_side", "_t", "_l", back.alias("_b"), fwd.alias("_f")).where(F.col("_side") == 1)
 
     db = F.col("_t") - F.col("_b.t")
@@ -71,31 +74,3 @@ def asof_nearest(left: DataFrame, right: DataFrame, by: Sequence[str], left_ts:
     return out.select("_l.*", F.col("_m.ts").alias(matched_ts_col),
                       *[F.col(f"_m.{c}").alias(f"{prefix}{c}") for c in right_cols])
 
-
-def asof_backward(left: DataFrame, right: DataFrame, by: Sequence[str], left_ts: str, right_ts: str,
-                  tolerance_seconds: int, right_cols: Sequence[str], prefix: str = "",
-                  matched_ts_col: str = "matched_ts") -> DataFrame:
-    """Latest right row at or before the left time, within tolerance."""
-    by = list(by)
-    tol_us = int(tolerance_seconds) * 1_000_000
-    bucket_us = max(8 * tol_us, 3600 * 1_000_000)
-    lt = _micros(left_ts)
-    l = left.select(*[F.col(k).alias(f"_by{i}") for i, k in enumerate(by)], lt.alias("_t"),
-                    F.lit(1).alias("_side"), F.floor(lt / F.lit(bucket_us)).alias("_bucket"),
-                    F.struct(*[F.col(c) for c in left.columns]).alias("_l"))
-    rt = _micros(right_ts)
-    home = F.floor(rt / F.lit(bucket_us))
-    copies = F.array_distinct(F.array(
-        home, F.when(rt >= (home + 1) * F.lit(bucket_us) - F.lit(tol_us), home + 1).otherwise(home)))
-    payload = F.struct(rt.alias("t"), F.col(right_ts).alias("ts"), *[F.col(c).alias(c) for c in right_cols])
-    r = right.where(F.col(right_ts).isNotNull()).select(
-        *[F.col(k).alias(f"_by{i}") for i, k in enumerate(by)], rt.alias("_t"), F.lit(0).alias("_side"),
-        F.explode(copies).alias("_bucket"), payload.alias("_r"))
-    u = l.unionByName(r, allowMissingColumns=True)
-    w = Window.partitionBy(*[f"_by{i}" for i in range(len(by))], "_bucket").orderBy("_t", "_side") \
-              .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cand = u.select("_side", "_t", "_l", F.last("_r", ignorenulls=True).over(w).alias("_b")).where("_side = 1")
-    ok = F.col("_b").isNotNull() & (F.col("_t") - F.col("_b.t") <= F.lit(tol_us))
-    out = cand.withColumn("_m", F.when(ok, F.col("_b")))
-    return out.select("_l.*", F.col("_m.ts").alias(matched_ts_col),
-                      *[F.col(f"_m.{c}").alias(f"{prefix}{c}") for c in right_cols])

@@ -105,13 +105,13 @@ def last_n_months(df: DataFrame, ts: str, months: int) -> DataFrame:
 
 def eligible_groups(df: DataFrame, key: str, cols: Sequence[str], min_complete_ratio: float,
                     min_rows: int) -> DataFrame:
-    """Keep rows of groups with enough rows and a high enough share of
-    fully populated rows (``cols`` all non-null)."""
+    """Keep rows of groups with enough fully populated rows (``cols`` all
+    non-null) that are a high enough share of all their rows."""
     complete = F.lit(True)
     for c in cols:
         complete = complete & F.col(c).isNotNull()
     stats = (df.groupBy(key)
-               .agg(F.count(F.lit(1)).alias("_n"), F.avg(complete.cast("double")).alias("_ratio"))
+               .agg(F.count_if(complete).alias("_n"), F.avg(complete.cast("double")).alias("_ratio"))
                .where((F.col("_n") >= min_rows) & (F.col("_ratio") >= min_complete_ratio))
                .select(key))
     return df.join(stats, key, "left_semi")

@@ -38,7 +38,7 @@ def daily_health(runs: DataFrame, ts: str = "started_at_utc", status: str = "sta
         F.count(F.lit(1)).alias("total_runs"),
         F.count_if(s.isin(list(SUCCESS_STATUSES))).alias("successful_runs"),
         F.count_if(s.isin(list(FAILED_STATUSES))).alias("failed_runs"),
-        F.avg("duration_seconds").alias("average_duration_seconds"),
+        (F.round(F.avg("duration_seconds") * 100) / 100).alias("average_duration_seconds"),
         F.max("rows_ingested").alias("maximum_rows_ingested"),
         F.max("rows_predicted").alias("maximum_rows_predicted"),
         F.max("stations_processed").alias("maximum_stations_processed"))
@@ -95,8 +95,9 @@ def dq_training_input(df: DataFrame, split: str, required: Sequence[str], ts: st
 
 def dq_predictions(preds: DataFrame, run_id: str, now: str, min_rows: int = 19,
                    station: str = "station_name", model: str = "model_version") -> DataFrame:
-    """Prediction rows >= min, stations >= 1, exactly one model version."""
-    a = preds.agg(F.count(F.lit(1)).alias("n"), F.count_distinct(station).alias("stations"),
+    """The run's prediction rows >= min, stations >= 1, exactly one model
+    version; rows of other runs are not counted."""
+    a = preds.where(F.col("run_id") == run_id).agg(F.count(F.lit(1)).alias("n"), F.count_distinct(station).alias("stations"),
                   F.count_distinct(model).alias("models"))
     details = F.to_json(F.struct(F.col("n").alias("rows"), F.col("stations"), F.col("models")))
     rows = [

@@ -221,25 +221,26 @@ def band_join(df: DataFrame, bands: DataFrame, value_col: str, name_col: str = "
     """Non-equi band lookup.
 
     A row matches a band when ``min_cm <= value`` (or no min) and
-    ``value < max_cm`` (or no max). A station's own bands are used when it
+    ``value <= max_cm`` (or no max). A station's own bands are used when it
     has any, else the DEFAULT bands; the first matching band in list order
-    (``band_order``) wins; no match leaves the band columns null.
+    (``band_order``) wins; no match leaves the band columns null. Names are
+    compared normalised.
 
     ``bands`` is operational config (a literal list of a few dozen rows), so
     each band set is folded into one sorted array and broadcast; the range
     test is an array ``filter`` evaluated in codegen, with no row-id join back.
     """
     fields = ["band_order", "min_cm", "max_cm", *band_cols]
-    sets = (bands.groupBy(F.col(name_col).alias("_bset"))
+    sets = (bands.groupBy(normalize_name(F.col(name_col)).alias("_bset"))
                  .agg(F.array_sort(F.collect_list(F.struct(*[F.col(c) for c in fields]))).alias("_bands")))
     own = sets.select(F.col("_bset").alias("_own_name"), F.col("_bands").alias("_own"))
-    dflt = sets.where(F.col("_bset") == default_name).select(F.col("_bands").alias("_dflt"))  # zero or one row
-    out = (df.join(F.broadcast(own), F.col(name_col) == F.col("_own_name"), "left")
+    dflt = sets.where(F.col("_bset") == normalize_name(F.lit(default_name))).select(F.col("_bands").alias("_dflt"))  # zero or one row
+    out = (df.join(own, normalize_name(F.col(name_col)) == F.col("_own_name"), "left")
              .join(F.broadcast(dflt), F.lit(True), "left"))
     v = F.col(value_col)
     chosen = F.filter(F.coalesce(F.col("_own"), F.col("_dflt")),
                       lambda b: (b["min_cm"].isNull() | (v >= b["min_cm"]))
-                      & (b["max_cm"].isNull() | (v < b["max_cm"])))
+                      & (b["max_cm"].isNull() | (v <= b["max_cm"])))
     out = out.withColumn("_band", F.get(chosen, 0))
     return out.select(*df.columns, *[F.col(f"_band.{c}").alias(c) for c in band_cols])
 

@@ -10,6 +10,8 @@ member into text rows.
 from __future__ import annotations
 
 import io
+import itertools
+import re
 import zipfile
 from collections.abc import Iterator, Sequence
 
@@ -112,46 +114,50 @@ def normalize_archive(df: DataFrame, station_id: str | Column, station_name: str
 # Raw columns of the hourly product files, and null tokens.
 PRODUCT_COLUMNS = ("STATIONS_ID", "MESS_DATUM", "QN_8", "QN_9", "TT_TU", "RF_TU", "R1", "RSK", "F", "P0", "PP_10")
 NULL_TOKENS = ("", "-999", "-999.0", "####")
-PRODUCT_SCHEMA = T.StructType([T.StructField("path", T.StringType())]
-                              + [T.StructField(c, T.StringType()) for c in PRODUCT_COLUMNS])
+# Lines of a product member sent to Spark at a time.
+LINE_BATCH = 20_000
 
 
-def _unzip_products_fn(columns: tuple[str, ...]):
+def _product_lines_fn():
     """Executor-side unzip, built as a closure so it is shipped by value and
-    the workers need no import of this package."""
+    the workers need no import of this package: (path, bytes) of an archive ->
+    (path, header, line) of its product member, streamed in batches."""
     def unzip(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        # each input row is one zip archive (path, bytes): emit the rows of its
-        # first ``produkt_*.txt`` member as raw strings
         for batch in batches:
-            for path, content in zip(batch["path"], batch["content"]):
-                with zipfile.ZipFile(io.BytesIO(bytes(content))) as zf:
-                    members = [n for n in zf.namelist()
-                               if n.lower().startswith("produkt_") and n.lower().endswith(".txt")]
-                    if not members:
-                        continue
-                    with zf.open(members[0]) as fh:
-                        frame = pd.read_csv(fh, sep=";", dtype=str, encoding="latin1", keep_default_na=False)
-                frame.columns = [c.strip() for c in frame.columns]
-                out = pd.DataFrame({c: frame[c] if c in frame.columns else None for c in columns})
-                out.insert(0, "path", path)
-                yield out
+            for archive in batch.itertuples(index=False):
+                with zipfile.ZipFile(io.BytesIO(archive.content)) as zf:
+                    product = next((m for m in zf.infolist() if re.fullmatch(r"produkt_.*\.txt", m.filename, re.I)), None)
+                    if product is None:
+                        raise ValueError(f"{archive.path}: no product member in the archive")
+                    lines = io.TextIOWrapper(zf.open(product), encoding="latin1")
+                    header = next(lines, "").strip()
+                    while chunk := [x.rstrip("\r\n") for x in itertools.islice(lines, LINE_BATCH)]:
+                        yield pd.DataFrame({"path": archive.path, "header": header, "line": chunk})
     return unzip
 
 
 def read_product_zip(spark: SparkSession, path: str, file_filter: Column | None = None) -> DataFrame:
     """A4: zip archives -> raw product rows with trimmed strings and the null
-    tokens ("", -999, -999.0, ####) turned into nulls.
+    tokens ("", -999, -999.0, ####) turned into nulls. An archive without a
+    product member raises.
 
     ``binaryFile`` lists the archives (one per task at most -- zips are not
-    splittable); ``file_filter`` (see ``prune_files``) is applied to the
-    listing before any archive is opened."""
+    splittable); ``file_filter`` (see ``prune_files``) is applied before any
+    archive is opened. Workers only unzip; the lines are parsed in Spark, each
+    column found by its name in the member's header."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(path)
     if file_filter is not None:
         files = files.where(file_filter)
-    rows = files.select("path", "content").mapInPandas(_unzip_products_fn(PRODUCT_COLUMNS), PRODUCT_SCHEMA)
-    clean = {c: F.when(F.trim(F.col(c)).isin(list(NULL_TOKENS)), F.lit(None)).otherwise(F.trim(F.col(c)))
-             for c in PRODUCT_COLUMNS}
-    return rows.withColumns(clean)
+    lines = files.select("path", "content").mapInPandas(_product_lines_fn(), "path string, header string, line string")
+    split = lines.where(F.trim("line") != "").select(
+        "path", F.transform(F.split("header", ";"), lambda x: F.trim(x)).alias("names"),
+        F.transform(F.split("line", ";"), lambda x: F.trim(x)).alias("cells"))
+
+    def cell(name: str) -> Column:
+        text = F.get("cells", F.array_position("names", F.lit(name)).cast("int") - 1)
+        return F.when(~text.isin(list(NULL_TOKENS)), text).alias(name)
+
+    return split.select("path", *map(cell, PRODUCT_COLUMNS))
 
 
 # Which raw columns feed which canonical measure, per family.

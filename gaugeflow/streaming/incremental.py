@@ -68,12 +68,14 @@ def batch_upsert_sink(target: str, keys: Sequence[str], order: Sequence[str | Co
 
 
 def current_generation(spark: SparkSession, target: str) -> int:
-    """Newest generation folder of a merge-on-read table (0 when empty)."""
-    try:
-        g = spark.read.parquet(target).agg(F.max("gen")).first()[0]
-    except Exception:  # noqa: BLE001 -- no table yet
+    """Newest ``gen=N`` folder of a merge-on-read table (0 when there is none).
+    Lists folder names only; any other error of the file system raises."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(target)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(path):
         return 0
-    return int(g) if g is not None else 0
+    names = [s.getPath().getName() for s in fs.listStatus(path)]
+    return max((int(n.removeprefix("gen=")) for n in names if n.startswith("gen=")), default=0)
 
 
 def upsert_stream(stream: DataFrame, target: str, checkpoint: str, keys: Sequence[str],

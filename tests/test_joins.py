@@ -78,11 +78,11 @@ def test_band_join_rules(spark):
         ("KAUB", 1, None, 100.0, "k_low", "Kaub low", "high"),
         ("KAUB", 2, 50.0, None, "k_ok", "Kaub ok", "normal"),
     ], "station_name string, band_order int, min_cm double, max_cm double, band_id string, band_label string, severity string")
-    facts = spark.createDataFrame([("X", 10.0), ("X", 80.5), ("X", 500.0), ("KAUB", 60.0), ("KAUB", 200.0), ("X", None)],
+    facts = spark.createDataFrame([("X", 10.0), ("X", 80.0), ("X", 80.5), ("X", 500.0), (" kaub ", 60.0), ("KAUB", 60.0), ("KAUB", 200.0), ("X", None)],
                                   "station_name string, value double")
     got = sorted((r.station_name, r.value, r.band_id) for r in J.band_join(facts, bands, "value").collect()
                  if r.value is not None)
-    assert got == [("KAUB", 60.0, "k_low"), ("KAUB", 200.0, "k_ok"), ("X", 10.0, "low"), ("X", 80.5, None),
+    assert got == [(" kaub ", 60.0, "k_low"), ("KAUB", 60.0, "k_low"), ("KAUB", 200.0, "k_ok"), ("X", 10.0, "low"), ("X", 80.0, "low"), ("X", 80.5, None),
                    ("X", 500.0, "ok")]
 
 
