@@ -14,6 +14,7 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+from collections import defaultdict
 from functools import lru_cache
 
 import numpy as np
@@ -33,6 +34,8 @@ WORD_BPE_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 OUTSIDE_STABLE = re.compile(r"[^\t\n\r\x20-\x7e\u00a1-\u024f]")
 #: Characters after which a block is closed; a block holds whole documents.
 BLOCK_CHARS = 48_000_000
+#: Encoded words that a task holds back to send those of a block together.
+HELD_ROWS = 50_000
 
 
 class WordSplitter:
@@ -182,25 +185,37 @@ def split_blocks(docs: DataFrame, path: str, key_col: str = "doc_id", text_col:
 
 
 def encode_words(used: DataFrame, path: str) -> DataFrame:
-    """(``block``, ``slot``, ``word``) -> (``of``, ``coded``): the block, and as
-    varints the word's number in it followed by the word's ids.
+    """(``block``, ``slot``, ``word``) -> (``of``, ``coded``): rows of a block
+    with entries of some of its words, as varints: the word's number in the
+    block, the number of its ids, the ids.
 
     One shuffle brings a word's rows of all blocks together in order, so that
     the distinct word is encoded once and its ids go back to every block.
     """
     def run(batches):
-        encoder, last = word_encoder(path), {}
+        encoder, last, held, rows = word_encoder(path), {}, defaultdict(bytearray), 0
+
+        def send():
+            return pa.RecordBatch.from_arrays(
+                [pa.array(list(held), pa.int64()), pa.array([bytes(c) for c in held.values()], pa.binary())],
+                names=["of", "coded"])
+
         for batch in batches:
             words = batch.column(1).dictionary_encode()
             distinct = words.dictionary.to_pylist()
             new = [w for w in distinct if w not in last]
             found = dict(zip(new, encoder.encode_batch_fast(new, add_special_tokens=False)))
-            ids = [last[w] if w in last else b"".join(map(to_varint, found[w].ids)) for w in distinct]
+            ids = [last[w] if w in last else b"".join(map(to_varint, [len(found[w].ids), *found[w].ids])) for w in distinct]
             last = {distinct[-1]: ids[-1]} if distinct else last
             refs = batch.column(0).to_numpy()
-            coded = [to_varint(slot) + ids[w] for slot, w in
-                     zip((refs & 0xFFFFFFFF).tolist(), words.indices.to_pylist())]
-            yield pa.RecordBatch.from_arrays([pa.array(refs >> 32), pa.array(coded, pa.binary())], names=["of", "coded"])
+            for block, slot, w in zip((refs >> 32).tolist(), (refs & 0xFFFFFFFF).tolist(), words.indices.to_pylist()):
+                held[block] += to_varint(slot) + ids[w]
+            rows += batch.num_rows
+            if rows >= HELD_ROWS:
+                yield send()
+                held, rows = defaultdict(bytearray), 0
+        if held:
+            yield send()
 
     ref = F.shiftleft("block", 32).bitwiseOR(F.col("slot").cast("long")).alias("ref")
     together = used.select(ref, "word").repartition("word").sortWithinPartitions("word")
@@ -253,23 +268,24 @@ def encode_documents(docs: DataFrame, path: str, key_col: str = "doc_id", text_c
 
     def compose(documents: pd.DataFrame, words: pd.DataFrame) -> pd.DataFrame:
         piece = pieces.value
-        coded = words["coded"].tolist()
-        flat = from_varints(b"".join(coded))
-        ends = np.cumsum([sum(b < 128 for b in c) for c in coded]) if coded else np.zeros(0, np.int64)
-        first = np.concatenate([[0], ends[:-1]]).astype(np.int64)[:len(coded)]
-        begins, counts = np.zeros(len(coded), np.int64), np.zeros(len(coded), np.int64)
-        begins[flat[first]], counts[flat[first]] = first + 1, ends - first - 1
-        slot_at = np.zeros(len(flat), bool)
-        slot_at[first] = True
-        names = ["" if s else piece[i] for i, s in zip(flat.tolist(), slot_at.tolist())]  # the id-to-piece join
-        spelled = [" ".join(names[a:a + n]) for a, n in zip(begins.tolist(), counts.tolist())]
+        flat = from_varints(b"".join(words["coded"]))
+        entries, size, i = flat.tolist(), 0, 0
+        places, spellings = {}, {}
+        while i < len(entries):
+            slot, n = entries[i], entries[i + 1]
+            places[slot] = (i + 2, n)
+            spellings[slot] = " ".join([piece[k] for k in entries[i + 2:i + 2 + n]])  # the id-to-piece join
+            i, size = i + 2 + n, max(size, slot + 1)
+        begins, counts = np.zeros(size, np.int64), np.zeros(size, np.int64)
+        for slot, (begin, n) in places.items():
+            begins[slot], counts[slot] = begin, n
         rows = []
         for slots in documents["slots"]:
             at = from_varints(slots)
             n = counts[at]
             total = int(n.sum())
             ids = flat[np.repeat(begins[at] - (np.cumsum(n) - n), n) + np.arange(total)]
-            text = " ".join([spelled[i] for i in at[n > 0].tolist()])
+            text = " ".join([spellings[i] for i in at[n > 0].tolist()])
             rows.append((total, hashlib.sha256(ids.astype("<u4").tobytes()).hexdigest(),
                          hashlib.sha256(text.encode()).hexdigest()) if digests else
                         (total, ids, text))
