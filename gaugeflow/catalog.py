@@ -1345,10 +1345,10 @@ def q_last_n_months(spark, sf_dir):
 @register("eligible_stations", S.with_(*WX_SQL) + """
 SELECT * FROM wx WHERE dwd_station_id IN (
   SELECT dwd_station_id FROM wx GROUP BY 1
-  HAVING count(*) FILTER (WHERE temperature_c IS NOT NULL AND wind_speed_ms IS NOT NULL) >= 300 AND avg(CASE WHEN temperature_c IS NOT NULL AND wind_speed_ms IS NOT NULL THEN 1.0 ELSE 0.0 END) >= 0.45)""")
+  HAVING count(*) FILTER (WHERE temperature_c IS NOT NULL AND wind_speed_ms IS NOT NULL) >= 150 AND avg(CASE WHEN temperature_c IS NOT NULL AND wind_speed_ms IS NOT NULL THEN 1.0 ELSE 0.0 END) >= 0.45)""")
 def q_eligible_stations(spark, sf_dir):
-    """Stations with >= 300 fully populated rows that are >= 45 % of theirs."""
-    return CL.eligible_groups(hourly_weather(spark, sf_dir), "dwd_station_id", ["temperature_c", "wind_speed_ms"], 0.45, 300)
+    """Stations with >= 150 fully populated rows that are >= 45 % of theirs."""
+    return CL.eligible_groups(hourly_weather(spark, sf_dir), "dwd_station_id", ["temperature_c", "wind_speed_ms"], 0.45, 150)
 
 
 @register("horizon_shift", S.with_(*BASE_SERIES_SQL) + """
