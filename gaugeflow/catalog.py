@@ -741,7 +741,8 @@ SEG_SQL = "segs(segment_id, segment_label, station_name, role) AS (VALUES " + ",
 per AS (SELECT upper(trim(station_name)) AS k, list_sort(list(DISTINCT segment_id)) AS segment_ids,
                list_sort(list(DISTINCT segment_label)) AS segment_labels, bool_or(role = 'decision') AS is_decision_gauge
         FROM segs GROUP BY 1)""") + """
-SELECT d.station_id, d.station_name, p.segment_ids, p.segment_labels, p.is_decision_gauge
+SELECT d.station_id, d.station_name, coalesce(p.segment_ids, []) AS segment_ids, coalesce(p.segment_labels, []) AS segment_labels,
+       coalesce(p.is_decision_gauge, false) AS is_decision_gauge
 FROM (SELECT DISTINCT station_id, station_name FROM curated) d LEFT JOIN per p ON upper(trim(d.station_name)) = p.k""")
 def q_segment_attach(spark, sf_dir):
     """Per station, sorted segment ids / labels and the decision flag
@@ -1004,9 +1005,9 @@ def q_station_metrics(spark, sf_dir):
 SELECT station_name, count(*) AS n, {S.rnd('avg(abs(error))')} AS mae, {S.rnd('sqrt(avg(error * error))')} AS rmse,
        {S.rnd('avg(error)')} AS bias, max(evaluated_at_utc) AS last_evaluated_at_utc
 FROM (SELECT *, actual_value - prediction AS error FROM evt)
-WHERE evaluated_at_utc >= TIMESTAMP '2001-08-02 00:00:00' - INTERVAL 365 DAY GROUP BY station_name""")
+WHERE forecast_timestamp_utc >= TIMESTAMP '2001-08-02 00:00:00' - INTERVAL 365 DAY GROUP BY station_name""")
 def q_served_metrics(spark, sf_dir):
-    """Per-station metrics over the last 365 days before a fixed now."""
+    """Per-station metrics over forecasts of the last 365 days before a fixed now."""
     ev = MT.with_errors(evaluations(spark, sf_dir))
     return r6(MT.served_metrics(ev, "2001-08-02 00:00:00", 365), ["mae", "rmse", "bias"])
 
@@ -1862,7 +1863,8 @@ PRED_COLS = "run_id, model_version, station_name, forecast_timestamp_utc, predic
 
 
 @register("latest_run", PREDS_SQL + ", " + SEG_PER_SQL + f"""
-SELECT {', '.join('p.' + c.strip() for c in PRED_COLS.split(','))}, s.segment_ids, s.segment_labels, s.is_decision_gauge
+SELECT {', '.join('p.' + c.strip() for c in PRED_COLS.split(','))}, coalesce(s.segment_ids, []) AS segment_ids, coalesce(s.segment_labels, []) AS segment_labels,
+       coalesce(s.is_decision_gauge, false) AS is_decision_gauge
 FROM preds p LEFT JOIN per s ON upper(trim(p.station_name)) = s.k
 WHERE p.split_name = 'production' AND p.run_id = (SELECT arg_max(run_id, (prediction_ready_utc, run_id)) FROM preds WHERE split_name = 'production')""")
 def q_latest_run(spark, sf_dir):
@@ -1871,20 +1873,25 @@ def q_latest_run(spark, sf_dir):
     return SV.latest_run(p, segments_table(spark))
 
 
-@register("history_filter", PREDS_SQL + ", " + SEG_SQL + f"""
-SELECT {PRED_COLS} FROM preds
-WHERE prediction_ready_utc >= TIMESTAMP '2001-08-02 00:00:00' - INTERVAL 400 DAY
-  AND lower(station_name) LIKE '%station 1%'
-  AND upper(trim(station_name)) IN (SELECT upper(trim(station_name)) FROM segs WHERE segment_id = 'SEG01')""")
+@register("history_filter", PREDS_SQL + ", " + SEG_PER_SQL + f"""
+SELECT {', '.join('p.' + c.strip() for c in PRED_COLS.split(','))}, coalesce(s.segment_ids, []) AS segment_ids,
+       coalesce(s.segment_labels, []) AS segment_labels, coalesce(s.is_decision_gauge, false) AS is_decision_gauge
+FROM preds p LEFT JOIN per s ON upper(trim(p.station_name)) = s.k
+WHERE p.split_name = 'production' AND p.prediction_ready_utc >= TIMESTAMP '2001-08-02 00:00:00' - INTERVAL 400 DAY
+  AND lower(p.station_name) LIKE '%station 1%'
+  AND upper(trim(p.station_name)) IN (
+    SELECT upper(trim(station_name)) FROM segs WHERE lower(segment_id) = 'segment 1' OR lower(segment_label) = 'segment 1')""")
 def q_history_filter(spark, sf_dir):
-    """History over 400 days, station name containing 'station 1',
-    restricted to segment SEG01 (semi join)."""
+    """Production history over 400 days, station name containing
+    'station 1', restricted to the segment labelled 'Segment 1', with its
+    segment arrays."""
     p = predictions_table(spark, sf_dir).select(*[c.strip() for c in PRED_COLS.split(",")])
-    return SV.history(p, NOW, 400, station="station 1", segment="SEG01", segments=segments_table(spark))
+    return SV.history(p, NOW, 400, station="station 1", segment="segment 1", segments=segments_table(spark))
 
 
 @register("stations_segments", S.with_(*BASE_SERIES_SQL, SEG_PER_SQL) + """
-SELECT d.station_id, d.station_name, d.latitude, d.longitude, p.segment_ids, p.segment_labels, p.is_decision_gauge
+SELECT d.station_id, d.station_name, d.latitude, d.longitude, coalesce(p.segment_ids, []) AS segment_ids, coalesce(p.segment_labels, []) AS segment_labels,
+       coalesce(p.is_decision_gauge, false) AS is_decision_gauge
 FROM (SELECT DISTINCT station_id, station_name, latitude, longitude FROM curated) d
 LEFT JOIN per p ON upper(trim(d.station_name)) = p.k""")
 def q_stations_segments(spark, sf_dir):
@@ -1904,36 +1911,54 @@ def q_segment_list(spark, sf_dir):
 
 @register("evaluation_history", EVALS_SQL + """
 SELECT run_id, model_version, station_name, forecast_timestamp_utc, evaluated_at_utc, prediction, actual_value FROM ev
-WHERE evaluated_at_utc >= TIMESTAMP '2001-08-02 00:00:00' - INTERVAL 200 DAY AND upper(trim(station_name)) = 'STATION 7'""")
+WHERE forecast_timestamp_utc >= TIMESTAMP '2001-08-02 00:00:00' - INTERVAL 200 DAY AND lower(station_name) LIKE '%station 7%'""")
 def q_evaluation_history(spark, sf_dir):
-    """Evaluations of the last 200 days for one station."""
+    """Evaluations with a forecast time in the last 200 days, station name
+    containing 'station 7'."""
     ev = evaluations(spark, sf_dir).select("run_id", "model_version", "station_name", "forecast_timestamp_utc",
                                            "evaluated_at_utc", "prediction", "actual_value")
     return SV.evaluation_history(ev, NOW, 200, station="station 7")
 
 
-RISK_SQL = PREDS_SQL + ", " + SEG_SQL + ", " + BANDS_SQL + """
-, bandset AS (SELECT p.*, CASE WHEN p.station_name IN (SELECT station_name FROM bands) THEN p.station_name ELSE 'DEFAULT' END AS bset
-              FROM preds p)
+STATUS_CTES = """
+, banded AS (
+  SELECT f.*, b.band_id, b.band_label AS own_label, lower(trim(b.severity)) AS own_severity
+  FROM facts f LEFT JOIN bands b
+    ON upper(trim(b.station_name)) = CASE WHEN upper(trim(f.station_name)) IN (SELECT upper(trim(station_name)) FROM bands)
+                                          THEN upper(trim(f.station_name)) ELSE 'DEFAULT' END
+   AND (b.min_cm IS NULL OR f.prediction >= b.min_cm) AND (b.max_cm IS NULL OR f.prediction <= b.max_cm)
+   AND f.prediction IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY f.n ORDER BY b.band_order) = 1)
+, status AS (
+  SELECT x.* EXCLUDE (n, own_label, own_severity), t.threshold_cm,
+         CASE WHEN x.prediction IS NULL THEN 'Unknown' WHEN x.band_id IS NOT NULL THEN coalesce(own_label, x.band_id)
+              WHEN t.threshold_cm IS NULL THEN 'Unclassified' WHEN x.prediction <= t.threshold_cm THEN 'High'
+              WHEN x.prediction <= t.threshold_cm + 20 THEN 'Elevated' ELSE 'Normal' END AS band_label,
+         CASE WHEN x.band_id IS NOT NULL THEN coalesce(own_severity, 'unknown')
+              WHEN x.prediction IS NULL OR t.threshold_cm IS NULL THEN 'unknown' WHEN x.prediction <= t.threshold_cm THEN 'high'
+              WHEN x.prediction <= t.threshold_cm + 20 THEN 'elevated' ELSE 'normal' END AS severity,
+         CASE WHEN x.band_id IS NOT NULL THEN
+                CASE WHEN own_severity = 'normal' THEN 'normal' WHEN own_severity IN ('warning', 'elevated') THEN 'elevated'
+                     ELSE 'high' END
+              WHEN x.prediction IS NULL OR t.threshold_cm IS NULL THEN 'unknown' WHEN x.prediction <= t.threshold_cm THEN 'high'
+              WHEN x.prediction <= t.threshold_cm + 20 THEN 'elevated' ELSE 'normal' END AS risk_level
+  FROM banded x LEFT JOIN thr t ON upper(trim(x.station_name)) = upper(trim(t.station_name)))"""
 
+RISK_SQL = PREDS_SQL + ", " + SEG_SQL + ", " + BANDS_SQL + """
+, facts AS (SELECT *, row_number() OVER () AS n FROM preds)""" + STATUS_CTES + """
 , ps AS (SELECT upper(trim(station_name)) AS k, arg_min(segment_id, (role <> 'decision', segment_id)) AS primary_segment
          FROM segs GROUP BY 1)
 , risk AS (
-  SELECT p.run_id, p.station_name, p.forecast_timestamp_utc, p.prediction,
-         (SELECT b.band_id FROM bands b WHERE b.station_name = p.bset AND (b.min_cm IS NULL OR p.prediction >= b.min_cm)
-            AND (b.max_cm IS NULL OR p.prediction < b.max_cm) ORDER BY b.band_order LIMIT 1) AS band_id, t.threshold_cm,
-         CASE WHEN p.prediction IS NULL OR t.threshold_cm IS NULL THEN 'unknown' WHEN p.prediction <= t.threshold_cm THEN 'high'
-              WHEN p.prediction <= t.threshold_cm + 20 THEN 'elevated' ELSE 'normal' END AS risk_level, ps.primary_segment
-  FROM bandset p
-  LEFT JOIN thr t ON upper(trim(p.station_name)) = upper(trim(t.station_name))
-  LEFT JOIN ps ON upper(trim(p.station_name)) = ps.k)"""
+  SELECT s.run_id, s.station_name, s.forecast_timestamp_utc, s.prediction, s.band_id, s.band_label, s.severity,
+         s.threshold_cm, s.risk_level, ps.primary_segment
+  FROM status s LEFT JOIN ps ON upper(trim(s.station_name)) = ps.k)"""
 
 
 def _risk(spark, sf_dir):
     p = predictions_table(spark, sf_dir)
     r = SV.risk_table(p, bands_table(spark), thresholds_table(spark), segments_table(spark))
-    return r.select("run_id", "station_name", "forecast_timestamp_utc", "prediction", "band_id", "threshold_cm",
-                    "risk_level", "primary_segment")
+    return r.select("run_id", "station_name", "forecast_timestamp_utc", "prediction", "band_id", "band_label",
+                    "severity", "threshold_cm", "risk_level", "primary_segment")
 
 
 @register("risk_table", RISK_SQL + " SELECT * FROM risk")
@@ -2224,24 +2249,11 @@ def q_refresh_history(spark, sf_dir):
 
 
 @register("station_map", PREDS_SQL + ", " + SEG_SQL + ", " + BANDS_SQL + """
-, d AS (SELECT DISTINCT station_name FROM preds)
-, newest AS (SELECT station_name, arg_max(forecast_timestamp_utc, forecast_timestamp_utc) AS forecast_timestamp_utc,
-                    arg_max(prediction, (forecast_timestamp_utc, prediction)) AS prediction FROM preds GROUP BY 1)
-, j AS (SELECT d.station_name, n.forecast_timestamp_utc, n.prediction,
-               CASE WHEN d.station_name IN (SELECT station_name FROM bands) THEN d.station_name ELSE 'DEFAULT' END AS bset
-        FROM d LEFT JOIN newest n ON d.station_name = n.station_name)
-SELECT j.station_name, j.forecast_timestamp_utc, j.prediction,
-       (SELECT b.band_id FROM bands b WHERE b.station_name = j.bset AND (b.min_cm IS NULL OR j.prediction >= b.min_cm)
-          AND (b.max_cm IS NULL OR j.prediction < b.max_cm) ORDER BY b.band_order LIMIT 1) AS band_id,
-       (SELECT b.band_label FROM bands b WHERE b.station_name = j.bset AND (b.min_cm IS NULL OR j.prediction >= b.min_cm)
-          AND (b.max_cm IS NULL OR j.prediction < b.max_cm) ORDER BY b.band_order LIMIT 1) AS band_label,
-       (SELECT b.severity FROM bands b WHERE b.station_name = j.bset AND (b.min_cm IS NULL OR j.prediction >= b.min_cm)
-          AND (b.max_cm IS NULL OR j.prediction < b.max_cm) ORDER BY b.band_order LIMIT 1) AS severity,
-       t.threshold_cm,
-       CASE WHEN j.prediction IS NULL OR t.threshold_cm IS NULL THEN 'unknown' WHEN j.prediction <= t.threshold_cm THEN 'high'
-            WHEN j.prediction <= t.threshold_cm + 20 THEN 'elevated' ELSE 'normal' END AS risk_level
-FROM j LEFT JOIN thr t ON upper(trim(j.station_name)) = upper(trim(t.station_name))
-WHERE upper(trim(j.station_name)) IN (SELECT upper(trim(station_name)) FROM segs WHERE segment_id = 'SEG02')""")
+, facts AS (SELECT station_name, max(forecast_timestamp_utc) AS forecast_timestamp_utc,
+                   arg_max(prediction, (forecast_timestamp_utc, prediction)) AS prediction, row_number() OVER () AS n
+            FROM preds GROUP BY station_name)""" + STATUS_CTES + """
+SELECT station_name, forecast_timestamp_utc, prediction, band_id, band_label, severity, threshold_cm, risk_level FROM status
+WHERE upper(trim(station_name)) IN (SELECT upper(trim(station_name)) FROM segs WHERE segment_id = 'SEG02')""")
 def q_station_map(spark, sf_dir):
     """Stations with their latest forecast's band and risk, for one
     segment."""

@@ -166,6 +166,15 @@ def risk_level(value: str | Column, threshold: str | Column, elevated_margin: fl
              .otherwise(F.lit("normal")))
 
 
+def severity_risk(severity: str | Column) -> Column:
+    """Risk of a band's severity: normal; warning and elevated are
+    elevated; every other word is high."""
+    s = _c(severity)
+    return (F.when(s == "normal", F.lit("normal"))
+             .when(s.isin("warning", "elevated"), F.lit("elevated"))
+             .otherwise(F.lit("high")))
+
+
 def any_at_or_below(cols: Sequence[str | Column], threshold: float | Column) -> Column:
     """1 when any column is <= threshold (nulls count as false), else 0."""
     t = threshold if isinstance(threshold, Column) else F.lit(threshold)

@@ -195,12 +195,16 @@ def segment_arrays(segments: DataFrame, station_col: str = "station_name") -> Da
 def attach_segments(df: DataFrame, segments: DataFrame, name_col: str = "station_name",
                     mode: str = "upper_trim") -> DataFrame:
     """Station -> arrays of segment ids / labels + decision flag, joined
-    on the normalised station name (a station may sit in many segments)."""
+    on the normalised station name (a station may sit in many segments). A
+    station in none gets empty arrays and false."""
     per_station = segment_arrays(segments.withColumn("_key", normalize_name(F.col("station_name"), mode))
                                  .drop("station_name").withColumnRenamed("_key", "station_name"))
     per_station = per_station.withColumnRenamed("station_name", "_seg_key")
     out = df.join(per_station, normalize_name(F.col(name_col), mode) == F.col("_seg_key"), "left")
-    return out.drop("_seg_key")
+    no_names = F.array().cast("array<string>")
+    return out.withColumns({"segment_ids": F.coalesce("segment_ids", no_names),
+                            "segment_labels": F.coalesce("segment_labels", no_names),
+                            "is_decision_gauge": F.coalesce("is_decision_gauge", F.lit(False))}).drop("_seg_key")
 
 
 def threshold_join(df: DataFrame, thresholds: DataFrame, name_col: str = "station_name",
