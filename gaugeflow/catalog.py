@@ -1623,19 +1623,16 @@ REPLAY_WATERMARK = "45 days"  # landed files replay in any order: keep every eve
 
 
 def _window_query(spark, sf_dir, kind, keys, **kw):
-    from pyspark.sql.types import _parse_datatype_string
     src = landed_events(spark, sf_dir)
     stream = _event_stream(spark, src)
     agg = ST.windowed_counts(stream, "ts", keys, "value", kind=kind, watermark=REPLAY_WATERMARK, **kw)
     target, ck = LD.scratch_dir(spark, f"win-{kind}"), LD.scratch_dir(spark, f"win-{kind}-ckpt")
-    if kind == "session":  # session windows support append mode only: close them with a sentinel
-        ST.upsert_stream(agg, target, ck, ["window_start", *keys], ["n"], output_mode="append")
-        ST.flush_sessions(spark, src, _parse_datatype_string(EVENT_SCHEMA), "ts", keys[0], -1, "2099-01-01 00:00:00")
-        ST.upsert_stream(agg, target, ck, ["window_start", *keys], ["n"], output_mode="append")
-    else:
-        ST.upsert_stream(agg, target, ck, ["window_start", *keys], ["n"], output_mode="update")
+    ST.upsert_stream(agg, target, ck, ["window_start", *keys], ["n"], output_mode="update")
+    return _windows_read(spark, target, keys)
+
+
+def _windows_read(spark, target, keys):
     out = ST.merged_view(spark, target, ["window_start", *keys], ["n"])
-    out = out.where(F.col(keys[0]).isNull() | (F.col(keys[0]).cast("string") != "-1"))
     out = out.withColumns({"window_start": F.col("window_start").cast("timestamp_ntz"),
                            "window_end": F.col("window_end").cast("timestamp_ntz")})
     return r6(out, ["total", "mean"])
@@ -1671,10 +1668,24 @@ WITH g AS (SELECT *, CASE WHEN lag(ts) OVER (PARTITION BY user_id ORDER BY ts) I
      s AS (SELECT *, sum(brk) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS sid FROM g)
 SELECT min(ts) AS window_start, max(ts) + INTERVAL 6 HOUR AS window_end, user_id, count(*) AS n,
        """ + S.rnd("sum(value)") + " AS total, " + S.rnd("avg(value)") + """ AS mean, max(value) AS max_value
-FROM s GROUP BY user_id, sid""")
+FROM s GROUP BY user_id, sid
+HAVING max(ts) + INTERVAL 6 HOUR <= (SELECT date_trunc('milliseconds', max(ts)) - INTERVAL 1 DAY FROM events)""")
 def q_stream_session(spark, sf_dir):
-    """Session windows per user (6-hour gap) on the replayed stream."""
-    return _window_query(spark, sf_dir, "session", ["user_id"], gap="6 hours")
+    """Closed session windows per user (6-hour gap, one day of lateness). The
+    events land in two halves by time, each followed by a run: sessions open
+    at the end of the first go on with events of the second. Sessions whose
+    end the watermark has not passed are open and not in the result."""
+    from pyspark.sql.types import _parse_datatype_string
+    e = T.table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    at = F.unix_micros("ts")
+    middle = e.agg(((F.min(at) + F.max(at)) / 2).cast("long")).first()[0]
+    src, target, ck = (LD.scratch_dir(spark, f"sessions-{x}") for x in ("src", "out", "ckpt"))
+    for half in (at < middle, at >= middle):
+        e.where(half).write.mode("append").parquet(src)
+        stream = ST.stream_files(spark, src, _parse_datatype_string(EVENT_SCHEMA))
+        agg = ST.windowed_counts(stream, "ts", ["user_id"], "value", kind="session", gap="6 hours", watermark="1 day")
+        ST.upsert_stream(agg, target, ck, ["window_start", "user_id"], ["n"])
+    return _windows_read(spark, target, ["user_id"])
 
 
 @register("stream_dedup_upsert", S.with_(S.RAW_MEASUREMENTS, S.DEDUP) + "SELECT * FROM dedup")
@@ -2110,12 +2121,12 @@ from .plans import ingest as IG  # noqa: E402
 
 @register("gauge_ingest", S.with_(*BASE_SERIES_SQL) + "SELECT station_id, station_name, timeseries_name, timestamp_utc, value FROM curated")
 def q_gauge_ingest(spark, sf_dir):
-    """Curated gauge rows landed as station JSON; the first half is the
-    existing target, the ingest reads the JSON, dedups, keeps rows newer
-    than the target's high-water mark and upserts them."""
+    """Curated gauge rows landed as station JSON; the target holds each
+    station up to a day of its own, the ingest reads the JSON, dedups, keeps
+    rows from each series' high-water mark on and upserts them."""
     cur = curated_series(spark, sf_dir)
     path = LD.land_station_json(cur, LD.scratch_dir(spark, "gauge-json"))
-    cut = F.lit("2024-01-15").cast("timestamp")
+    cut = F.when(F.col("station_id") < "U5", F.lit("2024-01-10")).otherwise(F.lit("2024-01-15")).cast("timestamp")
     first = RD.read_station_payload(spark, path, ingestion_ts="2024-02-01 00:00:00").where(F.col("timestamp_utc") < cut)
     out = IG.gauge_ingest(spark, path, first, ingestion_ts="2024-02-02 00:00:00")
     return out.select("station_id", "station_name", "timeseries_name",

@@ -75,6 +75,21 @@ def newer_than_table(df: DataFrame, ts: str, marks: DataFrame, mark_col: str) ->
               .drop("_hwm"))
 
 
+def high_water_marks(df: DataFrame, keys: Sequence[str], ts: str) -> DataFrame:
+    """Newest ``ts`` of every key, as ``high_water_mark``."""
+    return df.groupBy(*keys).agg(F.max(ts).alias("high_water_mark"))
+
+
+def from_marks_on(df: DataFrame, keys: Sequence[str], ts: str, marks: DataFrame) -> DataFrame:
+    """B14 with a mark for each key: rows at or after their key's mark, and
+    all rows of keys without one. A key that lags behind the others loses
+    nothing, and a corrected row at the mark itself is kept."""
+    m = marks.select(*[F.col(k).alias(f"_mark_{k}") for k in keys], F.col("high_water_mark").alias("_mark"))
+    same = [F.col(k).eqNullSafe(F.col(f"_mark_{k}")) for k in keys]
+    kept = df.join(m, same, "left").where(F.col("_mark").isNull() | (F.col(ts) >= F.col("_mark")))
+    return kept.select(*df.columns)
+
+
 def null_fraction(cols: Sequence[str]) -> Column:
     """Share of the listed columns that are null in this row."""
     if not cols:

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.aggs import coalesce_by_key, gap_summary, observed_coverage, station_status, variable_map
-from ..operators.clean import date_window, eligible_groups, newer_than_table
+from ..operators.clean import date_window, eligible_groups, from_marks_on, high_water_marks, newer_than_table
 from ..operators.dedup import latest_per_key, upsert
 from ..operators.joins import attach_metadata, outer_delta
 from ..sources.readers import (CANONICAL_MEASURES, canonical_measures, family_from_path, normalize_archive,
@@ -25,15 +25,22 @@ GAUGE_ORDER = ["ingestion_ts_utc", "source_record_hash"]
 
 
 def gauge_ingest(spark: SparkSession, payload_path: str, target: DataFrame | None,
-                 ingestion_ts: str | None = None) -> DataFrame:
-    """Station JSON (A1, hashed) -> newest row per key (C2) -> only rows
-    newer than the target's high-water mark (B14) -> upsert into the target
-    (C3; no target = bootstrap)."""
+                 ingestion_ts: str | None = None, mode: str = "incremental") -> DataFrame:
+    """Station JSON (A1, hashed) -> newest row per key (C2) -> upsert
+    into the target (C3; no target = bootstrap).
+
+    ``incremental`` takes the rows at or after the target's high-water mark of
+    their own series (B14); ``backfill`` ignores the marks and takes all rows.
+    """
+    if mode not in ("incremental", "backfill"):
+        raise ValueError(f"unknown ingest mode: {mode}")
     rows = read_station_payload(spark, payload_path, ingestion_ts=ingestion_ts)
     rows = latest_per_key(rows, GAUGE_KEYS, GAUGE_ORDER)
     if target is None:
         return rows
-    rows = newer_than_table(rows, "timestamp_utc", target.select(F.col("timestamp_utc").alias("_hwm")), "_hwm")
+    if mode == "incremental":
+        series = ["station_id", "timeseries_name"]
+        rows = from_marks_on(rows, series, "timestamp_utc", high_water_marks(target, series, "timestamp_utc"))
     return upsert(target, rows, GAUGE_KEYS, GAUGE_ORDER)
 
 

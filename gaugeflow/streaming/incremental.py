@@ -16,7 +16,8 @@ work is a Structured Streaming query over landed files:
   prediction is picked on read (``nearest_candidates``).
 * J4 / windows: tumbling, sliding and session aggregations with a watermark,
   emitted through the same merge-on-read sink (update mode; session windows
-  support append only and are closed by a sentinel event, ``flush_sessions``).
+  support append only: a session appears once the watermark has passed its
+  end, and until then stays in the state, open to later events).
 """
 
 from __future__ import annotations
@@ -112,17 +113,6 @@ def compact(spark: SparkSession, target: str, keys: Sequence[str], order: Sequen
     return nxt
 
 
-def flush_sessions(spark: SparkSession, src: str, schema: T.StructType, ts: str, key: str, sentinel_key,
-                   at: str) -> None:
-    """Land one sentinel event far in the future (after the data run) so the
-    watermark passes every open window/session and append mode emits them."""
-    cols = []
-    for f in schema.fields:
-        v = F.lit(at) if f.name == ts else (F.lit(sentinel_key) if f.name == key else F.lit(None))
-        cols.append(v.cast(f.dataType).alias(f.name))
-    spark.range(1).select(*cols).write.mode("append").parquet(src)
-
-
 def windowed_counts(events: DataFrame, ts: str, keys: Sequence[str], value: str, kind: str = "tumbling",
                     duration: str = "1 hour", slide: str | None = None, gap: str = "30 minutes",
                     watermark: str = "1 day") -> DataFrame:

@@ -143,3 +143,46 @@ def test_upsert_stream_compaction(spark):
     ST.upsert_stream(stream, out, ck, ["k"], ["ts"])
     got = {r.k: r.v for r in ST.merged_view(spark, out, ["k"], ["ts"]).collect()}
     assert got[3] == -1.0 and len(got) == 10
+
+
+def test_event_after_a_closed_session_is_kept(spark):
+    src, out, ck = _tmp(), _tmp(), _tmp()
+    schema = spark.createDataFrame([], "ts timestamp, k string, v double").schema
+    stream = ST.stream_files(spark, src, schema)
+    agg = ST.windowed_counts(stream, "ts", ["k"], "v", kind="session", gap="1 hour", watermark="2 hours")
+
+    def run(*rows):
+        spark.createDataFrame([(dt.datetime(2024, 1, 1, h, m), k, 1.0) for h, m, k in rows], schema) \
+            .write.mode("append").parquet(src)
+        ST.upsert_stream(agg, out, ck, ["window_start", "k"], ["n"])
+        return sorted((r.k, r.window_start.hour, r.n) for r in ST.merged_view(spark, out, ["window_start", "k"], ["n"]).collect())
+
+    assert run((0, 0, "a"), (0, 30, "a"), (6, 0, "b")) == [("a", 0, 2)]  # b is open, a has ended
+    assert run((5, 30, "a"), (6, 30, "b"), (7, 0, "a")) == [("a", 0, 2)]  # before the newest event, within the lateness
+    assert run((20, 0, "c")) == [("a", 0, 2), ("a", 5, 1), ("a", 7, 1), ("b", 6, 2)]
+
+
+def test_gauge_ingest_keeps_lagging_stations_and_corrections(spark):
+    from gaugeflow.plans.ingest import gauge_ingest
+
+    d = _tmp()
+
+    def payload(name, station, *points):
+        with open(os.path.join(d, name), "w") as f:
+            f.write(json.dumps({"uuid": station, "shortname": station, "timeseries": [
+                {"shortname": "W", "unit": "cm", "measurements": [
+                    {"timestamp": f"2024-01-01T{h:02d}:00:00Z", "value": v} for h, v in points]}]}))
+        return os.path.join(d, name)
+
+    old = [payload("old-a.json", "A", (0, 1.0), (9, 2.0)), payload("old-b.json", "B", (0, 3.0))]
+    new = [payload("new-a.json", "A", (0, 7.0), (9, 2.5), (10, 4.0)), payload("new-b.json", "B", (5, 5.0)),
+           payload("new-c.json", "C", (1, 6.0))]
+    target = gauge_ingest(spark, old, None, ingestion_ts="2024-01-02 00:00:00")
+
+    def values(mode):
+        out = gauge_ingest(spark, new, target, ingestion_ts="2024-01-03 00:00:00", mode=mode)
+        return sorted((r.station_id, r.timestamp_utc.hour, r.value) for r in out.collect())
+
+    rest = [("A", 9, 2.5), ("A", 10, 4.0), ("B", 0, 3.0), ("B", 5, 5.0), ("C", 1, 6.0)]
+    assert values("incremental") == [("A", 0, 1.0), *rest]  # B lags behind A; A's row at its mark is corrected
+    assert values("backfill") == [("A", 0, 7.0), *rest]
