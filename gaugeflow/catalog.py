@@ -1711,11 +1711,11 @@ SELECT event_id, user_id, ts,
        WHEN f_ts IS NOT NULL AND df <= {TOL_US} THEN f_ts END AS matched_ts,
   CASE WHEN b_ts IS NOT NULL AND db <= {TOL_US} AND (f_ts IS NULL OR df > {TOL_US} OR db <= df) THEN b_val
        WHEN f_ts IS NOT NULL AND df <= {TOL_US} THEN f_val END AS actual_value
-FROM c WHERE (b_ts IS NOT NULL AND db <= {TOL_US}) OR (f_ts IS NOT NULL AND df <= {TOL_US})""")
+FROM c""")
 def q_late_actuals_stream(spark, sf_dir):
     """Predictions ('view') and late actuals ('purchase') as two streams,
     interval-joined within +-6 h under watermarks; the nearest actual per
-    prediction (earlier on ties) is picked on read."""
+    prediction (earlier on ties, null without one) is picked on read."""
     src = landed_events(spark, sf_dir)
     s = _event_stream(spark, src)
     preds = s.where(F.col("event_type") == "view").select("event_id", "user_id", "ts")
@@ -1725,7 +1725,9 @@ def q_late_actuals_stream(spark, sf_dir):
                                       watermark=REPLAY_WATERMARK)
     target, ck = LD.scratch_dir(spark, "pairs"), LD.scratch_dir(spark, "pairs-ckpt")
     ST.run_available(pairs.select("event_id", "user_id", "ts", "act_ts", "actual_value"), ck, path=target)
-    out = ST.nearest_candidates(spark.read.parquet(target), ["event_id", "user_id", "ts"], "ts", "act_ts", "actual_value")
+    landed = spark.read.schema(s.schema).parquet(src).where(F.col("event_type") == "view")
+    out = ST.nearest_candidates(spark.read.parquet(target), landed, ["event_id", "user_id", "ts"], "ts", "act_ts",
+                                "actual_value")
     return out.withColumns({"ts": F.col("ts").cast("timestamp_ntz"), "matched_ts": F.col("matched_ts").cast("timestamp_ntz")})
 
 
@@ -2208,51 +2210,60 @@ def q_station_audit(spark, sf_dir):
 
 HIST_SQL = PREDS_SQL + """
 , acts AS (SELECT 'STATION ' || CAST(o_custkey % 40 AS VARCHAR) AS station_name, o_orderdate + INTERVAL 6 HOUR AS actual_ts,
-                  max(o_totalprice) / 1999.0 AS actual_level FROM orders GROUP BY 1, 2)
-, hist0 AS (SELECT run_id, model_version, station_name, forecast_timestamp_utc, prediction_ready_utc, prediction FROM preds
-            WHERE split_name = 'production' AND forecast_timestamp_utc < TIMESTAMP '2000-01-01'
-            UNION ALL
-            SELECT run_id, model_version, '' AS station_name, forecast_timestamp_utc, prediction_ready_utc, prediction FROM preds
-            WHERE split_name = 'test' AND forecast_timestamp_utc < TIMESTAMP '1995-03-01')
-, prev AS (SELECT run_id, model_version, station_name, forecast_timestamp_utc, prediction_ready_utc + INTERVAL 1 HOUR AS prediction_ready_utc,
-                  prediction + 1 AS prediction FROM preds
-           WHERE split_name = 'production' AND forecast_timestamp_utc >= TIMESTAMP '1999-06-01')
-, u AS (SELECT * FROM hist0 UNION ALL SELECT * FROM prev)
-, named AS (SELECT * FROM u WHERE station_name IS NOT NULL AND trim(station_name) <> ''
-            QUALIFY row_number() OVER (PARTITION BY station_name, forecast_timestamp_utc, model_version
-                                       ORDER BY prediction_ready_utc DESC, run_id DESC, prediction DESC) = 1)
-, b AS (SELECT n.*, a.actual_ts AS b_ts, a.actual_level AS b_val FROM named n
+                  max(o_totalprice) / 1999.0 AS actual_level FROM orders WHERE o_orderstatus = 'F' GROUP BY 1, 2)
+, stored AS (
+  SELECT run_id, model_version, station_name, forecast_timestamp_utc, prediction_ready_utc, prediction,
+         CASE WHEN forecast_timestamp_utc < TIMESTAMP '1996-01-01' THEN prediction - 1 END AS had,
+         forecast_timestamp_utc < TIMESTAMP '1996-01-01' AS had_one
+  FROM preds WHERE split_name = 'production'
+  UNION ALL
+  SELECT run_id, model_version, '', forecast_timestamp_utc, prediction_ready_utc, prediction,
+         CASE WHEN actual_value IS NOT NULL THEN prediction - 1 END, actual_value IS NOT NULL
+  FROM preds WHERE split_name = 'test'
+  UNION ALL
+  SELECT run_id, model_version, station_name, forecast_timestamp_utc, prediction_ready_utc + INTERVAL 1 HOUR, prediction + 1,
+         NULL, false
+  FROM preds WHERE split_name = 'production' AND forecast_timestamp_utc >= TIMESTAMP '1995-06-01')
+, newest AS (
+  SELECT * FROM stored WHERE station_name = '' UNION ALL
+  (SELECT * FROM stored WHERE station_name <> ''
+   QUALIFY row_number() OVER (PARTITION BY station_name, forecast_timestamp_utc, model_version
+                              ORDER BY prediction_ready_utc DESC, run_id DESC, prediction DESC) = 1))
+, before AS (SELECT n.*, a.actual_ts AS b_ts, a.actual_level AS b_val FROM newest n
         ASOF LEFT JOIN acts a ON n.station_name = a.station_name AND n.forecast_timestamp_utc >= a.actual_ts)
-, f AS (SELECT b.*, a.actual_ts AS f_ts, a.actual_level AS f_val FROM b
-        ASOF LEFT JOIN acts a ON b.station_name = a.station_name AND b.forecast_timestamp_utc <= a.actual_ts)
-, c AS (SELECT *, epoch_us(forecast_timestamp_utc) - epoch_us(b_ts) AS db, epoch_us(f_ts) - epoch_us(forecast_timestamp_utc) AS df FROM f)"""
+, after AS (SELECT x.*, a.actual_ts AS f_ts, a.actual_level AS f_val FROM before x
+        ASOF LEFT JOIN acts a ON x.station_name = a.station_name AND x.forecast_timestamp_utc <= a.actual_ts)
+, c AS (SELECT *, epoch_us(forecast_timestamp_utc) - epoch_us(b_ts) AS db, epoch_us(f_ts) - epoch_us(forecast_timestamp_utc) AS df
+        FROM after)"""
 TOL12 = 12 * 3600 * 1_000_000
 
 
 @register("refresh_history", HIST_SQL + f"""
+, seen AS (SELECT *, CASE WHEN b_ts IS NOT NULL AND db <= {TOL12} AND (f_ts IS NULL OR df > {TOL12} OR db <= df) THEN b_val
+                          WHEN f_ts IS NOT NULL AND df <= {TOL12} THEN f_val END AS now FROM c)
 SELECT run_id, model_version, station_name, forecast_timestamp_utc, prediction_ready_utc, prediction,
-  CASE WHEN b_ts IS NOT NULL AND db <= {TOL12} AND (f_ts IS NULL OR df > {TOL12} OR db <= df) THEN b_ts ELSE f_ts END AS actual_timestamp_utc,
-  CASE WHEN b_ts IS NOT NULL AND db <= {TOL12} AND (f_ts IS NULL OR df > {TOL12} OR db <= df) THEN b_val ELSE f_val END AS actual_if_available
-FROM c WHERE (b_ts IS NOT NULL AND db <= {TOL12}) OR (f_ts IS NOT NULL AND df <= {TOL12})""")
+       coalesce(now, had) AS actual_if_available, true AS actual_available_now
+FROM seen WHERE now IS NOT NULL OR had_one""")
 def q_refresh_history(spark, sf_dir):
-    """C10 (C4, D5, J3): old history + previous predictions -> newest per
-    (station, forecast time, model) with blank-station rows passed through
-    -> nearest actual within 12 h -> keep rows with an actual -> newest per
-    key again."""
+    """C10 (C4, D5, J3): stored history, part of it with actuals, and previous
+    predictions -> newest per (station, forecast time, model), blank-station
+    rows passed through -> nearest actual within 12 h, else the stored one ->
+    rows with an actual."""
     from .plans.history import refresh_history
     p = predictions_table(spark, sf_dir)
     cols = ["run_id", "model_version", "station_name", "forecast_timestamp_utc", "prediction_ready_utc", "prediction"]
-    hist = p.where((F.col("split_name") == "production")
-                   & (F.col("forecast_timestamp_utc") < F.lit("2000-01-01").cast("timestamp_ntz"))).select(*cols)
-    blank = p.where((F.col("split_name") == "test")
-                    & (F.col("forecast_timestamp_utc") < F.lit("1995-03-01").cast("timestamp_ntz"))) \
-             .select(*cols).withColumn("station_name", F.lit(""))
-    prev = p.where((F.col("split_name") == "production")
-                   & (F.col("forecast_timestamp_utc") >= F.lit("1999-06-01").cast("timestamp_ntz"))).select(
+    production = p.where(F.col("split_name") == "production")
+    early = F.col("forecast_timestamp_utc") < F.lit("1996-01-01").cast("timestamp_ntz")
+    known = F.col("actual_value").isNotNull()
+    hist = production.select(*cols, F.when(early, F.col("prediction") - 1).alias("actual_if_available"),
+                             early.alias("actual_available_now"))
+    blank = p.where(F.col("split_name") == "test").withColumn("station_name", F.lit("")).select(
+        *cols, F.when(known, F.col("prediction") - 1).alias("actual_if_available"), known.alias("actual_available_now"))
+    prev = production.where(F.col("forecast_timestamp_utc") >= F.lit("1995-06-01").cast("timestamp_ntz")).select(
         "run_id", "model_version", "station_name", "forecast_timestamp_utc",
         (F.col("prediction_ready_utc") + F.expr("INTERVAL 1 HOUR")).alias("prediction_ready_utc"),
         (F.col("prediction") + 1).alias("prediction"))
-    o = T.table(spark, sf_dir, "orders")
+    o = T.table(spark, sf_dir, "orders").where(F.col("o_orderstatus") == "F")
     acts = o.groupBy(F.concat(F.lit("STATION "), (F.col("o_custkey") % 40).cast("string")).alias("station_name"),
                      (F.col("o_orderdate") + F.expr("INTERVAL 6 HOURS")).alias("actual_ts")) \
             .agg((F.max("o_totalprice") / 1999.0).alias("actual_level"))

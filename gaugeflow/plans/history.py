@@ -6,24 +6,36 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.asof import asof_nearest
-from ..operators.dedup import dedupe_history, latest_per_key
+from ..operators.dedup import dedupe_history
 
 HISTORY_KEYS = ["station_name", "forecast_timestamp_utc", "model_version"]
-HISTORY_ORDER = ["prediction_ready_utc", "run_id", "prediction"]
+HISTORY_ORDER = ["prediction_ready_utc", "run_id", "prediction", "actual_available_now"]
+
+
+def with_actual_columns(df: DataFrame) -> DataFrame:
+    """``actual_if_available`` and ``actual_available_now`` where they are
+    missing; a null flag is false."""
+    value = F.col("actual_if_available") if "actual_if_available" in df.columns else F.lit(None)
+    flag = F.col("actual_available_now") if "actual_available_now" in df.columns else F.lit(False)
+    return df.withColumns({"actual_if_available": value.cast("double"),
+                           "actual_available_now": F.coalesce(flag, F.lit(False))})
 
 
 def refresh_history(history: DataFrame, previous: DataFrame, actuals: DataFrame, tolerance_seconds: int = 1800,
                     actual_ts: str = "actual_ts", actual_value: str = "actual_level") -> DataFrame:
-    """Union the stored history with the previous run's predictions,
-    keep the newest prediction per (station, forecast time, model) (rows with
-    a blank station pass through, C4), attach the nearest actual within the
-    tolerance (D5; ties -> earlier), keep only rows that now have an actual
-    and dedupe once more."""
-    u = history.unionByName(previous, allowMissingColumns=True)
-    deduped = dedupe_history(u, HISTORY_KEYS, HISTORY_ORDER, "station_name")
-    named = deduped.where(F.trim(F.col("station_name")) != "")
-    matched = asof_nearest(named, actuals, ["station_name"], "forecast_timestamp_utc", actual_ts,
-                           tolerance_seconds, [actual_value], matched_ts_col="actual_timestamp_utc")
-    matched = matched.withColumnRenamed(actual_value, "actual_if_available")
-    with_actual = matched.where(F.col("actual_if_available").isNotNull())
-    return latest_per_key(with_actual, HISTORY_KEYS, HISTORY_ORDER)
+    """The stored history and the previous run's predictions, the newest
+    prediction per (station, forecast time, model) (rows with a blank station
+    pass through, C4), with the nearest actual within the tolerance (D5; ties
+    -> earlier), else the actual stored before. Rows that have an actual now
+    or had one stay, so the result can be the next run's ``history``.
+    """
+    stored = with_actual_columns(history).unionByName(with_actual_columns(previous), allowMissingColumns=True)
+    newest = dedupe_history(stored, HISTORY_KEYS, HISTORY_ORDER, "station_name")
+    seen = actuals.where(F.trim("station_name") != "").select(  # a blank station matches nothing
+        "station_name", F.col(actual_ts).alias("_seen_at"), F.col(actual_value).alias("_seen"))
+    matched = asof_nearest(newest, seen, ["station_name"], "forecast_timestamp_utc", "_seen_at", tolerance_seconds,
+                           ["_seen"], matched_ts_col="_matched_at")
+    now = matched.withColumns({
+        "actual_if_available": F.coalesce(F.col("_seen").cast("double"), "actual_if_available"),
+        "actual_available_now": F.col("_seen").isNotNull() | F.col("actual_available_now")})
+    return now.where("actual_available_now").select(*newest.columns)

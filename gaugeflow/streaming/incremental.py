@@ -146,10 +146,12 @@ def late_actual_candidates(preds: DataFrame, actuals: DataFrame, by: str, pred_t
     return p.join(a, cond, "inner")
 
 
-def nearest_candidates(pairs: DataFrame, pred_key: Sequence[str], pred_ts: str, act_ts: str,
+def nearest_candidates(pairs: DataFrame, preds: DataFrame, pred_key: Sequence[str], pred_ts: str, act_ts: str,
                        value: str) -> DataFrame:
-    """J3 read side: the nearest actual per prediction (earlier on ties)."""
+    """J3 read side: every prediction with its nearest actual (earlier on
+    ties), null where none has come yet."""
     d = F.abs(F.unix_micros(F.col(act_ts).cast("timestamp")) - F.unix_micros(F.col(pred_ts).cast("timestamp")))
     order = F.struct(d.alias("d"), F.unix_micros(F.col(act_ts).cast("timestamp")).alias("t"))
-    return pairs.groupBy(*pred_key).agg(F.min_by(F.struct(F.col(act_ts).alias("matched_ts"), F.col(value).alias("actual_value")),
-                                                 order).alias("_m")).select(*pred_key, "_m.*")
+    found = pairs.groupBy(*pred_key).agg(F.min_by(F.struct(F.col(act_ts).alias("matched_ts"), F.col(value).alias("actual_value")),
+                                                  order).alias("_m"))
+    return preds.select(*pred_key).join(found, list(pred_key), "left").select(*pred_key, "_m.*")

@@ -1,10 +1,11 @@
-"""Serving rules: segment choice, forecast-time windows, risk from bands."""
+"""Serving rules: segment choice, forecast-time windows, risk from bands, refreshed history."""
 
 from datetime import datetime
 
 from gaugeflow.operators import joins as J
 from gaugeflow.operators import metrics as MT
 from gaugeflow.operators import serving as SV
+from gaugeflow.plans.history import refresh_history
 
 SEGMENTS = [("S1", "Upper Part", "A", "decision"), ("S1", "Upper Part", "B", "support"), ("S2", "Lower", "B", "decision")]
 NOW = "2024-01-31 00:00:00"
@@ -66,3 +67,32 @@ def test_risk_comes_from_the_band_and_else_from_the_threshold(spark):
         ("A", 200.0): ("OK", "normal", "normal"), ("A", 80.1): ("High", "high", "high"),
         ("B", 80.5): ("Elevated", "elevated", "elevated"), ("C", 80.5): ("Unclassified", "unknown", "unknown"),
         ("A", None): ("Unknown", "unknown", "unknown")}
+
+
+def test_history_refreshes_its_own_output(spark):
+    def at(hour, day=1):
+        return datetime(2024, 1, day, hour)
+
+    def preds(*rows):
+        return spark.createDataFrame(rows, "station_name string, forecast_timestamp_utc timestamp, model_version string, "
+                                           "prediction_ready_utc timestamp, run_id string, prediction double")
+
+    def actuals(*rows):
+        return spark.createDataFrame(rows, "station_name string, actual_ts timestamp, actual_level double")
+
+    def shown(df):
+        return sorted((r.station_name or "-", r.forecast_timestamp_utc.hour, r.prediction, r.actual_if_available,
+                       r.actual_available_now) for r in df.collect())
+
+    legacy = spark.createDataFrame(
+        [(None, at(1), "m", at(0), "r0", 1.0, 9.0, True), ("", at(2), "m", at(0), "r0", 2.0, None, False)],
+        "station_name string, forecast_timestamp_utc timestamp, model_version string, prediction_ready_utc timestamp, "
+        "run_id string, prediction double, actual_if_available double, actual_available_now boolean")
+    first = refresh_history(legacy, preds(("A", at(5), "m", at(0), "r1", 5.0), ("A", at(6), "m", at(0), "r1", 6.0)),
+                            actuals(("A", at(5), 50.0), ("", at(2), 20.0)))
+    assert shown(first) == [("-", 1, 1.0, 9.0, True), ("A", 5, 5.0, 50.0, True)]
+    second = refresh_history(first, preds(("A", at(6), "m", at(0), "r1", 6.0), ("A", at(5), "m", at(0), "r1", 5.0)),
+                             actuals(("A", at(6), 60.0)))
+    assert shown(second) == [("-", 1, 1.0, 9.0, True), ("A", 5, 5.0, 50.0, True), ("A", 6, 6.0, 60.0, True)]
+    third = refresh_history(second, preds(), actuals(("A", at(5), 51.0)))
+    assert [r[3] for r in shown(third)] == [9.0, 51.0, 60.0]
