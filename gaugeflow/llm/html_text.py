@@ -1,13 +1,18 @@
 """Main text of web pages by text-to-tag ratio.
 
 The standard library's parser streams events; they become lines, one for each
-block of the page, with the tags that led up to it. Lines in containers that
-hold no article text by their element or their class and id words are set
-aside. Each remaining line has a ratio of text outside links to tags; the
-ratios are smoothed with a Gaussian over the lines in page order and a
-threshold splits regions of lines into content and the rest. A region is what
-one ``article`` or ``main`` element holds, or else a run of lines between set
-aside ones; it is kept or left whole, so short blocks stay with their text.
+block of the page, with the tags that led up to it. Lines that show no text of
+the page by their element, or that lie in a container of navigation, adverts
+and the like by its element or its class and id words, are set aside; a
+container that holds an ``article`` or ``main`` element or most of the page's
+text is never set aside for its name. Each remaining line has a ratio of text
+outside links to tags, weighted by its containers; the ratios are smoothed
+with a Gaussian over the lines of a region in page order, and the page's
+threshold splits the regions into content and the rest. A region is what one
+``article`` or ``main`` element holds outside those within it, or else a run
+of lines between such elements and set aside lines; the same threshold decides
+on every region, which is kept or left whole, so short blocks stay with their
+text.
 """
 
 from __future__ import annotations
@@ -25,8 +30,9 @@ from pyspark.sql import functions as F
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr b bdi bdo big cite code data dfn del em font i ins kbd mark q s samp small span strike "
                    "strong sub sup time tt u var wbr br img".split())
-SET_ASIDE = frozenset("head title script style noscript template nav header footer aside form menu dialog select "
-                      "textarea button iframe object svg canvas audio video map".split())
+NO_TEXT = frozenset("head title script style noscript template select textarea button iframe object svg canvas audio "
+                    "video map".split())
+SET_ASIDE = frozenset("nav header footer aside form menu dialog".split())
 MAIN = frozenset(("article", "main"))
 ASIDE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog alert menu "
                         "menubar".split())
@@ -37,19 +43,35 @@ ASIDE_WORDS = frozenset("ad ads advert adverts advertisement advertising sponsor
                         "commentlist respond disqus replies widget toolbar pagination pager skip".split())
 #: Standard deviation of the smoothing, in lines, and the part of the ratios' deviation that is the threshold.
 SIGMA, THRESHOLD = 1.0, 1.0
+#: Weight of ratios in ``article`` and ``main`` elements, and in containers that only their content saves from being set aside.
+MAIN_WEIGHT, ASIDE_WEIGHT = 2.0, 0.25
 NAME_WORDS = re.compile(r"[a-z]+|\d+")
 
 
 @dataclass
 class Line:
-    """A block's text, the tags before and in it, its characters in links, and
-    the region's element (0: none)."""
+    """A block's text, the tags before and in it, its characters in links, its
+    innermost element, and by its containers: the region's element (0: none),
+    the weight, and whether it is set aside."""
 
     text: str
     tags: int
     linked: int
-    region: int
-    aside: bool
+    element: int
+    region: int = 0
+    weight: float = 1.0
+    aside: bool = False
+
+
+@dataclass
+class Element:
+    """A block element: its container, whether it is ``article`` or ``main``,
+    named like something beside the text, or without text by its kind."""
+
+    parent: int
+    main: bool
+    beside: bool
+    no_text: bool
 
 
 class LineParser(HTMLParser):
@@ -58,18 +80,15 @@ class LineParser(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.lines: list[Line] = []
-        self.open: list[tuple[str, bool, int]] = []  # block elements: name, set aside, region
+        self.elements = [Element(0, False, False, False)]  # the page, then block elements in page order
+        self.open: list[tuple[str, int]] = []  # block elements: name, number
         self.words: list[str] = []
-        self.tags = self.linked = self.links = self.regions = 0
-
-    def _state(self) -> tuple[bool, int]:
-        return (self.open[-1][1], self.open[-1][2]) if self.open else (False, 0)
+        self.tags = self.linked = self.links = 0
 
     def end_line(self) -> None:
         text = " ".join("".join(self.words).split())
-        aside, region = self._state()
         if text:
-            self.lines.append(Line(text, max(self.tags, 1), self.linked, region, aside))
+            self.lines.append(Line(text, max(self.tags, 1), self.linked, self.open[-1][1] if self.open else 0))
             self.tags = 0
         self.words, self.linked = [], 0
 
@@ -86,17 +105,15 @@ class LineParser(HTMLParser):
             return
         if self.open and self.open[-1][0] == "p" or self.open and tag == self.open[-1][0] == "li":
             self.open.pop()
-        aside, region = self._state()
-        if not aside:
-            given = {k: v or "" for k, v in attrs if k in ("class", "id", "role", "hidden", "aria-hidden")}
-            names = NAME_WORDS.findall(f"{given.get('class', '')} {given.get('id', '')}".lower())
-            aside = (tag in SET_ASIDE or not ASIDE_WORDS.isdisjoint(names) and tag not in ("html", "body")
-                     or given.get("role", "").lower() in ASIDE_ROLES or "hidden" in given
-                     or given.get("aria-hidden") == "true")
-        if tag in MAIN and not region:
-            self.regions += 1
-            region = self.regions
-        self.open.append((tag, aside, region))
+        parent = self.open[-1][1] if self.open else 0
+        given = {k: v or "" for k, v in attrs if k in ("class", "id", "role", "hidden", "aria-hidden")}
+        names = NAME_WORDS.findall(f"{given.get('class', '')} {given.get('id', '')}".lower())
+        beside = (tag in SET_ASIDE or not ASIDE_WORDS.isdisjoint(names) and tag not in ("html", "body")
+                  or given.get("role", "").lower() in ASIDE_ROLES)
+        no_text = (tag in NO_TEXT or "hidden" in given or given.get("aria-hidden") == "true"
+                   or self.elements[parent].no_text)
+        self.open.append((tag, len(self.elements)))
+        self.elements.append(Element(parent, tag in MAIN, beside, no_text))
 
     def handle_endtag(self, tag):
         if tag == "a":
@@ -117,18 +134,39 @@ class LineParser(HTMLParser):
         if self.links:
             self.linked += len(data)
 
+    def place_lines(self) -> None:
+        """Region, weight and setting aside of every line, once the whole page
+        is known."""
+        elements = self.elements
+        held, main = [0] * len(elements), [e.main and not e.no_text for e in elements]
+        for line in self.lines:
+            if not elements[line.element].no_text:
+                held[line.element] += len(line.text)
+        for i in range(len(elements) - 1, 0, -1):
+            held[elements[i].parent] += held[i]
+            main[elements[i].parent] |= main[i]
+        states = [(0, False, False)]  # region, saved by its content, set aside
+        for i, e in enumerate(elements[1:], 1):
+            region, saved, aside = states[e.parent]
+            holds = main[i] or 2 * held[i] > held[0]
+            states.append((i if e.main else region, saved or e.beside and holds, aside or e.no_text or e.beside and not holds))
+        for line in self.lines:
+            line.region, saved, line.aside = states[line.element]
+            line.weight = (MAIN_WEIGHT if line.region else 1.0) * (ASIDE_WEIGHT if saved else 1.0)
+
 
 def page_lines(html: str) -> list[Line]:
     parser = LineParser()
     parser.feed(html)
     parser.close()
     parser.end_line()
+    parser.place_lines()
     return parser.lines
 
 
 def smoothed_ratios(lines: list[Line]) -> np.ndarray:
-    """Text-to-tag ratio of each line, none for lines set aside, smoothed."""
-    ratio = np.array([0.0 if x.aside else max(0, len(x.text) - x.linked) / x.tags for x in lines])
+    """Weighted text-to-tag ratio of each line of a region, smoothed over them."""
+    ratio = np.array([x.weight * max(0, len(x.text) - x.linked) / x.tags for x in lines])
     reach = int(np.ceil(3 * SIGMA))
     kernel = np.exp(-np.arange(-reach, reach + 1) ** 2 / (2 * SIGMA ** 2))
     return np.convolve(ratio, kernel / kernel.sum())[reach:reach + len(ratio)]
@@ -139,21 +177,21 @@ def main_text(html: str | None) -> str:
     them; the empty string for null, empty and text-free pages. Text outside
     every block is a block of its own, so a page without markup is its text."""
     lines = page_lines(html or "")
-    if not lines:
-        return ""
-    smooth = smoothed_ratios(lines)
     regions: dict[tuple, list[int]] = {}
-    run, marked = 0, any(x.region and not x.aside for x in lines)
+    run = 0
     for i, line in enumerate(lines):
-        if line.aside:
+        if line.aside or line.region:
             run += 1
-        elif line.region or not marked:
+        if not line.aside:
             regions.setdefault((line.region, 0 if line.region else run), []).append(i)
     if not regions:
         return ""
+    smooth = np.zeros(len(lines))  # lines set aside stay at zero
+    for at in regions.values():
+        smooth[at] = smoothed_ratios([lines[i] for i in at])
     peaks = {k: smooth[at].max() for k, at in regions.items()}
     least = min(THRESHOLD * float(smooth.std()), max(peaks.values()))
-    chosen = sorted(i for k, at in regions.items() if k[0] or peaks[k] >= least for i in at)
+    chosen = sorted(i for k, at in regions.items() if peaks[k] >= least for i in at)
     return "\n\n".join(lines[i].text for i in chosen)
 
 

@@ -122,6 +122,28 @@ def test_main_text():
     assert html_text.main_text("<p" * 2000) is not None and html_text.main_text("<div>" * 5000 + "x") == "x"
 
 
+def test_main_text_is_chosen_by_ratio_in_every_region():
+    story = "\n\n".join(["A story of some length that has words enough to be one. " * 5] * 3 + ["End."]).replace(". \n", ".\n")
+    blocks = "".join(f"<p>{x}</p>" for x in story.split("\n\n"))
+    card = "<article class=card><h3><a href=/x>Other story</a></h3><p>Read <b>this</b> too.</p></article>"
+    text = html_text.main_text
+    assert text(f"<body><div><p>menu</p></div><nav>n</nav><div>{blocks}</div><nav>n</nav><div>x</div></body>") == story
+    # main text in plain containers beside a card, and beside a card within main
+    assert text(f"<body><div>{blocks}</div>{card}</body>") == story
+    assert text(f"<body><main>{card}<article>{blocks}</article>{card}</main></body>") == story
+    # several long articles stay
+    assert text(f"<body><article>{blocks}</article>{card}<article>{blocks}</article></body>") == f"{story}\n\n{story}"
+    # names on what holds the text, or most of it, do not set it aside
+    for wrapper in ("<div class=has-sidebar>", "<div id=widget>", "<form>", "<div role=search>", "<aside>"):
+        end = wrapper[1:].split()[0].rstrip(">")
+        side = "<div class=sidebar><p>" + "Side words. " * 9 + "</p></div>"
+        assert text(f"<body>{wrapper}<article>{blocks}</article>{side}</{end}></body>") == story
+        assert text(f"<body>{wrapper}{blocks}</{end}>{side}</body>") == story
+    assert text(f"<article class='post tag-social'>{blocks}</article>") == story
+    # text that is never shown is no text of the page
+    assert text(f"<body><script>{'x ' * 9000}</script><div hidden><article>{blocks * 3}</article></div>{blocks}</body>") == story
+
+
 def test_extract_pages(spark):
     pages = spark.createDataFrame([(1, "u", "<article><p>a b</p></article>", 7), (1, "u", None, 7), (None, None, "", 7)],
                                   "page_id long, url string, html string, n_chars int")
