@@ -3,14 +3,18 @@
 Texts and templates are normalised to words and compared by the Dice
 coefficient over word bigrams, repeats counted. A passage of a size so far from
 a template's that no overlap could reach the threshold is never compared, and a
-text without enough of a template's bigrams is not looked at further.
+text without enough of a template's bigrams is not looked at further. The
+templates, whole licence texts and notices, are the rows of
+``license_templates.jsonl``.
 """
 
 from __future__ import annotations
 
+import json
 import math
 import re
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
@@ -22,32 +26,11 @@ THRESHOLD = 0.8
 CACHED = 500_000
 NOT_WORD = re.compile(r"[\W_]+")
 
-# Public licence notices, by SPDX identifier.
-TEMPLATES = (
-    ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
-    ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except "
-                   "in compliance with the License. You may obtain a copy of the License at "
-                   "http://www.apache.org/licenses/LICENSE-2.0"),
-    ("GPL-3.0-only", "This work is licensed under the GNU General Public License, version 3."),
-    ("GPL-3.0-or-later", "This program is free software: you can redistribute it and/or modify it under the terms of "
-                         "the GNU General Public License as published by the Free Software Foundation, either version "
-                         "3 of the License, or (at your option) any later version."),
-    ("MIT", "Released under the MIT License."),
-    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
-            "associated documentation files (the \"Software\"), to deal in the Software without restriction, including "
-            "without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell "
-            "copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the "
-            "following conditions:"),
-    ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
-    ("CC-BY-4.0", "Licensed under CC BY 4.0."),
-    ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
-    ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
-    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted "
-                     "provided that the following conditions are met:"),
-    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is "
-            "hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
-    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
-)
+#: Bigrams from which a template is a licence's own text; its passages come before those of notices within them.
+WHOLE = 80
+#: Public licence texts and notices, by SPDX identifier (``LicenseRef-BSD``: a BSD licence, not told which).
+TEMPLATES = tuple((row["license"], row["text"]) for row in map(json.loads, Path(__file__).with_name(
+    "license_templates.jsonl").read_text(encoding="utf-8").splitlines()))
 
 
 def normal_words(text: str) -> list[str]:
@@ -75,6 +58,12 @@ class Scanner:
             grams = Counter(a * self.base + b for a, b in zip(ids, ids[1:]))
             self.templates.append((name, grams, grams.total()))
         self.known = np.array(sorted({g for _, grams, _ in self.templates for g in grams}), np.int64)
+        # for each known bigram, one after the other, the templates that have it and how often
+        held = sorted((g, n, c) for n, (_, grams, _) in enumerate(self.templates) for g, c in grams.items())
+        gram, self.holder, self.holds = np.array(held, np.int64).reshape(-1, 3).T.copy()
+        self.first = np.searchsorted(gram, self.known, "left")
+        self.holders = np.searchsorted(gram, self.known, "right") - self.first
+        self.least = np.array([self._sizes(size)[0] for _, _, size in self.templates])
         self.kept: dict[str, int] = {}
 
     def _numbers(self, text: str) -> np.ndarray:
@@ -88,20 +77,34 @@ class Scanner:
         ids = np.fromiter(map(kept.__getitem__, parts), np.int64, len(parts))
         return ids[ids >= 0]
 
+    def _sizes(self, size: int) -> tuple[int, int]:
+        """Least and greatest bigrams of a passage that can reach the threshold;
+        the least is that of shared ones too."""
+        t = self.threshold
+        return math.ceil(t / (2 - t) * size - 1e-9), math.floor((2 - t) / t * size + 1e-9)
+
     def scan(self, text: str | None) -> list[tuple[str, float, int, int]]:
         """(licence, score, first word, end word) of passages that reach the
-        threshold, best first, none overlapping a better one."""
+        threshold, those close to whole texts first, then best first, none
+        overlapping an earlier one."""
         ids = self._numbers(text or "")
         if len(ids) < 2:
             return []
         grams = np.where((ids[:-1] > 0) & (ids[1:] > 0), ids[:-1] * self.base + ids[1:], 0)
-        at = np.flatnonzero(np.isin(grams, self.known))
+        place = np.searchsorted(self.known, grams)
+        at = np.flatnonzero(self.known[np.minimum(place, len(self.known) - 1)] == grams)
+        if not len(at):
+            return []
+        place, counts = np.unique(place[at], return_counts=True)
+        many = self.holders[place]
+        entry = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many - self.first[place], many)
+        shared = np.bincount(self.holder[entry], np.minimum(self.holds[entry], np.repeat(counts, many)), len(self.templates))
         found = []
-        if len(at):
-            for name, template, size in self.templates:
-                found += [(name, *x) for x in self._close(grams, at, template, size)]
+        for n in np.flatnonzero(shared >= self.least):
+            name, template, size = self.templates[n]
+            found += [(size >= WHOLE, name, *x) for x in self._close(grams, at, template, size)]
         chosen: list = []
-        for name, score, a, b in sorted(found, key=lambda x: (-x[1], x[2] - x[3], x[2], x[0])):
+        for _, name, score, a, b in sorted(found, key=lambda x: (not x[0], -x[2], x[3] - x[4], x[3], x[1])):
             if all(b <= c or a >= d for _, _, c, d in chosen):
                 chosen.append((name, score, a, b))
         return chosen
@@ -109,33 +112,32 @@ class Scanner:
     def _close(self, grams, at, template, size):
         """Passages from one template bigram to another: for every first one the
         best last one within the size bounds."""
-        t = self.threshold
-        least, most = math.ceil(t / (2 - t) * size - 1e-9), math.floor((2 - t) / t * size + 1e-9)
-        own = [i for i in at.tolist() if int(grams[i]) in template]
-        for n, first in enumerate(own):
-            left, overlap, best = Counter(template), 0, None
-            if len(own) - n < least:
-                break
-            for last in own[n:]:
-                length = last - first + 1
-                if length > most:
-                    break
-                gram = int(grams[last])
-                if left[gram] > 0:
-                    left[gram] -= 1
-                    overlap += 1
-                if length >= least and (score := 2 * overlap / (length + size)) >= t and (best is None or score > best[0]):
-                    best = (score, first, last + 2)
-            if best:
-                yield best
+        least, most = self._sizes(size)
+        own = np.array([i for i in at.tolist() if int(grams[i]) in template], np.int64)
+        # a bigram adds to the overlap unless the template's number of it lies between it and the first one
+        before, places = np.full(len(own), -1), {}
+        for n, i in enumerate(own.tolist()):
+            same = places.setdefault(int(grams[i]), [])
+            same.append(n)
+            if len(same) > template[int(grams[i])]:
+                before[n] = same[-1 - template[int(grams[i])]]
+        ends = np.searchsorted(own, own + most, "left")
+        for n in np.flatnonzero(ends - np.arange(len(own)) >= least).tolist():
+            lengths = own[n:ends[n]] - own[n] + 1
+            scores = 2 * np.cumsum(before[n:ends[n]] < n) / (lengths + size)
+            scores[lengths < least] = 0
+            last = int(np.argmax(scores))
+            if scores[last] >= self.threshold:
+                yield float(scores[last]), int(own[n]), int(own[n + last]) + 2
 
 
 def scan_licenses(docs: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD, key_col: str = "doc_id",
                   text_col: str = "text") -> DataFrame:
     """One row for each passage of a whole text that reaches the threshold: the
     key, ``license``, ``score``, ``first_word`` and ``end_word`` (normalised
-    words, end exclusive). Overlapping passages give the best one, ties the
-    longer, earlier, then least name. Texts without any, null and empty texts
+    words, end exclusive). Overlapping passages give that of a whole licence text
+    before that of a notice, then the best one, ties the longer, earlier, then
+    least name. Texts without any, null and empty texts
     give no row; repeated rows and null keys are scanned each."""
     scanner = Scanner(templates, threshold)
 

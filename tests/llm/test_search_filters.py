@@ -169,6 +169,28 @@ def test_license_scan(spark, docs, empty):
     assert licenses.scan_licenses(rows).count() == docs.count() and licenses.scan_licenses(empty).collect() == []
 
 
+def test_license_scan_tells_whole_texts_and_neighbours_apart():
+    scanner, rows = licenses.Scanner(), {}
+    for name, text in licenses.TEMPLATES:
+        rows[name] = max(rows.get(name, ""), text, key=len)
+    for name in ("Apache-2.0", "GPL-2.0-only", "GPL-3.0-only", "LGPL-2.1-only", "AGPL-3.0-only", "MPL-2.0", "CC0-1.0", "MIT",
+                 "MIT-0", "ISC", "0BSD", "BSD-2-Clause", "BSD-3-Clause", "Unlicense"):
+        words = rows[name].split()
+        words[len(words) // 3] = "otherwise"  # a body with a change still comes before the notices within it
+        found = scanner.scan("before it " + " ".join(words) + " after it")
+        assert found[0][0] == name and 0.95 < found[0][1] < 1, (name, found)
+        assert all(b - a < 60 for _, _, a, b in found[1:])
+    notice = ("This program is free software; you can redistribute it and/or modify it under the terms of the GNU {} as "
+              "published by the Free Software Foundation; {}")
+    for kind, number, name in (("General Public License", "2", "GPL-2.0"), ("General Public License", "3", "GPL-3.0"),
+                               ("Lesser General Public License", "2.1", "LGPL-2.1"),
+                               ("Affero General Public License", "3", "AGPL-3.0")):
+        later = notice.format(kind, f"either version {number} of the License, or (at your option) any later version.")
+        assert [x[0] for x in scanner.scan(later)] == [f"{name}-or-later"]
+        assert [x[0] for x in scanner.scan(notice.format(kind, f"version {number} of the License."))] == [f"{name}-only"]
+    assert [x[0] for x in scanner.scan("Licensed under CC BY-ND 4.0.")] == ["CC-BY-ND-4.0"]
+
+
 def test_license_scan_equals_brute_force():
     rng = np.random.default_rng(2)
     templates = (("A", "a b c d e f"), ("B", "c d e g h"))
