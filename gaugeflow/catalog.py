@@ -1735,8 +1735,10 @@ def q_late_actuals_stream(spark, sf_dir):
 
 from .ml import models as ML  # noqa: E402
 
-ML_NUMERIC = ["lag_1", "lag_3", "lag_6", "diff_1", "rolling_mean_3", "rolling_max_6", "hour_utc", "temperature_c",
-              "precipitation_mm", "precip_roll_sum_24"]
+#: The lean feature list: the current level, weather, gauge and calendar features, weather features.
+ML_NUMERIC = [c for c in SUP_OUT if c not in ("station_id", "station_name", "timestamp_utc", "target_value_t_plus_24h")]
+#: Boosting iterations of the production fit and of the walk-forward fits.
+FIT_ITERATIONS, BACKTEST_ITERATIONS = 300, 250
 
 
 def _ml_frame(spark, sf_dir):
@@ -1747,12 +1749,12 @@ def _ml_frame(spark, sf_dir):
 @register("gbt_fit_score")
 def q_gbt_fit_score(spark, sf_dir):
     """M1 + M2 + M3 + M9: fit the feature pipeline + boosted trees (delta
-    target, 10 iterations) on rows before 2024-01-20 and score the newest
+    target, 300 iterations) on rows before 2024-01-20 and score the newest
     complete row of every station 24 h ahead."""
     df = _ml_frame(spark, sf_dir)
     cut = F.lit("2024-01-20").cast("timestamp_ntz")
     model = ML.fit_model(df.where(F.col("timestamp_utc") < cut), "target_value_t_plus_24h", ["station_group"],
-                         ML_NUMERIC, mode="delta", max_iter=10)
+                         ML_NUMERIC, mode="delta", max_iter=FIT_ITERATIONS)
     return ML.score_latest(df, model, 24, "gbt-v1", "run-1", ["target_value", "lag_1"], mode="delta")
 
 
@@ -1771,7 +1773,7 @@ def q_cluster_models(spark, sf_dir):
     cut = F.lit("2024-01-20").cast("timestamp_ntz")
     tr, te = df.where(F.col("timestamp_utc") < cut), df.where(F.col("timestamp_utc") >= cut)
     out = ML.cluster_models(tr, te, plan, "target_value_t_plus_24h", ["station_group"], ML_NUMERIC,
-                            min_rows=1000, min_stations=5, max_iter=3)
+                            min_rows=1000, min_stations=5, max_iter=BACKTEST_ITERATIONS)
     return out.select("station_name", "timestamp_utc", "cluster", "model_source", "prediction", "target_value_t_plus_24h")
 
 

@@ -57,3 +57,27 @@ def test_no_single_partition_exchange_in_feature_plans(spark):
 def test_dedup_is_a_partial_aggregate(spark):
     p = _plan(E.queries()["dedup_latest"](spark, SMOKE))
     assert "partial_max_by" in p or re.search(r"HashAggregate\(keys=.*functions=\[partial_max_by", p) or "ObjectHashAggregate" in p
+
+
+def test_registered_fits_use_all_iterations_and_features(spark, monkeypatch):
+    from gaugeflow import catalog as C
+
+    seen = {}
+
+    def stop(name):
+        def run(*args, **named):
+            seen[name] = named["max_iter"], next(len(a) for a in args if a is C.ML_NUMERIC)
+            raise StopIteration
+        return run
+
+    monkeypatch.setattr(C.ML, "fit_model", stop("gbt_fit_score"))
+    monkeypatch.setattr(C.ML, "cluster_models", stop("cluster_models"))
+    monkeypatch.setattr(C.ML, "station_clusters", lambda *a, **k: None)
+    monkeypatch.setattr(C, "_ml_frame", lambda *a: spark.createDataFrame([], "timestamp_utc timestamp_ntz"))
+    monkeypatch.setattr(C, "curated_series", lambda *a: None)
+    for run in (C.q_gbt_fit_score, C.q_cluster_models):
+        try:
+            run(spark, SMOKE)
+        except StopIteration:
+            pass
+    assert seen == {"gbt_fit_score": (300, 50), "cluster_models": (250, 50)}
