@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeflow.llm import (ann, bm25, bpe, html_text, langid, licenses, packing, simhash, toxicity, url_rules)
+from gaugeflow.llm import (ann, bm25, bpe, html_text, langid, licenses, packing, runs, simhash, toxicity, url_rules)
 from gaugeflow.llm.common import crc_fold, small_batches
 
 #: (host, path, verdict) rules of the URL query.
@@ -120,6 +120,26 @@ def op10_text_tag_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract_pages(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
 
 
+def op13_square_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of every document's words, of which a tenth is made periodic first."""
+    crc = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    docs = (table(spark, sf_dir, "documents").select("doc_id", "text", (crc % 10 == 0).alias("repeats"), F.floor(crc / 10).alias("g"))
+            .withColumn("words", F.when(F.col("repeats"), F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")))
+            .withColumn("n", F.size("words").cast("long")).withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")))
+            .withColumn("p", 1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))))
+    tail = F.array_join(runs.repeat_tail(F.col("words"), F.col("a"), F.col("p")), " ")
+    found = runs.periodic_runs(docs.select("doc_id", F.when(F.col("n") > 0, tail).otherwise(F.col("text")).alias("text")))
+    # the first of the runs of greatest length / period, which are ordered by start, then period
+    best = F.aggregate("runs", F.lit(None).cast("struct<start:long,length:long,period:long>"), lambda b, r: F.when(
+        b.isNull() | (r["length"] * b["period"] > b["length"] * r["period"]), r).otherwise(b))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return (found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.floor(F.lit(1000) * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256")))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of ``corpus_pipeline`` over the documents."""
     import corpus_pipeline
@@ -130,4 +150,4 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 REGISTRY = {f.__name__: (f, sql) for f, sql in (
     (op1_kmeans_tree_ann, None), (op2_simhash, None), (op3_url_rules, None), (op4_best_fit_packing, None),
     (op5_toxic_segments, None), (op6_byte_cnn_language, None), (op7_word_table_bpe, None),
-    (op8_block_max_wand, OP8_SQL), (op9_license_dice, None), (op10_text_tag_ratio, None), (pipeline, None))}
+    (op8_block_max_wand, OP8_SQL), (op9_license_dice, None), (op10_text_tag_ratio, None), (op13_square_runs, None), (pipeline, None))}

@@ -11,7 +11,7 @@ SMOKE = "/root/testdata/sf0.001"
 def test_registry_shape(spark):
     import __spark_entry__ as E
     names = [n for n in E.queries() if n.startswith("op") or n == "pipeline"]
-    assert sorted({int(n[2:].split("_")[0]) for n in names if n != "pipeline"}) == list(range(1, 11)) and "pipeline" in names
+    assert sorted({int(n[2:].split("_")[0]) for n in names if n != "pipeline"}) == list(range(1, 14)) and "pipeline" in names
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "language_id", "simhash_near_dedup", "packing"]
 
 
