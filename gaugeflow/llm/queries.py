@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeflow.llm import (ann, bm25, bpe, html_text, langid, licenses, packing, runs, simhash, toxicity, url_rules)
+from gaugeflow.llm import (ann, bm25, bpe, html_text, langid, licenses, negatives, packing, runs, simhash, toxicity, url_rules)
 from gaugeflow.llm.common import crc_fold, small_batches
 
 #: (host, path, verdict) rules of the URL query.
@@ -120,6 +120,36 @@ def op10_text_tag_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract_pages(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
 
 
+def op12_shared_list_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every embedding whose id is divisible by 100, with some labels moved first."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", label.alias("label"))
+    return negatives.mine(rows, F.col("id") % 100 == 0)
+
+
+OP12_SQL = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         [floor(256 * CAST(x AS DOUBLE)) for x in embedding] AS v
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
+scores AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same,
+         CAST(list_inner_product(a.v, c.v) AS BIGINT) AS score
+  FROM v a JOIN v c ON a.vec_id <> c.vec_id WHERE a.vec_id % 100 = 0),
+positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scores WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+ranked AS (
+  SELECT anchor_id, positive_id, vec_id AS negative_id, positive_score, score AS negative_score,
+         row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS rank
+  FROM positives JOIN scores USING (anchor_id)
+  WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score
+FROM ranked WHERE rank <= 10
+"""
+
+
 def op13_square_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Periodic runs of every document's words, of which a tenth is made periodic first."""
     crc = F.crc32(F.col("doc_id").cast("string").cast("binary"))
@@ -150,4 +180,5 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 REGISTRY = {f.__name__: (f, sql) for f, sql in (
     (op1_kmeans_tree_ann, None), (op2_simhash, None), (op3_url_rules, None), (op4_best_fit_packing, None),
     (op5_toxic_segments, None), (op6_byte_cnn_language, None), (op7_word_table_bpe, None),
-    (op8_block_max_wand, OP8_SQL), (op9_license_dice, None), (op10_text_tag_ratio, None), (op13_square_runs, None), (pipeline, None))}
+    (op8_block_max_wand, OP8_SQL), (op9_license_dice, None), (op10_text_tag_ratio, None), (op12_shared_list_negatives, OP12_SQL),
+    (op13_square_runs, None), (pipeline, None))}
