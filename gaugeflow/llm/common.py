@@ -28,6 +28,22 @@ def shared_table(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bucketed_table(df: DataFrame, column: str, name: str) -> DataFrame:
+    """``shared_table`` bucketed by ``column``: bringing equal values together
+    later needs no shuffle. Buckets grow with the input's partitions. The name
+    that bucketing needs in the catalog is given back at once; the files stay."""
+    spark = df.sparkSession
+    path = shared_path(spark, name)
+    table = "llm_" + path.rsplit("-", 1)[-1]
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), df.rdd.getNumPartitions())
+    (df.write.option("compression", "zstd").option("path", path).format("parquet")
+     .bucketBy(min(buckets, 100_000), column).saveAsTable(table))  # Spark allows no more buckets
+    stored = spark.table(table)
+    stored.schema  # analysed before the name goes
+    spark.sql(f"DROP TABLE {table}")
+    return stored
+
+
 def crc_fold(key: Column, modulus: int) -> Column:
     """crc32 of the key written as text, modulo ``modulus``; a null key is
     fold -1, which belongs to no fold."""

@@ -6,7 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeflow.llm import (ann, bm25, bpe, html_text, langid, licenses, negatives, packing, runs, simhash, toxicity, url_rules)
+from gaugeflow.llm import (ann, bm25, bpe, html_text, langid, licenses, negatives, packing, runs, simhash,
+                           suffix_dedup, toxicity, url_rules)
 from gaugeflow.llm.common import crc_fold, small_batches
 
 #: (host, path, verdict) rules of the URL query.
@@ -120,6 +121,14 @@ def op10_text_tag_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract_pages(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
 
 
+def op11_suffix_family(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without strings of 200 bytes that start elsewhere too."""
+    found = suffix_dedup.repeated_strings(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return found.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+                        F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op12_shared_list_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hard negatives of every embedding whose id is divisible by 100, with some labels moved first."""
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
@@ -180,5 +189,5 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 REGISTRY = {f.__name__: (f, sql) for f, sql in (
     (op1_kmeans_tree_ann, None), (op2_simhash, None), (op3_url_rules, None), (op4_best_fit_packing, None),
     (op5_toxic_segments, None), (op6_byte_cnn_language, None), (op7_word_table_bpe, None),
-    (op8_block_max_wand, OP8_SQL), (op9_license_dice, None), (op10_text_tag_ratio, None), (op12_shared_list_negatives, OP12_SQL),
-    (op13_square_runs, None), (pipeline, None))}
+    (op8_block_max_wand, OP8_SQL), (op9_license_dice, None), (op10_text_tag_ratio, None),
+    (op11_suffix_family, None), (op12_shared_list_negatives, OP12_SQL), (op13_square_runs, None), (pipeline, None))}

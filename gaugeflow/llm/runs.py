@@ -28,7 +28,7 @@ from gaugeflow.llm.common import free_name
 LEAST_WORDS, LEAST_PERIODS = 6, 4
 #: Words appended at a time, and words of short documents that share a stream.
 CHUNK, STREAM = 1 << 18, 1 << 17
-RUNS = "array<struct<start:long,length:long,period:long>>"
+RUNS = T.ArrayType(T.StructType([T.StructField(n, T.LongType()) for n in ("start", "length", "period")]))
 
 
 def scramble(x: np.ndarray) -> np.ndarray:
@@ -184,7 +184,7 @@ def periodic_runs(docs: DataFrame, text_col: str = "text", runs_col: str = "runs
     gone = {text_col.lower(), runs_col.lower(), collapsed_col.lower()}
     rest = [f for f in docs.schema.fields if f.name.lower() not in gone]
     name = free_name(docs, "text_of_row")
-    schema = T.StructType(rest + [T.StructField(runs_col, T._parse_datatype_string(RUNS)),
+    schema = T.StructType(rest + [T.StructField(runs_col, RUNS),
                                   T.StructField(collapsed_col, T.StringType())])
     run_type = pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64()), ("period", pa.int64())]))
 
