@@ -341,11 +341,12 @@ def resolve(found: DataFrame, last: bool) -> tuple[DataFrame, DataFrame | None]:
     if not last:
         kinds = shared_table(kinds, "kinds")
     more = kinds.where("copies > 1").select("core", "whole")
+    more = shared_table(more, "repeated") if last else more  # as above: the join reads plain shuffles
     # merged at every size: what repeats grows with the data
     repeated = found.join(more.hint("merge"), ["core", "whole"], "left_semi").select("block", "row", "at", "n")
     if last:
         return repeated, None
-    shared = kinds.groupBy("core").count().where("count > 1").select("core")
+    shared = shared_table(kinds.groupBy("core").count().where("count > 1").select("core"), "cores")
     return repeated, kinds.join(shared.hint("merge"), "core").select("one.*")
 
 
@@ -378,7 +379,8 @@ def repeated_strings(docs: DataFrame, length: int = LENGTH, key_col: str = "doc_
     for i in range(batches):
         keys = family.add(sampled.where(F.col("batch") == i), last=i == batches - 1)
         found = keys if found is None else found.union(keys)
-    candidates = sampled.join(found.distinct().hint("merge"), "key", "left_semi")
+    # stored, so that the join reads two plain shuffles and Spark can split the rows of a very common key
+    candidates = sampled.join(shared_table(found.distinct(), "keys").hint("merge"), "key", "left_semi")
 
     marks, ranges = None, candidates
     for size in (0, min(CELL, length // 2), 1):
