@@ -31,7 +31,7 @@ CHANCE_TOKENS = 0.1
 MOST_EXPECTED = 0.05
 SHINGLE, STEM, WORD = 5, 4, re.compile(r"[^\W_]+")
 #: Token scores that a worker keeps.
-CACHED = 500_000
+CACHED = 100_000
 
 
 def segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
