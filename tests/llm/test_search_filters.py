@@ -138,18 +138,46 @@ def test_main_text_is_chosen_by_ratio_in_every_region():
         end = wrapper[1:].split()[0].rstrip(">")
         side = "<div class=sidebar><p>" + "Side words. " * 9 + "</p></div>"
         assert text(f"<body>{wrapper}<article>{blocks}</article>{side}</{end}></body>") == story
-        assert text(f"<body>{wrapper}{blocks}</{end}>{side}</body>") == story
+        # a form, search box or sidebar that holds no article is none of the page's text, however long
+        assert text(f"<body>{wrapper}{blocks}</{end}>{side}</body>") == (story if end == "div" and "role" not in wrapper else "")
     assert text(f"<article class='post tag-social'>{blocks}</article>") == story
     # text that is never shown is no text of the page
     assert text(f"<body><script>{'x ' * 9000}</script><div hidden><article>{blocks * 3}</article></div>{blocks}</body>") == story
 
 
+NEWS, TALK = "The council met on Monday and agreed on the plan. " * 6, "I do not agree with this at all, not one bit. " * 20
+
+
+def test_menus_consent_and_comments_are_never_text():
+    text, news = html_text.main_text, NEWS.strip()
+    assert text("<nav><a href=/>Home</a> and more words than one</nav><footer>About us, who we are</footer>") == ""
+    assert text(f"<form><p>{NEWS}</p></form><div role=dialog><p>{TALK}</p></div>") == ""
+    assert text(f"<div class=cookie-consent><p>{TALK}</p></div><div><p>{NEWS}</p></div>") == news
+    comments = "".join(f"<p>{TALK}</p>" for _ in range(5))
+    assert text(f"<article><p>{NEWS}</p></article><section id=comments>{comments}</section>") == news
+    assert text(f"<div><p>{NEWS}</p></div><section id=comments>{comments}</section>") == news
+    inner = f"<article><p>{TALK}</p></article>" * 4
+    assert text(f"<article><p>{NEWS}</p></article><section class=comments>{inner}</section>") == news
+    assert text(f"<div><p>{NEWS}</p></div><section class=comments>{inner}</section>") == news
+    assert text(f"<article><p>{NEWS}</p></article>" + f"<article class='comment odd'><p>{TALK}</p></article>" * 4) == news
+
+
+def test_wrappers_named_like_asides_keep_their_page():
+    text, news = html_text.main_text, NEWS.strip()
+    assert text(f"<form id=aspnet><nav>Home</nav><article><p>{NEWS}</p></article></form>") == news
+    assert text(f"<div class=comments-open><main><p>{NEWS}</p></main><div id=comments><p>{TALK}</p></div></div>") == news
+    assert text(f"<div class=has-sidebar><div><p>{NEWS}</p></div></div>") == news
+    assert text(f"<article><p>{NEWS}</p></article><div class=sidebar><p>{TALK}</p><p>{TALK}</p></div>") == news
+
+
 def test_extract_pages(spark):
     pages = spark.createDataFrame([(1, "u", "<article><p>a b</p></article>", 7), (1, "u", None, 7), (None, None, "", 7)],
                                   "page_id long, url string, html string, n_chars int")
     got = html_text.extract_pages(pages).collect()
     assert sorted((str(r.page_id), r.text, r.n_chars) for r in got) == [("1", "", 0), ("1", "a b", 3), ("None", "", 0)]
     assert html_text.extract_pages(pages.limit(0)).collect() == []
+    clash = pages.selectExpr("*", "1 as TEXT", "2 as N_Chars", "3 as made")
+    assert html_text.extract_pages(clash).columns[-3:] == ["made", "text", "n_chars"]
 
 
 def test_license_scan(spark, docs, empty):
