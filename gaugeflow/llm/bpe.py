@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gaugeflow.llm.common import shared_path
+from gaugeflow.llm.common import bucketed_table
 
 # The split pattern of the word-level vocabulary.
 WORD_BPE_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -222,17 +222,6 @@ def encode_words(used: DataFrame, path: str) -> DataFrame:
     return together.mapInArrow(run, "of long, coded binary")
 
 
-def by_block(blocks: DataFrame) -> DataFrame:
-    """``split_blocks`` stored in the shared folder, bucketed by block, so that
-    bringing a block's documents together needs no shuffle."""
-    spark = blocks.sparkSession
-    path = shared_path(spark, "blocks")
-    name = "llm_" + path.rsplit("-", 1)[-1]
-    (blocks.write.option("compression", "zstd").option("path", path).format("parquet")
-     .bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), "block").saveAsTable(name))
-    return spark.table(name)
-
-
 def decode_ids(ids: DataFrame, key_cols: list[str], pieces: DataFrame) -> DataFrame:
     """Rows of (keys, ``pos``, ``id``) joined to (id, piece): the keys and the
     ``text`` of their pieces in order, separated as the file's missing decoder
@@ -254,7 +243,7 @@ def encode_documents(docs: DataFrame, path: str, key_col: str = "doc_id", text_c
     keys give a row each; an empty table an empty result.
     """
     spark = docs.sparkSession
-    blocks = by_block(split_blocks(docs, path, key_col, text_col, block_chars))
+    blocks = bucketed_table(split_blocks(docs, path, key_col, text_col, block_chars), "block", "blocks")
     placed = encode_words(blocks.where(F.col("word").isNotNull()), path)
     texts = blocks.where(F.col("slots").isNotNull()).select("block", key_col, "slots")
 
@@ -266,9 +255,9 @@ def encode_documents(docs: DataFrame, path: str, key_col: str = "doc_id", text_c
     schema = T.StructType([T.StructField(key_col, docs.schema[key_col].dataType),
                            T.StructField("n_tokens", T.LongType()), *outputs])
 
-    def compose(documents: pd.DataFrame, words: pd.DataFrame) -> pd.DataFrame:
+    def compose(documents: pa.Table, words: pa.Table) -> pa.Table:
         piece = pieces.value
-        flat = from_varints(b"".join(words["coded"]))
+        flat = from_varints(b"".join(words.column("coded").to_pylist()))
         entries, size, i = flat.tolist(), 0, 0
         places, spellings = {}, {}
         while i < len(entries):
@@ -280,8 +269,8 @@ def encode_documents(docs: DataFrame, path: str, key_col: str = "doc_id", text_c
         for slot, (begin, n) in places.items():
             begins[slot], counts[slot] = begin, n
         rows = []
-        for slots in documents["slots"]:
-            at = from_varints(slots)
+        for slots in documents.column("slots"):
+            at = from_varints(slots.as_py())
             n = counts[at]
             total = int(n.sum())
             ids = flat[np.repeat(begins[at] - (np.cumsum(n) - n), n) + np.arange(total)]
@@ -289,8 +278,9 @@ def encode_documents(docs: DataFrame, path: str, key_col: str = "doc_id", text_c
             rows.append((total, hashlib.sha256(ids.astype("<u4").tobytes()).hexdigest(),
                          hashlib.sha256(text.encode()).hexdigest()) if digests else
                         (total, ids, text))
-        out = pd.DataFrame(rows, columns=schema.names[1:])
-        out.insert(0, key_col, documents[key_col].to_numpy())
-        return out
+        # keys stay in Arrow: beside a null, pandas would make doubles of them
+        types = [pa.int64(), *([pa.string()] * 2 if digests else [pa.list_(pa.int64()), pa.string()])]
+        return pa.table([documents.column(key_col), *[pa.array(c, t) for c, t in zip(list(zip(*rows)) or [[]] * 3, types)]],
+                        names=schema.names)
 
-    return texts.groupBy("block").cogroup(placed.groupBy("of")).applyInPandas(compose, schema)
+    return texts.groupBy("block").cogroup(placed.groupBy("of")).applyInArrow(compose, schema)

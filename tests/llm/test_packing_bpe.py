@@ -108,6 +108,15 @@ def test_encode_and_decode(docs, empty):
     assert bpe.encode_documents(empty, WORD).collect() == []
 
 
+def test_keys_beside_a_null_key_stay_exact(spark):
+    keys = [9007199254740993, None, 9007199254740995, -5]
+    rows = spark.createDataFrame([(k, "the cat") for k in keys], "doc_id long, text string").coalesce(1)
+    got = [r.doc_id for r in bpe.encode_documents(rows, WORD).collect()]
+    assert sorted(map(str, got)) == sorted(map(str, keys))
+    named = rows.selectExpr("cast(doc_id as string) as doc_id", "text")
+    assert sorted(str(r.doc_id) for r in bpe.encode_documents(named, WORD, digests=True).collect()) == sorted(map(str, keys))
+
+
 def test_decode_join(spark):
     ids = spark.createDataFrame([(1, 0, 320), (1, 1, 2368), (2, 0, 49407)], "k int, pos int, id int")
     got = {r.k: r.text for r in bpe.decode_ids(ids, ["k"], bpe.vocabulary(spark, WORD)).collect()}
