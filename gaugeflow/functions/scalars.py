@@ -129,12 +129,12 @@ def haversine_km(lat1: str | Column, lon1: str | Column, lat2: str | Column, lon
     return F.lit(2.0 * radius_km) * F.asin(F.sqrt(a))
 
 
-def max_lon_delta_deg(lat: str | Column, max_km: float, radius_km: float = EARTH_RADIUS_KM) -> Column:
+def max_lon_delta_deg(lat: str | Column, max_km: float | Column, radius_km: float = EARTH_RADIUS_KM) -> Column:
     """Largest longitude difference (degrees) of any point within
     ``max_km`` of a point at ``lat``; 180 near the poles."""
-    ang = max_km / radius_km
-    s = math.sin(ang) / F.cos(F.radians(_c(lat)))
-    return F.when(F.abs(_c(lat)) + F.lit(math.degrees(ang)) >= 89.999, F.lit(180.0)) \
+    ang = (max_km if isinstance(max_km, Column) else F.lit(float(max_km))) / radius_km
+    s = F.sin(ang) / F.cos(F.radians(_c(lat)))
+    return F.when(F.abs(_c(lat)) + F.degrees(ang) >= 89.999, F.lit(180.0)) \
             .when(s >= 1.0, F.lit(180.0)) \
             .otherwise(F.degrees(F.asin(s)))
 

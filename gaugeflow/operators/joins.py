@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import EARTH_RADIUS_KM, haversine_km, max_lon_delta_deg, normalize_name
+from .windows import top_k_per_group
 
 
 def join_mapping(facts: DataFrame, mapping: DataFrame, key: str) -> DataFrame:
@@ -133,6 +134,92 @@ def grid_distance_join(left: DataFrame, right: DataFrame, max_km: float,
     return joined.withColumn(distance_col, d).where(F.col(distance_col) <= F.lit(max_km))
 
 
+def _cell_diagonal_km(step_deg: float, radius_km: float) -> float:
+    """The farthest that two points of a cell of ``step_deg`` by ``step_deg``
+    degrees can lie apart."""
+    half = math.radians(min(step_deg, 180.0)) / 2
+    return 2 * radius_km * math.asin(min(1.0, math.sqrt(2) * math.sin(half)))
+
+
+def nearest_k(left: DataFrame, right: DataFrame, left_id: str, right_id: str, k: int, max_km: float,
+              left_cols: tuple[str, str] = ("latitude", "longitude"),
+              right_cols: tuple[str, str] = ("latitude", "longitude"), distance_col: str = "distance_km",
+              on: Sequence[str] = (), skip_self: bool = False, decimals: int | None = None, rings: int = 8,
+              radius_km: float = EARTH_RADIUS_KM) -> DataFrame:
+    """The ``k`` nearest right rows of every left row within ``max_km``,
+    searched in rings as wide as each left row needs.
+
+    Counts of right rows in nested cells (a small aggregate) give each left
+    row its ring: the least cell around it with k right rows, whose diagonal no
+    k-th neighbour exceeds; ``max_km`` where even the largest holds fewer.
+    Then one equi-join on (ring, cell) meets only cells that the ring's reach
+    touches, and farther pairs are dropped before the top k. Pairs follow the
+    density around a row, not ``max_km``. The cells of a ring are those of
+    ``grid_distance_join``: the date line and the poles are inside.
+
+    ``on`` names columns that both sides share and must agree; k is then
+    counted within them. ``skip_self`` drops pairs with equal ids. ``decimals``
+    rounds distances before they are ranked. Ties go to the smaller
+    ``right_id``. Rows with a null coordinate take no part; left rows that share
+    an id are ranked together.
+    Result: the columns of both sides and the distance.
+    """
+    la, lo = left_cols
+    ra, ro = right_cols
+    slack = 0.0 if decimals is None else 2.0 * 10 ** -decimals  # what rounding can move past another
+    reaches, counted = [], []  # reach of each ring, and the cell that proves it
+    for r in range(rings - 1, 0, -1):
+        step = math.degrees(max_km / radius_km) / 2 ** r
+        if _cell_diagonal_km(step, radius_km) + slack < max_km:
+            counted.append(step)
+            reaches.append(_cell_diagonal_km(step, radius_km) * (1 + 1e-9) + slack + 1e-9)
+    reaches.append(max_km)
+    lft = left.where(F.col(la).isNotNull() & F.col(lo).isNotNull())
+    rgt = right.where(F.col(ra).isNotNull() & F.col(ro).isNotNull())
+
+    def proof(lat: Column, lon: Column) -> Column:
+        return F.explode(F.array(*[F.struct(F.lit(i).alias("ring"), F.floor((lat + 90.0) / s).alias("b"),
+                                            F.floor((lon + 180.0) / s).alias("c")) for i, s in enumerate(counted)]))
+
+    need = k + (1 if skip_self else 0)
+    held = rgt.select(*on, proof(F.col(ra), F.col(ro)).alias("_p")).groupBy(*on, "_p").count().where(F.col("count") >= need)
+    row = [left_id, la, lo, *on]
+    ringed = (lft.select(*row, proof(F.col(la), F.col(lo)).alias("_p")).join(held, [*on, "_p"])
+                 .groupBy(*row).agg(F.min("_p.ring").alias("_ring")))
+    lft = lft.join(ringed, row, "left").withColumn("_ring", F.coalesce("_ring", F.lit(len(counted))))
+
+    pick = lambda values: F.element_at(F.array(*[F.lit(v) for v in values]), F.col("_ring") + 1)
+    steps = [min(math.degrees(x / radius_km), 180.0) for x in reaches]
+    lons = [max(1, int(math.floor(360.0 / s))) for s in steps]
+    lats = [int(math.floor(180.0 / s)) + 1 for s in steps]
+    step, n_lon, n_lat, reach = pick(steps), pick(lons), pick(lats), pick(reaches)
+
+    def band(lat: Column) -> Column:
+        return F.least(F.floor((lat + 90.0) / step), n_lat - 1).cast("int")
+
+    def column(lon: Column) -> Column:
+        return F.floor((lon + 180.0) / (360.0 / n_lon)).cast("int")
+
+    dlon = max_lon_delta_deg(F.col(la), reach, radius_km)
+    first = column(F.col(lo) - dlon)
+    last = F.least(column(F.col(lo) + dlon), first + n_lon - 1)
+    b0 = band(F.col(la))
+    cells = F.array_distinct(F.flatten(F.transform(
+        F.sequence(F.greatest(b0 - 1, F.lit(0)), F.least(b0 + 1, n_lat - 1)),
+        lambda b: F.transform(F.sequence(first, last), lambda c: F.struct(b.alias("b"), F.pmod(c, n_lon).alias("c"))))))
+    lft = lft.withColumn("_cell", F.explode(cells))
+    rgt = (rgt.withColumn("_ring", F.explode(F.array(*[F.lit(i) for i in range(len(reaches))])))
+              .withColumn("_cell", F.struct(band(F.col(ra)).alias("b"), F.pmod(column(F.col(ro)), n_lon).alias("c"))))
+    pairs = lft.join(rgt, [*on, "_ring", "_cell"])
+    d = haversine_km(F.col(la), F.col(lo), F.col(ra), F.col(ro), radius_km)
+    pairs = pairs.withColumn(distance_col, d).where(F.col(distance_col) <= reach)
+    if skip_self:
+        pairs = pairs.where(F.col(left_id) != F.col(right_id))
+    if decimals is not None:
+        pairs = pairs.withColumn(distance_col, F.round(distance_col, decimals))
+    return top_k_per_group(pairs.drop("_ring", "_cell"), [left_id, *on], [F.col(distance_col).asc(), F.col(right_id).asc()], k)
+
+
 def keep_ids(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     """Semi join on an id set."""
     return df.join(ids.select(key).distinct(), key, "left_semi")

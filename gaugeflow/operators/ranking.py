@@ -86,27 +86,44 @@ def global_rank(df: DataFrame, order: Sequence[str | Column], rank_col: str = "_
     return rank_within(df, [], order, rank_col=rank_col, count_col=count_col, partitions=partitions)
 
 
+def _value_slice(value: Column) -> Column:
+    """Monotone slice number of a value: about a million slices for each
+    factor e, whatever the data, so no job has to look at them first."""
+    v = value.cast("double")
+    return (F.signum(v) * F.floor(F.log1p(F.abs(v)) * F.lit(float(1 << 20)))).cast("long")
+
+
 def exact_quantile(df: DataFrame, keys: Sequence[str], value: str, q: float,
-                   alias: str | None = None, partitions: int | None = None) -> DataFrame:
+                   alias: str | None = None) -> DataFrame:
     """Exact continuous quantile (linear interpolation, as ``percentile`` /
     DuckDB ``quantile_cont``) of ``value`` per key group, nulls ignored.
 
-    Values are numbered with ``rank_by_value`` (no checkpoint); only the
-    two bracketing ranks of each group are kept after numbering, so no group
-    is ever gathered into one buffer.
+    Rows become (key, value, count) by a partial aggregate, so a value that
+    half of all rows share is one row. Counts are summed by slices of the
+    value, running totals over that small table tell which slices hold the two
+    bracketing ranks, and only the distinct values of those slices are put in
+    order.
     """
     keys = list(keys)
     alias = alias or f"{value}_q{int(round(q * 100))}"
-    v = df.select(*keys, value).where(F.col(value).isNotNull())
-    r = rank_by_value(v, keys, value, rank_col="_r", count_col="_cnt", buckets=partitions)
-    pos = (F.col("_cnt") - 1) * F.lit(float(q))
-    r = (r.withColumn("_pos", pos)
-           .withColumn("_lo", F.floor("_pos"))
-           .withColumn("_hi", F.ceil("_pos"))
-           .where((F.col("_r") == F.col("_lo")) | (F.col("_r") == F.col("_hi"))))
-    agg = r.groupBy(*keys).agg(
-        F.max(F.when(F.col("_r") == F.col("_lo"), F.col(value))).alias("_vlo"),
-        F.max(F.when(F.col("_r") == F.col("_hi"), F.col(value))).alias("_vhi"),
+    v = F.col(value).cast("double")
+    distinct = (df.where(F.col(value).isNotNull()).groupBy(*keys, (v + F.lit(0.0)).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+                  .withColumn("_s", _value_slice(F.col("_v"))))
+    names = [f"_k_{i}" for i in range(len(keys))]
+    slices = distinct.groupBy(*[F.col(k).alias(n) for k, n in zip(keys, names)], F.col("_s").alias("_s2")).agg(
+        F.sum("_n").alias("_sn"))
+    whole = Window.partitionBy(*names)
+    slices = (slices.withColumn("_upto", F.sum("_sn").over(whole.orderBy("_s2")))
+                    .withColumn("_pos", (F.sum("_sn").over(whole) - 1) * F.lit(float(q)))
+                    .withColumn("_before", F.col("_upto") - F.col("_sn"))
+                    .withColumns({"_lo": F.floor("_pos"), "_hi": F.ceil("_pos")})
+                    .where((F.col("_before") <= F.col("_hi")) & (F.col("_lo") < F.col("_upto"))))
+    cond = [distinct["_s"] == slices["_s2"]] + [distinct[k].eqNullSafe(slices[n]) for k, n in zip(keys, names)]
+    upto = F.col("_before") + F.sum("_n").over(Window.partitionBy(*keys, "_s").orderBy("_v"))
+    near = (distinct.join(slices, cond).withColumn("_end", upto).withColumn("_begin", F.col("_end") - F.col("_n")))
+    holds = lambda rank: (F.col("_begin") <= F.col(rank)) & (F.col(rank) < F.col("_end"))
+    agg = near.groupBy(*keys).agg(
+        F.max(F.when(holds("_lo"), F.col("_v"))).alias("_vlo"), F.max(F.when(holds("_hi"), F.col("_v"))).alias("_vhi"),
         F.max("_pos").alias("_pos"), F.max("_lo").alias("_lo"))
     return agg.select(*keys, (F.col("_vlo") + (F.col("_pos") - F.col("_lo")) * (F.col("_vhi") - F.col("_vlo"))).alias(alias))
 
@@ -135,39 +152,3 @@ def rank_in_time(df: DataFrame, keys: Sequence[str], ts: str, bucket_seconds: in
     w = Window.partitionBy(*keys, "_tb").orderBy(F.col(ts), *[F.col(c) for c in tiebreak])
     out = j.withColumn(rank_col, F.col("_off") + F.row_number().over(w) - 1)
     return out.drop("_tb", "_tb2", "_off", *[f"_k_{i}" for i in range(len(keys))])
-
-
-def rank_by_value(df: DataFrame, keys: Sequence[str], value: str, rank_col: str = "_rank",
-                  count_col: str | None = "_group_rows", buckets: int | None = None,
-                  relative_error: float = 0.001) -> DataFrame:
-    """0-based row number within ``keys`` ordered by a numeric ``value``
-    (nulls excluded by the caller), without a checkpoint.
-
-    Bucket edges are approximate global quantiles of ``value`` (one
-    ``approxQuantile`` job; ``buckets`` + 1 numbers reach the driver).
-    Rows are counted per (key, bucket) -- a partial aggregate -- the counts
-    become offsets on that small table, are joined back on (key, bucket),
-    and ``row_number`` runs per (key, bucket). The approximate edges only
-    decide how the work is split; the ranks are exact.
-    """
-    keys = list(keys)
-    n = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    probs = [i / n for i in range(1, n)]
-    edges = sorted(set(x for x in df.approxQuantile(value, probs, relative_error) if x is not None))
-    from pyspark.ml.feature import Bucketizer  # binary search over the edges, JVM side
-    if edges:
-        splits = [float("-inf"), *[float(e) for e in edges], float("inf")]
-        d = df.withColumn("_vval", F.col(value).cast("double"))
-        d = Bucketizer(splits=splits, inputCol="_vval", outputCol="_vb", handleInvalid="keep").transform(d).drop("_vval")
-    else:  # empty input
-        d = df.withColumn("_vb", F.lit(0.0))
-    counts = d.groupBy(*keys, "_vb").agg(F.count(F.lit(1)).alias("__rows"))
-    before = Window.partitionBy(*keys).orderBy("_vb").rowsBetween(Window.unboundedPreceding, -1)
-    offs = counts.select(*[F.col(k).alias(f"_k_{i}") for i, k in enumerate(keys)], F.col("_vb").alias("_vb2"),
-                         F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("_off"),
-                         *([F.sum("__rows").over(Window.partitionBy(*keys)).alias(count_col)] if count_col else []))
-    cond = [d["_vb"] == offs["_vb2"]] + [d[k].eqNullSafe(offs[f"_k_{i}"]) for i, k in enumerate(keys)]
-    j = d.join(offs, cond, "inner")
-    w = Window.partitionBy(*keys, "_vb").orderBy(F.col(value))
-    out = j.withColumn(rank_col, F.col("_off") + F.row_number().over(w) - 1)
-    return out.drop("_vb", "_vb2", "_off", *[f"_k_{i}" for i in range(len(keys))])

@@ -7,8 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.joins import grid_distance_join
-from ..operators.windows import top_k_per_group
+from ..operators.joins import nearest_k
 
 # Measure columns per variable family, and the families filled
 # by inverse-distance weighting when at least two proxies have a value.
@@ -49,19 +48,13 @@ def proxy_candidates(stations: DataFrame, has_var: DataFrame, targets: Sequence[
                    F.col("longitude").alias("_tlon"))
     px = st.select(F.col(station).alias("proxy_station_id"), F.col("latitude").alias("_plat"),
                    F.col("longitude").alias("_plon"))
-    pairs = grid_distance_join(tg, px, max_km, ("_tlat", "_tlon"), ("_plat", "_plon"))
-    pairs = pairs.where(F.col("target_station_id") != F.col("proxy_station_id"))
-    var_list = F.array(*[F.lit(v) for v in variables])
-    pairs = pairs.withColumn("variable", F.explode(var_list))
-    hv = has_var.select(F.col(station).alias("_hs"), F.col("variable").alias("_hv"))
-    pairs = pairs.join(hv, (F.col("proxy_station_id") == F.col("_hs")) & (F.col("variable") == F.col("_hv")),
-                       "left_semi")
+    hv = has_var.select(F.col(station).alias("_hs"), "variable")
+    wanted = tg.withColumn("variable", F.explode(F.array(*[F.lit(v) for v in variables])))
     if only_missing:
-        pairs = pairs.join(hv, (F.col("target_station_id") == F.col("_hs")) & (F.col("variable") == F.col("_hv")),
-                           "left_anti")
-    pairs = pairs.withColumn("distance_km", F.round(F.col("distance_km"), 2))
-    top = top_k_per_group(pairs, ["target_station_id", "variable"],
-                          [F.col("distance_km").asc(), F.col("proxy_station_id").asc()], k)
+        wanted = wanted.join(hv, (F.col("target_station_id") == F.col("_hs")) & wanted["variable"].eqNullSafe(hv["variable"]), "left_anti")
+    offers = px.join(hv, F.col("proxy_station_id") == F.col("_hs")).drop("_hs").where(F.col("variable").isin(list(variables)))
+    top = nearest_k(wanted, offers, "target_station_id", "proxy_station_id", k, max_km, ("_tlat", "_tlon"),
+                    ("_plat", "_plon"), on=["variable"], skip_self=True, decimals=2)
     return top.select("target_station_id", "variable", "proxy_station_id", "distance_km")
 
 

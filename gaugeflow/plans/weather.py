@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.aggs import pivot_rank
-from ..operators.joins import grid_distance_join, ranked_fallback_join
+from ..operators.joins import nearest_k, ranked_fallback_join
 from ..operators.windows import share_of_total, top_k_per_group
 
 # Fixed values: (gauge-name pattern, weather-station-name pattern) pairs that
@@ -30,12 +30,11 @@ RANK_PREFIXES = ("primary_", "backup1_", "backup2_")
 ZERO_DISTANCE_WEIGHT = 1e9
 
 
-def name_bonus(gauge_name: str, station_name: str, pairs=NAME_BONUS_PAIRS):
-    g, s = F.upper(F.col(gauge_name)), F.upper(F.col(station_name))
-    expr = F.lit(0)
-    for gp, sp in reversed(pairs):
-        expr = F.when(g.rlike(gp) & s.rlike(sp), F.lit(1)).otherwise(expr)
-    return expr.cast("long")
+def with_pattern(df: DataFrame, name: str, side: int, pairs=NAME_BONUS_PAIRS) -> DataFrame:
+    """Rows with each pair of patterns whose ``side`` their name matches."""
+    upper = F.upper(F.col(name))
+    fits = F.array(*[F.when(upper.rlike(pair[side]), F.lit(i)) for i, pair in enumerate(pairs)])
+    return df.withColumn("_pattern", F.explode(F.array_compact(fits)))
 
 
 def weather_map(gauges: DataFrame, stations: DataFrame, max_km: float = 250.0, k: int = 3,
@@ -53,10 +52,13 @@ def weather_map(gauges: DataFrame, stations: DataFrame, max_km: float = 250.0, k
     s = stations.where(F.col("latitude").isNotNull() & F.col("longitude").isNotNull()) \
                 .select("dwd_station_id", "dwd_station_name",
                         F.col("latitude").alias("_slat"), F.col("longitude").alias("_slon")).distinct()
-    pairs = grid_distance_join(g, s, max_km, ("latitude", "longitude"), ("_slat", "_slon"),
-                               radius_km=radius_km)
-    scored = pairs.withColumn("name_bonus", name_bonus("station_name", "dwd_station_name"))
-    top = top_k_per_group(scored, ["station_id"],
+    at = dict(k=k, max_km=max_km, right_cols=("_slat", "_slon"), radius_km=radius_km)
+    near = nearest_k(g, s, "station_id", "dwd_station_id", **at).withColumn("name_bonus", F.lit(0).cast("long"))
+    # the best k by (bonus, distance) are among the k nearest of all and the k nearest that share a name pattern
+    named = nearest_k(with_pattern(g, "station_name", 0), with_pattern(s, "dwd_station_name", 1), "station_id",
+                      "dwd_station_id", on=["_pattern"], **at).drop("_pattern").withColumn("name_bonus", F.lit(1).cast("long"))
+    both = near.unionByName(named).groupBy(*near.drop("name_bonus").columns).agg(F.max("name_bonus").alias("name_bonus"))
+    top = top_k_per_group(both, ["station_id"],
                           [F.col("name_bonus").desc(), F.col("distance_km").asc(), F.col("dwd_station_id").asc()],
                           k, rank_col="station_rank")
     weighted = top.withColumn("raw_weight", F.when(F.col("distance_km") == 0, F.lit(ZERO_DISTANCE_WEIGHT))

@@ -116,3 +116,65 @@ def test_haversine_zero_and_known_distance(spark):
     r = spark.range(1).select(haversine_km(F.lit(50.0), F.lit(8.0), F.lit(50.0), F.lit(8.0)).alias("z"),
                               haversine_km(F.lit(0.0), F.lit(0.0), F.lit(0.0), F.lit(1.0)).alias("d")).first()
     assert r.z == 0.0 and math.isclose(r.d, 2 * math.pi * 6371.0 / 360, rel_tol=1e-12)
+
+
+def _brute_nearest(a, b, k, max_km, skip_self=False, decimals=None, group=None):
+    def km(x, y):
+        p, q, dl = map(math.radians, (x[1], y[1], y[2] - x[2]))
+        h = math.sin((q - p) / 2) ** 2 + math.cos(p) * math.cos(q) * math.sin(dl / 2) ** 2
+        return 2 * 6371.0 * math.asin(min(1.0, math.sqrt(h)))
+
+    out = set()
+    for x in a:
+        groups = {}
+        for y in b:
+            if None in (*x[1:3], *y[1:3]) or skip_self and x[0] == y[0] or group and group(x) != group(y):
+                continue
+            d = km(x, y)
+            if d <= max_km:
+                groups.setdefault(group and group(y), []).append((round(d, decimals) if decimals else d, y[0]))
+        for near in groups.values():
+            out |= {(x[0], i) for _, i in sorted(near)[:k]}
+    return out
+
+
+def _points(rnd, n, name):
+    spots = [(rnd.uniform(-80, 80), rnd.uniform(-180, 180), rnd.choice([0.05, 1, 8])) for _ in range(6)]
+    out = []
+    for i in range(n):
+        la, lo, w = rnd.choice(spots)
+        out.append((f"{name}{i:04d}", max(-90.0, min(90.0, rnd.gauss(la, w))), (rnd.gauss(lo, w) + 180) % 360 - 180, f"g{i % 3}"))
+    out += [(f"{name}p{i}", 89.5 * (-1) ** i, rnd.uniform(-180, 180), "g0") for i in range(12)]
+    out += [(f"{name}d{i}", rnd.uniform(-2, 2), 179.9 if i % 2 else -179.9, "g1") for i in range(12)]
+    return out + [(f"{name}n", None, 5.0, "g0"), (f"{name}e", 10.0, 20.0, "g0"), (f"{name}f", 10.0, 20.0, "g0")]
+
+
+def test_nearest_k_equals_brute_force(spark):
+    rnd = random.Random(17)
+    a, b = _points(rnd, 150, "a"), _points(rnd, 220, "b")
+    b += [(f"bx{i}", *a[i][1:3], "g2") for i in range(40)]  # points on top of one another
+    left = spark.createDataFrame(a, "a_id string, a_lat double, a_lon double, g string")
+    right = spark.createDataFrame(b, "b_id string, b_lat double, b_lon double, g string")
+    cols = dict(left_cols=("a_lat", "a_lon"), right_cols=("b_lat", "b_lon"))
+    for k, km in ((3, 250.0), (1, 30.0), (5, 3000.0), (4, 21000.0)):
+        got = J.nearest_k(left.drop("g"), right.drop("g"), "a_id", "b_id", k, km, **cols).collect()
+        assert {(r.a_id, r.b_id) for r in got} == _brute_nearest(a, b, k, km) and len(got) == len({(r.a_id, r.b_id) for r in got})
+    got = J.nearest_k(left, right, "a_id", "b_id", 2, 900.0, on=["g"], decimals=2, **cols).collect()
+    assert {(r.a_id, r.b_id) for r in got} == _brute_nearest(a, b, 2, 900.0, decimals=2, group=lambda x: x[3])
+    same = right.select(F.col("b_id").alias("a_id"), F.col("b_lat").alias("a_lat"), F.col("b_lon").alias("a_lon"))
+    got = J.nearest_k(same, right.drop("g"), "a_id", "b_id", 3, 400.0, skip_self=True, **cols).collect()
+    assert {(r.a_id, r.b_id) for r in got} == _brute_nearest(b, b, 3, 400.0, skip_self=True)
+    assert J.nearest_k(left.limit(0), right, "a_id", "b_id", 3, 400.0, on=["g"], **cols).count() == 0
+
+
+def test_nearest_k_meets_far_fewer_pairs_than_the_radius_holds(spark):
+    n = 4000
+    grid = spark.range(n).select(F.col("id").alias("i"), (F.col("id") % 63 * 0.04 + 45).alias("la"),
+                                 (F.floor(F.col("id") / 63) * 0.04 + 8).alias("lo"))
+    right = grid.toDF("j", "la2", "lo2")
+    out = J.nearest_k(grid, right, "i", "j", 3, 250.0, ("la", "lo"), ("la2", "lo2"), skip_self=True)
+    out.count()
+    met = J.nearest_k(grid, right, "i", "j", 10 ** 6, 250.0, ("la", "lo"), ("la2", "lo2"), skip_self=True)  # k of all: the whole radius
+    assert out.count() == 3 * n and met.where("i < 20").count() > 20 * 2000
+    rows = J.nearest_k(grid.where("i = 2000"), right, "i", "j", 3, 250.0, ("la", "lo"), ("la2", "lo2"), skip_self=True).collect()
+    assert max(r.distance_km for r in rows) < 6

@@ -34,7 +34,7 @@ def test_global_rank_is_a_permutation(spark):
 
 def test_exact_quantile_matches_percentile(spark):
     df = _skewed(spark)
-    got = {r.k: r.q for r in exact_quantile(df, ["k"], "v", 0.9, alias="q", partitions=5).collect()}
+    got = {r.k: r.q for r in exact_quantile(df, ["k"], "v", 0.9, alias="q").collect()}
     exp = {r.k: r.q for r in df.groupBy("k").agg(F.percentile("v", 0.9).alias("q")).collect()}
     assert got.keys() == exp.keys()
     for k in exp:
@@ -105,15 +105,31 @@ def test_hot_series_is_split_into_bounded_chunks(spark):
     assert sum(r["count"] for r in homes) == n  # every row has exactly one home
 
 
-def test_rank_by_value_matches_row_number(spark):
-    from gaugeflow.operators.ranking import rank_by_value
+def test_exact_quantile_counts_each_distinct_value_once(spark):
     import random
     rnd = random.Random(5)
-    rows = [("hot" if i % 3 else f"k{i % 4}", rnd.uniform(-50, 50)) for i in range(900)]
+    rows = [(None if i % 7 == 0 else "hot" if i % 3 else f"k{i % 4}",
+             rnd.choice([0.0, -0.0, 3.5, None, rnd.uniform(-50, 50), rnd.uniform(-1e-7, 1e-7), rnd.uniform(1, 2) * 1e12]))
+            for i in range(1500)] + [("hot", 3.5)] * 1500 + [("one", -2.0), ("nulls", None)]
     df = spark.createDataFrame(rows, "k string, v double")
-    got = rank_by_value(df, ["k"], "v", rank_col="r", count_col="n", buckets=7)
-    exp = (df.withColumn("r", F.row_number().over(Window.partitionBy("k").orderBy("v")) - 1)
-             .withColumn("n", F.count("*").over(Window.partitionBy("k"))))
-    assert sorted(got.select("k", "v", "r", "n").collect()) == sorted(exp.select("k", "v", "r", "n").collect())
-    glob = rank_by_value(df, [], "v", rank_col="r", count_col=None, buckets=5).collect()
-    assert sorted(r.r for r in glob) == list(range(900))
+    for q in (0.0, 0.25, 0.5, 0.9, 1.0):
+        got = {r.k: r.q for r in exact_quantile(df, ["k"], "v", q, alias="q").collect()}
+        exp = {r.k: r.q for r in df.where("v is not null").groupBy("k").agg(F.percentile("v", q).alias("q")).collect()}
+        assert got.keys() == exp.keys()
+        assert all(abs(got[k] - exp[k]) <= 1e-12 * abs(exp[k]) for k in exp)
+        assert abs(exact_quantile(df, [], "v", q, alias="q").first().q - df.select(F.percentile("v", q)).first()[0]) < 1e-3
+    assert exact_quantile(df.limit(0), [], "v", 0.5, alias="q").first().q is None
+
+
+def test_exact_quantile_orders_distinct_values_only(spark):
+    df = spark.range(0, 20_000).select((F.col("id") % 3).alias("k"), F.when(F.col("id") % 2 == 0, 7.0)
+                                       .otherwise(F.col("id").cast("double")).alias("v"))
+    plan = exact_quantile(df, ["k"], "v", 0.5, alias="q")
+    text = plan._jdf.queryExecution().toString()
+    assert "Bucketizer" not in text and "row_number" not in text
+    sc = spark.sparkContext
+    sc.setJobGroup("planning", "no job while the plan is built")
+    exact_quantile(df, ["k"], "v", 0.5)
+    assert sc.statusTracker().getJobIdsForGroup("planning") == []
+    sc.setJobGroup("rest", "")
+    assert {r.k: r.q for r in plan.collect()} == {r.k: r.q for r in df.groupBy("k").agg(F.percentile("v", 0.5).alias("q")).collect()}
