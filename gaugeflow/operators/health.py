@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import hours_between
+from .joins import with_params
 
 # Status vocabularies of the source's monitoring views.
 SUCCESS_STATUSES = ("success", "succeeded", "ok", "pass")
@@ -23,10 +24,11 @@ FAIL_METRIC_STATUSES = ("fail", "failed", "failure", "error")
 
 def latest_by(df: DataFrame, keys: Sequence[str], ts: str) -> DataFrame:
     """Newest row per key (``max_by`` over the whole row, a partial
-    aggregate); with no keys, the newest row overall."""
+    aggregate); with no keys, the newest row overall (none of an
+    empty table)."""
     payload = F.struct(*[F.col(c) for c in df.columns])
     order = F.struct(F.col(ts), *[F.col(c) for c in df.columns if c != ts])
-    return df.groupBy(*keys).agg(F.max_by(payload, order).alias("_row")).select("_row.*")
+    return df.groupBy(*keys).agg(F.max_by(payload, order).alias("_row")).where(F.col("_row").isNotNull()).select("_row.*")
 
 
 def daily_health(runs: DataFrame, ts: str = "started_at_utc", status: str = "status") -> DataFrame:
@@ -134,51 +136,99 @@ def freshness(df: DataFrame, ts: str, required: Sequence[str], now: str, max_hou
                     F.coalesce(age <= F.lit(max_hours), F.lit(False)).alias("is_fresh"))
 
 
-def assert_fresh(df: DataFrame) -> DataFrame:
-    """Fail the query when ``freshness`` reports stale data."""
-    return df.withColumn("is_fresh", F.when(F.col("is_fresh"), F.lit(True))
-                         .otherwise(F.raise_error(F.lit("input data is stale"))))
-
-
-def check_row(name: str, status: Column, detail: Column, value: Column | None = None) -> Column:
-    return F.struct(F.lit(name).alias("check_name"), status.alias("status"),
-                    detail.cast("string").alias("detail"),
-                    (value if value is not None else F.lit(None)).cast("double").alias("value"))
-
-
-def watchdog(runs: DataFrame, dq: DataFrame, stages: DataFrame, evals: DataFrame, now: str,
-             max_run_age_hours: float = 26.0, max_eval_age_hours: float = 50.0) -> DataFrame:
-    """Four one-row checks unioned -- latest pipeline run (age, status),
-    latest data-quality run (failures), latest stage events (failures),
-    evaluation freshness. status is ok / warn / fail."""
-    nowc = F.lit(now).cast("timestamp")
-    r = latest_by(runs, [], "started_at_utc").select(
-        check_row("pipeline_run",
-                  F.when(F.lower("status").isin(list(SUCCESS_STATUSES)) &
-                         (hours_between(nowc, "started_at_utc") <= max_run_age_hours), "ok").otherwise("fail"),
-                  F.col("status"), hours_between(nowc, "started_at_utc")).alias("c"))
-    q_runs = run_quality_summary(dq)
-    q = latest_by(q_runs, [], "last_measured_at_utc").select(
-        check_row("data_quality", F.when(F.col("failed_metrics") == 0, "ok").otherwise("fail"),
-                  F.array_join("failed_metric_names", ","), F.col("failed_metrics")).alias("c"))
-    s_latest = latest_by(stages, ["stage_name"], "started_at_utc")
-    s = s_latest.agg(F.count_if(F.lower("status").isin(list(FAILED_STATUSES))).alias("bad"),
-                     F.count(F.lit(1)).alias("n")).select(
-        check_row("stages", F.when(F.col("bad") == 0, "ok").otherwise("warn"),
-                  F.concat_ws("/", F.col("bad").cast("string"), F.col("n").cast("string")), F.col("bad")).alias("c"))
-    e = evals.agg(F.max("evaluated_at_utc").alias("mx")).select(
-        check_row("evaluation_freshness",
-                  F.when(hours_between(nowc, "mx") <= max_eval_age_hours, "ok").otherwise("fail"),
-                  F.col("mx"), hours_between(nowc, "mx")).alias("c"))
-    return r.unionByName(q).unionByName(s).unionByName(e).select("c.*")
-
-
-def system_status(checks: DataFrame) -> DataFrame:
-    """Roll the check rows up: ok when all pass, degraded when any is
-    not ok, unknown when there are none."""
-    return checks.agg(
-        F.count(F.lit(1)).alias("checks"),
-        F.count_if(F.col("status") == "ok").alias("ok_checks"),
-        F.array_sort(F.collect_list(F.when(F.col("status") != "ok", F.col("check_name")))).alias("not_ok"),
-    ).withColumn("overall", F.when(F.col("checks") == 0, "unknown")
-                 .when(F.size("not_ok") == 0, "ok").otherwise("degraded"))
+def latest_pipeline_health(runs: DataFrame) -> DataFrame:
+    """C8 view: newest run of every job, duration rounded to 2."""
+    return latest_by(runs, ["job_type"], "started_at_utc").withColumn("duration_seconds", round2("duration_seconds"))
+
+
+def latest_quality_health(metrics: DataFrame) -> DataFrame:
+    """C8 view: newest value of every (metric, scope), rounded to 2."""
+    out = latest_by(metrics, ["metric_name", "metric_scope"], "measured_at_utc")
+    return out.withColumns({c: round2(c) for c in ("metric_value", "threshold_value")})
+
+
+def latest_stage_health(stages: DataFrame) -> DataFrame:
+    """C8 view: newest event of every stage, duration rounded to 2."""
+    return latest_by(stages, ["stage_name"], "started_at_utc").withColumn("duration_seconds", round2("duration_seconds"))
+
+
+def latest_evaluation_health(evaluations: DataFrame) -> DataFrame:
+    """C8 view: newest evaluation of every (split, model), errors rounded to
+    2, marked ``available``."""
+    out = latest_by(evaluations, ["split_name", "model_version"], "evaluated_at_utc")
+    return out.withColumns({c: round2(c) for c in ("mae", "rmse")}).withColumn("evaluation_status", F.lit("available"))
+
+
+def round2(c: str) -> Column:
+    return F.round(F.col(c) * 100) / 100
+
+
+def _good(words: Sequence[str]) -> Column:
+    return F.coalesce(F.lower(F.trim(F.col("status"))).isin(list(words)), F.lit(False))
+
+
+CHECKS = ("pipeline_health", "data_quality_health", "stage_health")
+
+
+def watchdog(runs: DataFrame, metrics: DataFrame, stages: DataFrame, evaluations: DataFrame, now: str,
+             max_evaluation_age_hours: float = 840.0, max_mae: float = 999_999.0, max_rmse: float = 999_999.0,
+             fail_on_missing_evaluation: bool = False) -> DataFrame:
+    """One row for each check over the latest-health views.
+
+    Jobs, metrics and stages pass when there is a row and the newest row of
+    every one has a good status: running, unknown and null states fail, an old
+    failure followed by a good run does not. The newest evaluation passes when
+    its age and errors are within the limits, each of them only where known;
+    no evaluation at all passes unless ``fail_on_missing_evaluation``.
+    Columns: ``check_name``, ``status`` (pass or fail), ``reason`` (where rows
+    are missing), ``checked``, ``failed``, ``age_hours``, ``mae``, ``rmse``.
+    """
+    def rows(view: DataFrame, name: str, words: Sequence[str]) -> DataFrame:
+        none = None
+        a = view.agg(F.count(F.lit(1)).alias("checked"), F.count_if(~_good(words)).alias("failed"))
+        return a.select(F.lit(name).alias("check_name"),
+                        F.when((F.col("checked") > 0) & (F.col("failed") == 0), "pass").otherwise("fail").alias("status"),
+                        F.when(F.col("checked") == 0, f"no_{name.replace('data_', '')}_rows").alias("reason"),
+                        "checked", "failed", *[F.lit(none).cast("double").alias(c) for c in ("age_hours", "mae", "rmse")])
+
+    newest = latest_by(latest_evaluation_health(evaluations), [], "evaluated_at_utc")
+    age = hours_between(F.lit(now).cast("timestamp"), F.col("evaluated_at_utc"))
+    within = lambda c, most: c.isNull() | (c <= F.lit(float(most)))
+    fine = within(age, max_evaluation_age_hours) & within(F.col("mae"), max_mae) & within(F.col("rmse"), max_rmse)
+    e = newest.agg(F.count(F.lit(1)).alias("checked"), F.count_if(~fine).alias("failed"), F.max(age).alias("age_hours"),
+                   F.max("mae").alias("mae"), F.max("rmse").alias("rmse"))
+    missing = F.col("checked") == 0
+    e = e.select(F.lit("validation_evaluation_health").alias("check_name"),
+                 F.when(missing, "fail" if fail_on_missing_evaluation else "pass")
+                  .when(F.col("failed") == 0, "pass").otherwise("fail").alias("status"),
+                 F.when(missing, "no_evaluation_health_rows").alias("reason"), "checked", "failed", "age_hours", "mae", "rmse")
+    return (rows(latest_pipeline_health(runs), CHECKS[0], SUCCESS_STATUSES)
+            .unionByName(rows(latest_quality_health(metrics), CHECKS[1], PASS_METRIC_STATUSES))
+            .unionByName(rows(latest_stage_health(stages), CHECKS[2], SUCCESS_STATUSES)).unionByName(e))
+
+
+def system_status(runs: DataFrame, metrics: DataFrame, stages: DataFrame, evaluations: DataFrame) -> DataFrame:
+    """One row. Jobs and stages are ``pass`` when the newest row of every
+    one is good, else ``unknown``; data quality is judged on the run measured
+    last (``fail`` with a failed metric, ``pass`` when all passed, else
+    ``unknown``); an evaluation is ``available`` or ``unknown``. The system is
+    ``ok`` when all four are good, otherwise ``degraded``."""
+    def all_good(view: DataFrame, alias: str) -> DataFrame:
+        return view.agg(F.when((F.count(F.lit(1)) > 0) & (F.count_if(~_good(SUCCESS_STATUSES)) == 0), "pass")
+                        .otherwise("unknown").alias(alias))
+
+    last = (run_quality_summary(metrics).orderBy(F.desc("last_measured_at_utc"), F.desc("run_id")).limit(1)
+            .agg(F.max("run_id").alias("quality_run_id"), F.max("metric_count").alias("_n"),
+                 F.max("passed_metrics").alias("_passed"), F.max("failed_metrics").alias("_failed")))
+    quality = last.select("quality_run_id", F.when(F.col("_failed") > 0, "fail")
+                          .when((F.col("_n") > 0) & (F.col("_passed") == F.col("_n")), "pass")
+                          .otherwise("unknown").alias("data_quality_status"))
+    evaluated = evaluations.limit(1).agg(F.when(F.count(F.lit(1)) > 0, "available").otherwise("unknown").alias("evaluation_status"))
+    parts = [all_good(latest_pipeline_health(runs), "pipeline_status"), quality,
+             all_good(latest_stage_health(stages), "stage_status"), evaluated]
+    out = parts[0]
+    for part in parts[1:]:  # one row each
+        out = with_params(out, part)
+    states = ["pipeline_status", "data_quality_status", "stage_status", "evaluation_status"]
+    good = F.forall(F.array(*states), lambda x: x.isin("pass", "available"))
+    return out.select(F.when(good, "ok").otherwise("degraded").alias("status"), *states, "quality_run_id")

@@ -59,7 +59,7 @@ raw_t AS (
 
 
 def raw_weather(n: int = 20) -> str:
-    sid = f"(user_id % {n})"
+    sid = f"(user_id % {n} + user_id // {10 * n} * {n})"
     return f"""
 raw_wx AS (
   SELECT 'D' || lpad(CAST({sid} AS VARCHAR), 5, '0') AS dwd_station_id,

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import any_at_or_below
 from ..operators import windows as W
+from ..operators.aggs import segment_agg
 from ..operators.clean import curate, drop_sparse_rows
 from ..operators.dedup import latest_per_key
 
@@ -109,14 +110,37 @@ def low_water_events(df: DataFrame, thresholds: DataFrame, name_col: str = "stat
     """``low_water_label`` = 1 when the value is at or below the
     station's threshold, 0 otherwise or when the station has none.
 
-    Thresholds are a config dimension (one row per station, literal list),
-    joined by broadcast."""
+    Thresholds have one row per station; the planner picks the join by size."""
     t = thresholds.select(F.col(name_col).alias("_tname"), F.col(threshold_col).alias("_thr"))
-    out = df.join(F.broadcast(t), F.col(name_col) == F.col("_tname"), "left")
+    out = df.join(t, F.col(name_col) == F.col("_tname"), "left")
     lab = F.when(F.col("_thr").isNotNull() & (F.col(value) <= F.col("_thr")), 1).otherwise(0)
     return out.withColumn("low_water_label", lab).drop("_tname", "_thr")
 
 
+def segment_labels_24h(series: DataFrame, segments: DataFrame, thresholds: DataFrame, name_col: str = "station_name",
+                       ts: str = "timestamp_utc", value: str = "value", threshold_col: str = "threshold_cm") -> DataFrame:
+    """Per (segment, time) the least, greatest and mean level over the
+    segment's decision and support gauges, rounded to 2, their number, and
+    ``target_low_water_24h`` = 1 when the (unrounded) least level is at or
+    below the segment's threshold: that of its decision gauge. A segment
+    without one is never low. Times are given to the minute, as text.
+
+    ``segments``: segment_id, station_name, role. A gauge counts in every
+    segment that it belongs to, once.
+    """
+    member = segments.select("segment_id", F.col(name_col).alias("_name")).distinct()
+    levels = segment_agg(series.join(member, F.col(name_col) == F.col("_name")), ["segment_id", ts], value)
+    own = segments.where(F.col("role") == "decision").select("segment_id", F.col(name_col).alias("_gauge"))
+    limits = (own.join(thresholds.select(F.col(name_col).alias("_tname"), threshold_col), F.col("_gauge") == F.col("_tname"))
+                 .groupBy("segment_id").agg(F.min(threshold_col).alias("_limit")))
+    two = lambda c: F.round(F.col(c) * 100) / 100
+    low = F.when(F.col("_limit").isNotNull() & (F.col("min_value") <= F.col("_limit")), 1).otherwise(0)
+    return levels.join(limits, "segment_id", "left").select(
+        "segment_id", F.date_format(ts, "yyyy-MM-dd HH:mm").alias("timestamp_utc"), two("min_value").alias("segment_min_waterlevel"),
+        two("max_value").alias("segment_max_waterlevel"), two("avg_value").alias("segment_avg_waterlevel"),
+        F.col("value_count").alias("segment_count"), low.alias("target_low_water_24h"))
+
+
 def flagship(raw: DataFrame, chunk_rows: int | None = W.DEFAULT_CHUNK_ROWS, horizon_rows: int = 24,
              max_null_fraction: float = 0.35) -> DataFrame:
     """Minimum slice: dedup (newest ingestion, then highest hash) -> curate

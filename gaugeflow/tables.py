@@ -70,9 +70,10 @@ def raw_type_measurements(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_weather(spark: SparkSession, sf_dir: str, n_stations: int = 20) -> DataFrame:
     """Hourly weather observation rows (FIXTURES §2) from ``events``: the
-    station is ``user_id mod n_stations``; some measures are missing."""
+    station is ``user_id mod n_stations`` within each ``10 n_stations`` users;
+    some measures are missing."""
     e = table(spark, sf_dir, "events")
-    sid = F.col("user_id") % n_stations
+    sid = F.col("user_id") % n_stations + F.floor(F.col("user_id") / (10 * n_stations)) * n_stations
     v = F.col("value")
     return e.select(
         F.concat(F.lit("D"), F.lpad(sid.cast("string"), 5, "0")).alias("dwd_station_id"),

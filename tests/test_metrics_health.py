@@ -75,3 +75,61 @@ def test_fit_and_score_with_categorical_mode_fill(spark):
     out = ML.score_latest(df, model, 24, "m1", "r1", ["target_value"]).collect()
     assert len(out) == 6 and all(r.prediction is not None for r in out)
     assert all(r.forecast_timestamp_utc - r.timestamp_utc == dt.timedelta(hours=24) for r in out)
+
+
+RUNS = "run_id string, job_type string, status string, started_at_utc timestamp_ntz, duration_seconds double"
+METRICS = ("run_id string, metric_name string, metric_scope string, metric_value double, threshold_value double, "
+           "status string, measured_at_utc timestamp_ntz")
+STAGES = "stage_name string, status string, started_at_utc timestamp_ntz, duration_seconds double"
+EVALS = "model_version string, split_name string, evaluated_at_utc timestamp_ntz, mae double, rmse double"
+
+
+def _audit(spark, runs=(), metrics=(), stages=(), evals=()):
+    at = lambda d: dt.datetime(2024, 1, d)
+    return (spark.createDataFrame([(f"r{i}", j, s, at(d), 1.239) for i, (j, s, d) in enumerate(runs)], RUNS),
+            spark.createDataFrame([(r, n, c, 1.0, 2.0, s, at(d)) for r, n, c, s, d in metrics], METRICS),
+            spark.createDataFrame([(n, s, at(d), 2.0) for n, s, d in stages], STAGES),
+            spark.createDataFrame([(m, p, d and at(d), a, b) for m, p, d, a, b in evals], EVALS))
+
+
+def _checks(tables, **limits):
+    return {r.check_name: (r.status, r.reason, r.checked, r.failed)
+            for r in HL.watchdog(*tables, "2024-02-01 00:00:00", **limits).collect()}
+
+
+def test_watchdog_judges_the_newest_row_of_every_job_metric_and_stage(spark):
+    good = dict(runs=[("daily", "FAILED", 1), ("daily", " Succeeded ", 2), ("train", "ok", 1)],
+                metrics=[("a", "rows", "x", "fail", 1), ("a", "rows", "x", "Passed", 2), ("a", "rows", None, "ok", 1)],
+                stages=[("load", "error", 1), ("load", "success", 3)],
+                evals=[("m1", "test", 1, 9.0, 9.0), ("m1", "test", 30, 2.345, None), ("m2", "test", 3, 99.0, 99.0)])
+    assert _checks(_audit(spark, **good), max_mae=5, max_rmse=5) == {
+        "pipeline_health": ("pass", None, 2, 0), "data_quality_health": ("pass", None, 2, 0),
+        "stage_health": ("pass", None, 1, 0), "validation_evaluation_health": ("pass", None, 1, 0)}
+    status = HL.system_status(*_audit(spark, **good)).first()
+    assert (status.status, status.pipeline_status, status.stage_status, status.evaluation_status) == (
+        "degraded", "pass", "pass", "available")  # run a has a failed metric, though a later value passed
+    assert status.data_quality_status == "fail" and status.quality_run_id == "a"
+    # an old run of one job, a running stage, a null state, an old evaluation
+    bad = dict(runs=good["runs"] + [("train", "failed", 2)], metrics=good["metrics"] + [("b", "rows", None, None, 9)],
+               stages=good["stages"] + [("load", "running", 4)], evals=[("m1", "test", 1, 1.0, 1.0)])
+    assert {k: v[0] for k, v in _checks(_audit(spark, **bad), max_evaluation_age_hours=24).items()} == dict.fromkeys(
+        ("pipeline_health", "data_quality_health", "stage_health", "validation_evaluation_health"), "fail")
+    status = HL.system_status(*_audit(spark, **bad)).first()
+    assert (status.pipeline_status, status.stage_status, status.data_quality_status) == ("unknown", "unknown", "unknown")
+
+
+def test_watchdog_and_status_without_rows(spark):
+    empty = _audit(spark)
+    assert _checks(empty) == {
+        "pipeline_health": ("fail", "no_pipeline_health_rows", 0, 0),
+        "data_quality_health": ("fail", "no_quality_health_rows", 0, 0),
+        "stage_health": ("fail", "no_stage_health_rows", 0, 0),
+        "validation_evaluation_health": ("pass", "no_evaluation_health_rows", 0, 0)}
+    assert _checks(empty, fail_on_missing_evaluation=True)["validation_evaluation_health"][0] == "fail"
+    assert tuple(HL.system_status(*empty).first()) == ("degraded", "unknown", "unknown", "unknown", "unknown", None)
+    # an evaluation of unknown age and errors passes
+    unknown = _audit(spark, evals=[("m", "s", None, None, None)])
+    assert _checks(unknown, max_mae=0)["validation_evaluation_health"] == ("pass", None, 1, 0)
+    fine = _audit(spark, runs=[("j", "ok", 1)], metrics=[("a", "n", "c", "pass", 1)], stages=[("s", "ok", 1)],
+                  evals=[("m", "s", 1, 1.0, 1.0)])
+    assert HL.system_status(*fine).first().status == "ok"

@@ -81,3 +81,20 @@ def test_registered_fits_use_all_iterations_and_features(spark, monkeypatch):
         except StopIteration:
             pass
     assert seen == {"gbt_fit_score": (300, 50), "cluster_models": (250, 50)}
+
+
+def test_segment_labels_from_decision_and_support_gauges(spark):
+    import datetime as dt
+
+    from gaugeflow.plans.features import segment_labels_24h
+
+    t = dt.datetime(2024, 1, 1, 5, 30)
+    series = spark.createDataFrame([("A", t, 100.004), ("B", t, 50.0), ("C", t, None), ("D", t, 10.0), ("B", t + dt.timedelta(hours=1), 99.0)],
+                                   "station_name string, timestamp_utc timestamp_ntz, value double")
+    segs = spark.createDataFrame([("S1", "A", "decision"), ("S1", "B", "support"), ("S1", "B", "support"), ("S2", "B", "decision"),
+                                  ("S2", "C", "support"), ("S3", "D", "support")], "segment_id string, station_name string, role string")
+    limits = spark.createDataFrame([("A", 50.0), ("B", 49.9), ("D", 500.0)], "station_name string, threshold_cm double")
+    got = {(r.segment_id, r.timestamp_utc): tuple(r)[2:] for r in segment_labels_24h(series, segs, limits).collect()}
+    assert got == {("S1", "2024-01-01 05:30"): (50.0, 100.0, 75.0, 2, 1), ("S1", "2024-01-01 06:30"): (99.0, 99.0, 99.0, 1, 0),
+                   ("S2", "2024-01-01 05:30"): (50.0, 50.0, 50.0, 1, 0), ("S2", "2024-01-01 06:30"): (99.0, 99.0, 99.0, 1, 0),
+                   ("S3", "2024-01-01 05:30"): (10.0, 10.0, 10.0, 1, 0)}
