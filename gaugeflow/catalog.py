@@ -1876,6 +1876,55 @@ def q_gbt_fit_score(spark, sf_dir):
     return ML.score_latest(df, model, 24, "gbt-v1", "run-1", ["target_value", "lag_1"], mode="delta")
 
 
+def _walkforward_sql() -> str:
+    feats = ["station_id", *ML_NUMERIC]
+    nulls = " + ".join(f"CAST({c} IS NULL AS INTEGER)" for c in feats)
+    mae = lambda c: f"{S.rnd(f'avg(abs(y - {c}))')}"
+    rmse = lambda c: f"{S.rnd(f'sqrt(avg(pow(y - {c}, 2)))')}"
+    return S.with_(f"""
+sup0 AS ({supervised_sql()}), u AS (
+  SELECT station_name, timestamp_utc, target_value, {S.rnd('rolling_mean_3')} AS roll, target_value_t_plus_24h AS y FROM sup0
+  WHERE target_value_t_plus_24h IS NOT NULL AND target_value IS NOT NULL AND ({nulls}) / {len(feats)}.0 <= 0.5),
+span AS (SELECT min(timestamp_utc) + INTERVAL 10 DAY AS o1, max(timestamp_utc) AS last FROM u),
+origins AS (SELECT row_number() OVER (ORDER BY o) AS k, o FROM span, LATERAL (SELECT unnest(generate_series(o1, last - INTERVAL 24 HOUR, INTERVAL 5 DAY)) AS o)
+            WHERE o1 + INTERVAL 24 HOUR <= last),
+tr AS (SELECT k, o, count(*) AS train_rows, min(timestamp_utc) AS train_start, max(timestamp_utc) AS train_end
+       FROM origins JOIN u ON timestamp_utc < o GROUP BY k, o),
+t AS (SELECT k, u.*, coalesce(roll, target_value) AS rolled, CASE WHEN i % 3 <> 0 THEN 20.0 + 15 * (i % 10) END AS thr
+      FROM origins JOIN (SELECT *, CAST(substr(station_name, 9) AS BIGINT) AS i FROM u) u
+        ON timestamp_utc >= o AND timestamp_utc < o + INTERVAL 5 DAY),
+te AS (SELECT k, count(*) AS test_rows, min(timestamp_utc) AS test_start, max(timestamp_utc) AS test_end,
+              {mae('target_value')} AS persist_mae, {rmse('target_value')} AS persist_rmse,
+              {mae('rolled')} AS roll_mae, {rmse('rolled')} AS roll_rmse,
+              count(*) FILTER (WHERE y <= thr AND target_value <= thr) AS tp, count(*) FILTER (WHERE y > thr AND target_value <= thr) AS fp,
+              count(*) FILTER (WHERE y <= thr AND target_value > thr) AS fn FROM t GROUP BY k),
+m AS (SELECT *, CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0.0 END AS pr, CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0.0 END AS re
+      FROM te JOIN tr USING (k))""") + f"""
+SELECT CAST(row_number() OVER (ORDER BY k) AS INTEGER) AS fold, o AS forecast_origin_utc, train_rows, test_rows, train_start, train_end, test_start, test_end,
+       persist_mae, persist_rmse, roll_mae, roll_rmse, {S.rnd('pr')} AS persist_event_precision, {S.rnd('re')} AS persist_event_recall,
+       {S.rnd('CASE WHEN pr + re > 0 THEN 2 * pr * re / (pr + re) ELSE 0.0 END')} AS persist_event_f1, true AS model_scored FROM m"""
+
+
+WALK_ROUND = ["persist_mae", "persist_rmse", "roll_mae", "roll_rmse", "persist_event_precision", "persist_event_recall", "persist_event_f1"]
+
+
+@register("walkforward_model", _walkforward_sql())
+def q_walkforward_model(spark, sf_dir):
+    """M5 + M6: a model of 250 boosting iterations for every fold (origins
+    every 5 days after 10), with row sets, time ranges, baselines and event
+    metrics. The model's own figures differ between engines and are reduced
+    to whether every test row has a score with finite errors."""
+    from .ml import walkforward as WF
+    sup = r6(supervised_frame(spark, sf_dir), ["rolling_mean_3"])
+    thr = thresholds_table(spark, sf_dir).withColumnRenamed("threshold_cm", "threshold")
+    folds, _ = WF.walkforward_model(sup, "target_value_t_plus_24h", ["station_id"], ML_NUMERIC, thr, min_train_days=10,
+                                    step_days=5, max_null_fraction=0.5, max_iter=BACKTEST_ITERATIONS)
+    scored = F.col("model_mae").isNotNull() & ~F.isnan("model_rmse") & F.col("event_f1").isNotNull()
+    out = folds.withColumn("model_scored", scored & (F.abs("model_bias") <= F.col("model_rmse") + 1e-9))
+    return r6(out.select("fold", "forecast_origin_utc", "train_rows", "test_rows", "train_start", "train_end", "test_start",
+                         "test_end", *WALK_ROUND, "model_scored"), WALK_ROUND)
+
+
 @register("station_clusters")
 def q_station_clusters(spark, sf_dir):
     """M8: station profiles -> median fill -> scale -> PCA -> k-means."""
