@@ -1864,16 +1864,31 @@ def _ml_frame(spark, sf_dir):
     return sup.withColumn("station_group", F.concat(F.lit("G"), (F.length("station_id") % 3).cast("string")))
 
 
-@register("gbt_fit_score")
+@register("gbt_fit_score", f"""
+SELECT 'run-1' AS run_id, 'gbt-v1' AS model_version, 'production' AS split_name, station_name, 'cm' AS prediction_unit, timestamp_utc,
+       timestamp_utc + INTERVAL 24 HOUR AS forecast_timestamp_utc, TIMESTAMP '2024-02-01 06:00:00' AS prediction_ready_utc,
+       24 AS prediction_horizon_hours, 'delta' AS target_mode, 'target_value_t_plus_24h' AS target_column, CAST(NULL AS DOUBLE) AS actual_if_available,
+       false AS actual_available_now, target_value, lag_1, {len(ML_NUMERIC)} AS feature_count, true AS level_is_current_plus_delta
+FROM ({supervised_sql()}) s WHERE target_value IS NOT NULL AND lag_1 IS NOT NULL
+QUALIFY timestamp_utc = max(timestamp_utc) OVER (PARTITION BY station_name)""")
 def q_gbt_fit_score(spark, sf_dir):
     """M1 + M2 + M3 + M9: fit the feature pipeline + boosted trees (delta
     target, 300 iterations) on rows before 2024-01-20 and score the newest
-    complete row of every station 24 h ahead."""
+    complete row of every station 24 h ahead. The fit's own numbers differ
+    between engines and are reduced to whether level = current + delta."""
     df = _ml_frame(spark, sf_dir)
     cut = F.lit("2024-01-20").cast("timestamp_ntz")
     model = ML.fit_model(df.where(F.col("timestamp_utc") < cut), "target_value_t_plus_24h", ["station_group"],
                          ML_NUMERIC, mode="delta", max_iter=FIT_ITERATIONS)
-    return ML.score_latest(df, model, 24, "gbt-v1", "run-1", ["target_value", "lag_1"], mode="delta")
+    out = ML.score_latest(df, model, 24, "gbt-v1", "run-1", ["target_value", "lag_1"], mode="delta",
+                          target="target_value_t_plus_24h", ready="2024-02-01 06:00:00", features=ML_NUMERIC)
+    right = ((F.abs(F.col("prediction_level") - F.col("target_value") - F.col("prediction_delta")) < 1e-9)
+             & (F.abs(F.col("prediction") - F.col("prediction_level")) < 0.0501))
+    count = sum(c in out.columns for c in ML_NUMERIC)
+    return out.select("run_id", "model_version", "split_name", "station_name", "prediction_unit", "timestamp_utc",
+                      "forecast_timestamp_utc", "prediction_ready_utc", "prediction_horizon_hours", "target_mode", "target_column",
+                      "actual_if_available", "actual_available_now", "target_value", "lag_1", F.lit(count).alias("feature_count"),
+                      F.coalesce(right, F.lit(False)).alias("level_is_current_plus_delta"))
 
 
 def _walkforward_sql() -> str:
@@ -1925,23 +1940,45 @@ def q_walkforward_model(spark, sf_dir):
                          "test_end", *WALK_ROUND, "model_scored"), WALK_ROUND)
 
 
-@register("station_clusters")
+PROFILE_COLS = ["value", *FEATS9]
+PROFILE_STATS = [f"{c}_{k}" for c in PROFILE_COLS for k in ("mean", "std", "min", "max", "median")]
+
+
+@register("station_clusters", S.with_(*BASE_SERIES_SQL, S.GAUGE_FEATURES) + "SELECT station_name, " + ", ".join(
+    f"{S.rnd(f'{fn}({c})')} AS {c}_{k}" for c in PROFILE_COLS
+    for k, fn in (("mean", "avg"), ("std", "stddev_samp"), ("min", "min"), ("max", "max"), ("median", "median")))
+    + ", true AS clustered FROM gf GROUP BY station_name")
 def q_station_clusters(spark, sf_dir):
-    """M8: station profiles -> median fill -> scale -> PCA -> k-means."""
-    return ML.station_clusters(curated_series(spark, sf_dir), "station_name", ["value"])
+    """M8: station profiles of the level and its features -> median fill ->
+    scale -> PCA -> k-means; the profile, and whether the station has one of
+    the four clusters."""
+    gf = r6(PF.gauge_features(curated_series(spark, sf_dir)), ["rolling_mean_3", "rolling_std_3"])
+    clusters = ML.station_clusters(gf, "station_name", PROFILE_COLS)
+    prof = AG.station_profile(gf, "station_name", PROFILE_COLS)
+    out = prof.join(clusters, "station_name", "left")
+    return r6(out.select("station_name", *PROFILE_STATS, F.coalesce(F.col("cluster").between(0, 3), F.lit(False)).alias("clustered")),
+              PROFILE_STATS)
 
 
-@register("cluster_models")
+@register("cluster_models", f"""
+SELECT station_name, timestamp_utc, target_value_t_plus_24h, true AS scored, true AS source_fits_cluster
+FROM ({supervised_sql()}) s WHERE timestamp_utc >= TIMESTAMP '2024-01-20'""")
 def q_cluster_models(spark, sf_dir):
     """M7 (+E28-style eligibility): per-cluster models where a cluster has
-    enough rows and stations, the global model elsewhere."""
+    enough rows and stations, the global model elsewhere; which rows are
+    scored, and whether each by the model that its cluster asks for."""
     df = _ml_frame(spark, sf_dir)
     plan = ML.station_clusters(curated_series(spark, sf_dir), "station_name", ["value"])
     cut = F.lit("2024-01-20").cast("timestamp_ntz")
     tr, te = df.where(F.col("timestamp_utc") < cut), df.where(F.col("timestamp_utc") >= cut)
     out = ML.cluster_models(tr, te, plan, "target_value_t_plus_24h", ["station_group"], ML_NUMERIC,
                             min_rows=1000, min_stations=5, max_iter=BACKTEST_ITERATIONS)
-    return out.select("station_name", "timestamp_utc", "cluster", "model_source", "prediction", "target_value_t_plus_24h")
+    stats = tr.join(plan, "station_name").groupBy(F.col("cluster").alias("_c")).agg(
+        F.count(F.lit(1)).alias("_n"), F.count_distinct("station_name").alias("_s")).where("_n >= 1000 and _s >= 5")
+    out = out.join(stats, F.col("cluster") == F.col("_c"), "left")
+    source = F.when(F.col("_c").isNull(), "global").otherwise(F.concat(F.lit("cluster_"), F.col("_c").cast("string")))
+    return out.select("station_name", "timestamp_utc", "target_value_t_plus_24h", F.col("prediction").isNotNull().alias("scored"),
+                      (F.col("model_source") == source).alias("source_fits_cluster"))
 
 
 @register("validate_frame", SPLIT_FRAME_SQL + """
