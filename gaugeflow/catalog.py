@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from . import oracle_sql as S
 from . import tables as T
+from .operators.sets import ordered
 from .plans import features as PF
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -2207,6 +2208,122 @@ def q_forecast_series(spark, sf_dir):
     return SV.forecast_series(predictions_table(spark, sf_dir), "station 3")
 
 
+# --------------------------------------------------------------------------- evaluation job, ordered results
+
+EVAL_NOW = "1999-06-01 00:00:00"
+_JOB_TOL = 30 * 60 * 1_000_000
+JOB_SQL = PREDS_SQL + f"""
+, acts AS (SELECT 'STATION ' || CAST(o_custkey AS VARCHAR) AS station_name, o_orderdate + to_minutes(CAST(o_orderkey % 60 AS BIGINT)) AS ats,
+                  max(o_totalprice) / 1999.0 + 1 AS aval FROM orders GROUP BY 1, 2)
+, mature AS (SELECT * EXCLUDE (actual_value) FROM preds WHERE split_name = 'production' AND forecast_timestamp_utc <= TIMESTAMP '{EVAL_NOW}')
+, bef AS (SELECT p.*, a.ats AS b_ts, a.aval AS b_val FROM mature p ASOF LEFT JOIN acts a
+          ON p.station_name = a.station_name AND p.forecast_timestamp_utc >= a.ats)
+, aft AS (SELECT x.*, a.ats AS f_ts, a.aval AS f_val FROM bef x ASOF LEFT JOIN acts a
+          ON x.station_name = a.station_name AND x.forecast_timestamp_utc <= a.ats)
+, near AS (SELECT *, epoch_us(forecast_timestamp_utc) - epoch_us(b_ts) AS db, epoch_us(f_ts) - epoch_us(forecast_timestamp_utc) AS df FROM aft)
+, pick AS (SELECT * EXCLUDE (b_ts, b_val, f_ts, f_val, db, df),
+                  CASE WHEN db <= {_JOB_TOL} AND (df IS NULL OR df > {_JOB_TOL} OR db <= df) THEN b_val WHEN df <= {_JOB_TOL} THEN f_val END AS actual_value,
+                  CASE WHEN db <= {_JOB_TOL} AND (df IS NULL OR df > {_JOB_TOL} OR db <= df) THEN b_ts WHEN df <= {_JOB_TOL} THEN f_ts END AS actual_timestamp_utc
+           FROM near)
+, newe AS (
+  SELECT run_id, model_version, split_name, p.station_name, forecast_timestamp_utc, prediction_ready_utc, prediction, actual_value,
+         true AS actual_available, actual_timestamp_utc, 30 AS actual_match_tolerance_minutes, actual_value - prediction AS error,
+         abs(actual_value - prediction) AS absolute_error, (actual_value - prediction) * (actual_value - prediction) AS squared_error,
+         CASE WHEN abs(actual_value) > 1e-9 THEN abs(actual_value - prediction) / abs(actual_value) END AS ape, t.threshold_cm AS threshold,
+         CASE WHEN t.threshold_cm IS NOT NULL THEN actual_value <= t.threshold_cm END AS actual_event_low_water,
+         CASE WHEN t.threshold_cm IS NOT NULL THEN prediction <= t.threshold_cm END AS pred_event_low_water, TIMESTAMP '{EVAL_NOW}' AS evaluated_at_utc
+  FROM pick p LEFT JOIN thr t ON p.station_name = t.station_name WHERE actual_value IS NOT NULL)
+, olde AS (SELECT run_id, model_version, split_name, station_name, forecast_timestamp_utc, prediction, prediction + 2 AS actual_value,
+                  forecast_timestamp_utc + INTERVAL 2 DAY AS evaluated_at_utc FROM preds
+           WHERE split_name = 'production' AND forecast_timestamp_utc < TIMESTAMP '1996-01-01')
+, olde1 AS (SELECT * FROM olde QUALIFY row_number() OVER (PARTITION BY split_name, run_id, station_name, forecast_timestamp_utc, model_version
+                                                       ORDER BY prediction DESC) = 1)
+, merged AS (SELECT * FROM (SELECT * FROM olde1 UNION ALL BY NAME SELECT * FROM newe)
+  QUALIFY row_number() OVER (PARTITION BY split_name, run_id, station_name, forecast_timestamp_utc, model_version
+                             ORDER BY evaluated_at_utc DESC, forecast_timestamp_utc DESC, prediction DESC, actual_value DESC) = 1)"""
+JOB_COLS = ["run_id", "model_version", "split_name", "station_name", "forecast_timestamp_utc", "prediction_ready_utc", "prediction",
+            "actual_value", "actual_available", "actual_timestamp_utc", "actual_match_tolerance_minutes", "error", "absolute_error",
+            "squared_error", "ape", "threshold", "actual_event_low_water", "pred_event_low_water", "evaluated_at_utc"]
+JOB_ROUND = ["prediction", "actual_value", "error", "absolute_error", "squared_error", "ape"]
+
+
+def _evaluation_job(spark, sf_dir):
+    """(merged, new, summary): production forecasts against measurements up to
+    an hour later, merged into stored evaluations of forecasts before 1996."""
+    from .plans import evaluation as EV
+    p, o = predictions_table(spark, sf_dir).drop("actual_value"), T.table(spark, sf_dir, "orders")
+    acts = o.select(station_label(F.col("o_custkey")).alias("station_name"),
+                    (F.col("o_orderdate") + F.make_dt_interval(mins=(F.col("o_orderkey") % 60).cast("int"))).alias("timestamp_utc"),
+                    (F.col("o_totalprice") / 1999.0 + 1).alias("value"))
+    early = p.where((F.col("split_name") == "production") & (F.col("forecast_timestamp_utc") < F.lit("1996-01-01").cast("timestamp_ntz")))
+    stored = early.select("run_id", "model_version", "split_name", "station_name", "forecast_timestamp_utc", "prediction",
+                          (F.col("prediction") + 2).alias("actual_value"),
+                          (F.col("forecast_timestamp_utc") + F.expr("INTERVAL 2 DAYS")).alias("evaluated_at_utc"))
+    stored = DD.latest_per_key(stored, list(EV.KEY_COLUMNS), ["prediction"])
+    return EV.evaluation_job(p, acts, stored, thresholds_table(spark, sf_dir), "production", EVAL_NOW)
+
+
+@register("evaluation_job", JOB_SQL + " SELECT " + ", ".join(f"{S.rnd(c)} AS {c}" if c in JOB_ROUND else c for c in JOB_COLS) + " FROM merged")
+def q_evaluation_job(spark, sf_dir):
+    """Evaluation job (D5, E15, C5): matured production forecasts, nearest
+    actual within 30 minutes, errors and events, merged by key."""
+    return r6(_evaluation_job(spark, sf_dir)[0].select(*JOB_COLS), JOB_ROUND)
+
+
+@register("evaluation_summary", JOB_SQL + f"""
+, r AS (SELECT count(*) AS rows_evaluated, {S.rnd('avg(absolute_error)')} AS mae, {S.rnd('sqrt(avg(squared_error))')} AS rmse,
+               {S.rnd('avg(error)')} AS bias, {S.rnd('avg(ape)')} AS mape, {S.rnd('quantile_cont(absolute_error, 0.9)')} AS p90_abs_error,
+               count(DISTINCT station_name) AS stations_evaluated, count(*) AS new_evaluation_rows,
+               count(*) FILTER (WHERE actual_event_low_water AND pred_event_low_water) AS tp,
+               count(*) FILTER (WHERE NOT actual_event_low_water AND pred_event_low_water) AS fp,
+               count(*) FILTER (WHERE actual_event_low_water AND NOT pred_event_low_water) AS fn FROM newe)
+, s AS (SELECT *, CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0.0 END AS pr, CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0.0 END AS re FROM r)
+SELECT rows_evaluated, mae, rmse, bias, mape, p90_abs_error, {S.rnd('pr')} AS event_precision, {S.rnd('re')} AS event_recall,
+       {S.rnd('CASE WHEN pr + re > 0 THEN 2 * pr * re / (pr + re) ELSE 0.0 END')} AS event_f1, stations_evaluated, new_evaluation_rows,
+       (SELECT count(*) FROM merged) AS total_evaluation_rows_after_merge,
+       (SELECT count(*) FROM olde1) + new_evaluation_rows - (SELECT count(*) FROM merged) AS duplicate_rows_removed, 'production' AS split_name FROM s""")
+def q_evaluation_summary(spark, sf_dir):
+    """C5 + E15 + E16: metrics of a run of the job and what its merge removed."""
+    return r6(_evaluation_job(spark, sf_dir)[2], REG_ROUND + EV_ROUND)
+
+
+def _model_metrics_sql() -> str:
+    return EVALS_SQL + f"""
+, g AS (SELECT model_version, min(forecast_timestamp_utc) AS forecast_min_utc, max(forecast_timestamp_utc) AS forecast_max_utc FROM evt GROUP BY 1)
+SELECT r.*, e.event_rows, """ + ", ".join(f"{S.rnd('e.' + c)} AS {c}" for c in EV_ROUND) + ", g.forecast_min_utc, g.forecast_max_utc, 'production' AS split_name FROM (" \
+        + _reg_sql("model_version") + ") r LEFT JOIN (" + _event_sql("model_version") + ") e USING (model_version) LEFT JOIN g USING (model_version) ORDER BY rmse"
+
+
+@register("model_metrics", _model_metrics_sql())
+def q_model_metrics(spark, sf_dir):
+    """E17 + G4: metrics, events and forecast span of every model, best RMSE first."""
+    out = MT.model_metrics(evaluations(spark, sf_dir), "production", ["model_version"], "forecast_timestamp_utc")
+    return ordered(r6(out, REG_ROUND + EV_ROUND), ["rmse", "model_version"])
+
+
+@register("stations_by_rmse", EVALS_SQL + f"""
+SELECT station_name, count(*) AS rows_evaluated, {S.rnd('sqrt(avg(squared_error))')} AS rmse FROM ok GROUP BY 1 ORDER BY rmse DESC, station_name""")
+def q_stations_by_rmse(spark, sf_dir):
+    """E17 + G4: stations in order of RMSE, the worst first."""
+    out = MT.regression_metrics(evaluations(spark, sf_dir), ["station_name"], p90=False).select("station_name", "rows_evaluated", "rmse")
+    return ordered(r6(out, ["rmse"]), [F.desc("rmse"), "station_name"])
+
+
+@register("station_list", S.with_(*BASE_SERIES_SQL) + "SELECT station_name, count(*) AS rows FROM curated GROUP BY 1 ORDER BY station_name")
+def q_station_list(spark, sf_dir):
+    """N3 + G4: stations by name with their rows."""
+    return ordered(curated_series(spark, sf_dir).groupBy("station_name").agg(F.count(F.lit(1)).alias("rows")), ["station_name"])
+
+
+@register("coverage_by_size", S.with_(*BASE_SERIES_SQL, S.GAUGE_FEATURES) + """
+SELECT station_name, count(*) AS total_rows, count(lag_1) AS lag_1_non_null, count(rolling_std_3) AS rolling_std_3_non_null
+FROM gf GROUP BY 1 ORDER BY total_rows DESC, station_name""")
+def q_coverage_by_size(spark, sf_dir):
+    """E3 + G4: coverage of every station, the largest first."""
+    out = AG.coverage(PF.gauge_features(curated_series(spark, sf_dir)), ["lag_1", "rolling_std_3"], ["station_name"])
+    return ordered(out, [F.desc("total_rows"), "station_name"])
+
+
 # --------------------------------------------------------------------------- more B: time, scope, windows on dates
 
 def _berlin_sql(shift_days: int) -> str:
