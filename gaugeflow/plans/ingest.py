@@ -16,7 +16,7 @@ from ..operators.aggs import coalesce_by_key, gap_summary, observed_coverage, st
 from ..operators.clean import date_window, eligible_groups, from_marks_on, high_water_marks, newer_than_table
 from ..operators.dedup import latest_per_key, upsert
 from ..operators.joins import attach_metadata, outer_delta
-from ..sources.readers import (CANONICAL_MEASURES, canonical_measures, family_from_path, normalize_archive,
+from ..sources.readers import (CANONICAL_MEASURES, FILE_NAME, canonical_measures, family_from_path, normalize_archive,
                                prune_files, read_archive_csv, read_product_zip, read_station_payload)
 from .fill import VARIABLE_COLUMNS, apply_fill, proxy_candidates, proxy_fill, station_variables
 
@@ -60,17 +60,18 @@ def archive_backfill(spark: SparkSession, csv_path: str, target: DataFrame, star
 
 def weather_ingest(spark: SparkSession, zip_root: str, stations_meta: DataFrame, start_date: str | None = None,
                    ids: Sequence[str] | None = None, high_water_mark: DataFrame | None = None,
-                   min_complete_ratio: float = 0.0, min_rows: int = 1, max_proxy_km: float = 175.0,
+                   min_complete_ratio: float = 0.80, min_rows: int = 5000, max_proxy_km: float = 175.0,
                    k: int = 3, ingestion_ts: str | None = None) -> dict[str, DataFrame]:
     """Product zips (A4, pruned by file name A6) -> canonical rows per
     family (B5, B6, B8) -> one row per (station, hour) with the first
     non-null of each measure (E6) -> newer than the mark (B14) -> eligible
-    stations (B18) -> coordinates (D10) -> gaps before (E8) -> proxy fill
+    stations (B18: enough rows with all five measures, and a large enough share
+    of such rows) -> coordinates (D10) -> gaps before (E8) -> proxy fill
     (D14 + L9) -> gaps after (E8) and their delta (E9).
 
     Returns ``{"observations", "fills", "gaps_before", "gaps_after",
     "gap_delta"}``."""
-    flt = prune_files(F.col("path"), start_date=start_date, ids=ids)
+    flt = prune_files(F.col(FILE_NAME), start_date=start_date, ids=ids)
     raw = read_product_zip(spark, zip_root, file_filter=flt)
     canon = canonical_measures(raw.withColumn("_family", family_from_path(F.col("path"))), F.col("_family"),
                                ingestion_ts=ingestion_ts)
@@ -79,7 +80,7 @@ def weather_ingest(spark: SparkSession, zip_root: str, stations_meta: DataFrame,
                              ["quality_flag", "source", "source_url", "source_record_hash", "ingestion_ts_utc"])
     if high_water_mark is not None:
         hourly = newer_than_table(hourly, "timestamp_utc", high_water_mark, high_water_mark.columns[0])
-    hourly = eligible_groups(hourly, "dwd_station_id", ["temperature_c"], min_complete_ratio, min_rows)
+    hourly = eligible_groups(hourly, "dwd_station_id", list(CANONICAL_MEASURES), min_complete_ratio, min_rows)
     meta = stations_meta.select(F.col("station_id").alias("dwd_station_id"), "latitude", "longitude")
     hourly = attach_metadata(hourly, meta, "dwd_station_id")
     ms = list(CANONICAL_MEASURES)

@@ -142,8 +142,9 @@ def read_product_zip(spark: SparkSession, path: str, file_filter: Column | None
     product member raises.
 
     ``binaryFile`` lists the archives (one per task at most -- zips are not
-    splittable); ``file_filter`` (see ``prune_files``) is applied before any
-    archive is opened. Workers only unzip; the lines are parsed in Spark, each
+    splittable). A ``file_filter`` over ``FILE_NAME`` (see ``prune_files``) is
+    applied to the listing, so only the archives that pass are read at all.
+    Workers only unzip; the lines are parsed in Spark, each
     column found by its name in the member's header."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(path)
     if file_filter is not None:
@@ -226,6 +227,10 @@ def read_station_description(spark: SparkSession, path: str, encoding: str = "is
 
 # ------------------------------------------------------------------ A6 file pruning
 
+#: The name in the file listing: a filter on it drops files before they are read.
+FILE_NAME = "_metadata.file_name"
+
+
 def prune_files(file_name: Column, start_date: str | None = None, ids: Sequence[str] | None = None) -> Column:
     """Predicate on an archive's file name: its 5-digit station id is in
     ``ids`` (when given) and its end date (``_YYYYMMDD_YYYYMMDD_``) is on or

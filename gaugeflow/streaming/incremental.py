@@ -22,6 +22,7 @@ work is a Structured Streaming query over landed files:
 
 from __future__ import annotations
 
+import json
 import os
 from collections.abc import Callable, Sequence
 
@@ -29,7 +30,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.dedup import latest_per_key
+from ..operators.clean import from_marks_on, high_water_marks
+from ..operators.dedup import latest_per_key, upsert
 
 
 def stream_files(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet",
@@ -41,14 +43,29 @@ def stream_files(spark: SparkSession, path: str, schema: T.StructType, fmt: str
 
 
 def run_available(df: DataFrame, checkpoint: str, sink: Callable[[DataFrame, int], None] | None = None,
-                  path: str | None = None, output_mode: str = "append", fmt: str = "parquet") -> None:
-    """Run a streaming frame over everything available now and stop."""
+                  path: str | None = None, output_mode: str = "append", fmt: str = "parquet") -> list[dict]:
+    """Run a streaming frame over everything available now and stop; the
+    progress of its recent micro-batches (see ``state_progress``)."""
     w = df.writeStream.option("checkpointLocation", checkpoint).outputMode(output_mode).trigger(availableNow=True)
     if sink is not None:
         q = w.foreachBatch(sink).start()
     else:
         q = w.format(fmt).start(path)
     q.awaitTermination()
+    return [json.loads(p.json) if hasattr(p, "json") else p for p in q.recentProgress]
+
+
+def state_progress(progress: Sequence[dict]) -> list[tuple[int, int, int, int, int]]:
+    """(batch, rows read, state rows kept, state rows expired, rows that came
+    after the watermark) of each micro-batch; late rows are dropped before the
+    state and counted after partial aggregation."""
+    out = []
+    for p in progress:
+        state = p.get("stateOperators") or []
+        total = lambda k: sum(int(s.get(k) or 0) for s in state)
+        out.append((int(p["batchId"]), int(p.get("numInputRows") or 0), total("numRowsTotal"), total("numRowsRemoved"),
+                    total("numRowsDroppedByWatermark")))
+    return out
 
 
 def ingest_available(spark: SparkSession, src: str, schema: T.StructType, target: str, checkpoint: str,
@@ -68,23 +85,73 @@ def batch_upsert_sink(target: str, keys: Sequence[str], order: Sequence[str | Co
     return sink
 
 
-def current_generation(spark: SparkSession, target: str) -> int:
-    """Newest ``gen=N`` folder of a merge-on-read table (0 when there is none).
-    Lists folder names only; any other error of the file system raises."""
+def generations(spark: SparkSession, target: str, marker: str | None = None) -> list[int]:
+    """The ``gen=N`` folders of a table, those that hold ``marker`` where one
+    is named. Lists names only; any other error of the file system raises."""
     path = spark._jvm.org.apache.hadoop.fs.Path(target)
     fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
     if not fs.exists(path):
-        return 0
+        return []
     names = [s.getPath().getName() for s in fs.listStatus(path)]
-    return max((int(n.removeprefix("gen=")) for n in names if n.startswith("gen=")), default=0)
+    found = sorted(int(n.removeprefix("gen=")) for n in names if n.startswith("gen="))
+    if marker is None:
+        return found
+    return [n for n in found if fs.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{target}/gen={n}/{marker}"))]
+
+
+def current_generation(spark: SparkSession, target: str) -> int:
+    """Newest ``gen=N`` folder of a merge-on-read table (0 when there is none)."""
+    return max(generations(spark, target), default=0)
+
+
+#: Written last: a generation without it belongs to a batch that did not end.
+MARKS_DONE = "marks/_SUCCESS"
+
+
+def read_marked(spark: SparkSession, table: str) -> tuple[DataFrame, DataFrame] | None:
+    """(rows, marks) of the newest complete batch of a marked table."""
+    done = generations(spark, table, MARKS_DONE)
+    if not done:
+        return None
+    at = f"{table}/gen={done[-1]}"
+    return spark.read.parquet(f"{at}/rows"), spark.read.parquet(f"{at}/marks")
+
+
+def ingest_marked(rows: DataFrame, table: str, keys: Sequence[str], order: Sequence[str | Column], series: Sequence[str],
+                  ts: str, mode: str = "incremental") -> int:
+    """One batch into a table that keeps a mark for every series.
+
+    ``incremental`` takes the rows at or after their series' mark (the newest
+    stored time; a series without a mark is taken whole); ``backfill`` ignores
+    the marks. Rows replace stored rows of their key when newer by ``order``.
+    The batch writes rows and marks of a new generation, the marks last, so a
+    batch that did not end leaves the former generation and its marks in force
+    and is simply run again. Marks never move back. Returns the generation;
+    older ones are left for a retention job.
+    """
+    if mode not in ("incremental", "backfill"):
+        raise ValueError(f"unknown ingest mode: {mode}")
+    spark = rows.sparkSession
+    held = read_marked(spark, table)
+    new = latest_per_key(rows, keys, order)
+    if held is not None:
+        stored, marks = held
+        if mode == "incremental":
+            new = from_marks_on(new, series, ts, marks)
+        new = upsert(stored, new, keys, order)
+    gen = max(generations(spark, table), default=-1) + 1
+    at = f"{table}/gen={gen}"
+    new.write.mode("overwrite").parquet(f"{at}/rows")
+    high_water_marks(spark.read.parquet(f"{at}/rows"), series, ts).write.mode("overwrite").parquet(f"{at}/marks")
+    return gen
 
 
 def upsert_stream(stream: DataFrame, target: str, checkpoint: str, keys: Sequence[str],
-                  order: Sequence[str | Column], output_mode: str = "append") -> None:
+                  order: Sequence[str | Column], output_mode: str = "append") -> list[dict]:
     """Idempotent streaming upsert (merge on read) into the current
-    generation of ``target``."""
+    generation of ``target``; the micro-batches' progress."""
     gen = current_generation(stream.sparkSession, target)
-    run_available(stream, checkpoint, sink=batch_upsert_sink(target, keys, order, gen), output_mode=output_mode)
+    return run_available(stream, checkpoint, sink=batch_upsert_sink(target, keys, order, gen), output_mode=output_mode)
 
 
 def merged_view(spark: SparkSession, target: str, keys: Sequence[str],

@@ -62,7 +62,7 @@ def test_product_zip_and_pruning(spark):
             zf.writestr("Metadaten_Parameter.txt", "x")
             zf.writestr("produkt_tu_stunde_x.txt", body.encode("latin1"))
         open(os.path.join(d, name), "wb").write(buf.getvalue())
-    raw = RD.read_product_zip(spark, d, file_filter=RD.prune_files(F.col("path"), start_date="2018-01-01", ids=["433"]))
+    raw = RD.read_product_zip(spark, d, file_filter=RD.prune_files(F.col(RD.FILE_NAME), start_date="2018-01-01", ids=["433"]))
     canon = RD.canonical_measures(raw, "air_temperature", ingestion_ts="2024-02-01 00:00:00").collect()
     assert len(canon) == 6  # two archives kept (dated + undated), three rows each
     got = sorted({(r.dwd_station_id, r.timestamp_utc, r.temperature_c, r.relative_humidity_pct, r.quality_flag)
@@ -186,3 +186,87 @@ def test_gauge_ingest_keeps_lagging_stations_and_corrections(spark):
     rest = [("A", 9, 2.5), ("A", 10, 4.0), ("B", 0, 3.0), ("B", 5, 5.0), ("C", 1, 6.0)]
     assert values("incremental") == [("A", 0, 1.0), *rest]  # B lags behind A; A's row at its mark is corrected
     assert values("backfill") == [("A", 0, 7.0), *rest]
+
+
+def _files_read(df):
+    found = []
+
+    def walk(plan):
+        if plan.metrics().contains("numFiles"):
+            found.append(plan.metrics().apply("numFiles").value())
+        children = plan.children().iterator()
+        while children.hasNext():
+            walk(children.next())
+
+    walk(df._jdf.queryExecution().executedPlan())
+    return sum(found)
+
+
+def test_pruned_archives_are_not_read(spark, tmp_path):
+    for i in range(12):
+        (tmp_path / f"stundenwerte_TU_{i % 4:05d}_19500101_{2000 + i}1231_hist.zip").write_bytes(b"no archive")
+    files = spark.read.format("binaryFile").load(str(tmp_path))
+    kept = files.where(RD.prune_files(F.col(RD.FILE_NAME), start_date="2006-01-01", ids=["1", "3"])).select("path", "content")
+    assert len(kept.collect()) == 3 and _files_read(kept) == 3
+    everything = files.select("path", "content")
+    assert len(everything.collect()) == 12 and _files_read(everything) == 12
+
+
+def test_weather_ingest_asks_for_all_measures_by_default(spark):
+    import inspect
+
+    from gaugeflow.operators.clean import eligible_groups
+    from gaugeflow.plans.ingest import weather_ingest
+
+    given = inspect.signature(weather_ingest).parameters
+    assert (given["min_complete_ratio"].default, given["min_rows"].default) == (0.80, 5000)
+    cols = list(RD.CANONICAL_MEASURES)
+    hours = spark.range(6250).select(F.explode(F.array(*[F.lit(x) for x in "abcd"])).alias("k"), "id")
+    gap = F.when(F.col("k") == "a", False).when(F.col("k") == "b", F.col("id") >= 5000).when(F.col("k") == "c", F.col("id") >= 4999) \
+           .otherwise(F.col("id") % 2 == 0)
+    obs = hours.select("k", *[F.when(gap & F.lit(c == "pressure_hpa"), None).otherwise(1.0).alias(c) for c in cols])
+    kept = eligible_groups(obs, "k", cols, 0.80, 5000).groupBy("k").count().collect()
+    assert {(r.k, r["count"]) for r in kept} == {("a", 6250), ("b", 6250)}  # b has exactly the rows and the share
+
+
+T1 = dt.datetime(2024, 1, 1)
+EVENT = "k string, ts timestamp, value double"
+
+
+def test_state_expires_and_late_rows_are_counted(spark, tmp_path):
+    src, target, ck = (str(tmp_path / x) for x in ("src", "out", "ck"))
+    days = lambda a, b: [("x", T1 + dt.timedelta(hours=h), 1.0) for h in range(24 * a, 24 * b)]
+    seen = []
+    for rows in (days(0, 5), days(5, 10), days(1, 2) + days(9, 10)):
+        spark.createDataFrame(rows, EVENT).coalesce(1).write.mode("append").parquet(src)
+        stream = ST.stream_files(spark, src, spark.createDataFrame([], EVENT).schema)
+        agg = ST.windowed_counts(stream, "ts", ["k"], "value", duration="1 hour", watermark="1 day")
+        seen.append(ST.state_progress(ST.upsert_stream(agg, target, ck, ["window_start", "k"], ["n"], output_mode="update")))
+    first, second, third = seen
+    assert sum(p[1] for p in first) == 120 and first[-1][2] < 30  # of 120 windows a day and the newest hour stay
+    assert second[-1][2] < 30 and sum(p[3] for p in second) >= 115
+    assert sum(p[4] for p in third) == 24  # the rows of the second day come after the watermark
+    counts = {r.window_start: r.n for r in ST.merged_view(spark, target, ["window_start", "k"], ["n"]).collect()}
+    assert len(counts) == 240 and counts[T1 + dt.timedelta(hours=30)] == 1 and counts[T1 + dt.timedelta(hours=9 * 24 + 5)] == 2
+
+
+def test_marked_ingest_reruns_and_backfills(spark, tmp_path):
+    schema = "s string, ts timestamp_ntz, v double, ing int"
+    at = lambda h: T1 + dt.timedelta(hours=h)
+    table = str(tmp_path / "marked")
+    load = lambda rows, mode="incremental": ST.ingest_marked(
+        spark.createDataFrame(rows, schema), table, ["s", "ts"], ["ing"], ["s"], "ts", mode)
+    held = lambda: {(r.s, r.ts): r.v for r in ST.read_marked(spark, table)[0].collect()}
+    marks = lambda: {r.s: r.high_water_mark for r in ST.read_marked(spark, table)[1].collect()}
+    assert ST.read_marked(spark, table) is None
+    assert load([("a", at(1), 1.0, 1), ("a", at(2), 1.0, 1), ("b", at(9), 1.0, 1)]) == 0
+    batch = [("a", at(1), 5.0, 2), ("a", at(2), 6.0, 2), ("a", at(3), 7.0, 2), ("c", at(0), 8.0, 2)]
+    for _ in range(2):  # hour 1 lies before the mark, the corrected row at the mark is taken; the rerun changes nothing
+        load(batch)
+        assert held() == {("a", at(1)): 1.0, ("a", at(2)): 6.0, ("a", at(3)): 7.0, ("b", at(9)): 1.0, ("c", at(0)): 8.0}
+        assert marks() == {"a": at(3), "b": at(9), "c": at(0)}
+    # a batch that did not end is not seen, and its generation is written anew
+    spark.createDataFrame([("z", at(1), 0.0, 1)], schema).write.parquet(f"{table}/gen=3/rows")
+    assert ("z", at(1)) not in held()
+    load(batch, "backfill")
+    assert held()[("a", at(1))] == 5.0 and marks()["a"] == at(3)
