@@ -1472,12 +1472,15 @@ def q_eligible_stations(spark, sf_dir):
 
 
 @register("horizon_shift", S.with_(*BASE_SERIES_SQL) + """
-SELECT *, lead(value, 24) OVER (PARTITION BY station_id ORDER BY timestamp_utc) AS target_h24 FROM curated""")
+, step AS (SELECT median(h) AS h FROM (SELECT (epoch_us(timestamp_utc) - epoch_us(lag(timestamp_utc) OVER (PARTITION BY station_id ORDER BY timestamp_utc))) / 3.6e9 AS h FROM curated))
+, numbered AS (SELECT c.*, row_number() OVER (PARTITION BY station_id ORDER BY timestamp_utc) AS rn,
+                      greatest(1, CAST(round_even(240 / (SELECT h FROM step), 0) AS BIGINT)) AS k FROM curated c)
+SELECT a.* EXCLUDE (rn, k), b.value AS target_h240 FROM numbered a LEFT JOIN numbered b ON a.station_id = b.station_id AND b.rn = a.rn + a.k""")
 def q_horizon_shift(spark, sf_dir):
-    """horizon in hours -> rows ahead using the inferred step (E25):
-    24 h at a 1 h median step is 24 rows."""
+    """a horizon of ten days as rows ahead, by the inferred median step of
+    the series (E25)."""
     cur = curated_series(spark, sf_dir)
-    return BL.shift_by_horizon(cur, ["station_id"], "timestamp_utc", "value", 24, "target_h24", step_hours=1.0)
+    return BL.shift_by_horizon(cur, ["station_id"], "timestamp_utc", "value", 240, "target_h240")
 
 
 # --------------------------------------------------------------------------- proxy fill, upsert, unions
@@ -1571,16 +1574,18 @@ filled AS (
 , g0 AS (""" + gap_sql("wx", "before") + """), g1 AS (""" + gap_sql("filled", "after") + """)
 SELECT coalesce(g0.dwd_station_id, g1.dwd_station_id) AS dwd_station_id, """ + ", ".join(
     f"coalesce(g0.{c}, 0) AS {c}_before, coalesce(g1.{c}, 0) AS {c}_after, coalesce(g1.{c}, 0) - coalesce(g0.{c}, 0) AS {c}_delta"
-    for c in ["rows_with_any_gap", "complete_rows", *[f"{m}_missing" for m in MEASURES]])
+    for c in ["rows_with_any_gap", "complete_rows", *[f"{m}_missing" for m in MEASURES]]) + ", " + ", ".join(
+    f"{S.rnd(f'coalesce(g0.{c}, 0)')} AS {c}_before, {S.rnd(f'coalesce(g1.{c}, 0)')} AS {c}_after, "
+    f"{S.rnd(f'coalesce(g1.{c}, 0) - coalesce(g0.{c}, 0)')} AS {c}_delta" for c in [f"{m}_missing_ratio" for m in MEASURES])
     + " FROM g0 FULL OUTER JOIN g1 ON g0.dwd_station_id = g1.dwd_station_id")
 def q_gap_delta(spark, sf_dir):
     """E9 (+ L9 applied, D9 full outer): per station gap counts before and
     after the proxy fill and their change."""
     ms = list(MEASURES)
-    before = AG.gap_summary(hourly_weather(spark, sf_dir), "dwd_station_id", ms, "before")
-    after = AG.gap_summary(filled_weather(spark, sf_dir), "dwd_station_id", ms, "after")
-    cols = ["rows_with_any_gap", "complete_rows", *[f"{m}_missing" for m in ms]]
-    return J.outer_delta(before, after, "dwd_station_id", cols)
+    before = r6(AG.gap_summary(hourly_weather(spark, sf_dir), "dwd_station_id", ms, "before"), GAP_RATIOS)
+    after = r6(AG.gap_summary(filled_weather(spark, sf_dir), "dwd_station_id", ms, "after"), GAP_RATIOS)
+    cols = ["rows_with_any_gap", "complete_rows", *[f"{m}_missing" for m in ms], *[f"{m}_missing_ratio" for m in ms]]
+    return r6(J.outer_delta(before, after, "dwd_station_id", cols), [f"{m}_missing_ratio_{x}" for m in ms for x in ("before", "after", "delta")])
 
 
 @register("upsert", S.with_(RUNS_SQL, """

@@ -62,11 +62,10 @@ def normalize_name(col: str | Column, mode: str = "upper_trim") -> Column:
 
 
 def umlaut_variants(col: str | Column) -> Column:
-    """Array of the name and its OE->Ö, UE->Ü, AE->Ä spelling."""
+    """Array of the upper-cased name and its spellings with OE as Ö, UE as Ü
+    and AE as Ä, each replaced alone (B12)."""
     c = F.upper(_c(col))
-    folded = F.replace(F.replace(F.replace(c, F.lit("OE"), F.lit("Ö")), F.lit("UE"), F.lit("Ü")),
-                       F.lit("AE"), F.lit("Ä"))
-    return F.array_distinct(F.array(c, folded))
+    return F.array_distinct(F.array(c, *[F.replace(c, F.lit(a), F.lit(b)) for a, b in (("OE", "Ö"), ("UE", "Ü"), ("AE", "Ä"))]))
 
 
 def pad_id(col: str | Column, width: int = 5) -> Column:

@@ -67,12 +67,19 @@ def newer_than(df: DataFrame, ts: str, high_water_mark: str | None) -> DataFrame
     return df.where(F.col(ts) > F.lit(high_water_mark).cast(df.schema[ts].dataType))
 
 
+def _as_literal(value: Column, frame: DataFrame, kind) -> Column | None:
+    """A one-row aggregate's value as a literal, so that a filter on it is
+    pushed into the scan; None where it is null. Fetched as text: exact, and
+    the same whatever the driver's own time zone."""
+    text = frame.select(value.cast("string")).first()
+    return None if text is None or text[0] is None else F.lit(text[0]).cast(kind)
+
+
 def newer_than_table(df: DataFrame, ts: str, marks: DataFrame, mark_col: str) -> DataFrame:
-    """B14 with the mark held in a table: one-row ``max`` broadcast."""
-    m = marks.agg(F.max(mark_col).alias("_hwm"))
-    return (df.crossJoin(F.broadcast(m))
-              .where(F.col("_hwm").isNull() | (F.col(ts) > F.col("_hwm")))
-              .drop("_hwm"))
+    """B14 with the mark held in a table: its maximum, read first, as a
+    literal that prunes the scan; an empty table keeps every row."""
+    mark = _as_literal(F.max(mark_col), marks, df.schema[ts].dataType)
+    return df if mark is None else df.where(F.col(ts) > mark)
 
 
 def high_water_marks(df: DataFrame, keys: Sequence[str], ts: str) -> DataFrame:
@@ -109,13 +116,12 @@ def require_complete(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def last_n_months(df: DataFrame, ts: str, months: int) -> DataFrame:
-    """Rows at or after max(ts) minus ``months`` calendar months.
-
-    The maximum is a one-row aggregate, broadcast (size fixed at one row).
-    """
-    mx = df.agg(F.max(ts).alias("_mx"))
-    cut = mx.select(F.add_months(F.col("_mx"), -months).cast(df.schema[ts].dataType).alias("_cut"))
-    return df.crossJoin(F.broadcast(cut)).where(F.col(ts) >= F.col("_cut")).drop("_cut")
+    """Rows at or after max(ts) minus ``months`` calendar months (the time
+    of day stays). The cutoff is read first and prunes the scan."""
+    kind = df.schema[ts].dataType
+    cut = F.max(ts) - F.make_ym_interval(F.lit(0), F.lit(int(months)))
+    found = _as_literal(cut, df, kind)
+    return df.limit(0) if found is None else df.where(F.col(ts) >= found)
 
 
 def eligible_groups(df: DataFrame, key: str, cols: Sequence[str], min_complete_ratio: float,

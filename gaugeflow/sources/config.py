@@ -35,17 +35,24 @@ def thresholds_dim(spark: SparkSession, text_or_path: str) -> DataFrame:
 
 
 def bands_dim(spark: SparkSession, text_or_path: str) -> DataFrame:
-    """Operational bands: a ``default`` list and per-station lists of
-    ``{id, label, min_cm, max_cm, severity, color}`` -> one row per band
-    with its list position as ``band_order``."""
+    """Operational bands -> one row per band with its list position as
+    ``band_order``. Read are ``operational_thresholds: {NAME: {bands: [...]}}``
+    with ``DEFAULT`` among the names, and a ``default`` list beside
+    ``stations`` lists; a band has ``id, label, min_cm, max_cm, severity,
+    color``. A text with neither raises."""
     cfg = _load(text_or_path) or {}
     rows = []
+    known = ("operational_thresholds", "default", "default_bands", "stations", "station_bands")
+    if not any(k in cfg for k in known):
+        raise ValueError(f"no bands: none of {', '.join(known)} in the configuration")
 
     def add(name: str, bands: list) -> None:
         for i, b in enumerate(bands or [], start=1):
             rows.append((name, i, _num(b.get("min_cm")), _num(b.get("max_cm")), str(b.get("id")), b.get("label"),
                          b.get("severity"), b.get("color")))
 
+    for station, entry in (cfg.get("operational_thresholds") or {}).items():
+        add(str(station).strip().upper(), entry.get("bands") if isinstance(entry, dict) else entry)
     add("DEFAULT", cfg.get("default") or cfg.get("default_bands") or [])
     for station, bands in (cfg.get("stations") or cfg.get("station_bands") or {}).items():
         add(str(station).strip().upper(), bands)

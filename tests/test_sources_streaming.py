@@ -270,3 +270,48 @@ def test_marked_ingest_reruns_and_backfills(spark, tmp_path):
     assert ("z", at(1)) not in held()
     load(batch, "backfill")
     assert held()[("a", at(1))] == 5.0 and marks()["a"] == at(3)
+
+
+def test_bands_of_the_operational_layout(spark):
+    import pytest
+
+    text = """
+operational_thresholds:
+  DEFAULT:
+    unit: cm
+    bands:
+      - {id: normal, label: Fine, min_cm: 151, max_cm: null, severity: normal, color: green}
+      - {id: low, label: Low, min_cm: 81, max_cm: 150, severity: warning, color: yellow}
+  kaub:
+    bands:
+      - {id: own, label: Own, min_cm: 0, max_cm: 9.5, severity: high, color: red}
+"""
+    rows = {(r.station_name, r.band_order): (r.band_id, r.min_cm, r.max_cm) for r in bands_dim(spark, text).collect()}
+    assert rows == {("DEFAULT", 1): ("normal", 151.0, None), ("DEFAULT", 2): ("low", 81.0, 150.0), ("KAUB", 1): ("own", 0.0, 9.5)}
+    with pytest.raises(ValueError, match="no bands"):
+        bands_dim(spark, "something: {else: 1}")
+
+
+def test_scope_fuzzy_replaces_one_spelling_at_a_time(spark):
+    from gaugeflow.operators.clean import scope_fuzzy
+
+    names = ["GROSSKÖNIGSRUE", "GROSSKOENIGSRÜ", "GROSSKÖNIGSRÜ", "GROSSKOENIGSRUE x", "OTHER"]
+    df = spark.createDataFrame([(str(i), n) for i, n in enumerate(names)], "id string, name string")
+    kept = scope_fuzzy(df, "id", "name", names=["grosskoenigsrue"]).collect()
+    assert sorted(r.id for r in kept) == ["0", "1", "3"]  # both spellings at once are another name
+
+
+def test_marks_held_in_a_table_reach_the_scan(spark, tmp_path):
+    from gaugeflow.operators.clean import last_n_months, newer_than_table
+
+    rows = [(i, T1 + dt.timedelta(days=i, hours=i % 24)) for i in range(200)]
+    spark.createDataFrame(rows, "id int, ts timestamp_ntz").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    marks = spark.createDataFrame([(T1 + dt.timedelta(days=9),), (T1 + dt.timedelta(days=99, hours=3),)], "m timestamp_ntz")
+    newer, recent = newer_than_table(df, "ts", marks, "m"), last_n_months(df, "ts", 2)
+    assert {r.id for r in newer.collect()} == {i for i, t in rows if t > T1 + dt.timedelta(days=99, hours=3)}
+    last = rows[-1][1]
+    assert last.month == 7 and {r.id for r in recent.collect()} == {i for i, t in rows if t >= last.replace(month=5)}
+    for frame in (newer, recent):
+        assert "GreaterThan" in frame._jdf.queryExecution().executedPlan().toString().split("PushedFilters:")[1]
+    assert newer_than_table(df, "ts", marks.limit(0), "m").count() == 200 and last_n_months(df.limit(0), "ts", 1).count() == 0
