@@ -47,30 +47,27 @@ def ranked_fallback_join(facts: DataFrame, obs: DataFrame, mapping: DataFrame,
     measure = first non-null of primary, backup1, backup2, and the source
     tag from ``source_measure`` only.
 
-    Plan: the weather of a fact depends only on (station, hour), so the
-    distinct (station, hour) pairs are expanded to their ranked candidates,
-    joined ONCE with the observations, and pivoted back by rank with partial
-    aggregates. The fact table is then shuffled once (joined on station and
-    hour) instead of once per rank.
+    Plan: the weather of a fact depends only on (station, hour). The mapping
+    (a few rows a station) is joined to the observations, whose rows are
+    pivoted by rank with partial aggregates to one row for each (station,
+    hour); the facts are read once and joined once.
     """
     source_measure = source_measure or measures[0]
     hour = F.date_trunc("hour", F.col(fact_ts))
-    keys = facts.select(F.col(station_col).alias("_sid"), hour.alias("_hour")).distinct()
     cand_cols = [F.struct(F.lit(i).alias("rank"), F.col(f"{name}_dwd_station_id").alias("oid"))
                  for i, (name, _) in enumerate(ranks)]
     cands = mapping.select(F.col(station_col).alias("_msid"), F.explode(F.array(*cand_cols)).alias("_c")) \
                    .where(F.col("_c.oid").isNotNull())
-    expanded = keys.join(cands, F.col("_sid") == F.col("_msid"), "inner")
     o = obs.select(F.col(obs_id).alias("_oid"), F.date_trunc("hour", F.col(obs_ts)).alias("_ohour"),
                    *[F.col(m) for m in measures])
-    matched = expanded.join(o, (F.col("_c.oid") == F.col("_oid")) & (F.col("_hour") == F.col("_ohour")), "inner")
+    matched = cands.join(o.where(F.col("_ohour").isNotNull()), F.col("_c.oid") == F.col("_oid"))
     aggs = []
     for i, (_, pfx) in enumerate(ranks):
         for m in measures:
             aggs.append(F.max(F.when(F.col("_c.rank") == i, F.col(m))).alias(f"{pfx}{m}"))
     ts_type = facts.schema[fact_ts].dataType
     aggs.append(F.max(F.when(F.col("_c.rank") == 0, F.col("_ohour"))).cast(ts_type).alias("weather_timestamp_utc"))
-    pivot = matched.groupBy("_sid", "_hour").agg(*aggs)
+    pivot = matched.groupBy(F.col("_msid").alias("_sid"), F.col("_ohour").alias("_hour")).agg(*aggs)
     out = (facts.withColumn("_fhour", hour)
                 .join(mapping, station_col, "left")
                 .join(pivot, (F.col(station_col) == F.col("_sid")) & (F.col("_fhour") == F.col("_hour")), "left")
