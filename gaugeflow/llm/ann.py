@@ -68,6 +68,36 @@ class Tree:
                 n += 1
 
 
+@dataclass
+class Forest:
+    """A tree for every vector length of the sample; leaves are numbered
+    through. Vectors of another length lie in one leaf of their length, whose
+    number is negative."""
+
+    trees: dict[int, tuple[Tree, int]]
+
+    @classmethod
+    def fit(cls, vectors) -> Forest:
+        trees, first = {}, 0
+        for dim in sorted({len(v) for v in vectors}):
+            tree = fit_tree(matrix([v for v in vectors if len(v) == dim]))
+            trees[dim] = tree, first
+            first += tree.leaves
+        return cls(trees)
+
+    def leaf_of(self, vectors) -> np.ndarray:
+        out = -np.array([len(v) for v in vectors], np.int64)
+        for dim, (tree, first) in self.trees.items():
+            at = np.flatnonzero(out == -dim)
+            if len(at):
+                out[at] = tree.leaf_of(matrix([vectors[i] for i in at])) + first
+        return out
+
+    def best_bins(self, q: np.ndarray):
+        tree, first = self.trees.get(len(q), (None, 0))
+        return (first + leaf for leaf in tree.best_bins(q)) if tree else iter([-len(q)])
+
+
 def squared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.maximum((a * a).sum(1)[:, None] - 2 * a @ b.T + (b * b).sum(1)[None], 0)
 
@@ -98,69 +128,77 @@ def fit_tree(x: np.ndarray, branch: int = BRANCH, leaf_rows: int = LEAF_ROWS, ro
     return Tree(root, count)
 
 
+#: Stands for a null id where rows are put in order: null ids come last.
+LAST = 2 ** 63 - 1
+
+
 def usable(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
-    """(``vec_id``, ``vec``) of the rows that take part: an id, and a vector of
-    finite components, not all zero, of the commonest length. Repeated ids
-    count once, with the least of their vectors."""
+    """(``row``, ``vec_id``, ``key``, ``vec``) of the rows that take part: a
+    vector of finite components, not all zero. Rows are told apart by a number
+    of their own, so ids may repeat or be null."""
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vec_col).cast("array<double>").alias("vec"))
     bad = lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf"))
-    rows = rows.where(F.col("vec_id").isNotNull() & (F.size("vec") > 0) & ~F.exists("vec", bad)
-                      & F.exists("vec", lambda v: v != 0))
-    size = rows.groupBy(F.size("vec").alias("n")).count().orderBy(F.desc("count"), F.desc("n")).first()
-    if size is None:
-        return rows.limit(0)
-    return rows.where(F.size("vec") == size[0]).groupBy("vec_id").agg(F.min("vec").alias("vec"))
+    rows = rows.where((F.size("vec") > 0) & ~F.exists("vec", bad) & F.exists("vec", lambda v: v != 0))
+    return rows.select(F.monotonically_increasing_id().alias("row"), "vec_id", F.coalesce("vec_id", F.lit(LAST)).alias("key"), "vec")
 
 
 def matrix(vecs) -> np.ndarray:
     return np.stack([np.asarray(v, float) for v in vecs]) if len(vecs) else np.zeros((0, 0))
 
 
-def nearest(q: np.ndarray, q_ids: np.ndarray, x: np.ndarray, ids: np.ndarray, k: int) -> pd.DataFrame:
-    """The k nearest rows of ``x`` to each query, its own id left out: exact
-    Euclidean distances in double precision, ties to the smaller id."""
-    parts = []
-    for vec, own in zip(q, q_ids):
-        d = np.sqrt(((x - vec) ** 2).sum(axis=1))
-        d[ids == own] = np.inf
-        best = np.argpartition(d, k)[:k + 1] if len(d) > k + 1 else np.arange(len(d))
-        at = np.flatnonzero(d <= d[best].max()) if len(d) > k + 1 else best
-        at = at[np.lexsort((ids[at], d[at]))][:k]
-        at = at[np.isfinite(d[at])]
-        parts.append(pd.DataFrame({"query_id": own, "vec_id": ids[at], "score": d[at]}))
-    return pd.concat(parts) if parts else pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
+FOUND = "query long, row long, key long, score double"
+
+
+def nearest(asking: pd.DataFrame, held: pd.DataFrame, k: int) -> pd.DataFrame:
+    """The k nearest rows of ``held`` to each row asking, itself left out:
+    exact Euclidean distances in double precision, ties to the smaller id.
+    Rows of another vector length are no neighbours."""
+    none = np.zeros(0, np.int64)
+    parts = [pd.DataFrame({"query": none, "row": none, "key": none, "score": np.zeros(0)})]
+    dims = held["vec"].map(len)
+    for dim, some in asking.groupby(asking["vec"].map(len)):
+        here = held[dims == dim]
+        x, rows, keys = matrix(here["vec"]), here["row"].to_numpy(), here["key"].to_numpy()
+        for own, vec in zip(some["row"], some["vec"]):
+            if not len(x):
+                break
+            d = np.sqrt(((x - np.asarray(vec, float)) ** 2).sum(axis=1))
+            d[rows == own] = np.inf
+            best = np.argpartition(d, k)[:k + 1] if len(d) > k + 1 else np.arange(len(d))
+            at = np.flatnonzero(d <= d[best].max()) if len(d) > k + 1 else best
+            at = at[np.lexsort((rows[at], keys[at], d[at]))][:k]
+            at = at[np.isfinite(d[at])]
+            parts.append(pd.DataFrame({"query": own, "row": rows[at], "key": keys[at], "score": d[at]}))
+    return pd.concat(parts)
 
 
 def top(found: DataFrame, k: int) -> DataFrame:
-    order = Window.partitionBy("query_id").orderBy("score", "vec_id")
+    order = Window.partitionBy("query").orderBy("score", "key", "row")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
 def true_neighbours(members: DataFrame, queries: pd.DataFrame, k: int) -> pd.DataFrame:
     """Brute force of a bounded set of queries against all members; also the
     leaf of each neighbour."""
-    q, q_ids = matrix(queries["vec"]), queries["vec_id"].to_numpy()
-
     def run(batches):
         for batch in batches:
             if len(batch):
-                found = nearest(q, q_ids, matrix(batch["vec"]), batch["vec_id"].to_numpy(), k)
-                yield found.merge(batch[["vec_id", "leaf"]], on="vec_id")
+                yield nearest(queries, batch, k).merge(batch[["row", "leaf"]], on="row")
 
-    return top(members.mapInPandas(run, "query_id long, vec_id long, score double, leaf long"), k).toPandas()
+    return top(members.mapInPandas(run, FOUND + ", leaf long"), k).toPandas()
 
 
-def calibrated_visits(tree: Tree, queries: pd.DataFrame, truth: pd.DataFrame, recall: float) -> int:
+def calibrated_visits(forest: Forest, queries: pd.DataFrame, truth: pd.DataFrame, recall: float) -> int:
     """The least number of leaf visits, best bin first, at which the wanted
     part of the true neighbours lies in visited leaves."""
     place = []
-    leaves = truth.groupby("query_id")["leaf"].apply(list).to_dict()
-    for own, vec in zip(queries["vec_id"], queries["vec"]):
+    leaves = truth.groupby("query")["leaf"].apply(list).to_dict()
+    for own, vec in zip(queries["row"], queries["vec"]):
         wanted = leaves.get(own, [])
-        order = {leaf: n for n, leaf in enumerate(tree.best_bins(np.asarray(vec, float)), 1)}
+        order = {leaf: n for n, leaf in enumerate(forest.best_bins(np.asarray(vec, float)), 1)}
         place += [order[leaf] for leaf in wanted]
     if not place:
-        return tree.leaves
+        return 1
     return int(np.sort(place)[min(len(place) - 1, int(np.ceil(recall * len(place))) - 1)])
 
 
@@ -170,61 +208,57 @@ def neighbours(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str =
     satisfies ``is_query`` (over ``vec_id``) its k nearest other rows found,
     nearest first, ties to the smaller id; all of them where there are fewer.
 
-    Rows that ``usable`` leaves out are neither queries nor candidates. An
-    empty table, or one usable row, gives an empty result.
+    Vectors that are null, zero or hold a null or non-finite component are
+    neither queries nor candidates. Repeated ids and rows are each a row of
+    their own, also as queries; null ids are candidates and come last among
+    ties; vectors of different lengths are no neighbours. An empty table, or
+    one usable row, gives an empty result; other columns are not read.
     """
     rows = shared_table(usable(vectors, id_col, vec_col), "vectors")
-    sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample_rows).toPandas()
-    if sample.empty:
-        return rows.select(F.col("vec_id").alias("query_id"), F.lit(0).alias("rank"), "vec_id",
-                           F.lit(0.0).alias("score")).limit(0)
-    tree = fit_tree(matrix(sample["vec"]))
+    sample = rows.orderBy(F.xxhash64("row"), "row").limit(sample_rows).toPandas()
+    forest = Forest.fit(sample["vec"].tolist())
 
     def file(batches):
         for batch in batches:
             if len(batch):
-                yield batch.assign(leaf=tree.leaf_of(matrix(batch["vec"])))
+                yield batch.assign(leaf=forest.leaf_of(batch["vec"].tolist()))
 
-    members = shared_table(rows.mapInPandas(file, "vec_id long, vec array<double>, leaf long"), "members")
-    queries = rows.where(is_query)
-    some = queries.orderBy(F.xxhash64("vec_id", F.lit(1)), "vec_id").limit(CALIBRATION_ROWS).toPandas()
-    visits = calibrated_visits(tree, some, true_neighbours(members, some, k), recall) if len(some) else 1
+    members = shared_table(rows.select("row", "key", "vec").mapInPandas(file, "row long, key long, vec array<double>, leaf long"),
+                           "members")
+    queries = rows.where(is_query & F.col("vec_id").isNotNull()).select("row", "vec")
+    some = queries.orderBy(F.xxhash64("row", F.lit(1)), "row").limit(CALIBRATION_ROWS).toPandas()
+    visits = calibrated_visits(forest, some, true_neighbours(members, some, k), recall) if len(some) else 1
     held = {r[0]: r[1] for r in members.groupBy("leaf").count().collect()}  # one row for each leaf
 
     def visit(batches):
         for batch in batches:
             out = []
-            for own, vec in zip(batch["vec_id"], batch["vec"]):
+            for own, vec in zip(batch["row"], batch["vec"]):
                 seen = reached = 0
-                for leaf in tree.best_bins(np.asarray(vec, float)):
+                for leaf in forest.best_bins(np.asarray(vec, float)):
                     if seen >= visits and reached > k:
                         break
                     seen += 1
                     reached += held.get(leaf, 0)
                     if leaf in held:
                         out.append((own, vec, leaf))
-            yield pd.DataFrame(out, columns=["query_id", "vec", "leaf"])
+            yield pd.DataFrame(out, columns=["row", "vec", "leaf"])
 
-    visiting = shared_table(queries.mapInPandas(visit, "query_id long, vec array<double>, leaf long"), "visits")
+    visiting = shared_table(queries.mapInPandas(visit, "row long, vec array<double>, leaf long"), "visits")
     asked = {r[0]: r[1] for r in visiting.groupBy("leaf").count().collect()}
     sizes = members.sparkSession.createDataFrame(
         [(leaf, -(-n // PART_ROWS), -(-asked.get(leaf, 0) // PART_QUERIES)) for leaf, n in held.items()],
         "leaf long, parts int, q_parts int")
     upto = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     left = (members.join(F.broadcast(sizes.where("q_parts > 0")), "leaf")  # one row for each leaf
-            .withColumn("part", F.pmod(F.xxhash64("vec_id"), "parts").cast("int"))
-            .select("leaf", "part", upto("q_parts").alias("q_part"), "vec_id", "vec"))
+            .withColumn("part", F.pmod(F.xxhash64("row"), "parts").cast("int"))
+            .select("leaf", "part", upto("q_parts").alias("q_part"), "row", "key", "vec"))
     right = (visiting.join(F.broadcast(sizes), "leaf")
-             .withColumn("q_part", F.pmod(F.xxhash64("query_id"), "q_parts").cast("int"))
-             .select("leaf", upto("parts").alias("part"), "q_part", "query_id", "vec"))
+             .withColumn("q_part", F.pmod(F.xxhash64("row"), "q_parts").cast("int"))
+             .select("leaf", upto("parts").alias("part"), "q_part", "row", "vec"))
     keys = ["leaf", "part", "q_part"]
-
-    def search(candidates: pd.DataFrame, asking: pd.DataFrame) -> pd.DataFrame:
-        if candidates.empty or asking.empty:
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
-        return nearest(matrix(asking["vec"]), asking["query_id"].to_numpy(), matrix(candidates["vec"]),
-                       candidates["vec_id"].to_numpy(), k)
-
-    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(
-        search, "query_id long, vec_id long, score double")
-    return top(found, k).select("query_id", "rank", "vec_id", "score")
+    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(lambda held, asking: nearest(asking, held, k), FOUND)
+    ids = rows.select("row", "vec_id")
+    best = top(found, k).join(ids, "row").drop("row", "key")
+    return (best.join(ids.withColumnRenamed("vec_id", "query_id"), F.col("query") == F.col("row"))
+            .select("query_id", "rank", "vec_id", "score"))

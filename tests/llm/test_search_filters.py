@@ -14,12 +14,13 @@ def test_ann_recall_ties_and_odd_rows(spark):
     x = np.concatenate([rng.normal(size=(12, 8))[rng.integers(0, 12, 600)] + 0.2 * rng.normal(size=(600, 8)),
                         np.tile(rng.normal(size=8), (300, 1))])
     rows = [(i, [float(v) for v in r], "e") for i, r in enumerate(x)]
-    odd = [(5000, None, "n"), (5100, [0.0] * 8, "z"), (5200, [math.nan] * 8, "q"), (None, [1.0] * 8, "k"),
-           (5300, [1.0, None] * 4, "p"), (5400, [1.0] * 3, "s"), (0, rows[0][1], "again")]
+    odd = [(5000, None, "n"), (5100, [0.0] * 8, "z"), (5200, [math.nan] * 8, "q"), (None, [90.0] * 8, "k"),
+           (5300, [1.0, None] * 4, "p"), (5400, [1.0] * 3, "s"), (5401, [1.0, 1.0, 2.0], "s")]
     frame = spark.createDataFrame(rows + odd, "vec_id long, embedding array<double>, leaf string")
     got = {}
     for r in ann.neighbours(frame, F.col("vec_id") % 50 == 0, 10).collect():
         got.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
+    assert got.pop(5400) == [(1, 5401, 1.0)]  # only vectors of the same length are neighbours
     assert set(got) == set(range(0, 900, 50))
     hits = 0
     for q, found in got.items():
@@ -38,6 +39,17 @@ def test_ann_recall_ties_and_odd_rows(spark):
     assert sorted(r.vec_id for r in few) == [1, 2, 3]
 
 
+def test_ann_counts_every_row_but_the_querys_own(spark):
+    big = 9007199254740993
+    rows = [(0, [1.0, 0.0]), (7, [1.0, 1.0]), (7, [1.0, 1.0]), (8, [3.0, 0.0]), (big, [1.0, 1.0]), (None, [1.0, 1.0]), (0, [1.0, 2.0])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = [(r.query_id, r.rank, r.vec_id, r.score) for r in ann.neighbours(frame, F.col("vec_id") == 0, 10).collect()]
+    ones = [7, 7, big, None]
+    first = [(0, i + 1, v, 1.0) for i, v in enumerate(ones)] + [(0, 5, 0, 2.0), (0, 6, 8, 2.0)]
+    second = [(0, i + 1, v, 1.0) for i, v in enumerate(ones)] + [(0, 5, 0, 2.0), (0, 6, 8, 8 ** 0.5)]
+    assert sorted(got, key=str) == sorted(first + second, key=str)
+
+
 def test_bm25_equals_brute_force(spark):
     rng = np.random.default_rng(3)
     texts = [" ".join(rng.choice([f"t{i}" for i in range(300)], p=np.arange(300, 0, -1) / 45150, size=rng.integers(0, 60)))
