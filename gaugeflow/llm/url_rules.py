@@ -50,23 +50,25 @@ def fitting_rule(host: Column, path: Column, rules: list[tuple[str, str, str]],
 
 
 def url_tokens(url: Column, host: Column, path: Column) -> Column:
-    """Distinct tokens of an address: scheme, host suffixes, first host label,
-    words of the first two path parts, file ending, names of parameters."""
+    """Distinct tokens of a whole address: scheme, every host suffix, first
+    host label, the word of every path part with its place (runs of digits as
+    one 0), file ending, names of all parameters, and that of the fragment's
+    presence."""
     labels = F.split(host, r"\.")
     n = F.size(labels)
-    suffix = lambda k: F.when(n >= k, F.concat(F.lit("host="), F.array_join(F.slice(labels, -k, k), ".")))
+    suffixes = F.transform(F.sequence(F.lit(1), n), lambda k: F.concat(F.lit("host="), F.array_join(F.slice(labels, -k, k), ".")))
     parts = F.filter(F.split(path, "/"), lambda p: p != "")
-    part = lambda k: F.when(F.size(parts) > k, F.get(parts, F.lit(k)))
-    word = lambda k: F.concat(F.lit(f"path{k}="), F.regexp_replace(F.lower(part(k)), "[0-9]+", "0"))
+    words = F.transform(parts, lambda p, i: F.concat(F.lit("path"), i.cast("string"), F.lit("="),
+                                                     F.regexp_replace(F.lower(p), "[0-9]+", "0")))
     scheme = F.concat(F.lit("scheme="), F.lower(F.regexp_extract(url, r"^([A-Za-z][A-Za-z0-9+.-]*)://", 1)))
-    ending = F.regexp_extract(path, r"\.([A-Za-z0-9]{1,5})$", 1)
+    ending = F.regexp_extract(path, r"\.([A-Za-z0-9]+)$", 1)
     query = F.regexp_extract(url, r"\?([^#]*)", 1)
     names = F.transform(F.filter(F.split(query, "&"), lambda p: p != ""),
                         lambda p: F.concat(F.lit("query="), F.substring_index(p, "=", 1)))
-    single = F.array(scheme, suffix(1), suffix(2), suffix(3),
-                     F.when(n > 2, F.concat(F.lit("first="), F.get(labels, F.lit(0)))), word(0), word(1),
-                     F.when(ending != "", F.concat(F.lit("ending="), F.lower(ending))))
-    return F.array_sort(F.array_distinct(F.filter(F.concat(single, names), lambda t: t.isNotNull())))
+    single = F.array(scheme, F.when(n > 2, F.concat(F.lit("first="), F.get(labels, F.lit(0)))),
+                     F.when(ending != "", F.concat(F.lit("ending="), F.lower(ending))),
+                     F.when(F.instr(url, "#") > 0, F.lit("fragment")))
+    return F.array_sort(F.array_distinct(F.filter(F.concat(single, suffixes, words, names), lambda t: t.isNotNull())))
 
 
 def mine_rules(labelled: DataFrame, min_support: float = MIN_SUPPORT,

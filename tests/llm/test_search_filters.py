@@ -245,3 +245,22 @@ def test_license_scan_equals_brute_force():
                     best = max(best, licenses.dice(Counter(zip(words[i:j], words[i + 1:j])), grams))
         found = scanner.scan(" ".join(words))
         assert (found[0][1] if found else 0) == (best if best >= 0.6 - 1e-12 else 0)
+
+
+def test_tokens_come_from_the_whole_address(spark):
+    url = "HTTPS://a.b.Example.org/One/two/3x44/deep/er/page.longending?q=1&lang=de#top"
+    row = spark.createDataFrame([(url,), (None,), ("",)], "url string")
+    c = F.coalesce("url", F.lit(""))
+    got = [r.t for r in row.select(url_rules.url_tokens(c, url_rules.host_of(F.col("url")), url_rules.path_of(F.col("url"))).alias("t")).collect()]
+    assert set(got[0]) == {"scheme=https", "first=a", "host=org", "host=example.org", "host=b.example.org", "host=a.b.example.org",
+                           "path0=one", "path1=two", "path2=0x0", "path3=deep", "path4=er", "path5=page.longending",
+                           "ending=longending", "query=q", "query=lang", "fragment"}
+    assert got[1] == got[2] == ["host=", "scheme="]
+
+
+def test_a_deep_path_part_makes_a_rule(spark):
+    rows = [(i, f"http://h{i}.org/a/b/c/{'bad' if i % 2 else 'good'}/{i}") for i in range(40)] + [(99, "http://x.net/a/b/c/bad/7")] * 2
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    rules = [(f"h{i}.org", "/", "block" if i % 2 else "allow") for i in range(40)]
+    got = [r.verdict for r in url_rules.judge_urls(pages, rules).where("page_id = 99").collect()]
+    assert got == ["block", "block"]  # repeated rows give a row each
