@@ -264,3 +264,25 @@ def test_a_deep_path_part_makes_a_rule(spark):
     rules = [(f"h{i}.org", "/", "block" if i % 2 else "allow") for i in range(40)]
     got = [r.verdict for r in url_rules.judge_urls(pages, rules).where("page_id = 99").collect()]
     assert got == ["block", "block"]  # repeated rows give a row each
+
+
+def test_block_max_wand_skips_blocks_and_loses_nothing():
+    rng = np.random.default_rng(9)
+    topics = [np.arange(40 * t + 100, 40 * t + 140) for t in range(30)]
+    rows = [np.concatenate([rng.choice(100, 6), rng.choice(topics[i % 30], 14)]).astype(np.int64) for i in range(3000)]
+    dl = np.array([len(r) for r in rows], float)
+    shard = bm25.Shard(np.arange(3000), rows, dl, 20.0, np.arange(100))
+    queries = [(i, np.unique(rows[i]), np.where(np.unique(rows[i]) < 100, 0.3, 3.0)) for i in range(0, 3000, 60)]
+    got = {}
+    for own, doc, value in shard.search(queries, 10):
+        got.setdefault(own, []).append((-value, doc))
+    for own, terms, weights in queries:
+        every = shard.exact(np.arange(3000), terms, weights)
+        want = sorted((-v, int(shard.ids[d])) for d, v in enumerate(every) if shard.ids[d] != own and v > 0)[:10]
+        assert sorted(got[own]) == want
+    assert shard.opened + shard.skipped == len(queries) * shard.blocks and shard.skipped > 0.6 * len(queries) * shard.blocks
+    # every term has its list, and no posting exceeds the maximum of its block
+    for t, (a, b) in enumerate(zip(shard.list_begins, shard.list_begins[1:])):
+        for e in range(a, b):
+            part = slice(shard.list_at[e], shard.list_at[e + 1])
+            assert shard.impact[part].max() == shard.list_max[e] and set(shard.doc[part] // bm25.BLOCK) == {shard.list_block[e]}
