@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 
 #: Labelled documents of each language that a fit uses about at most, chosen by hash of the key.
 SAMPLE_ROWS = 1_200
+#: Languages that a network tells apart at most: the commonest ones.
+LANGUAGES = 256
 #: Bytes of a window, filter widths, filters of each width, size of the byte embedding.
 WINDOW, WIDTHS, FILTERS, EMBED = 256, (2, 3, 4), 16, 8
 #: Windows worked on at a time.
@@ -182,12 +184,13 @@ def fit(docs: DataFrame, train: Column | None = None, key_col: str = "doc_id", t
     """Train on documents that satisfy ``train`` and have a language.
 
     About ``sample_rows`` documents of each language, chosen by key hash, give
-    three stretches of text each; nothing else of a document is read. Without
-    any such document every text is ``und``.
+    three stretches of text each; nothing else of a document is read. Repeated
+    rows count once. Without any such document, as in an empty table, every
+    text is ``und``.
     """
     given = (docs if train is None else docs.where(train)).where(F.col(lang_col).isNotNull() & (F.length(text_col) > 0)).select(
         F.col(key_col).alias("key"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"))
-    counts = {r[0]: r[1] for r in given.groupBy("lang").count().collect()}  # one row for each language
+    counts = {r[0]: r[1] for r in given.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()}
     langs = sorted(counts)
     if not langs:
         return ByteCnn([], *[np.zeros(0, np.float32)] * 5)
@@ -195,9 +198,11 @@ def fit(docs: DataFrame, train: Column | None = None, key_col: str = "doc_id", t
         [(k, min(1.0, sample_rows / n)) for k, n in counts.items()], "lang string, rate double")
     spot = F.pmod(F.xxhash64("key", "text"), F.lit(1 << 30))
     part = lambda k: F.substring("text", (spot + k * F.length("text") / 3).cast("int") % F.length("text") + 1, F.lit(WINDOW))
+    # copies of a document share their spot and come all or none: they count once, whatever their number
     rows = (given.join(F.broadcast(rates), "lang")  # one row for each language
             .where(spot < F.col("rate") * (1 << 30))
-            .select("lang", F.explode(F.array(*map(part, range(3)))).alias("part")).toPandas())
+            .select("lang", F.explode(F.array(*map(part, range(3)))).alias("part")).distinct()
+            .orderBy(F.xxhash64("part"), "part", "lang").limit(6 * sample_rows * len(langs)).toPandas())
     data = [(text_bytes(t)[:WINDOW], langs.index(g)) for t, g in sorted(zip(rows["part"], rows["lang"]))]
     data = [(d, g) for d, g in data if d.strip()]
     if not data:

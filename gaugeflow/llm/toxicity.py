@@ -21,8 +21,6 @@ from pyspark.sql import functions as F
 
 #: Labelled documents of each class that a fit uses at most, chosen by hash of the key.
 SAMPLE_ROWS = 8_000
-#: Tokens that a model keeps at most: the most significant ones.
-TABLE_ROWS = 50_000
 #: Weight of the prior as a part of all tokens, and what each token costs.
 PRIOR, DRIFT = 0.02, 0.1
 #: A token stands out when fewer than this many of all tokens would by chance.
@@ -138,23 +136,29 @@ def fit_logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, train: Column | None, key_col: str, text_col: str,
                     label_col: str, rows: int) -> DataFrame:
-    """(text, y) of at most ``rows`` labelled keys of each class, by key hash."""
+    """(key, text, y) of at most ``rows`` labelled documents of each class, by
+    key hash; rows that repeat key, text and label count once."""
     given = labels.where(F.col(key_col).isNotNull() if train is None else train & F.col(key_col).isNotNull()).select(key_col, F.col(label_col).cast("int").alias("y"))
     order = [F.xxhash64(key_col), key_col]
     chosen = (given.where("y = 1").distinct().orderBy(*order).limit(rows)
               .union(given.where("y = 0").distinct().orderBy(*order).limit(rows)))
-    return docs.select(key_col, F.col(text_col).alias("text")).join(
-        F.broadcast(chosen), key_col).where(F.col("text").isNotNull())  # at most 2 * rows keys
+    found = docs.select(F.col(key_col).alias("key"), F.col(text_col).alias("text")).join(
+        F.broadcast(chosen.withColumnRenamed(key_col, "key")), "key").where(F.col("text").isNotNull())  # at most 2 * rows keys
+    # a key may stand for any number of rows: repeated rows count once, and each class keeps ``rows`` of the others
+    found = found.dropDuplicates(["key", "text", "y"])
+    some = lambda y: found.where(F.col("y") == y).orderBy(F.xxhash64("key"), "key", F.xxhash64("text")).limit(rows)
+    return some(1).union(some(0))
 
 
 def fit(docs: DataFrame, labels: DataFrame, train: Column | None = None, key_col: str = "doc_id",
         text_col: str = "text", label_col: str = "toxic", sample_rows: int = SAMPLE_ROWS) -> ToxicityModel:
     """Learn from documents whose ``labels`` row satisfies ``train``.
 
-    Only texts and labels are used, at most ``sample_rows`` keys of each
-    class. Near copies count once: of documents of one class that share the
-    least hash of their shingles of five words one is used for the odds. Without a label of both classes the
-    model has no odds and finds every text clean.
+    Only texts and labels are used, at most ``sample_rows`` documents of each
+    class; null keys are not learned from, null texts neither, repeated rows
+    count once, and a key with both labels counts in both classes. Near copies count once: of documents of one class that share the
+    least hash of their shingles of five words one is used for the odds. Without a label of both classes, as
+    in empty tables, the model has no odds and finds every text clean.
     """
     from gaugeflow.llm.common import shared_table
 
@@ -181,7 +185,7 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column | None = None, key_col
         (share(F.col("toxic"), n1) + share(F.col("clean"), n0)).alias("weight"),  # half of the squared z-score
         (a0 / (n0 + PRIOR * total)).alias("p"))
     table = (scored.where(F.col("weight") >= math.log(distinct / CHANCE_TOKENS))
-             .orderBy(F.desc("weight"), "token").limit(TABLE_ROWS).toPandas())
+             .toPandas())  # significant tokens of a bounded sample
     model = ToxicityModel(dict(zip(table["token"], table["odds"])))
     known = table[~table["token"].str.startswith("~")]
     model.lam = solve_lambda(np.append(known["odds"].to_numpy() - DRIFT, -DRIFT),
@@ -201,7 +205,7 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column | None = None, key_col
         for batch in batches:
             yield pd.DataFrame({"y": batch["y"], "x": [model.excess(t) for t in batch["text"]]})
 
-    seen = sample.mapInPandas(weigh, "y int, x double").toPandas()  # at most 2 * sample_rows pairs, repeats aside
+    seen = sample.mapInPandas(weigh, "y int, x double").toPandas()  # at most 2 * sample_rows pairs
     model.slope, model.bias = fit_logistic(seen["x"].to_numpy(float), seen["y"].to_numpy(float))
     return model
 
