@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.joins import nearest_k
+from ..session import ensure_checkpoint_dir
 
 # Measure columns per variable family, and the families filled
 # by inverse-distance weighting when at least two proxies have a value.
@@ -42,7 +43,10 @@ def proxy_candidates(stations: DataFrame, has_var: DataFrame, targets: Sequence[
     candidates (the source's rule); otherwise every variable does, so gaps
     inside a reported variable can be filled too.
     """
-    st = stations.select(station, "latitude", "longitude").distinct()
+    # one row a station (and variable) each, from whole fact tables: written once, as the search reads them several times
+    ensure_checkpoint_dir(stations.sparkSession)
+    st = stations.select(station, "latitude", "longitude").distinct().checkpoint()
+    has_var = has_var.select(station, "variable").distinct().checkpoint()
     tg = st if targets is None else st.where(F.col(station).isin(list(targets)))
     tg = tg.select(F.col(station).alias("target_station_id"), F.col("latitude").alias("_tlat"),
                    F.col("longitude").alias("_tlon"))

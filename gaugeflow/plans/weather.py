@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..operators.aggs import pivot_rank
 from ..operators.joins import nearest_k, ranked_fallback_join
 from ..operators.windows import share_of_total, top_k_per_group
+from ..session import ensure_checkpoint_dir
 
 # Fixed values: (gauge-name pattern, weather-station-name pattern) pairs that
 # earn a name bonus of 1, in the source's order.
@@ -52,6 +53,9 @@ def weather_map(gauges: DataFrame, stations: DataFrame, max_km: float = 250.0, k
     s = stations.where(F.col("latitude").isNotNull() & F.col("longitude").isNotNull()) \
                 .select("dwd_station_id", "dwd_station_name",
                         F.col("latitude").alias("_slat"), F.col("longitude").alias("_slon")).distinct()
+    # both have one row a station and come from whole fact tables: written once, as the search reads them several times
+    ensure_checkpoint_dir(g.sparkSession)
+    g, s = g.checkpoint(), s.checkpoint()
     at = dict(k=k, max_km=max_km, right_cols=("_slat", "_slon"), radius_km=radius_km)
     near = nearest_k(g, s, "station_id", "dwd_station_id", **at).withColumn("name_bonus", F.lit(0).cast("long"))
     # the best k by (bonus, distance) are among the k nearest of all and the k nearest that share a name pattern
