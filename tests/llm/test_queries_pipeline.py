@@ -34,3 +34,24 @@ def test_pipeline_stages(spark):
         kept = {r.doc_id: r for r in rows}
     pieces = corpus_pipeline.run(spark, SMOKE).collect()
     assert {r.doc_id for r in pieces} == set(kept)
+
+
+def test_stages_take_any_rows(spark, docs, empty):
+    """Nulls, empty and long texts, repeats, clashing names and no rows at all."""
+    rows = [tuple(r) for r in docs.collect()]
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, SMOKE)
+        kept = [tuple(r) for r in out.collect()]
+        assert out.columns == docs.columns and all(r in rows for r in kept)
+        texts = sorted(str(r[1]) for r in kept)
+        if name == "language_id":
+            assert kept and not any(t in ("None", "") for t in texts)
+        if name == "toxicity":
+            assert len(kept) == len(rows)  # nothing here is toxic
+        if name == "simhash_near_dedup":
+            ids = [r[0] for r in kept]
+            assert 2 not in ids and 4 not in ids and ids.count(6) == 1 and {1, 3, 5, 7, 8, None} <= set(ids)
+        nothing = stage(spark, empty, SMOKE)
+        assert nothing.columns == docs.columns and nothing.count() == 0
+    pieces = corpus_pipeline.STAGES[-1][1](spark, docs, SMOKE).collect()
+    assert {r.doc_id for r in pieces} == {r[0] for r in rows} and corpus_pipeline.STAGES[-1][1](spark, empty, SMOKE).count() == 0
