@@ -22,14 +22,16 @@ def _micros(c):
 
 def asof_nearest(left: DataFrame, right: DataFrame, by: Sequence[str], left_ts: str, right_ts: str,
                  tolerance_seconds: int, right_cols: Sequence[str], prefix: str = "",
-                 matched_ts_col: str = "matched_ts", bucket_seconds: int | None = None) -> DataFrame:
+                 matched_ts_col: str = "matched_ts", bucket_seconds: int | None = None,
+                 partitions: int | None = None) -> DataFrame:
     """For each left row, the right row with the same ``by`` keys whose time
     is nearest, if within ``tolerance_seconds`` (inclusive); ties go to the
     earlier right row. Left rows without a match are kept with nulls.
 
     Right rows should be unique per (by, time); the right time is returned
     as ``matched_ts_col``. ``bucket_seconds`` (default 8 x tolerance, at
-    least one hour) sets the time slice per window partition.
+    least one hour) sets the time slice per window partition, ``partitions``
+    the number of tasks that sort them (default: the shuffle partitions).
     """
     by = list(by)
     tol_us = int(tolerance_seconds) * 1_000_000
@@ -56,6 +58,8 @@ def asof_nearest(left: DataFrame, right: DataFrame, by: Sequence[str], left_ts:
 
     u = l.unionByName(r, allowMissingColumns=True)
     keys = [f"_by{i}" for i in range(len(by))] + ["_bucket"]
+    if partitions:
+        u = u.repartition(partitions, *keys)
     w = Window.partitionBy(*keys).orderBy("_t", "_side")
     back = F.last("_r", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     # the next right row is the last one seen in descending time: a running frame,

@@ -9,6 +9,8 @@ from ..operators.asof import asof_nearest
 from ..operators.dedup import dedupe_history
 
 HISTORY_KEYS = ["station_name", "forecast_timestamp_utc", "model_version"]
+#: Tasks that sort the history, for each shuffle partition: its rows are wide and sorted whole.
+HISTORY_SPLIT = 4
 HISTORY_ORDER = ["prediction_ready_utc", "run_id", "prediction", "actual_available_now"]
 
 
@@ -30,11 +32,13 @@ def refresh_history(history: DataFrame, previous: DataFrame, actuals: DataFrame,
     or had one stay, so the result can be the next run's ``history``.
     """
     stored = with_actual_columns(history).unionByName(with_actual_columns(previous), allowMissingColumns=True)
+    tasks = HISTORY_SPLIT * int(stored.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    stored = stored.repartition(tasks, *HISTORY_KEYS)  # the grouping below keeps this layout
     newest = dedupe_history(stored, HISTORY_KEYS, HISTORY_ORDER, "station_name")
     seen = actuals.where(F.trim("station_name") != "").select(  # a blank station matches nothing
         "station_name", F.col(actual_ts).alias("_seen_at"), F.col(actual_value).alias("_seen"))
     matched = asof_nearest(newest, seen, ["station_name"], "forecast_timestamp_utc", "_seen_at", tolerance_seconds,
-                           ["_seen"], matched_ts_col="_matched_at")
+                           ["_seen"], matched_ts_col="_matched_at", partitions=tasks)
     now = matched.withColumns({
         "actual_if_available": F.coalesce(F.col("_seen").cast("double"), "actual_if_available"),
         "actual_available_now": F.col("_seen").isNotNull() | F.col("actual_available_now")})
