@@ -286,3 +286,18 @@ def test_block_max_wand_skips_blocks_and_loses_nothing():
         for e in range(a, b):
             part = slice(shard.list_at[e], shard.list_at[e + 1])
             assert shard.impact[part].max() == shard.list_max[e] and set(shard.doc[part] // bm25.BLOCK) == {shard.list_block[e]}
+
+
+def test_bm25_copies_no_document_for_blocks_of_queries(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    docs = spark.createDataFrame([(i, " ".join(f"t{j}" for j in rng.integers(0, 80, 12))) for i in range(120)], "doc_id long, text string")
+    rows = lambda: sorted(map(tuple, bm25.search(docs, F.col("doc_id") % 2 == 0, 5, shard_rows=16).collect()))
+    want, seen, whole = rows(), [], bm25.search_packed
+    monkeypatch.setattr(bm25, "QUERY_ROWS", 8)
+    monkeypatch.setattr(bm25, "PACK_ROWS", 3)
+    monkeypatch.setattr(bm25, "search_packed", lambda pairs, *a: seen.append(pairs) or whole(pairs, *a))
+    assert rows() == want and len(want) == 60 * 5
+    plan = seen[0]._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" in plan and "Exchange" not in plan and "Generate" not in plan
+    shards = seen[0].select("shard", "ids").distinct().collect()
+    assert len(shards) > 1 and sorted(i for r in shards for i in np.frombuffer(r.ids, np.int64).tolist()) == list(range(120))
