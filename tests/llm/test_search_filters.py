@@ -301,3 +301,12 @@ def test_bm25_copies_no_document_for_blocks_of_queries(spark, monkeypatch):
     assert "CartesianProduct" in plan and "Exchange" not in plan and "Generate" not in plan
     shards = seen[0].select("shard", "ids").distinct().collect()
     assert len(shards) > 1 and sorted(i for r in shards for i in np.frombuffer(r.ids, np.int64).tolist()) == list(range(120))
+
+
+def test_bm25_packs_queries_of_like_words_side_by_side(spark):
+    df = spark.createDataFrame([(i, [1 + i % 2, 10 + i], [0.5, 1.0]) for i in range(12)], "query_id long, terms array<long>, weights array<double>")
+    packs = bm25.packed_queries(df.coalesce(1), np.array([2, 1])).collect()
+    ids = np.concatenate([np.frombuffer(r.q_ids, np.int64) for r in packs])
+    terms = np.concatenate([np.frombuffer(r.q_terms, np.int64) for r in packs]).reshape(-1, 2)
+    assert sorted(ids.tolist()) == list(range(12)) and terms.tolist() == [[1 + i % 2, 10 + i] for i in ids]
+    assert np.count_nonzero(np.diff(terms[:, 0])) == 1
